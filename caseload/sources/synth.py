@@ -1,0 +1,166 @@
+"""Synthetic clinical modules (S9-S12, K8, C9, C10) generated by Spark.
+
+Each synthetic record is derived from a row of a driver table (practitioners
+from ``supplier``, patients from ``customer``, encounters from ``lineitem``)
+so the generator is a distributed projection whose size follows the input;
+random picks are deterministic integer hashes of the row key (C10), the same
+in every engine:
+
+    pick(x, salt, n) = ((x * 48271 + salt) mod M) * 48271 mod M mod n,
+    M = 2^31 - 1
+
+All products stay below 2^63 for keys under 2^40.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from caseload.sources.star import table
+
+# Invented first names, family names, hospitals, diagnoses and
+# e-mail suffixes of the synthetic modules.
+FIRST_NAMES = ["ada", "bram", "cleo", "dario", "elin", "farah", "gus", "hana", "ivo", "june",
+               "kofi", "lena", "milo", "nora", "otto", "pia", "quinn", "rosa", "sami", "tova",
+               "uma", "vik", "wren", "yara", "zeno"]
+FAMILY_NAMES = ["alder", "brook", "carver", "dale", "ember", "frost", "grove", "hale", "irwin",
+                "juniper", "kestrel", "lark", "moss", "north", "oakes", "pike", "quill", "reed",
+                "stone", "thorn", "underhill", "vance", "wolfe", "yates", "zeller"]
+HOSPITALS = ["st. orla's clinic", "north-east/lake centre", "riverside general",
+             "mount cedar hospital", "harbor view medical center", "st. agnes-by-the-sea",
+             "lakeshore children's hospital", "valley/west infirmary"]
+DIAGNOSES = ["hay fever", "sprain", "migraine", "bronchitis", "gout", "tonsillitis", "eczema",
+             "shingles", "anemia", "asthma", "sinusitis", "vertigo", "tendinitis", "pneumonia",
+             "otitis media", "conjunctivitis"]
+EMAIL_SUFFIXES = ["@mail.example", "@post.example", "@inbox.example", "@clinic.example"]
+FILLER = "void"
+MODULUS = 2147483647
+MULTIPLIER = 48271
+
+# salts of the independent picks
+S_FIRST, S_FAMILY, S_SUFFIX, S_HOSPITAL, S_PATIENT, S_PRACTITIONER, S_DIAGNOSIS, S_SEX = range(1, 9)
+
+
+def pick(x: Column, salt: int, n) -> Column:
+    """Deterministic pseudo-random integer in ``[0, n)``."""
+    n = n if isinstance(n, Column) else F.lit(n)
+    h = F.pmod(x.cast("bigint") * MULTIPLIER + salt, F.lit(MODULUS))
+    h = F.pmod(h * MULTIPLIER, F.lit(MODULUS))
+    return F.pmod(h, n.cast("bigint"))
+
+
+def _choose(values: list[str], x: Column, salt: int) -> Column:
+    return F.get(F.array(*[F.lit(v) for v in values]), pick(x, salt, len(values)).cast("int"))
+
+
+def _full_name(x: Column, first: list[str], family: list[str]) -> Column:
+    return F.concat(_choose(first, x, S_FIRST), F.lit(" "), _choose(family, x, S_FAMILY))
+
+
+def read_names(spark: SparkSession, path: str) -> DataFrame:
+    """Name pool from a CSV with a header; column 1 is the (quoted)
+    name and column 3 the (quoted) sex.  The CSV reader strips the quotes."""
+    df = spark.read.option("header", True).csv(path)
+    cols = df.columns
+    return df.select(F.trim(F.col(cols[1])).alias("name"), F.trim(F.col(cols[3])).alias("sex"))
+
+
+def practitioners(spark: SparkSession, sf_dir: str, first=FIRST_NAMES, family=FAMILY_NAMES) -> DataFrame:
+    """One practitioner per ``supplier`` row: id, name, e-mail, hospital."""
+    x = F.col("s_suppkey")
+    name = _full_name(x, first, family)
+    email = F.concat(F.substring(name, 1, 1), F.get(F.split(name, " "), 1),
+                     _choose(EMAIL_SUFFIXES, x, S_SUFFIX))
+    return table(spark, sf_dir, "supplier").select(
+        x.cast("string").alias("identifier"), name.alias("name"), email.alias("telecom"),
+        _choose(HOSPITALS, x, S_HOSPITAL).alias("hospital"))
+
+
+def patients(spark: SparkSession, sf_dir: str, first=FIRST_NAMES, family=FAMILY_NAMES) -> DataFrame:
+    """One patient per ``customer`` row: id and name."""
+    x = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        x.cast("string").alias("identifier"), _full_name(x, first, family).alias("name"))
+
+
+def table_size(spark: SparkSession, sf_dir: str, name: str) -> Column:
+    """Row count of a table as a scalar subquery (evaluated once, no join)."""
+    return table(spark, sf_dir, name).select(F.count(F.lit(1))).scalar()
+
+
+def encounters(spark: SparkSession, sf_dir: str, n_files: int = 3) -> DataFrame:
+    """One encounter per ``lineitem`` row: uniform random patient
+    (over the customers), practitioner (over the suppliers) and diagnosis.
+    ``file_no`` splits them into files; ``identifier`` numbers the rows of a
+    file, so the same identifiers recur in every file (not unique)."""
+    x = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    return table(spark, sf_dir, "lineitem").select(
+        F.pmod(F.col("l_orderkey"), F.lit(n_files)).cast("int").alias("file_no"),
+        (F.floor(F.col("l_orderkey") / n_files) * 8 + F.col("l_linenumber")).cast("string").alias("identifier"),
+        pick(x, S_PATIENT, table_size(spark, sf_dir, "customer")).cast("string").alias("subject"),
+        pick(x, S_PRACTITIONER, table_size(spark, sf_dir, "supplier")).cast("string").alias("individual"),
+        _choose(DIAGNOSES, x, S_DIAGNOSIS).alias("condition"))
+
+
+def _void(*names) -> list[Column]:
+    return [F.lit(FILLER).alias(n) for n in names]
+
+
+def encounter_documents(enc: DataFrame) -> DataFrame:
+    """K8: FHIR-shaped encounter JSON lines (unused fields hold ``void``)."""
+    period = F.lit(FILLER)
+    doc = F.struct(
+        F.lit("Encounter").alias("resourceType"), F.col("identifier"), *_void("status"),
+        F.array(F.struct(F.lit(FILLER).alias("status"), period.alias("period"))).alias("statusHistory"),
+        *_void("class"),
+        F.array(F.struct(F.lit(FILLER).alias("class"), period.alias("period"))).alias("classHistory"),
+        *_void("type", "priority"), F.col("subject"), *_void("episodeOfCare", "incomingReferral"),
+        F.array(F.struct(F.lit(FILLER).alias("type"), period.alias("period"),
+                         F.col("individual"))).alias("participant"),
+        *_void("appointment", "period", "length", "reason"),
+        F.array(F.struct(F.col("condition"), F.lit(FILLER).alias("role"),
+                         F.lit(FILLER).alias("rank"))).alias("diagnosis"),
+        *_void("account"),
+        F.struct(*_void("preAdmissionIdentifier", "origin", "admitSource", "reAdmission",
+                        "dietPreference", "specialCourtesy", "specialArrangement", "destination",
+                        "dischargeDisposition")).alias("hospitalization"),
+        F.array(F.struct(F.lit(FILLER).alias("location"), F.lit(FILLER).alias("status"),
+                         period.alias("period"))).alias("location"),
+        *_void("serviceProvider", "partOf"))
+    return enc.select(F.to_json(doc).alias("value"), "file_no")
+
+
+def practitioner_documents(prac: DataFrame) -> DataFrame:
+    """K8: FHIR-shaped practitioner JSON lines."""
+    doc = F.struct(
+        F.lit("Practitioner").alias("resourceType"), F.col("identifier"), *_void("active"),
+        F.col("name"), F.col("telecom"), *_void("address", "gender", "birthDate", "photo"),
+        F.array(F.struct(F.col("hospital").alias("identifier"), *_void("code", "period", "issuer")))
+         .alias("qualification"),
+        *_void("communication"))
+    return prac.select(F.to_json(doc).alias("value"))
+
+
+def patient_documents(pat: DataFrame) -> DataFrame:
+    """K8: FHIR-shaped patient JSON lines."""
+    doc = F.struct(
+        F.lit("Patient").alias("resourceType"), F.col("identifier"), *_void("active"), F.col("name"),
+        *_void("telecom", "gender", "birthDate", "deceasedBoolean", "deceasedDateTime", "address",
+               "maritalStatus", "multipleBirthBoolean", "multipleBirthInteger", "photo"),
+        F.array(F.struct(*_void("relationship", "name", "telecom", "address", "gender",
+                                "organization", "period"))).alias("contact"),
+        F.struct(*_void("species", "breed", "genderStatus")).alias("animal"),
+        F.array(F.struct(*_void("language", "preferred"))).alias("communication"),
+        *_void("generalPractitioner", "managingOrganization"),
+        F.array(F.struct(*_void("other", "type"))).alias("link"))
+    return pat.select(F.to_json(doc).alias("value"))
+
+
+def write_ndjson(docs: DataFrame, path: str, partition_by: str | None = None) -> None:
+    """K8: one JSON object per line, as text files."""
+    cols = ["value"] + ([partition_by] if partition_by else [])
+    w = docs.select(*cols).write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.text(path)
