@@ -126,7 +126,8 @@ def query_matches(queries: DataFrame, results: DataFrame, fuzziness: dict | None
 
 def combine(matches: DataFrame, results: DataFrame, fields=FIELDS, identity: str = "tuple") -> DataFrame:
     """J4 + X2 + X3: one row per (query, hit tuple), ``mask`` = OR of the bits
-    of the fields through which the tuple was hit.
+    of the fields through which the tuple was hit, ``_label`` = the closest
+    (distance, diagnosis) through which it was hit by diagnosis (or null).
 
     ``identity="tuple"`` compares hits by (name, count, hospital, e-mail) like
     the served documents; ``"practitioner"`` adds the practitioner id.
@@ -136,30 +137,45 @@ def combine(matches: DataFrame, results: DataFrame, fields=FIELDS, identity: str
     flag = F.lit(0)
     for f in fields:
         flag = F.when(F.col("field") == f, F.lit(FLAG[f])).otherwise(flag)
-    m = matches.select("query_id", "field", F.col("match").alias("term"))
+    diag = F.when(F.col("field") == DIAGNOSIS,
+                  F.struct(F.col("distance"), F.col("term").alias("match")))
+    m = matches.select("query_id", "field", F.col("match").alias("term"), "distance")
     return (m.join(rows, ["field", "term"])
-             .groupBy("query_id", *HIT, *extra).agg(F.bit_or(flag).alias("mask")))
+             .groupBy("query_id", *HIT, *extra)
+             .agg(F.bit_or(flag).alias("mask"), F.min(diag).alias("_label")))
 
 
-def soft_intersect(hits: DataFrame) -> DataFrame:
-    """Keep hits whose mask covers the required bits of their query.
+def _required(hits: DataFrame) -> DataFrame:
+    """Per query: the bits a kept hit must carry and the label.
 
-    Required bits per query are derived from its (at most 7) distinct masks:
+    Required bits come from the query's (at most 7) distinct masks:
     diagnosis first, then name, then hospital, each bit added only if some
-    hit still carries all bits required so far plus that bit.
+    hit still carries all bits required so far plus that bit.  The label is
+    the closest matched diagnosis (ties alphabetical), null when none.
     """
     def covers(want):
         return lambda m: m.bitwiseAND(want) == want
 
-    ms = hits.groupBy("query_id").agg(F.collect_set("mask").alias("_ms"))
+    per_query = hits.groupBy("query_id").agg(F.collect_set("mask").alias("_ms"),
+                                             F.min("_label").alias("_lab"))
     req = F.lit(0)
     for bit in (FLAG[DIAGNOSIS], FLAG[NAME], FLAG[HOSPITAL]):
         want = req.bitwiseOR(F.lit(bit))
         req = F.when(F.exists("_ms", covers(want)), want).otherwise(req)
-    required = ms.select("query_id", req.alias("required"))
+    return per_query.select("query_id", req.alias("required"), F.col("_lab.match").alias("label"))
+
+
+def _keep(hits: DataFrame, required: DataFrame) -> DataFrame:
     return (hits.join(required, "query_id")
                 .where(F.col("mask").bitwiseAND(F.col("required")) == F.col("required"))
-                .drop("required"))
+                .drop("required", "_label"))
+
+
+def soft_intersect(hits: DataFrame) -> DataFrame:
+    """Keep hits whose mask covers the required bits of their query
+    (intersect with each field's hits, in order diagnosis, name, hospital,
+    only where that intersection is non-empty)."""
+    return _keep(hits, _required(hits)).drop("label")
 
 
 def resolve_label(matches: DataFrame) -> DataFrame:
@@ -168,18 +184,18 @@ def resolve_label(matches: DataFrame) -> DataFrame:
                    .agg(F.min_by("match", F.struct("distance", "match")).alias("label")))
 
 
-def rank(kept: DataFrame, labels: DataFrame, k: int = TOP_K) -> DataFrame:
-    """``query_id, ord, line`` (ord 0-based, <= k lines)."""
-    with_label = kept.join(labels, "query_id", "left")
+def rank(kept: DataFrame, k: int = TOP_K) -> DataFrame:
+    """``query_id, ord, line`` (ord 0-based, <= k lines)
+    from kept hits carrying their query's ``label``."""
     w1 = Window.partitionBy("query_id").orderBy(F.desc("n_visits"), "full_name", "hospital", "email")
-    a = (with_label.where(F.col("label").isNotNull())
-                   .withColumn("_rn", F.row_number().over(w1)).where(F.col("_rn") <= k)
-                   .select("query_id", (F.col("_rn") - 1).cast("bigint").alias("ord"),
-                           text.line_with_count("full_name", "n_visits", "hospital", "email").alias("line")))
-    lines = (with_label.where(F.col("label").isNull())
-                       .select("query_id", "n_visits",
-                               text.line_without_count("full_name", "hospital", "email").alias("line"))
-                       .groupBy("query_id", "line").agg(F.max("n_visits").alias("best")))
+    a = (kept.where(F.col("label").isNotNull())
+             .withColumn("_rn", F.row_number().over(w1)).where(F.col("_rn") <= k)
+             .select("query_id", (F.col("_rn") - 1).cast("bigint").alias("ord"),
+                     text.line_with_count("full_name", "n_visits", "hospital", "email").alias("line")))
+    lines = (kept.where(F.col("label").isNull())
+                 .select("query_id", "n_visits",
+                         text.line_without_count("full_name", "hospital", "email").alias("line"))
+                 .groupBy("query_id", "line").agg(F.max("n_visits").alias("best")))
     w2 = Window.partitionBy("query_id").orderBy(F.desc("best"), "line")
     b = (lines.withColumn("_rn", F.row_number().over(w2)).where(F.col("_rn") <= k)
               .select("query_id", (F.col("_rn") - 1).cast("bigint").alias("ord"), "line"))
@@ -203,11 +219,12 @@ def search(results: DataFrame, queries: DataFrame, k: int = TOP_K,
     """Full search: ``query_id, kind, ord, line`` with ``kind`` 'title' or
     'result' (``NONE`` as the only result line when a query keeps no hit)."""
     matches = query_matches(queries, results, None, max_expansions, transpositions)
-    kept = soft_intersect(combine(matches, results, identity=identity))
-    labels = resolve_label(matches)
-    ranked = rank(kept, labels, k)
+    hits = combine(matches, results, identity=identity)
+    required = _required(hits)
+    ranked = rank(_keep(hits, required), k)
     res = (queries.select("query_id").join(ranked, "query_id", "left")
                   .select("query_id", F.lit("result").alias("kind"),
                           F.coalesce("ord", F.lit(0).cast("bigint")).alias("ord"),
                           F.coalesce("line", F.lit(text.NONE_LINE)).alias("line")))
+    labels = required.select("query_id", "label")
     return titles(queries, labels).select("query_id", F.lit("title").alias("kind"), "ord", "line").unionByName(res)

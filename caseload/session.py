@@ -114,5 +114,16 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(out)
 
 
+def spread(df, min_partitions: int | None = None):
+    """Round-robin ``df`` over the cluster's cores only when its scan yields
+    fewer partitions than that (e.g. one unsplittable row group); a fact
+    table of thousands of splits is returned untouched, without a shuffle."""
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def local_cpus(default: int = 8) -> int:
     return int(os.environ.get("BENCH_CPUS", default))

@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseload.session import spread
+
 N_SLICES = 3
 
 
@@ -32,7 +34,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def encounter_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat encounter columns (before JSON encoding)."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    # the fact scan feeds per-row JSON encode/parse: keep every core busy
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     return (li.join(orders, li.l_orderkey == orders.o_orderkey)
