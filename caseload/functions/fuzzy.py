@@ -74,10 +74,10 @@ def with_distance(pairs, a: str, b: str, k: int, transpositions: bool, out: str
     where it is ``<= k`` (other rows are dropped).
 
     Levenshtein is built in (``levenshtein(a, b, threshold)`` is -1 above the
-    threshold).  With transpositions a Levenshtein distance ``<= k`` is final
-    and one above ``2k`` a certain miss; only the rows in between are sent to
-    the Arrow OSA function (Python UDFs are evaluated for every input row, so
-    the band is split off first).
+    threshold).  With transpositions, Levenshtein 0 or 1 is already the OSA
+    distance and one above ``2k`` a certain miss (a transposition saves at
+    most one edit of two); only rows in between go to the Arrow OSA function
+    (Python UDFs run on every row they see, so that band is split off first).
     """
     ca, cb = F.col(a), F.col(b)
     if not transpositions:
@@ -85,8 +85,8 @@ def with_distance(pairs, a: str, b: str, k: int, transpositions: bool, out: str
         return pairs.withColumn(out, lev.cast("bigint")).where(F.col(out) >= 0)
     lev = F.levenshtein(ca, cb, 2 * k)
     scored = pairs.withColumn(out, lev.cast("bigint")).where(F.col(out) >= 0)
-    sure = scored.where(F.col(out) <= k)
-    band = (scored.where(F.col(out) > k)
+    sure = scored.where(F.col(out) <= 1)
+    band = (scored.where(F.col(out) > 1)
                   .withColumn(out, osa_distance(ca, cb))
                   .where(F.col(out) <= k))
     return sure.unionByName(band)

@@ -44,6 +44,7 @@ FLAG = {DIAGNOSIS: 4, NAME: 2, HOSPITAL: 1}
 MAX_EXPANSIONS = 50
 TOP_K = 10
 HIT = ["full_name", "n_visits", "hospital", "email"]
+LABEL_TYPE = "struct<distance:bigint,match:string>"
 
 
 def make_queries(spark: SparkSession, rows) -> DataFrame:
@@ -156,6 +157,8 @@ def _required(hits: DataFrame) -> DataFrame:
     def covers(want):
         return lambda m: m.bitwiseAND(want) == want
 
+    if "_label" not in hits.columns:
+        hits = hits.withColumn("_label", F.lit(None).cast(LABEL_TYPE))
     per_query = hits.groupBy("query_id").agg(F.collect_set("mask").alias("_ms"),
                                              F.min("_label").alias("_lab"))
     req = F.lit(0)
@@ -166,9 +169,10 @@ def _required(hits: DataFrame) -> DataFrame:
 
 
 def _keep(hits: DataFrame, required: DataFrame) -> DataFrame:
-    return (hits.join(required, "query_id")
+    kept = (hits.join(required, "query_id")
                 .where(F.col("mask").bitwiseAND(F.col("required")) == F.col("required"))
-                .drop("required", "_label"))
+                .drop("required"))
+    return kept.drop("_label") if "_label" in kept.columns else kept
 
 
 def soft_intersect(hits: DataFrame) -> DataFrame:
