@@ -14,6 +14,10 @@ state with every patient.  Instead each micro-batch computes its cases per
 (``plans.state``) under its batch id; patients and visits are derived on
 read.  Idempotent for the same reason as T1.
 
+A run that starts without an existing checkpoint numbers its batches from 0
+again, and files may fall into other batches than before; so a fresh start
+first clears what an earlier run left in the sink / state table.
+
 Both read files at most ``max_files_per_trigger`` at a time (one file per
 batch reproduces folding file by file) and run with ``availableNow`` for
 bounded catch-up, or any other trigger for a long-running job.
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 
 from caseload.operators import aggregate, extract
 from caseload.plans import state
-from caseload.session import delete_path
+from caseload.session import delete_path, path_exists
 
 
 def _lines(spark: SparkSession, input_dir: str, max_files_per_trigger: int) -> DataFrame:
@@ -42,6 +46,8 @@ def run_visit_counts(spark: SparkSession, input_dir: str, checkpoint: str, sink:
                      on_malformed: str = "quarantine"):
     """Start (and, with the default ``availableNow`` trigger, finish) the
     running visit count; returns the finished ``StreamingQuery``."""
+    if not path_exists(spark, checkpoint):
+        delete_path(spark, sink)
     counts = aggregate.visit_counts(
         extract.encounters(_lines(spark, input_dir, max_files_per_trigger), on_malformed))
 
@@ -71,6 +77,8 @@ def read_visit_counts(spark: SparkSession, sink: str) -> DataFrame:
 def run_patient_cases(spark: SparkSession, input_dir: str, checkpoint: str, state_path: str,
                       max_files_per_trigger: int = 1, trigger: dict | None = None):
     """Fold cases per (practitioner, diagnosis, patient) batch by batch."""
+    if not path_exists(spark, checkpoint):
+        state.clear(spark, state_path)
     enc = extract.encounters(_lines(spark, input_dir, max_files_per_trigger),
                              "quarantine", require_patient=True)
 
