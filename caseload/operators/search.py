@@ -43,8 +43,9 @@ FUZZINESS = {DIAGNOSIS: 2, NAME: 2, HOSPITAL: 1}
 FLAG = {DIAGNOSIS: 4, NAME: 2, HOSPITAL: 1}
 MAX_EXPANSIONS = 50
 TOP_K = 10
+# most (query, field, term) match rows ever broadcast to the hit join
+MATCH_BROADCAST_ROWS = 1_000_000
 HIT = ["full_name", "n_visits", "hospital", "email"]
-LABEL_TYPE = "struct<distance:bigint,match:string>"
 
 
 def make_queries(spark: SparkSession, rows) -> DataFrame:
@@ -125,10 +126,28 @@ def query_matches(queries: DataFrame, results: DataFrame, fuzziness: dict | None
                  .groupBy("query_id", "field", "match").agg(F.min("distance").alias("distance")))
 
 
-def combine(matches: DataFrame, results: DataFrame, fields=FIELDS, identity: str = "tuple") -> DataFrame:
+def matches_fit_broadcast(queries: DataFrame, max_expansions: int | None,
+                          fields=FIELDS, limit: int = MATCH_BROADCAST_ROWS) -> bool:
+    """Size check for broadcasting the matches: they have at most
+    ``max_expansions`` rows per query term, and the query terms are counted
+    (a job over the queries table only)."""
+    if max_expansions is None:
+        return False
+    return query_terms(queries, fields).count() * max_expansions <= limit
+
+
+def combine(matches: DataFrame, results: DataFrame, fields=FIELDS, identity: str = "tuple",
+            broadcast_matches: bool = False) -> DataFrame:
     """J4 + X2 + X3: one row per (query, hit tuple), ``mask`` = OR of the bits
-    of the fields through which the tuple was hit, ``_label`` = the closest
-    (distance, diagnosis) through which it was hit by diagnosis (or null).
+    of the fields through which the tuple was hit.
+
+    The aggregation buffer is a single int, so it runs as a hash aggregate
+    with a map-side partial step (no sort-based fallback).  A term can occur
+    in every result row (a hot key): with ``broadcast_matches`` (set only
+    after ``matches_fit_broadcast``) the matches are the build side and the
+    result rows stream through in their own partitioning, so no task gets a
+    hot term's rows; otherwise it is a shuffled join and AQE splits skewed
+    partitions.
 
     ``identity="tuple"`` compares hits by (name, count, hospital, e-mail) like
     the served documents; ``"practitioner"`` adds the practitioner id.
@@ -138,52 +157,53 @@ def combine(matches: DataFrame, results: DataFrame, fields=FIELDS, identity: str
     flag = F.lit(0)
     for f in fields:
         flag = F.when(F.col("field") == f, F.lit(FLAG[f])).otherwise(flag)
-    diag = F.when(F.col("field") == DIAGNOSIS,
-                  F.struct(F.col("distance"), F.col("term").alias("match")))
-    m = matches.select("query_id", "field", F.col("match").alias("term"), "distance")
-    return (m.join(rows, ["field", "term"])
-             .groupBy("query_id", *HIT, *extra)
-             .agg(F.bit_or(flag).alias("mask"), F.min(diag).alias("_label")))
+    m = matches.select("query_id", "field", F.col("match").alias("term"))
+    if broadcast_matches:
+        m = F.broadcast(m)
+    return (rows.join(m, ["field", "term"])
+             .groupBy("query_id", *HIT, *extra).agg(F.bit_or(flag).alias("mask")))
 
 
-def _required(hits: DataFrame) -> DataFrame:
-    """Per query: the bits a kept hit must carry and the label.
+def required_bits(hits: DataFrame) -> DataFrame:
+    """``query_id, required``: the bits a kept hit must carry.
 
-    Required bits come from the query's (at most 7) distinct masks:
-    diagnosis first, then name, then hospital, each bit added only if some
-    hit still carries all bits required so far plus that bit.  The label is
-    the closest matched diagnosis (ties alphabetical), null when none.
+    Derived from the query's (at most 7) distinct masks: diagnosis first,
+    then name, then hospital, each bit added only if some hit still carries
+    all bits required so far plus that bit.
     """
     def covers(want):
         return lambda m: m.bitwiseAND(want) == want
 
-    if "_label" not in hits.columns:
-        hits = hits.withColumn("_label", F.lit(None).cast(LABEL_TYPE))
-    per_query = hits.groupBy("query_id").agg(F.collect_set("mask").alias("_ms"),
-                                             F.min("_label").alias("_lab"))
+    per_query = hits.groupBy("query_id").agg(F.collect_set("mask").alias("_ms"))
     req = F.lit(0)
     for bit in (FLAG[DIAGNOSIS], FLAG[NAME], FLAG[HOSPITAL]):
         want = req.bitwiseOR(F.lit(bit))
         req = F.when(F.exists("_ms", covers(want)), want).otherwise(req)
-    return per_query.select("query_id", req.alias("required"), F.col("_lab.match").alias("label"))
+    return per_query.select("query_id", req.alias("required"))
 
 
-def _keep(hits: DataFrame, required: DataFrame) -> DataFrame:
-    kept = (hits.join(required, "query_id")
-                .where(F.col("mask").bitwiseAND(F.col("required")) == F.col("required"))
-                .drop("required"))
-    return kept.drop("_label") if "_label" in kept.columns else kept
-
-
-def soft_intersect(hits: DataFrame) -> DataFrame:
+def soft_intersect(hits: DataFrame, few_queries: bool = False) -> DataFrame:
     """Keep hits whose mask covers the required bits of their query
     (intersect with each field's hits, in order diagnosis, name, hospital,
-    only where that intersection is non-empty)."""
-    return _keep(hits, _required(hits)).drop("label")
+    only where that intersection is non-empty).
+
+    The per-query table has one row per query; with ``few_queries`` (the
+    size check of ``matches_fit_broadcast`` bounds the number of queries) it
+    is broadcast, so the hits are never shuffled by query -- one query may
+    hit a third of all rows.
+    """
+    required = required_bits(hits)
+    if few_queries:
+        required = F.broadcast(required)
+    return (hits.join(required, "query_id")
+                .where(F.col("mask").bitwiseAND(F.col("required")) == F.col("required"))
+                .drop("required"))
 
 
 def resolve_label(matches: DataFrame) -> DataFrame:
-    """``query_id, label`` = closest matched diagnosis, then alphabetical."""
+    """``query_id, label`` = closest matched diagnosis, then alphabetical
+    (a small aggregate over the diagnosis matches, at most the expansion cap
+    per query)."""
     return (matches.where(F.col("field") == DIAGNOSIS).groupBy("query_id")
                    .agg(F.min_by("match", F.struct("distance", "match")).alias("label")))
 
@@ -223,12 +243,15 @@ def search(results: DataFrame, queries: DataFrame, k: int = TOP_K,
     """Full search: ``query_id, kind, ord, line`` with ``kind`` 'title' or
     'result' (``NONE`` as the only result line when a query keeps no hit)."""
     matches = query_matches(queries, results, None, max_expansions, transpositions)
-    hits = combine(matches, results, identity=identity)
-    required = _required(hits)
-    ranked = rank(_keep(hits, required), k)
+    labels = resolve_label(matches)
+    small = matches_fit_broadcast(queries, max_expansions)
+    hits = combine(matches, results, identity=identity, broadcast_matches=small)
+    if small:
+        labels = F.broadcast(labels)
+    kept = soft_intersect(hits, few_queries=small).join(labels, "query_id", "left")
+    ranked = rank(kept, k)
     res = (queries.select("query_id").join(ranked, "query_id", "left")
                   .select("query_id", F.lit("result").alias("kind"),
                           F.coalesce("ord", F.lit(0).cast("bigint")).alias("ord"),
                           F.coalesce("line", F.lit(text.NONE_LINE)).alias("line")))
-    labels = required.select("query_id", "label")
     return titles(queries, labels).select("query_id", F.lit("title").alias("kind"), "ord", "line").unionByName(res)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from caseload.functions import text
 from caseload.operators import aggregate, enrich, extract, search
 from caseload.plans import serve, state
-from caseload.session import work_dir
+from caseload.session import list_files, work_dir
 from caseload.sources import lines as line_src
 from caseload.sources import star, synth
 from caseload.streaming import visits as stream
@@ -214,7 +214,8 @@ def q_soft_intersection(spark, sf):
     res = served_results(spark, sf)
     q = search.make_queries(spark, SOFT_QUERIES)
     m = search.query_matches(q, res, transpositions=False)
-    return search.soft_intersect(search.combine(m, res))
+    small = search.matches_fit_broadcast(q, search.MAX_EXPANSIONS)
+    return search.soft_intersect(search.combine(m, res, broadcast_matches=small), few_queries=small)
 
 
 def q_search_with_diagnosis(spark, sf):
@@ -237,21 +238,24 @@ def q_title_case(spark, sf):
 
 
 def _stream_input(spark, sf, root):
+    """Stage the encounter lines as NDJSON files; returns the folder and the
+    files per trigger that make the stream arrive in three batches."""
     star.write_ndjson(star.encounter_lines(spark, sf), f"{root}/in", "slice")
-    return f"{root}/in"
+    n_files = len(list_files(spark, f"{root}/in"))
+    return f"{root}/in", max(1, -(-n_files // star.N_SLICES))
 
 
 def q_stream_visit_counts(spark, sf):
     root = work_dir(spark, "stream-visits")
-    src = _stream_input(spark, sf, root)
-    stream.run_visit_counts(spark, src, f"{root}/checkpoint", f"{root}/sink", max_files_per_trigger=4)
+    src, per_trigger = _stream_input(spark, sf, root)
+    stream.run_visit_counts(spark, src, f"{root}/checkpoint", f"{root}/sink", max_files_per_trigger=per_trigger)
     return stream.read_visit_counts(spark, f"{root}/sink")
 
 
 def q_stream_patient_counts(spark, sf):
     root = work_dir(spark, "stream-patients")
-    src = _stream_input(spark, sf, root)
-    stream.run_patient_cases(spark, src, f"{root}/checkpoint", f"{root}/state", max_files_per_trigger=4)
+    src, per_trigger = _stream_input(spark, sf, root)
+    stream.run_patient_cases(spark, src, f"{root}/checkpoint", f"{root}/state", max_files_per_trigger=per_trigger)
     return stream.read_patient_counts(spark, f"{root}/state")
 
 
