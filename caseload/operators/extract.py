@@ -81,6 +81,15 @@ def encounters(lines: DataFrame, on_malformed: str = "quarantine",
                   ["practitioner", "diagnosis", "patient"], on_malformed)
 
 
+def latest_per_id(practitioners: DataFrame, order_col: str = "file_path") -> DataFrame:
+    """Q9 option: one record per practitioner id, taken from the greatest
+    ``order_col`` (the last file); ties broken by the record itself."""
+    fields = ["full_name", "email", "hospital"]
+    best = F.max_by(F.struct(*fields), F.struct(order_col, *fields))
+    return (practitioners.groupBy("practitioner").agg(best.alias("_r"))
+                         .select("practitioner", *[F.col(f"_r.{f}").alias(f) for f in fields]))
+
+
 def _practitioner_fields(lines: DataFrame) -> DataFrame:
     parsed = _parsed(lines, PRACTITIONER_READ)
     j = F.col("_j")
@@ -97,10 +106,22 @@ def _practitioner_fields(lines: DataFrame) -> DataFrame:
         hospital.alias("hospital"), F.coalesce(bad, F.lit(True)).alias("_malformed"))
 
 
-def practitioners(lines: DataFrame, on_malformed: str = "quarantine") -> DataFrame:
-    """``practitioner, full_name, email, hospital`` per practitioner line."""
-    return _route(_practitioner_fields(lines),
-                  ["practitioner", "full_name", "email", "hospital"], on_malformed)
+def practitioners(lines: DataFrame, on_malformed: str = "quarantine", duplicates: str = "keep") -> DataFrame:
+    """``practitioner, full_name, email, hospital`` per practitioner line.
+
+    ``duplicates="keep"`` keeps every record (an id in two files then joins
+    twice); ``"latest"`` keeps the record of the last file per id.
+    """
+    fields = ["practitioner", "full_name", "email", "hospital"]
+    if duplicates == "keep":
+        return _route(_practitioner_fields(lines), fields, on_malformed)
+    if duplicates == "latest":
+        keep = fields + (["file_path"] if "file_path" in lines.columns else [])
+        df = _route(_practitioner_fields(lines), keep, on_malformed)
+        if "file_path" not in df.columns:
+            df = df.withColumn("file_path", F.lit(""))
+        return latest_per_id(df)
+    raise ValueError(f"duplicates must be 'keep' or 'latest', not {duplicates!r}")
 
 
 def rejects(lines: DataFrame, module: str = "encounter", require_patient: bool = False) -> DataFrame:

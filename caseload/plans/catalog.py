@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from caseload.functions import text
 from caseload.operators import aggregate, enrich, extract, search
-from caseload.plans import serve, state
+from caseload.plans import job, serve, state
 from caseload.session import list_files, work_dir
 from caseload.sources import lines as line_src
 from caseload.sources import star, synth
@@ -188,12 +188,36 @@ def q_partitioned_roundtrip(spark, sf):
 
 def q_routed_scan(spark, sf):
     root = work_dir(spark, "routed")
-    star.write_ndjson(star.encounter_lines(spark, sf), f"{root}/store/{line_src.ENCOUNTER_MARKER}", "slice")
-    star.write_ndjson(star.practitioner_lines(spark, sf), f"{root}/store/{line_src.PRACTITIONER_MARKER}")
+    _stage_store(spark, sf, root)
     return (line_src.read_routed(spark, f"{root}/store").groupBy("role")
             .agg(F.count(F.lit(1)).alias("n_lines")))
 
 
+def _stage_store(spark, sf, root):
+    star.write_ndjson(star.encounter_lines(spark, sf), f"{root}/store/{line_src.ENCOUNTER_MARKER}", "slice")
+    star.write_ndjson(star.practitioner_lines(spark, sf), f"{root}/store/{line_src.PRACTITIONER_MARKER}")
+    return line_src.route_paths(spark, f"{root}/store")
+
+
+def q_batch_build(spark, sf):
+    """The batch job end to end: files found by role, built in one plan."""
+    root = work_dir(spark, "build")
+    routed = _stage_store(spark, sf, root)
+    return job.build(spark, routed["encounter"], routed["practitioner"], f"{root}/results")
+
+
+def q_incremental_build(spark, sf):
+    """The patient-aware job fed one slice of files per run into its state."""
+    root = work_dir(spark, "build-inc")
+    routed = _stage_store(spark, sf, root)
+    out = None
+    for i in range(star.N_SLICES):
+        files = [f for f in routed["encounter"] if f"/slice={i}/" in f]
+        out = job.build(spark, files, routed["practitioner"], f"{root}/results", metrics="patients",
+                        state_path=f"{root}/state", batch_id=i, duplicates="latest")
+    return out
+
+
 def q_fuzzy_diagnosis(spark, sf):
     return _matches(spark, sf, diagnosis_queries(spark, sf), ("diagnosis",), None)
 
@@ -301,6 +325,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "result_documents": q_result_documents,
     "partitioned_roundtrip": q_partitioned_roundtrip,
     "routed_scan": q_routed_scan,
+    "batch_build": q_batch_build,
+    "incremental_build": q_incremental_build,
     "fuzzy_diagnosis": q_fuzzy_diagnosis,
     "fuzzy_name": q_fuzzy_name,
     "fuzzy_hospital": q_fuzzy_hospital,

@@ -39,10 +39,11 @@ def totals(encounter_lines: DataFrame, metrics: str = "visits",
 def build(spark: SparkSession, encounter_paths, practitioner_paths, results_path: str, *,
           metrics: str = "visits", on_malformed: str = "quarantine",
           state_path: str | None = None, batch_id: int | None = None,
-          rejects_path: str | None = None, chunk: int = serve.CHUNK) -> DataFrame:
+          rejects_path: str | None = None, chunk: int = serve.CHUNK,
+          duplicates: str = "keep") -> DataFrame:
     """Run the build; returns the written results table (read back)."""
     enc_lines = line_src.read_lines(spark, encounter_paths)
-    prac = extract.practitioners(line_src.read_lines(spark, practitioner_paths))
+    prac = extract.practitioners(line_src.read_lines(spark, practitioner_paths), duplicates=duplicates)
     t = totals(enc_lines, metrics, on_malformed)
     keys, metric = (PAIR, "n_visits") if metrics == "visits" else (CASE_KEYS, "n_cases")
     if state_path is not None:

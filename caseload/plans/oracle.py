@@ -247,6 +247,10 @@ FROM vp JOIN prac ON vp.practitioner = prac.practitioner""",
         "result_documents": docs_res,
         "partitioned_roundtrip": with_(ENC, PRAC, VC, RES) + "SELECT * FROM res",
         "routed_scan": routed,
+        "batch_build": with_(ENC, PRAC, VC, RES) + "SELECT * FROM res",
+        "incremental_build": with_(ENC, PRAC, CASES, VP) + """SELECT vp.practitioner, vp.n_patients,
+  vp.n_visits, prac.full_name, prac.email, prac.hospital, vp.diagnosis
+FROM vp JOIN prac ON vp.practitioner = prac.practitioner""",
         "fuzzy_diagnosis": with_(ENC, PRAC, VC, RES, *matches_sql(Q_DIAG.replace("qd AS", "q AS", 1),
                                                                   ("diagnosis",), None)[:-1])
                             + "SELECT field, term, match, distance FROM expanded",

@@ -21,12 +21,12 @@ CHUNK = 1000
 def write_results(results: DataFrame, path: str, chunk: int = CHUNK) -> None:
     """K2 + K3: overwrite the diagnoses present in ``results``.
 
-    Range partitioning on (diagnosis, practitioner) first gives every task a
-    contiguous run of diagnoses (few files, sorted by practitioner inside,
-    tight row-group statistics) and splits a hot diagnosis over several
-    tasks instead of giving it to one.
+    The ``rebalance`` hint shuffles by diagnosis so each task writes few
+    diagnosis folders (few files), and AQE splits an oversized partition --
+    a hot diagnosis -- over several tasks and merges small ones; unlike a
+    range partitioning it needs no sampling pass over its input.
     """
-    (results.repartitionByRange("diagnosis", "practitioner").write.mode("overwrite")
+    (results.hint("rebalance", "diagnosis").write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("maxRecordsPerFile", chunk)
             .partitionBy("diagnosis").parquet(path))

@@ -52,14 +52,12 @@ def _schema(keys, metric: str, batch_col: str | None) -> StructType:
 def append_delta(spark: SparkSession, totals: DataFrame, path: str, batch_id: int) -> None:
     """K1: write ``totals`` as the delta of ``batch_id`` (idempotent).
 
-    Range-partitioned on the keys first: each task writes a contiguous run of
-    diagnoses (few files, sorted inside) and a hot diagnosis is split over
-    several tasks.
+    Rebalanced by diagnosis first (AQE splits a hot diagnosis over several
+    tasks and merges small partitions), so each task writes few folders.
     """
     target = f"{path.rstrip('/')}/batch_id={int(batch_id)}"
     delete_path(spark, target)
-    keys = ["diagnosis"] + [c for c in totals.columns if c in ("practitioner", "patient")]
-    totals.repartitionByRange(*keys).write.mode("append").partitionBy("diagnosis").parquet(target)
+    totals.hint("rebalance", "diagnosis").write.mode("append").partitionBy("diagnosis").parquet(target)
 
 
 def _latest_snapshot(spark: SparkSession, path: str) -> int | None:
@@ -124,7 +122,7 @@ def compact(spark: SparkSession, path: str, keys, metric: str) -> int | None:
     if prev is not None and prev >= top:
         return prev
     totals = read_totals(spark, root, keys, metric)
-    (totals.repartitionByRange("diagnosis", *[k for k in keys if k != "diagnosis"])
+    (totals.hint("rebalance", "diagnosis")
            .write.mode("overwrite").partitionBy("diagnosis").parquet(f"{root}/{SNAPSHOTS}/upto={top}"))
     fs, p = hadoop_path(spark, root)
     for st in fs.listStatus(p):

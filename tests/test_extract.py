@@ -75,3 +75,13 @@ def test_parse_happens_once_per_line(spark, capsys):
     physical = plan.split("== Physical Plan ==")[-1].split("\n\n(")[0]
     assert physical.count("Generate") == 1
     assert plan.count("from_json(") == 1
+
+
+def test_latest_practitioner_record_per_id(spark):
+    rows = [('{"identifier":"3","name":"old name","telecom":"o@x","qualification":[{"identifier":"h1"}]}', "a/f1"),
+            ('{"identifier":"3","name":"new name","telecom":"n@x","qualification":[{"identifier":"h2"}]}', "a/f2"),
+            ('{"identifier":"4","name":"solo","telecom":"s@x","qualification":[{"identifier":"h3"}]}', "a/f1")]
+    lines = spark.createDataFrame(rows, "value string, file_path string")
+    got = sorted(map(tuple, extract.practitioners(lines, duplicates="latest").collect()))
+    assert got == [("3", "new name", "n@x", "h2"), ("4", "solo", "s@x", "h3")]
+    assert extract.practitioners(lines).count() == 3
