@@ -196,13 +196,14 @@ def q_routed_scan(spark, sf):
 def _stage_store(spark, sf, root):
     star.write_ndjson(star.encounter_lines(spark, sf), f"{root}/store/{line_src.ENCOUNTER_MARKER}", "slice")
     star.write_ndjson(star.practitioner_lines(spark, sf), f"{root}/store/{line_src.PRACTITIONER_MARKER}")
-    return line_src.route_paths(spark, f"{root}/store")
+    return line_src.route_paths(spark, f"{root}/store", level="files")
 
 
 def q_batch_build(spark, sf):
     """The batch job end to end: files found by role, built in one plan."""
     root = work_dir(spark, "build")
-    routed = _stage_store(spark, sf, root)
+    _stage_store(spark, sf, root)
+    routed = line_src.route_paths(spark, f"{root}/store")        # folders, not files
     return job.build(spark, routed["encounter"], routed["practitioner"], f"{root}/results")
 
 

@@ -87,8 +87,11 @@ def test_batch_job_from_files(spark, tmp):
     root = f"{tmp}/store"
     star.write_ndjson(star.encounter_lines(spark, SF, damaged=True), f"{root}/{line_src.ENCOUNTER_MARKER}", "slice")
     star.write_ndjson(star.practitioner_lines(spark, SF), f"{root}/{line_src.PRACTITIONER_MARKER}")
-    routed = line_src.route_paths(spark, root)
+    routed = line_src.route_paths(spark, root, level="files")
     assert len(routed["encounter"]) >= 3 and len(routed["practitioner"]) >= 1
+    dirs = line_src.route_paths(spark, root)
+    assert [d.rstrip("/").rsplit("/", 1)[-1] for d in dirs["encounter"]] == ["mockdata2"]
+    assert line_src.read_lines(spark, dirs["encounter"]).count() == star.encounter_lines(spark, SF).count()
     out = job.build(spark, routed["encounter"], routed["practitioner"], f"{tmp}/results",
                     rejects_path=f"{tmp}/rejects")
     lines = star.encounter_lines(spark, SF, damaged=True)
