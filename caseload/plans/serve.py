@@ -9,6 +9,9 @@ the bulk chunks bounded request size.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from itertools import islice
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,3 +57,20 @@ def to_documents(df: DataFrame, display: dict | None = None, per_diagnosis: bool
         with_ordinal(df, ["diagnosis", *order_by, *tie], [], name="_id")
     doc = F.to_json(F.struct(*[F.col(c).alias(display[c]) for c in body]))
     return ordered.select("diagnosis", "_id", doc.alias("doc"))
+
+
+def send_in_chunks(docs: DataFrame, send: Callable[[list[dict]], None], chunk: int = CHUNK) -> None:
+    """K3 for an external document store: every partition sends its rows in
+    requests of at most ``chunk`` documents (the bulk requests of the
+    reference), from the executors -- nothing passes through the driver.
+    ``send`` must be idempotent per document (e.g. upsert by ``_id``): a
+    retried task sends its partition again."""
+    def run(rows):
+        it = iter(rows)
+        while True:
+            batch = list(islice(it, chunk))
+            if not batch:
+                break
+            send([r.asDict() for r in batch])
+
+    docs.foreachPartition(run)

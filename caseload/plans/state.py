@@ -60,7 +60,7 @@ def append_delta(spark: SparkSession, totals: DataFrame, path: str, batch_id: in
     totals.hint("rebalance", "diagnosis").write.mode("append").partitionBy("diagnosis").parquet(target)
 
 
-def _latest_snapshot(spark: SparkSession, path: str) -> int | None:
+def latest_snapshot(spark: SparkSession, path: str) -> int | None:
     snap = f"{path.rstrip('/')}/{SNAPSHOTS}"
     if not path_exists(spark, snap):
         return None
@@ -79,7 +79,7 @@ def read_totals(spark: SparkSession, path: str, keys, metric: str,
     """Current totals = newest snapshot + newer deltas, summed."""
     keys = list(keys)
     root = path.rstrip("/")
-    upto = _latest_snapshot(spark, root)
+    upto = latest_snapshot(spark, root)
     parts = []
     if max_batch(spark, root) is not None:
         deltas = (spark.read.schema(_schema(keys, metric, "batch_id"))
@@ -117,8 +117,8 @@ def compact(spark: SparkSession, path: str, keys, metric: str) -> int | None:
     root = path.rstrip("/")
     top = max_batch(spark, root)
     if top is None:
-        return _latest_snapshot(spark, root)
-    prev = _latest_snapshot(spark, root)
+        return latest_snapshot(spark, root)
+    prev = latest_snapshot(spark, root)
     if prev is not None and prev >= top:
         return prev
     totals = read_totals(spark, root, keys, metric)

@@ -66,14 +66,54 @@ def run_visit_counts(spark: SparkSession, input_dir: str, checkpoint: str, sink:
     return q
 
 
+_SINK_SCHEMA = "practitioner string, diagnosis string, n_visits bigint"
+
+
 def read_visit_counts(spark: SparkSession, sink: str) -> DataFrame:
-    """Current totals of T1: per key, the count of its latest batch."""
-    df = (spark.read.schema("practitioner string, diagnosis string, n_visits bigint, batch_id bigint")
-               .option("basePath", sink).parquet(f"{sink.rstrip('/')}/batch_id=*"))
+    """Current totals of T1: per key, the count of its latest batch (the
+    compacted snapshot counts as the batch it was compacted up to)."""
+    root = sink.rstrip("/")
+    upto = state.latest_snapshot(spark, root)
+    parts = []
+    if state.max_batch(spark, root) is not None:
+        deltas = (spark.read.schema(_SINK_SCHEMA + ", batch_id bigint")
+                       .option("basePath", root).parquet(f"{root}/batch_id=*"))
+        if upto is not None:
+            deltas = deltas.where(F.col("batch_id") > F.lit(upto))
+        parts.append(deltas)
+    if upto is not None:
+        parts.append(spark.read.schema(_SINK_SCHEMA).parquet(f"{root}/{state.SNAPSHOTS}/upto={upto}")
+                          .withColumn("batch_id", F.lit(upto).cast("bigint")))
+    if not parts:
+        return spark.createDataFrame([], _SINK_SCHEMA)
+    df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return df.groupBy("practitioner", "diagnosis").agg(
         F.max_by("n_visits", "batch_id").alias("n_visits"))
 
 
+def compact_visit_counts(spark: SparkSession, sink: str) -> int | None:
+    """Fold T1's per-batch updates into one snapshot so reading a
+    long-running stream does not grow with its number of batches.  The
+    snapshot is complete before the batches it replaces are removed; a
+    replayed batch at or below the snapshot is ignored on read."""
+    root = sink.rstrip("/")
+    top = state.max_batch(spark, root)
+    prev = state.latest_snapshot(spark, root)
+    if top is None or (prev is not None and prev >= top):
+        return prev
+    current = read_visit_counts(spark, root)
+    (current.hint("rebalance", "diagnosis")
+            .write.mode("overwrite").parquet(f"{root}/{state.SNAPSHOTS}/upto={top}"))
+    fs, p = state.hadoop_path(spark, root)
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= top:
+            fs.delete(st.getPath(), True)
+    if prev is not None:
+        delete_path(spark, f"{root}/{state.SNAPSHOTS}/upto={prev}")
+    return top
+
+
 def run_patient_cases(spark: SparkSession, input_dir: str, checkpoint: str, state_path: str,
                       max_files_per_trigger: int = 1, trigger: dict | None = None):
     """Fold cases per (practitioner, diagnosis, patient) batch by batch."""

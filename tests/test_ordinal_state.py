@@ -91,3 +91,23 @@ def test_numeric_looking_diagnosis_stays_text(spark, tmp):
     df = spark.createDataFrame([("1", 5, "a b", "e", "h", "007")], RESULTS)
     serve.write_results(df, tmp)
     assert serve.read_results(spark, tmp).first().diagnosis == "007"
+
+
+def test_send_in_chunks(spark, tmp):
+    import glob
+    import os
+    import uuid
+    out = tmp.replace("file:", "") + "-sent"
+    os.makedirs(out, exist_ok=True)
+
+    def send(batch):
+        with open(os.path.join(out, uuid.uuid4().hex), "w") as f:
+            f.write("\n".join(json.dumps(d) for d in batch))
+
+    df = spark.createDataFrame([(str(i), "flu", i) for i in range(2500)],
+                               "practitioner string, diagnosis string, n_visits long").repartition(2)
+    serve.send_in_chunks(serve.to_documents(df), send, chunk=1000)
+    sizes = sorted(len(open(p).read().splitlines()) for p in glob.glob(os.path.join(out, "*")))
+    assert sum(sizes) == 2500 and max(sizes) <= 1000
+    ids = sorted(json.loads(line)["_id"] for p in glob.glob(os.path.join(out, "*")) for line in open(p))
+    assert ids == list(range(2500))

@@ -30,6 +30,8 @@ def test_stream_visit_counts_restart_is_idempotent(spark, tmp):
     assert _tuples(stream.read_visit_counts(spark, f"{tmp}/sink")) == want
     stream.run_visit_counts(spark, src, f"{tmp}/ck", f"{tmp}/sink")   # restart: nothing new
     assert _tuples(stream.read_visit_counts(spark, f"{tmp}/sink")) == want
+    assert stream.compact_visit_counts(spark, f"{tmp}/sink") is not None
+    assert _tuples(stream.read_visit_counts(spark, f"{tmp}/sink")) == want
     stream.run_visit_counts(spark, src, f"{tmp}/ck2", f"{tmp}/sink", max_files_per_trigger=100)
     assert _tuples(stream.read_visit_counts(spark, f"{tmp}/sink")) == want
 
