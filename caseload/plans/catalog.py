@@ -43,7 +43,9 @@ CAPPED_EXPANSIONS = 5
 # ---------------------------------------------------------------- helpers
 
 def encounters(spark: SparkSession, sf: str, require_patient: bool = False) -> DataFrame:
-    return extract.encounters(star.encounter_lines(spark, sf), require_patient=require_patient)
+    """Parsed encounters; the lines carry the patient only when it is read."""
+    lines = star.encounter_lines(spark, sf, with_patient=require_patient)
+    return extract.encounters(lines, require_patient=require_patient)
 
 
 def practitioners(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,7 +67,7 @@ def served_results(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _slices(spark: SparkSession, sf: str, require_patient: bool = False):
-    lines = star.encounter_lines(spark, sf)
+    lines = star.encounter_lines(spark, sf, with_patient=require_patient)
     return [extract.encounters(lines.where(F.col("slice") == i), require_patient=require_patient)
             for i in range(star.N_SLICES)]
 
@@ -123,7 +125,8 @@ def q_parse_practitioners(spark, sf):
 
 
 def q_malformed_sentinel(spark, sf):
-    enc = extract.encounters(star.encounter_lines(spark, sf, damaged=True), on_malformed="sentinel")
+    enc = extract.encounters(star.encounter_lines(spark, sf, damaged=True, with_patient=False),
+                             on_malformed="sentinel")
     return aggregate.visit_counts(enc)
 
 

@@ -1,6 +1,7 @@
 """Adapters: the driver's star tables standing in for the clinical modules.
 
-encounter     one ``lineitem`` row joined to its ``orders`` row and ``part``
+encounter     one ``lineitem`` row joined to ``part`` (and to its ``orders`` row
+              when the patient is read)
 practitioner  ``l_suppkey`` / ``s_suppkey`` as text
 diagnosis     ``p_name``
 patient       ``o_custkey`` as text
@@ -14,8 +15,8 @@ path (``from_json`` with a pruned schema) runs on every row, while the SQL
 oracle reads the tables directly.  Joins are left to the planner: ``part``,
 ``supplier``, ``nation`` and ``region`` are dimension tables that Spark
 broadcasts when their statistics are under the threshold and sort-merges
-otherwise; ``lineitem`` x ``orders`` is a co-partitioned sort-merge join on
-the order key at scale.
+otherwise; ``lineitem`` x ``orders`` -- a sort-merge join on the order key at
+scale -- is only planned for readings that use the patient.
 """
 
 from __future__ import annotations
@@ -32,26 +33,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def encounter_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat encounter columns (before JSON encoding)."""
+def encounter_records(spark: SparkSession, sf_dir: str, with_patient: bool = True) -> DataFrame:
+    """Flat encounter columns (before JSON encoding).
+
+    ``with_patient=False`` leaves out the patient and with it the join to
+    ``orders`` -- at scale a sort-merge shuffle of the two largest tables --
+    for readings that never look at the patient (visit counts).
+    """
     # the fact scan feeds per-row JSON encode/parse: keep every core busy
     li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    return (li.join(orders, li.l_orderkey == orders.o_orderkey)
-              .join(part, li.l_partkey == part.p_partkey)
+    if with_patient:
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        li = li.join(orders, li.l_orderkey == orders.o_orderkey)
+    else:
+        li = li.withColumn("o_custkey", F.lit(None).cast("bigint"))
+    return (li.join(part, li.l_partkey == part.p_partkey)
               .select("l_orderkey", "l_linenumber", "l_suppkey", "o_custkey", "p_name"))
 
 
-def _encounter_json() -> Column:
-    return F.to_json(F.struct(
+def _encounter_json(with_patient: bool = True) -> Column:
+    fields = [
         F.lit("Encounter").alias("resourceType"),
         F.concat_ws("-", F.col("l_orderkey").cast("string"),
                     F.col("l_linenumber").cast("string")).alias("identifier"),
         F.col("o_custkey").cast("string").alias("subject"),
         F.array(F.struct(F.col("l_suppkey").cast("string").alias("individual"))).alias("participant"),
         F.array(F.struct(F.col("p_name").alias("condition"))).alias("diagnosis"),
-    ))
+    ]
+    if not with_patient:
+        fields.pop(2)
+    return F.to_json(F.struct(*fields))
 
 
 def damage(value: Column, line_number: Column) -> Column:
@@ -68,10 +80,12 @@ def damage(value: Column, line_number: Column) -> Column:
              .otherwise(value))
 
 
-def encounter_lines(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
-    """``value`` (one JSON encounter per row), ``file_path`` and ``slice``."""
-    rec = encounter_records(spark, sf_dir)
-    value = _encounter_json()
+def encounter_lines(spark: SparkSession, sf_dir: str, damaged: bool = False,
+                    with_patient: bool = True) -> DataFrame:
+    """``value`` (one JSON encounter per row), ``file_path`` and ``slice``;
+    without ``subject`` when ``with_patient`` is false."""
+    rec = encounter_records(spark, sf_dir, with_patient)
+    value = _encounter_json(with_patient)
     if damaged:
         value = damage(value, F.col("l_linenumber"))
     slice_no = F.pmod(F.col("l_orderkey"), F.lit(N_SLICES)).cast("int")
