@@ -26,6 +26,7 @@ HEADLINE = [
     "search_with_diagnosis",
     "search_without_diagnosis",
     "batch_search",
+    "indexed_search",
     "stream_visit_counts",
     "stream_patient_counts",
     "compacted_state",

@@ -30,6 +30,8 @@ collected.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -91,19 +93,47 @@ def _k_of(fuzziness: dict) -> Column:
     return k
 
 
-def expand_terms(terms: DataFrame, vocab: DataFrame, fuzziness: dict | None = None,
-                 max_expansions: int | None = MAX_EXPANSIONS, transpositions: bool = True) -> DataFrame:
+class SearchIndex(NamedTuple):
+    """A stored search index of a results table: the term dictionary with
+    its deletion variants, and the postings (term -> hit tuple)."""
+    dictionary: DataFrame   # field, match, variant
+    postings: DataFrame     # field, term, practitioner, full_name, n_visits, hospital, email
+
+
+def dictionary(vocab: DataFrame, fuzziness: dict | None = None) -> DataFrame:
+    """``field, match, variant``: every vocabulary term with its deletion
+    variants for the fuzziness of its field (the candidate-join key)."""
+    fuzziness = dict(fuzziness or FUZZINESS)
+    return (vocab.select("field", F.col("term").alias("match")).withColumn("_k", _k_of(fuzziness))
+                 .select("field", "match", F.explode(fuzzy.deletion_variants("match", "_k")).alias("variant")))
+
+
+def postings(results: DataFrame, fields=FIELDS) -> DataFrame:
+    """``field, term`` + the hit tuple (and practitioner) of every result row,
+    once per distinct diagnosis / name token / hospital token."""
+    return results.select("practitioner", *HIT, F.inline(_keys(fields, False)))
+
+
+def build_index(results: DataFrame, fuzziness: dict | None = None) -> SearchIndex:
+    fuzziness = dict(fuzziness or FUZZINESS)
+    fields = tuple(fuzziness)
+    return SearchIndex(dictionary(vocabulary(results, fields), fuzziness), postings(results, fields))
+
+
+def expand_terms(terms: DataFrame, vocab: DataFrame | None, fuzziness: dict | None = None,
+                 max_expansions: int | None = MAX_EXPANSIONS, transpositions: bool = True,
+                 dictionary_df: DataFrame | None = None) -> DataFrame:
     """F2-F4 + O4: ``field, term, match, distance`` for distinct query terms.
 
-    ``terms`` and ``vocab`` both carry ``field, term``.  A match needs
+    ``terms`` and ``vocab`` both carry ``field, term`` (or a prebuilt
+    ``dictionary_df`` replaces ``vocab``).  A match needs
     ``distance <= k(field)`` and ``distance < min(len(term), len(match))``;
     at most ``max_expansions`` matches per term are kept (None: all).
     """
     fuzziness = dict(fuzziness or FUZZINESS)
     qv = (terms.select("field", "term").distinct().withColumn("_k", _k_of(fuzziness))
                .select("field", "term", F.explode(fuzzy.deletion_variants("term", "_k")).alias("variant")))
-    vv = (vocab.select("field", F.col("term").alias("match")).withColumn("_k", _k_of(fuzziness))
-               .select("field", "match", F.explode(fuzzy.deletion_variants("match", "_k")).alias("variant")))
+    vv = dictionary_df if dictionary_df is not None else dictionary(vocab, fuzziness)
     cand = qv.join(vv, ["field", "variant"]).select("field", "term", "match").distinct()
     scored = fuzzy.with_distance(cand, "term", "match", max(fuzziness.values()), transpositions)
     minlen = F.least(F.length("term"), F.length("match"))
@@ -115,13 +145,18 @@ def expand_terms(terms: DataFrame, vocab: DataFrame, fuzziness: dict | None = No
     return kept.select("field", "term", "match", "distance")
 
 
-def query_matches(queries: DataFrame, results: DataFrame, fuzziness: dict | None = None,
-                  max_expansions: int | None = MAX_EXPANSIONS, transpositions: bool = True) -> DataFrame:
+def query_matches(queries: DataFrame, results: DataFrame | None, fuzziness: dict | None = None,
+                  max_expansions: int | None = MAX_EXPANSIONS, transpositions: bool = True,
+                  index: SearchIndex | None = None) -> DataFrame:
     """``query_id, field, match, distance`` for every query (J4's key side)."""
     fuzziness = dict(fuzziness or FUZZINESS)
     fields = tuple(fuzziness)
     terms = query_terms(queries, fields)
-    expanded = expand_terms(terms, vocabulary(results, fields), fuzziness, max_expansions, transpositions)
+    if index is not None:
+        expanded = expand_terms(terms, None, fuzziness, max_expansions, transpositions,
+                                dictionary_df=index.dictionary)
+    else:
+        expanded = expand_terms(terms, vocabulary(results, fields), fuzziness, max_expansions, transpositions)
     return (terms.join(expanded, ["field", "term"])
                  .groupBy("query_id", "field", "match").agg(F.min("distance").alias("distance")))
 
@@ -136,8 +171,8 @@ def matches_fit_broadcast(queries: DataFrame, max_expansions: int | None,
     return query_terms(queries, fields).count() * max_expansions <= limit
 
 
-def combine(matches: DataFrame, results: DataFrame, fields=FIELDS, identity: str = "tuple",
-            broadcast_matches: bool = False) -> DataFrame:
+def combine(matches: DataFrame, results: DataFrame | None, fields=FIELDS, identity: str = "tuple",
+            broadcast_matches: bool = False, postings_df: DataFrame | None = None) -> DataFrame:
     """J4 + X2 + X3: one row per (query, hit tuple), ``mask`` = OR of the bits
     of the fields through which the tuple was hit.
 
@@ -153,7 +188,7 @@ def combine(matches: DataFrame, results: DataFrame, fields=FIELDS, identity: str
     the served documents; ``"practitioner"`` adds the practitioner id.
     """
     extra = ["practitioner"] if identity == "practitioner" else []
-    rows = results.select(*HIT, *extra, F.inline(_keys(fields, False)))
+    rows = postings_df if postings_df is not None else postings(results, fields)
     flag = F.lit(0)
     for f in fields:
         flag = F.when(F.col("field") == f, F.lit(FLAG[f])).otherwise(flag)
@@ -237,15 +272,20 @@ def titles(queries: DataFrame, labels: DataFrame) -> DataFrame:
         "query_id", F.col("pos").cast("bigint").alias("ord"), F.col("col").alias("line"))
 
 
-def search(results: DataFrame, queries: DataFrame, k: int = TOP_K,
+def search(results: DataFrame | None, queries: DataFrame, k: int = TOP_K,
            max_expansions: int | None = MAX_EXPANSIONS, transpositions: bool = True,
-           identity: str = "tuple") -> DataFrame:
+           identity: str = "tuple", index: SearchIndex | None = None) -> DataFrame:
     """Full search: ``query_id, kind, ord, line`` with ``kind`` 'title' or
-    'result' (``NONE`` as the only result line when a query keeps no hit)."""
-    matches = query_matches(queries, results, None, max_expansions, transpositions)
+    'result' (``NONE`` as the only result line when a query keeps no hit).
+
+    With a stored ``index`` (``plans.serve.write_index``) the dictionary and
+    postings are read instead of being derived from ``results``.
+    """
+    matches = query_matches(queries, results, None, max_expansions, transpositions, index=index)
     labels = resolve_label(matches)
     small = matches_fit_broadcast(queries, max_expansions)
-    hits = combine(matches, results, identity=identity, broadcast_matches=small)
+    hits = combine(matches, results, identity=identity, broadcast_matches=small,
+                   postings_df=index.postings if index is not None else None)
     if small:
         labels = F.broadcast(labels)
     kept = soft_intersect(hits, few_queries=small).join(labels, "query_id", "left")

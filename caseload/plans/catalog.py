@@ -260,6 +260,14 @@ def q_batch_search(spark, sf):
     return search.search(served_results(spark, sf), batch_queries(spark, sf), transpositions=False)
 
 
+def q_indexed_search(spark, sf):
+    """The batch of searches answered from a stored search index."""
+    path = work_dir(spark, "index")
+    serve.write_index(served_results(spark, sf), path)
+    return search.search(None, batch_queries(spark, sf), transpositions=False,
+                         index=serve.read_index(spark, path))
+
+
 def q_title_case(spark, sf):
     h = practitioners(spark, sf).select("hospital").distinct()
     return h.select("hospital", text.title_case("hospital").alias("title"))
@@ -339,6 +347,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_with_diagnosis": q_search_with_diagnosis,
     "search_without_diagnosis": q_search_without_diagnosis,
     "batch_search": q_batch_search,
+    "indexed_search": q_indexed_search,
     "title_case": q_title_case,
     "stream_visit_counts": q_stream_visit_counts,
     "stream_patient_counts": q_stream_patient_counts,

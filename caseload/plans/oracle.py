@@ -268,6 +268,8 @@ FROM vp JOIN prac ON vp.practitioner = prac.practitioner""",
         "search_without_diagnosis": search_sql(values_queries([C.SEARCH_WITHOUT_DIAGNOSIS])),
         "batch_search": search_sql(Q_DIAG.replace("qd AS", "q0 AS", 1) + ",\n" + Q_HOSP
                                    + ",\nq AS (SELECT * FROM q0 UNION ALL SELECT * FROM qh)"),
+        "indexed_search": search_sql(Q_DIAG.replace("qd AS", "q0 AS", 1) + ",\n" + Q_HOSP
+                                     + ",\nq AS (SELECT * FROM q0 UNION ALL SELECT * FROM qh)"),
         "title_case": with_(PRAC) + f"SELECT DISTINCT hospital, {title('hospital')} AS title FROM prac",
         "stream_visit_counts": with_(ENC, VC) + "SELECT practitioner, diagnosis, n_visits FROM vc",
         "stream_patient_counts": with_(ENC, CASES, VP) + "SELECT practitioner, diagnosis, n_patients, n_visits FROM vp",

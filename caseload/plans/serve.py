@@ -74,3 +74,26 @@ def send_in_chunks(docs: DataFrame, send: Callable[[list[dict]], None], chunk: i
             send([r.asDict() for r in batch])
 
     docs.foreachPartition(run)
+
+
+def write_index(results: DataFrame, path: str) -> None:
+    """The search index of a results table (the term dictionary of the
+    search service): distinct terms with their deletion variants, and the
+    postings.  Written once with the results so repeated searches only join
+    against it.  Both parts are partitioned by field and clustered by their
+    join key, so a term lookup reads few row groups."""
+    from caseload.operators import search
+    idx = search.build_index(results)
+    (idx.dictionary.repartition("field", "variant").sortWithinPartitions("field", "variant")
+        .write.mode("overwrite").partitionBy("field").parquet(f"{path}/dictionary"))
+    (idx.postings.hint("rebalance", "field", "term").sortWithinPartitions("field", "term")
+        .write.mode("overwrite").partitionBy("field").parquet(f"{path}/postings"))
+
+
+def read_index(spark: SparkSession, path: str):
+    from caseload.operators import search
+    d = spark.read.schema("match string, variant string, field string").parquet(f"{path}/dictionary")
+    p = spark.read.schema("practitioner string, full_name string, n_visits bigint, hospital string, "
+                          "email string, term string, field string").parquet(f"{path}/postings")
+    return search.SearchIndex(d.select("field", "match", "variant"),
+                              p.select("field", "term", "practitioner", *search.HIT))

@@ -116,3 +116,15 @@ def test_batch_equals_single_queries(spark, res):
     for q in qs:
         single = search.search(res, search.make_queries(spark, [q])).collect()
         assert sorted(tuple(r) for r in single) == sorted(tuple(r) for r in batch if r.query_id == q[0])
+
+
+def test_index_gives_the_same_answers(spark, res, tmp):
+    from caseload.plans import serve
+    serve.write_index(res, tmp)
+    idx = serve.read_index(spark, tmp)
+    qs = search.make_queries(spark, [("a", "Hya Fevre", "", ""), ("b", "sprain", "bertholdt quimby", ""),
+                                     ("c", "", "reyes", "lake"), ("d", "", "", "")])
+    direct = sorted(map(tuple, search.search(res, qs).collect()))
+    indexed = sorted(map(tuple, search.search(None, qs, index=idx).collect()))
+    assert direct == indexed
+    assert idx.dictionary.where("field = 'diagnosis' AND match = 'sprain'").count() > 1
