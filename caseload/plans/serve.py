@@ -84,7 +84,7 @@ def write_index(results: DataFrame, path: str) -> None:
     join key, so a term lookup reads few row groups."""
     from caseload.operators import search
     idx = search.build_index(results)
-    (idx.dictionary.repartition("field", "variant").sortWithinPartitions("field", "variant")
+    (idx.dictionary.hint("rebalance", "field", "variant").sortWithinPartitions("field", "variant")
         .write.mode("overwrite").partitionBy("field").parquet(f"{path}/dictionary"))
     (idx.postings.hint("rebalance", "field", "term").sortWithinPartitions("field", "term")
         .write.mode("overwrite").partitionBy("field").parquet(f"{path}/postings"))
