@@ -37,7 +37,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
-    spark = get_session(f"local[{cpus}]", cpus)
+    # local mode: executors run inside the driver JVM, whose heap is the only memory
+    spark = get_session(f"local[{cpus}]", cpus,
+                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     # warm-up: JVM code paths and Python workers
     catalog.QUERIES["visit_counts"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}
