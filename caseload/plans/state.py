@@ -83,7 +83,7 @@ def read_totals(spark: SparkSession, path: str, keys, metric: str,
     parts = []
     if max_batch(spark, root) is not None:
         deltas = (spark.read.schema(_schema(keys, metric, "batch_id"))
-                       .option("basePath", root).parquet(f"{root}/batch_id=*"))
+                       .parquet(root))  # batch_id=/diagnosis= folders; _snapshots is hidden
         if upto is not None:
             deltas = deltas.where(F.col("batch_id") > F.lit(upto))
         parts.append(deltas.select(*keys, metric))

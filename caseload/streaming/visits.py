@@ -77,7 +77,7 @@ def read_visit_counts(spark: SparkSession, sink: str) -> DataFrame:
     parts = []
     if state.max_batch(spark, root) is not None:
         deltas = (spark.read.schema(_SINK_SCHEMA + ", batch_id bigint")
-                       .option("basePath", root).parquet(f"{root}/batch_id=*"))
+                       .parquet(root))  # batch_id=/diagnosis= folders; _snapshots is hidden
         if upto is not None:
             deltas = deltas.where(F.col("batch_id") > F.lit(upto))
         parts.append(deltas)
