@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from caseload.session import list_files
 
+# The path markers that route input files to their role.
 ENCOUNTER_MARKER = "mockdata2/"
 PRACTITIONER_MARKER = "mockdoctor2/"
 

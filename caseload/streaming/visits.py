@@ -137,6 +137,11 @@ def run_patient_cases(spark: SparkSession, input_dir: str, checkpoint: str, stat
 CASE_KEYS = ["practitioner", "diagnosis", "patient"]
 
 
+def compact_patient_cases(spark: SparkSession, state_path: str) -> int | None:
+    """Fold T2's per-batch case deltas into one snapshot (``state.compact``)."""
+    return state.compact(spark, state_path, CASE_KEYS, "n_cases")
+
+
 def read_patient_counts(spark: SparkSession, state_path: str) -> DataFrame:
     """Current ``practitioner, diagnosis, n_patients, n_visits`` of T2."""
     cases = state.read_totals(spark, state_path, CASE_KEYS, "n_cases")

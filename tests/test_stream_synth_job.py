@@ -46,6 +46,8 @@ def test_stream_patient_counts(spark, tmp):
     # restart with the same checkpoint: nothing new, nothing doubled
     stream.run_patient_cases(spark, src, f"{tmp}/ck", f"{tmp}/state")
     assert _tuples(stream.read_patient_counts(spark, f"{tmp}/state")) == got
+    assert stream.compact_patient_cases(spark, f"{tmp}/state") is not None
+    assert _tuples(stream.read_patient_counts(spark, f"{tmp}/state")) == got
     # a fresh checkpoint starts over (state cleared first) with other batch sizes
     stream.run_patient_cases(spark, src, f"{tmp}/ck2", f"{tmp}/state", max_files_per_trigger=5)
     assert _tuples(stream.read_patient_counts(spark, f"{tmp}/state")) == got
