@@ -58,7 +58,8 @@ def make_queries(spark: SparkSession, rows) -> DataFrame:
 def _keys(fields, query_side: bool) -> Column:
     """array<struct<field, term>> of one row: the diagnosis as one whole term
     (lower-cased and trimmed on the query side, as stored on the data side),
-    name and hospital as distinct tokens."""
+    name and hospital as distinct tokens.  A null field contributes no terms
+    (and does not null out the other fields' terms)."""
     def tagged(f):
         return lambda t: F.struct(F.lit(f).alias("field"), t.alias("term"))
 
@@ -68,7 +69,8 @@ def _keys(fields, query_side: bool) -> Column:
             v = F.lower(F.trim(F.col(f))) if query_side else F.col(f)
             parts.append(F.array(F.struct(F.lit(f).alias("field"), v.alias("term"))))
         else:
-            parts.append(F.transform(F.array_distinct(text.tokens(f)), tagged(f)))
+            toks = F.coalesce(text.tokens(f), F.array().cast("array<string>"))
+            parts.append(F.transform(F.array_distinct(toks), tagged(f)))
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 

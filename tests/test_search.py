@@ -128,3 +128,13 @@ def test_index_gives_the_same_answers(spark, res, tmp):
     indexed = sorted(map(tuple, search.search(None, qs, index=idx).collect()))
     assert direct == indexed
     assert idx.dictionary.where("field = 'diagnosis' AND match = 'sprain'").count() > 1
+
+
+def test_null_fields_do_not_hide_the_others(spark, res):
+    q = spark.createDataFrame([("n", "hay fever", None, None)], search.QUERIES)
+    out = [r.line for r in search.search(res, q).collect() if r.kind == "title"]
+    assert "Searching Disease: hay fever" in out
+    from caseload.schemas import RESULTS
+    res2 = res.unionByName(spark.createDataFrame([("9", 3, None, "x@y", None, "hay fever")], RESULTS))
+    hits = search.combine(search.query_matches(q, res2), res2)
+    assert hits.where("n_visits = 3").count() == 1
