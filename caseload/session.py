@@ -10,9 +10,10 @@ Scale notes (100 TB of encounter text on ~1000 executors):
   must stay uncompressed or use a splittable codec to be split at all.
 * Skewed keys: partial aggregation collapses hot keys map-side; AQE skew join
   splits hot join partitions.
-* Broadcasts are never forced on data-derived sides; Spark broadcasts a side
-  only when its size estimate (static statistics, or the materialised shuffle
-  size under AQE) is below the broadcast threshold and sort-merges otherwise.
+* Broadcasts: Spark broadcasts a side only when its size estimate (static
+  statistics, or the materialised shuffle size under AQE) is below the
+  broadcast threshold and sort-merges otherwise.  The only explicit hints are
+  the search's match / per-query tables, after counting the query terms.
 """
 
 from __future__ import annotations
