@@ -164,12 +164,13 @@ def query_matches(queries: DataFrame, results: DataFrame | None, fuzziness: dict
 
 
 def matches_fit_broadcast(queries: DataFrame, max_expansions: int | None,
-                          fields=FIELDS, limit: int = MATCH_BROADCAST_ROWS) -> bool:
+                          fields=FIELDS, limit: int | None = None) -> bool:
     """Size check for broadcasting the matches: they have at most
     ``max_expansions`` rows per query term, and the query terms are counted
     (a job over the queries table only)."""
     if max_expansions is None:
         return False
+    limit = MATCH_BROADCAST_ROWS if limit is None else limit
     return query_terms(queries, fields).count() * max_expansions <= limit
 
 

@@ -138,3 +138,20 @@ def test_null_fields_do_not_hide_the_others(spark, res):
     res2 = res.unionByName(spark.createDataFrame([("9", 3, None, "x@y", None, "hay fever")], RESULTS))
     hits = search.combine(search.query_matches(q, res2), res2)
     assert hits.where("n_visits = 3").count() == 1
+
+
+def test_large_query_table_path_gives_the_same_answers(spark, monkeypatch, capsys):
+    """Above the broadcast bound the hit joins are shuffled joins; same answers."""
+    from conftest import SF
+    from caseload.plans import catalog
+    res = catalog.results(spark, SF)
+    qs = catalog.batch_queries(spark, SF)
+    small = sorted(map(tuple, search.search(res, qs, transpositions=False).collect()))
+    monkeypatch.setattr(search, "MATCH_BROADCAST_ROWS", 0)
+    assert not search.matches_fit_broadcast(qs, search.MAX_EXPANSIONS)
+    plan = search.search(res, qs, transpositions=False)
+    plan.explain("extended")
+    analyzed = capsys.readouterr().out.split("== Analyzed Logical Plan ==")[1].split("== Optimized")[0]
+    assert "BROADCAST" not in analyzed
+    large = sorted(map(tuple, plan.collect()))
+    assert small == large and len(small) > 0
