@@ -155,3 +155,15 @@ def test_large_query_table_path_gives_the_same_answers(spark, monkeypatch, capsy
     assert "BROADCAST" not in analyzed
     large = sorted(map(tuple, plan.collect()))
     assert small == large and len(small) > 0
+
+
+def test_hit_identity(spark):
+    from caseload.schemas import RESULTS
+    rows = [("1", 4, "kim park", "k@x", "lake", "gout"), ("2", 4, "kim park", "k@x", "lake", "gout")]
+    res = spark.createDataFrame(rows, RESULTS)
+    q = search.make_queries(spark, [("q", "gout", "", "")])
+    m = search.query_matches(q, res)
+    assert search.combine(m, res).count() == 1                                  # same served tuple: one hit
+    assert search.combine(m, res, identity="practitioner").count() == 2
+    lines = [r.line for r in search.search(res, q, identity="practitioner").collect() if r.kind == "result"]
+    assert lines == ["Dr. kim park, 4 patients, Lake, k@x"] * 2
