@@ -36,3 +36,24 @@ def test_non_ascii_is_accepted(spark):
     line = '{"participant":[{"individual":"7"}],"diagnosis":[{"condition":"fièvre des foins"}],"subject":"1"}'
     got = extract.encounters(lines_df(spark, [line])).collect()
     assert [(r.practitioner, r.diagnosis) for r in got] == [("7", "fièvre des foins")]
+
+
+def test_job_totals_sentinel_equals_registered_query(spark):
+    from caseload.plans import job
+    lines = star.encounter_lines(spark, SF, damaged=True)
+    got = sorted(map(tuple, job.totals(lines, "visits", "sentinel").collect()))
+    assert got == sorted(map(tuple, catalog.q_malformed_sentinel(spark, SF).collect()))
+    assert any(r[0] == "0" and r[1] == "0" for r in got)
+
+
+def test_long_running_stream_trigger(spark, tmp):
+    from caseload.streaming import visits as stream
+    star.write_ndjson(star.encounter_lines(spark, SF), f"{tmp}/in", "slice")
+    q = stream.run_visit_counts(spark, f"{tmp}/in", f"{tmp}/ck", f"{tmp}/sink",
+                                trigger={"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted(map(tuple, stream.read_visit_counts(spark, f"{tmp}/sink").collect()))
+    assert got == sorted(map(tuple, catalog.q_visit_counts(spark, SF).collect()))
