@@ -54,3 +54,16 @@ def test_no_forced_broadcast_of_data(spark, capsys):
     """Only the size-checked search sides carry a broadcast hint."""
     p = plan(catalog.q_enriched_visits_and_patients(spark, SF), capsys, "extended")
     assert "BROADCAST" not in p.split("== Analyzed Logical Plan ==")[1].split("== Optimized")[0]
+
+
+def test_streaming_aggregation_is_partial_before_state(spark, capsys, tmp):
+    from caseload.operators import aggregate, extract
+    from caseload.sources import star
+    from caseload.streaming.visits import _lines
+    star.write_ndjson(star.encounter_lines(spark, SF), f"{tmp}/in", "slice")
+    counts = aggregate.visit_counts(extract.encounters(_lines(spark, f"{tmp}/in", 1)))
+    assert counts.isStreaming
+    counts.explain()
+    p = capsys.readouterr().out
+    assert "partial_count(1)" in p and "StateStoreSave" in p
+    assert p.index("StateStoreSave") < p.index("partial_count(1)")   # partial agg sits below the state
