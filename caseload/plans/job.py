@@ -43,7 +43,8 @@ def build(spark: SparkSession, encounter_paths, practitioner_paths, results_path
           duplicates: str = "keep") -> DataFrame:
     """Run the build; returns the written results table (read back)."""
     enc_lines = line_src.read_lines(spark, encounter_paths)
-    prac = extract.practitioners(line_src.read_lines(spark, practitioner_paths), duplicates=duplicates)
+    prac_lines = line_src.read_lines(spark, practitioner_paths)
+    prac = extract.practitioners(prac_lines, on_malformed="quarantine", duplicates=duplicates)
     t = totals(enc_lines, metrics, on_malformed)
     keys, metric = (PAIR, "n_visits") if metrics == "visits" else (CASE_KEYS, "n_cases")
     if state_path is not None:
@@ -56,7 +57,9 @@ def build(spark: SparkSession, encounter_paths, practitioner_paths, results_path
     serve.write_results(enrich.enrich(t, prac), results_path, chunk)
     if rejects_path is not None:
         # a second pass over the input, only when the rejects are asked for
-        extract.rejects(enc_lines).write.mode("overwrite").parquet(rejects_path)
+        rejected = extract.rejects(enc_lines, require_patient=metrics == "patients").unionByName(
+            extract.rejects(prac_lines, module="practitioner"))
+        rejected.write.mode("overwrite").partitionBy("module").parquet(rejects_path)
     from caseload.schemas import RESULTS
     schema = RESULTS if metrics == "visits" else \
         "practitioner string, n_patients bigint, n_visits bigint, full_name string, email string, " \
