@@ -76,6 +76,8 @@ def main(argv=None) -> None:
     ap.add_argument("--metrics", default="visits", choices=["visits", "patients"])
     ap.add_argument("--rejects")
     ap.add_argument("--on-malformed", default="quarantine", choices=["quarantine", "sentinel"])
+    ap.add_argument("--duplicates", default="keep", choices=["keep", "latest"],
+                    help="practitioner ids found more than once: keep all records or the last file's")
     ap.add_argument("--encounter-marker", default=line_src.ENCOUNTER_MARKER)
     ap.add_argument("--practitioner-marker", default=line_src.PRACTITIONER_MARKER)
     a = ap.parse_args(argv)
@@ -83,7 +85,8 @@ def main(argv=None) -> None:
     spark = get_session()
     routed = line_src.route_paths(spark, a.root, a.encounter_marker, a.practitioner_marker)
     build(spark, routed["encounter"], routed["practitioner"], a.results, metrics=a.metrics,
-          on_malformed=a.on_malformed, state_path=a.state, batch_id=a.batch_id, rejects_path=a.rejects)
+          on_malformed=a.on_malformed, state_path=a.state, batch_id=a.batch_id, rejects_path=a.rejects,
+          duplicates=a.duplicates)
 
 
 if __name__ == "__main__":
