@@ -130,3 +130,14 @@ def test_driver_contract(spark):
     rows = df.collect()
     assert rows and set(df.columns) == {"query_id", "kind", "ord", "line"}
     assert os.path.basename(E.SMOKE_DIR) == "sf0.001"
+
+
+def test_job_cli(spark, tmp):
+    root = f"{tmp}/store"
+    star.write_ndjson(star.encounter_lines(spark, SF), f"{root}/{line_src.ENCOUNTER_MARKER}", "slice")
+    star.write_ndjson(star.practitioner_lines(spark, SF), f"{root}/{line_src.PRACTITIONER_MARKER}")
+    job.main(["--root", root, "--results", f"{tmp}/res", "--state", f"{tmp}/st", "--batch-id", "0",
+              "--duplicates", "latest"])
+    from caseload.plans import serve
+    got = _tuples(serve.read_results(spark, f"{tmp}/res").select(*catalog.results(spark, SF).columns))
+    assert got == _tuples(catalog.results(spark, SF))
