@@ -67,3 +67,36 @@ def test_cap_keeps_closest(spark):
            search.expand_terms(t, v, {"full_name": 2}, 3, False).orderBy("distance", "match").collect()]
     # similarity 1 - d/min(len): abcd (1.0), abcd1 (0.75, min len 4), abce / abcf (0.75) -> ties by term
     assert got == [("abcd", 0), ("abcd1", 1), ("abce", 1)]
+
+
+def _osa_recursive(a, b):
+    """Restricted edit distance by its recursive definition (independent of
+    the table-filling implementation)."""
+    from functools import lru_cache
+
+    @lru_cache(maxsize=None)
+    def d(i, j):
+        if i == 0:
+            return j
+        if j == 0:
+            return i
+        best = min(d(i - 1, j) + 1, d(i, j - 1) + 1, d(i - 1, j - 1) + (a[i - 1] != b[j - 1]))
+        if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+            best = min(best, d(i - 2, j - 2) + 1)
+        return best
+
+    return d(len(a), len(b))
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_short = st.text(alphabet="abcd", max_size=7)
+
+
+@settings(max_examples=400, deadline=None)
+@given(_short, _short)
+def test_osa_matches_definition(a, b):
+    d = fuzzy._osa(a, b)
+    assert d == _osa_recursive(a, b)
+    assert d <= lev(a, b) <= 2 * d          # a transposition saves at most one of two edits
