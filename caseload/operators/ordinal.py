@@ -15,6 +15,13 @@ a third of all rows -- into one task.  Instead:
 4. ordinal = offset of the group in earlier partitions + position in this
    partition - first position of the group in this partition.
 
+The tagged rows are read twice (counts and the final join), and the two
+reads must see the same positions.  Re-deriving them is not safe: column
+pruning gives each read its own upstream shuffles, whose sampled range bounds
+can differ, and a recomputation after executor loss could differ too.  So the
+tagged rows are materialised once with a reliable ``checkpoint()`` into the
+shared checkpoint folder and both reads use that copy.
+
 The sort key must be a total order (ties would make positions depend on the
 shuffle's arrival order); callers append tie-breaking columns.
 """
@@ -26,6 +33,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from caseload.session import checkpoint_root
+
 _POS_BITS = 33
 
 
@@ -34,11 +43,13 @@ def with_ordinal(df: DataFrame, order_by: Sequence[str], group_by: Sequence[str]
     """``df`` plus a 0-based bigint ``name`` counting rows in ``order_by``
     order, restarting for every ``group_by`` group (global when empty)."""
     group_by, order_by = list(group_by), list(order_by)
+    checkpoint_root(df.sparkSession)
     mid = F.monotonically_increasing_id()
     tagged = (df.orderBy(*group_by, *order_by)
                 .withColumn("_mid", mid)
                 .withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
-                .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
+                .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
+                .checkpoint(eager=True))
     counts = tagged.groupBy("_pid", *group_by).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     w = (Window.partitionBy(*group_by).orderBy("_pid")

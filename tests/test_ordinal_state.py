@@ -111,3 +111,23 @@ def test_send_in_chunks(spark, tmp):
     assert sum(sizes) == 2500 and max(sizes) <= 1000
     ids = sorted(json.loads(line)["_id"] for p in glob.glob(os.path.join(out, "*")) for line in open(p))
     assert ids == list(range(2500))
+
+
+def test_ordinal_for_a_hot_group_spanning_partitions(spark):
+    rows = [(f"{i:05d}", "hot" if i % 3 else f"d{i % 7}", 1) for i in range(6000)]
+    df = spark.createDataFrame(rows, "practitioner string, diagnosis string, n_visits long").repartition(5)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")          # small input: keep every range partition
+    try:
+        spans = (df.orderBy("diagnosis", "practitioner").withColumn("p", F.spark_partition_id())
+                   .where("diagnosis = 'hot'").select("p").distinct().count())
+        res = with_ordinal(df, ["practitioner"], ["diagnosis"]).collect()
+    finally:
+        spark.conf.set(key, old)
+    assert spans > 1                                            # the hot group spans several tasks
+    hot = sorted((r.practitioner, r._id) for r in res if r.diagnosis == "hot")
+    assert [i for _, i in hot] == list(range(len(hot))) and len(hot) == 4000
+    cold = sorted((r.diagnosis, r.practitioner, r._id) for r in res if r.diagnosis != "hot")
+    for d in {c[0] for c in cold}:
+        assert [i for dd, _, i in cold if dd == d] == list(range(sum(1 for c in cold if c[0] == d)))
