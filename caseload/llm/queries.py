@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseload.llm import fingerprint, mixing, packing, rules, warc
-from caseload.llm.common import read_table
+from caseload.llm import block_dedup, fingerprint, mixing, packing, rules, warc
+from caseload.llm.common import read_table, written
 from caseload.session import work_dir
 
 
@@ -32,12 +32,16 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from caseload.llm.common import written
     stats = written(rules.statistics(read_table(spark, sf_dir, "documents")), "rules-statistics")
     return rules.judged(stats, read_table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_block_anchor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_dedup.dedup(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_content_addressed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "warc")
     warc.write_archive(read_table(spark, sf_dir, "pages"), path)
@@ -45,7 +49,8 @@ def op9_content_addressed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_fingerprints, op2_best_fit_packing, op3_source_mixing, op4_quality_rules, op9_content_addressed_warc)}
+    op1_fingerprints, op2_best_fit_packing, op3_source_mixing, op4_quality_rules, op8_block_anchor_dedup,
+    op9_content_addressed_warc)}
 
 _MIXING_SQL = f"""
 WITH sized AS (
