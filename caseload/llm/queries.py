@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseload.llm import block_dedup, fingerprint, mixing, packing, rules, warc
+from caseload.llm import block_dedup, bwt_dedup, fingerprint, mixing, packing, rules, warc
 from caseload.llm.common import read_table, written
 from caseload.session import work_dir
 
@@ -48,9 +48,14 @@ def op9_content_addressed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.parsed(warc.read_archive(spark, path))
 
 
+def op10_bwt_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_dedup.dedup(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fingerprints, op2_best_fit_packing, op3_source_mixing, op4_quality_rules, op8_block_anchor_dedup,
-    op9_content_addressed_warc)}
+    op9_content_addressed_warc, op10_bwt_merge_dedup)}
 
 _MIXING_SQL = f"""
 WITH sized AS (
