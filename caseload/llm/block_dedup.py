@@ -27,13 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseload.llm.chunks import Chunks, answered, bits, first_of, flags, mixed, narrow_bytes, rolling, span_hashes
-from caseload.llm.chunks import texts_of, wide_ints
+from caseload.llm.chunks import Chunks, answered, bits, first_of, flags, mixed, narrow_bytes, rolling, texts_of
+from caseload.llm.chunks import wide_ints, word_hashes
 from caseload.llm.common import written
 
 WINDOW = 50
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
 _KEYS = "bucket int, chunk int, keys binary, extra binary"
 
 
@@ -42,13 +40,7 @@ class _Words:
 
     def __init__(self, rows: pa.Table):
         self.ids, self.known, self.texts = texts_of(rows)
-        data = np.frombuffer(b"\n".join([*self.texts, b""]), np.uint8)
-        blank = _BLANK[data]
-        edge = np.diff(np.r_[True, blank, True].astype(np.int8))
-        starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-        self.hashes = span_hashes(data, starts, ends)
-        bounds = np.cumsum([0, *[len(t) + 1 for t in self.texts]])
-        self.first = np.searchsorted(starts, bounds)  # of each document, and the end
+        self.hashes, self.first = word_hashes(self.texts)
         self.doc = np.repeat(np.arange(len(self.texts)), np.diff(self.first))
 
     def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:

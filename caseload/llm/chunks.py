@@ -32,6 +32,8 @@ BUCKET_BYTES = 16 << 20
 _ODD = 0x9E3779B97F4A7C15
 _ALL = (1 << 64) - 1
 _INVERSE = pow(_ODD, -1, 1 << 64)
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
 #: A fixed 64-bit value for each byte.
 _rng = np.random.Generator(np.random.PCG64(20240601))
 BYTE_VALUES = _rng.integers(0, 1 << 64, 256, dtype=np.uint64, endpoint=False)
@@ -200,3 +202,12 @@ def texts_of(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     known = ids.is_valid().to_numpy()
     texts = [t.as_py() or b"" for t in rows.column("text").cast(pa.binary())]
     return ids.fill_null(0).to_numpy(), known, texts
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the words of all texts, where each text's words begin, and the end)."""
+    data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+    edge = np.diff(np.r_[True, _BLANK[data], True].astype(np.int8))
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    bounds = np.cumsum([0, *[len(t) + 1 for t in texts]])
+    return span_hashes(data, starts, ends), np.searchsorted(starts, bounds)

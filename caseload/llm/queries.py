@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseload.llm import block_dedup, bwt_dedup, fingerprint, mixing, packing, rules, warc
+from caseload.llm import block_dedup, bwt_dedup, fingerprint, mixing, ngram_join, packing, rules, warc
 from caseload.llm.common import read_table, written
 from caseload.session import work_dir
 
@@ -37,6 +37,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read_table(spark, sf_dir, "documents"))
+
+
 def op8_block_anchor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_dedup.dedup(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -54,7 +58,7 @@ def op10_bwt_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_fingerprints, op2_best_fit_packing, op3_source_mixing, op4_quality_rules, op8_block_anchor_dedup,
+    op1_fingerprints, op2_best_fit_packing, op3_source_mixing, op4_quality_rules, op6_ngram_jaccard_join, op8_block_anchor_dedup,
     op9_content_addressed_warc, op10_bwt_merge_dedup)}
 
 _MIXING_SQL = f"""
