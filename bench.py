@@ -23,6 +23,7 @@ HEADLINE = [
     "result_documents",
     "merge_visit_counts",
     "fuzzy_name",
+    "fuzzy_name_transposed",
     "search_with_diagnosis",
     "search_without_diagnosis",
     "batch_search",

@@ -15,58 +15,66 @@ A term may match only with ``distance < min(len(a), len(b))``, so at most
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
-MAX_FUZZINESS = 2
 
-
-def deletion_variants(term: str, k) -> Column:
+def deletion_variants(term: str, k, most: int | None = None) -> Column:
     """All strings made from column ``term`` by deleting up to
     ``min(k, length - 1)`` characters, the term itself included.
 
-    ``k`` is an int or the name of an int column (per-row fuzziness, so one
-    explode serves fields with different fuzziness).
+    ``k`` is an int, or the name of an int column of values up to ``most``
+    (per-row fuzziness, so one explode serves fields with different fuzziness).
     """
-    if isinstance(k, int) and not 0 <= k <= MAX_FUZZINESS:
-        raise ValueError(f"fuzziness must be 0..{MAX_FUZZINESS}, not {k}")
-    t = f"`{term}`"
-    kk = str(k) if isinstance(k, int) else f"`{k}`"
-    one = f"transform(sequence(1, length({t})), i -> concat(substr({t}, 1, i - 1), substr({t}, i + 1)))"
-    two = (f"flatten(transform({one}, v -> transform(sequence(1, length(v)), "
-           f"i -> concat(substr(v, 1, i - 1), substr(v, i + 1)))))")
-    d = f"least({kk}, length({t}) - 1)"
-    return F.expr(
-        f"CASE WHEN {d} >= 2 THEN array_distinct(concat(array({t}), {one}, {two})) "
-        f"WHEN {d} >= 1 THEN array_distinct(concat(array({t}), {one})) "
-        f"ELSE array({t}) END")
-
-
-def _osa(a: str, b: str) -> int:
-    """Optimal-string-alignment distance (adjacent transposition = 1)."""
-    la, lb = len(a), len(b)
-    d = np.zeros((la + 1, lb + 1), dtype=np.int32)
-    d[:, 0] = np.arange(la + 1)
-    d[0, :] = np.arange(lb + 1)
-    for i in range(1, la + 1):
-        ai = a[i - 1]
-        for j in range(1, lb + 1):
-            cost = 0 if ai == b[j - 1] else 1
-            v = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + cost)
-            if i > 1 and j > 1 and ai == b[j - 2] and a[i - 2] == b[j - 1]:
-                v = min(v, d[i - 2, j - 2] + 1)
-            d[i, j] = v
-    return int(d[la, lb])
-
-
-@F.pandas_udf(LongType())
-def osa_distance(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Arrow-batched exact transposition-aware distance.  Only applied to the
-    few candidate pairs that Levenshtein alone cannot decide."""
-    return pd.Series([_osa(x, y) for x, y in zip(a, b)], dtype="int64")
+    if isinstance(k, int):
+        most = k
+    if most is None or most < 0:
+        raise ValueError("the largest fuzziness must be given and not negative")
+    text = F.col(term)
+    deletions = F.least(F.lit(k) if isinstance(k, int) else F.col(k), F.length(text) - 1)
+
+    def shorter(v: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length(v)),
+                           lambda i: F.concat(F.substr(v, F.lit(1), i - 1), F.substr(v, i + 1)))
+
+    level, levels, out = F.array(text), [F.array(text)], F.array(text)
+    for n in range(1, most + 1):
+        level = F.array_distinct(F.flatten(F.transform(level, shorter)))
+        levels.append(level)
+        out = F.when(deletions >= n, F.array_distinct(F.concat(*levels))).otherwise(out)
+    return out
+
+
+def osa(a: Column, b: Column) -> Column:
+    """Optimal-string-alignment distance (an adjacent transposition counts
+    one), row by row of the distance matrix; each row knows the two above."""
+    x, y = F.split(a, ""), F.split(b, "")
+
+    def cell(above2: Column, above: Column, i: Column, row: Column, j: Column) -> Column:
+        here, there = F.get(x, i - 1), F.get(y, j - 1)
+        change = F.get(above, j - 1) + F.when(here == there, 0).otherwise(1)
+        swap = F.when((i > 1) & (j > 1) & (here == F.get(y, j - 2)) & (F.get(x, i - 2) == there),
+                      F.get(above2, j - 2) + 1)
+        return F.concat(row, F.array(F.least(F.get(row, j - 1) + 1, F.get(above, j) + 1, change, swap)))
+
+    def next_row(rows: Column, i: Column) -> Column:
+        row = F.aggregate(F.sequence(F.lit(1), F.length(b)), F.array(i),
+                          lambda done, j: cell(rows["above2"], rows["above"], i, done, j))
+        return F.struct(rows["above"].alias("above2"), row.alias("above"))
+
+    first = F.sequence(F.lit(0), F.length(b))
+    filled = F.aggregate(F.sequence(F.lit(1), F.length(a)), F.struct(first.alias("above2"), first.alias("above")),
+                         next_row, lambda rows: F.element_at(rows["above"], -1))
+    return F.when(F.length(a) == 0, F.length(b)).when(F.length(b) == 0, F.length(a)).otherwise(filled)
+
+
+def _may_swap(a: Column, b: Column) -> Column:
+    """Whether two neighbours in ``a`` stand the other way round in ``b``."""
+    def turned(i: Column) -> Column:
+        left, right = F.substr(a, i, F.lit(1)), F.substr(a, i + 1, F.lit(1))
+        return (left != right) & F.contains(b, F.concat(right, left))
+
+    return (F.length(a) > 1) & F.exists(F.sequence(F.lit(1), F.greatest(F.length(a) - 1, F.lit(1))), turned)
 
 
 def with_distance(pairs, a: str, b: str, k: int, transpositions: bool, out: str = "distance"):
@@ -76,17 +84,14 @@ def with_distance(pairs, a: str, b: str, k: int, transpositions: bool, out: str
     Levenshtein is built in (``levenshtein(a, b, threshold)`` is -1 above the
     threshold).  With transpositions, Levenshtein 0 or 1 is already the OSA
     distance and one above ``2k`` a certain miss (a transposition saves at
-    most one edit of two); only rows in between go to the Arrow OSA function
-    (Python UDFs run on every row they see, so that band is split off first).
+    most one edit of two); in between the matrix is filled, but only if a pair
+    of neighbours is turned at all.  The distance comes out of a generator, so
+    no filter above makes Spark work it out a second time.
     """
     ca, cb = F.col(a), F.col(b)
-    if not transpositions:
-        lev = F.levenshtein(ca, cb, k)
-        return pairs.withColumn(out, lev.cast("bigint")).where(F.col(out) >= 0)
-    lev = F.levenshtein(ca, cb, 2 * k)
-    scored = pairs.withColumn(out, lev.cast("bigint")).where(F.col(out) >= 0)
-    sure = scored.where(F.col(out) <= 1)
-    band = (scored.where(F.col(out) > 1)
-                  .withColumn(out, osa_distance(ca, cb))
-                  .where(F.col(out) <= k))
-    return sure.unionByName(band)
+    lev = F.levenshtein(ca, cb, 2 * k if transpositions else k)
+    near = F.when(lev >= 0, lev)
+    if transpositions:
+        near = F.when(lev < 0, None).when((lev <= 1) | ~_may_swap(ca, cb), lev).otherwise(osa(ca, cb))
+    found = F.filter(F.array(near.cast("bigint")), lambda d: d <= k)
+    return pairs.select("*", F.explode(found).alias(out))

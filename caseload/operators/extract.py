@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseload.schemas import CORRUPT, ENCOUNTER_READ, PRACTITIONER_READ
+from caseload.schemas import CORRUPT, ENCOUNTER_READ, PATIENT_READ, PRACTITIONER_READ
 
 SENTINEL = "0"
 _JSON_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
@@ -32,20 +32,20 @@ def parse_json(value: Column, schema) -> Column:
     return F.from_json(value, schema, _JSON_OPTS)
 
 
-def _parsed(lines: DataFrame, schema) -> DataFrame:
-    """``lines`` plus the parsed struct ``_j``, parsed exactly once per line.
+def _parsed(lines: DataFrame, schema, also: tuple[str, ...] = ()) -> DataFrame:
+    """``lines`` (with the columns ``also``) plus the parsed struct ``_j``, parsed exactly once per line.
 
     The parse sits in a one-element generator: predicates on the extracted
     fields stay above it instead of being pushed below with the parse
     expression inlined once per reference (which re-parses every line
     several times when the filter lands in a scan or join condition).
     """
-    keep = [c for c in ("value", "file_path") if c in lines.columns]
-    return lines.select(*keep, F.explode(F.array(parse_json(F.col("value"), schema))).alias("_j"))
+    names = [c for c in dict.fromkeys(("value", "file_path", *also)) if c in lines.columns]
+    return lines.select(*names, F.explode(F.array(parse_json(F.col("value"), schema))).alias("_j"))
 
 
-def _encounter_fields(lines: DataFrame, require_patient: bool) -> DataFrame:
-    parsed = _parsed(lines, ENCOUNTER_READ)
+def _encounter_fields(lines: DataFrame, require_patient: bool, keep: tuple[str, ...] = ()) -> DataFrame:
+    parsed = _parsed(lines, ENCOUNTER_READ, keep)
     j = F.col("_j")
     practitioner = F.get(j.getField("participant"), 0).getField("individual")
     diagnosis = F.get(j.getField("diagnosis"), 0).getField("condition")
@@ -54,31 +54,41 @@ def _encounter_fields(lines: DataFrame, require_patient: bool) -> DataFrame:
            | diagnosis.isNull() | (F.trim(diagnosis) == ""))
     if require_patient:
         bad = bad | patient.isNull()
-    cols = [c for c in ("file_path",) if c in lines.columns]
+    cols = [c for c in dict.fromkeys(("file_path", *keep)) if c in lines.columns]
     return parsed.select(
         "value", *cols,
         practitioner.alias("practitioner"), diagnosis.alias("diagnosis"),
         patient.alias("patient"), F.coalesce(bad, F.lit(True)).alias("_malformed"))
 
 
-def _route(df: DataFrame, fields: list[str], on_malformed: str) -> DataFrame:
+def _route(df: DataFrame, fields: list[str], on_malformed: str, keep: tuple[str, ...] = ()) -> DataFrame:
     if on_malformed == "quarantine":
-        return df.where(~F.col("_malformed")).select(*fields)
+        return df.where(~F.col("_malformed")).select(*fields, *keep)
     if on_malformed == "sentinel":
         return df.select(*[
-            F.when(F.col("_malformed"), F.lit(SENTINEL)).otherwise(F.col(c)).alias(c) for c in fields])
+            F.when(F.col("_malformed"), F.lit(SENTINEL)).otherwise(F.col(c)).alias(c) for c in fields], *keep)
     raise ValueError(f"on_malformed must be 'quarantine' or 'sentinel', not {on_malformed!r}")
 
 
 def encounters(lines: DataFrame, on_malformed: str = "quarantine",
-               require_patient: bool = False) -> DataFrame:
-    """``practitioner, diagnosis, patient`` per encounter line.
+               require_patient: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``practitioner, diagnosis, patient`` per encounter line, and the
+    columns ``keep`` of the lines.
 
     ``require_patient=True`` gives the patient-aware reading, under which a
     line without ``subject`` is malformed as well.
     """
-    return _route(_encounter_fields(lines, require_patient),
-                  ["practitioner", "diagnosis", "patient"], on_malformed)
+    return _route(_encounter_fields(lines, require_patient, keep),
+                  ["practitioner", "diagnosis", "patient"], on_malformed, keep)
+
+
+def patients(lines: DataFrame) -> DataFrame:
+    """``identifier, name`` per patient line; malformed lines are set aside."""
+    parsed = _parsed(lines, PATIENT_READ)
+    j = F.col("_j")
+    return parsed.select(j.getField("identifier").alias("identifier"), j.getField("name").alias("name"),
+                         j.getField(CORRUPT).alias("bad")).where(
+        "bad is null and identifier is not null and name is not null").drop("bad")
 
 
 def latest_per_id(practitioners: DataFrame, order_col: str = "file_path") -> DataFrame:

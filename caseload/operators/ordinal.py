@@ -22,6 +22,11 @@ can differ, and a recomputation after executor loss could differ too.  So the
 tagged rows are materialised once with a reliable ``checkpoint()`` into the
 shared checkpoint folder and both reads use that copy.
 
+The offsets (at most #partitions + #groups rows) are written as a table, so
+their size is known when the join is planned and Spark broadcasts them below
+its own threshold: the checkpointed rows are then not moved again.  The join
+is null-safe, so a null group is a group like any other.
+
 The sort key must be a total order (ties would make positions depend on the
 shuffle's arrival order); callers append tie-breaking columns.
 """
@@ -33,7 +38,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseload.session import checkpoint_root
+from caseload.session import checkpoint_root, work_dir
 
 _POS_BITS = 33
 
@@ -55,7 +60,13 @@ def with_ordinal(df: DataFrame, order_by: Sequence[str], group_by: Sequence[str]
     w = (Window.partitionBy(*group_by).orderBy("_pid")
                .rowsBetween(Window.unboundedPreceding, -1)) if group_by else \
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    joined = tagged.join(offsets.select("_pid", *group_by, "_before", "_first"), ["_pid", *group_by])
+    path = work_dir(df.sparkSession, "offsets")
+    (counts.select(F.col("_pid").alias("_at"), *[F.col(c).alias(f"_at_{c}") for c in group_by], "_first",
+                   F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before")).write.parquet(path))
+    offsets = df.sparkSession.read.parquet(path)
+    same = F.col("_pid") == F.col("_at")
+    for c in group_by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_at_{c}"))
+    joined = tagged.join(offsets, same)
     return (joined.withColumn(name, (F.col("_before") + F.col("_pos") - F.col("_first")).cast("bigint"))
-                  .drop("_mid", "_pid", "_pos", "_before", "_first"))
+                  .select(*df.columns, name))

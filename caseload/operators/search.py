@@ -8,13 +8,19 @@ Per query (``query_id, diagnosis, full_name, hospital``):
    blank fields give no terms.
 2. expansion: every distinct query term is matched against the vocabulary of
    its field (distinct diagnoses / name tokens / hospital tokens of the
-   results) -- distance ``<= k`` and ``< min(len)`` -- keeping the
-   ``max_expansions`` closest terms (similarity ``1 - d / min(len)``, ties by
-   term).  Candidates come from an equi-join on deletion variants, never
-   from comparing a term with the whole vocabulary.
+   results) -- distance ``<= k`` and ``< min(len)``.  All matches count;
+   ``max_expansions`` keeps only the closest so many (similarity
+   ``1 - d / min(len)``, ties by term), for those who ask for it.  Candidates
+   come from an equi-join on deletion variants, never from comparing a term
+   with the whole vocabulary.  The matches are written once: later steps read
+   them several times, and know how large they are.
 3. hits: matched terms joined back to result rows; a hit is the tuple
-   ``(full_name, n_visits, hospital, email)`` with a bit per field
+   ``(full_name, count, hospital, email)`` with a bit per field
    (diagnosis 4, name 2, hospital 1), equal tuples merged with ``bit_or``.
+   A query that matched a diagnosis keeps only hits of matched diagnoses
+   (step 4), and the other bits hang on the tuple alone; so for such queries
+   the results are read by diagnosis, with partition pruning, and only those
+   rows are tokenised.
 4. soft intersection: for the fields in order diagnosis, name, hospital,
    intersect with the field's hits only when the intersection is non-empty.
 5. label: the closest matched diagnosis (ties alphabetical), null if none.
@@ -22,32 +28,37 @@ Per query (``query_id, diagnosis, full_name, hospital``):
    e-mail) as ``Dr. name, n patients, Hospital, email``; without, the top
    ``k`` distinct ``Dr. name, Hospital, email`` lines by their best count.
 
-Each table is exploded once into ``(field, key)`` rows, so every step is a
-single join / aggregation; per-query top-k uses ``row_number() <= k``, which
-Spark evaluates as a partial group limit before the shuffle.  Nothing is
-collected.
+The count is ``n_patients`` where the results have it, else ``n_visits``.
+Each step is a single join / aggregation, left to the planner; per-query top-k
+uses ``row_number() <= k``, which Spark evaluates as a partial group limit
+before the shuffle.  Nothing is collected.
 """
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caseload.functions import fuzzy, text
 from caseload.schemas import QUERIES
+from caseload.session import work_dir
 
 # fixed values: searched fields, their fuzziness and hit bits
 DIAGNOSIS, NAME, HOSPITAL = "diagnosis", "full_name", "hospital"
 FIELDS = (DIAGNOSIS, NAME, HOSPITAL)
 FUZZINESS = {DIAGNOSIS: 2, NAME: 2, HOSPITAL: 1}
 FLAG = {DIAGNOSIS: 4, NAME: 2, HOSPITAL: 1}
-MAX_EXPANSIONS = 50
 TOP_K = 10
-# most (query, field, term) match rows ever broadcast to the hit join
-MATCH_BROADCAST_ROWS = 1_000_000
-HIT = ["full_name", "n_visits", "hospital", "email"]
+
+
+def metric_of(results: DataFrame) -> str:
+    """The column that ranks hits."""
+    return "n_patients" if "n_patients" in results.columns else "n_visits"
+
+
+def hit_columns(results: DataFrame, identity: str = "tuple") -> list[str]:
+    """What tells hits apart: the served tuple, or the practitioner too."""
+    return ["full_name", metric_of(results), "hospital", "email"] + ["practitioner"] * (identity == "practitioner")
 
 
 def make_queries(spark: SparkSession, rows) -> DataFrame:
@@ -95,48 +106,24 @@ def _k_of(fuzziness: dict) -> Column:
     return k
 
 
-class SearchIndex(NamedTuple):
-    """A stored search index of a results table: the term dictionary with
-    its deletion variants, and the postings (term -> hit tuple)."""
-    dictionary: DataFrame   # field, match, variant
-    postings: DataFrame     # field, term, practitioner, full_name, n_visits, hospital, email
-
-
-def dictionary(vocab: DataFrame, fuzziness: dict | None = None) -> DataFrame:
-    """``field, match, variant``: every vocabulary term with its deletion
-    variants for the fuzziness of its field (the candidate-join key)."""
-    fuzziness = dict(fuzziness or FUZZINESS)
-    return (vocab.select("field", F.col("term").alias("match")).withColumn("_k", _k_of(fuzziness))
-                 .select("field", "match", F.explode(fuzzy.deletion_variants("match", "_k")).alias("variant")))
+def _variants(terms: DataFrame, fuzziness: dict) -> DataFrame:
+    """``field, term, variant``: every term with its deletion variants."""
+    return terms.withColumn("_k", _k_of(fuzziness)).select(
+        "field", "term", F.explode(fuzzy.deletion_variants("term", "_k", max(fuzziness.values()))).alias("variant"))
 
 
-def postings(results: DataFrame, fields=FIELDS) -> DataFrame:
-    """``field, term`` + the hit tuple (and practitioner) of every result row,
-    once per distinct diagnosis / name token / hospital token."""
-    return results.select("practitioner", *HIT, F.inline(_keys(fields, False)))
-
-
-def build_index(results: DataFrame, fuzziness: dict | None = None) -> SearchIndex:
-    fuzziness = dict(fuzziness or FUZZINESS)
-    fields = tuple(fuzziness)
-    return SearchIndex(dictionary(vocabulary(results, fields), fuzziness), postings(results, fields))
-
-
-def expand_terms(terms: DataFrame, vocab: DataFrame | None, fuzziness: dict | None = None,
-                 max_expansions: int | None = MAX_EXPANSIONS, transpositions: bool = True,
-                 dictionary_df: DataFrame | None = None) -> DataFrame:
+def expand_terms(terms: DataFrame, vocab: DataFrame, fuzziness: dict | None = None,
+                 max_expansions: int | None = None, transpositions: bool = True) -> DataFrame:
     """F2-F4 + O4: ``field, term, match, distance`` for distinct query terms.
 
-    ``terms`` and ``vocab`` both carry ``field, term`` (or a prebuilt
-    ``dictionary_df`` replaces ``vocab``).  A match needs
+    ``terms`` and ``vocab`` both carry ``field, term``.  A match needs
     ``distance <= k(field)`` and ``distance < min(len(term), len(match))``;
-    at most ``max_expansions`` matches per term are kept (None: all).
+    with ``max_expansions`` only so many matches per term are kept.
     """
     fuzziness = dict(fuzziness or FUZZINESS)
-    qv = (terms.select("field", "term").distinct().withColumn("_k", _k_of(fuzziness))
-               .select("field", "term", F.explode(fuzzy.deletion_variants("term", "_k")).alias("variant")))
-    vv = dictionary_df if dictionary_df is not None else dictionary(vocab, fuzziness)
-    cand = qv.join(vv, ["field", "variant"]).select("field", "term", "match").distinct()
+    mine = _variants(terms.select("field", "term").distinct(), fuzziness)
+    theirs = _variants(vocab.select("field", "term"), fuzziness).withColumnRenamed("term", "match")
+    cand = mine.join(theirs, ["field", "variant"]).select("field", "term", "match").distinct()
     scored = fuzzy.with_distance(cand, "term", "match", max(fuzziness.values()), transpositions)
     minlen = F.least(F.length("term"), F.length("match"))
     kept = scored.where((F.col("distance") <= _k_of(fuzziness)) & (F.col("distance") < minlen))
@@ -147,59 +134,55 @@ def expand_terms(terms: DataFrame, vocab: DataFrame | None, fuzziness: dict | No
     return kept.select("field", "term", "match", "distance")
 
 
-def query_matches(queries: DataFrame, results: DataFrame | None, fuzziness: dict | None = None,
-                  max_expansions: int | None = MAX_EXPANSIONS, transpositions: bool = True,
-                  index: SearchIndex | None = None) -> DataFrame:
-    """``query_id, field, match, distance`` for every query (J4's key side)."""
+def query_matches(queries: DataFrame, results: DataFrame, fuzziness: dict | None = None,
+                  max_expansions: int | None = None, transpositions: bool = True) -> DataFrame:
+    """``query_id, field, match, distance`` for every query (J4's key side), as
+    a written table."""
     fuzziness = dict(fuzziness or FUZZINESS)
     fields = tuple(fuzziness)
     terms = query_terms(queries, fields)
-    if index is not None:
-        expanded = expand_terms(terms, None, fuzziness, max_expansions, transpositions,
-                                dictionary_df=index.dictionary)
-    else:
-        expanded = expand_terms(terms, vocabulary(results, fields), fuzziness, max_expansions, transpositions)
-    return (terms.join(expanded, ["field", "term"])
-                 .groupBy("query_id", "field", "match").agg(F.min("distance").alias("distance")))
-
-
-def matches_fit_broadcast(queries: DataFrame, max_expansions: int | None,
-                          fields=FIELDS, limit: int | None = None) -> bool:
-    """Size check for broadcasting the matches: they have at most
-    ``max_expansions`` rows per query term, and the query terms are counted
-    (a job over the queries table only)."""
-    if max_expansions is None:
-        return False
-    limit = MATCH_BROADCAST_ROWS if limit is None else limit
-    return query_terms(queries, fields).count() * max_expansions <= limit
-
-
-def combine(matches: DataFrame, results: DataFrame | None, fields=FIELDS, identity: str = "tuple",
-            broadcast_matches: bool = False, postings_df: DataFrame | None = None) -> DataFrame:
-    """J4 + X2 + X3: one row per (query, hit tuple), ``mask`` = OR of the bits
-    of the fields through which the tuple was hit.
-
-    The aggregation buffer is a single int, so it runs as a hash aggregate
-    with a map-side partial step (no sort-based fallback).  A term can occur
-    in every result row (a hot key): with ``broadcast_matches`` (set only
-    after ``matches_fit_broadcast``) the matches are the build side and the
-    result rows stream through in their own partitioning, so no task gets a
-    hot term's rows; otherwise it is a shuffled join and AQE splits skewed
-    partitions.
-
-    ``identity="tuple"`` compares hits by (name, count, hospital, e-mail) like
-    the served documents; ``"practitioner"`` adds the practitioner id.
-    """
-    extra = ["practitioner"] if identity == "practitioner" else []
-    rows = postings_df if postings_df is not None else postings(results, fields)
+    expanded = expand_terms(terms, vocabulary(results, fields), fuzziness, max_expansions, transpositions)
+    matches = (terms.join(expanded, ["field", "term"])
+                    .groupBy("query_id", "field", "match").agg(F.min("distance").alias("distance")))
+    path = work_dir(results.sparkSession, "matches")
+    matches.write.parquet(path)
+    return results.sparkSession.read.schema(matches.schema).parquet(path)
+
+
+def _flag() -> Column:
     flag = F.lit(0)
-    for f in fields:
+    for f in FIELDS:
         flag = F.when(F.col("field") == f, F.lit(FLAG[f])).otherwise(flag)
-    m = matches.select("query_id", "field", F.col("match").alias("term"))
-    if broadcast_matches:
-        m = F.broadcast(m)
-    return (rows.join(m, ["field", "term"])
-             .groupBy("query_id", *HIT, *extra).agg(F.bit_or(flag).alias("mask")))
+    return flag
+
+
+def combine(matches: DataFrame, results: DataFrame, identity: str = "tuple") -> DataFrame:
+    """J4 + X2 + X3: one row per (query, hit tuple), ``mask`` = OR of the bits
+    of the fields through which the tuple was hit -- for a query with a matched
+    diagnosis only the tuples of matched diagnoses, the ones it can keep.
+
+    The aggregation buffers are single ints, so they run as hash aggregates
+    with a map-side partial step.  Joins carry no hint: a small matches table
+    is broadcast by its size, so the result rows stream through in their own
+    partitioning; a large one is joined by shuffle, and AQE splits the
+    partitions of a term that very many rows hold.
+    """
+    hit = hit_columns(results, identity)
+    found = matches.select("query_id", "field", F.col("match").alias("term"))
+    of_diagnosis = found.where(F.col("field") == DIAGNOSIS).select("query_id", F.col("term").alias("diagnosis"))
+    other = found.where(F.col("field") != DIAGNOSIS)
+
+    # queries with a matched diagnosis: the rows of those diagnoses, pruned
+    rows = results.select(*hit, "diagnosis").join(of_diagnosis, "diagnosis").select("query_id", *hit).distinct()
+    tokens = rows.select("query_id", *hit, F.inline(_keys((NAME, HOSPITAL), False)))
+    bits = tokens.join(other, ["query_id", "field", "term"]).select("query_id", *hit, _flag().alias("bit"))
+    narrowed = rows.select("query_id", *hit, F.lit(FLAG[DIAGNOSIS]).alias("bit")).unionByName(bits)
+
+    # queries without one: any row that a name or hospital term hits
+    rest = other.join(of_diagnosis.select("query_id"), "query_id", "left_anti")
+    keyed = results.select(*hit, F.inline(_keys((NAME, HOSPITAL), False)))
+    anywhere = keyed.join(rest, ["field", "term"]).select("query_id", *hit, _flag().alias("bit"))
+    return narrowed.unionByName(anywhere).groupBy("query_id", *hit).agg(F.bit_or("bit").alias("mask"))
 
 
 def required_bits(hits: DataFrame) -> DataFrame:
@@ -220,19 +203,11 @@ def required_bits(hits: DataFrame) -> DataFrame:
     return per_query.select("query_id", req.alias("required"))
 
 
-def soft_intersect(hits: DataFrame, few_queries: bool = False) -> DataFrame:
+def soft_intersect(hits: DataFrame) -> DataFrame:
     """Keep hits whose mask covers the required bits of their query
     (intersect with each field's hits, in order diagnosis, name, hospital,
-    only where that intersection is non-empty).
-
-    The per-query table has one row per query; with ``few_queries`` (the
-    size check of ``matches_fit_broadcast`` bounds the number of queries) it
-    is broadcast, so the hits are never shuffled by query -- one query may
-    hit a third of all rows.
-    """
+    only where that intersection is non-empty)."""
     required = required_bits(hits)
-    if few_queries:
-        required = F.broadcast(required)
     return (hits.join(required, "query_id")
                 .where(F.col("mask").bitwiseAND(F.col("required")) == F.col("required"))
                 .drop("required"))
@@ -240,24 +215,23 @@ def soft_intersect(hits: DataFrame, few_queries: bool = False) -> DataFrame:
 
 def resolve_label(matches: DataFrame) -> DataFrame:
     """``query_id, label`` = closest matched diagnosis, then alphabetical
-    (a small aggregate over the diagnosis matches, at most the expansion cap
-    per query)."""
+    (an aggregate over the diagnosis matches alone)."""
     return (matches.where(F.col("field") == DIAGNOSIS).groupBy("query_id")
                    .agg(F.min_by("match", F.struct("distance", "match")).alias("label")))
 
 
-def rank(kept: DataFrame, k: int = TOP_K) -> DataFrame:
+def rank(kept: DataFrame, k: int = TOP_K, metric: str = "n_visits") -> DataFrame:
     """``query_id, ord, line`` (ord 0-based, <= k lines)
     from kept hits carrying their query's ``label``."""
-    w1 = Window.partitionBy("query_id").orderBy(F.desc("n_visits"), "full_name", "hospital", "email")
+    w1 = Window.partitionBy("query_id").orderBy(F.desc(metric), "full_name", "hospital", "email")
     a = (kept.where(F.col("label").isNotNull())
              .withColumn("_rn", F.row_number().over(w1)).where(F.col("_rn") <= k)
              .select("query_id", (F.col("_rn") - 1).cast("bigint").alias("ord"),
-                     text.line_with_count("full_name", "n_visits", "hospital", "email").alias("line")))
+                     text.line_with_count("full_name", metric, "hospital", "email").alias("line")))
     lines = (kept.where(F.col("label").isNull())
-                 .select("query_id", "n_visits",
+                 .select("query_id", F.col(metric).alias("n"),
                          text.line_without_count("full_name", "hospital", "email").alias("line"))
-                 .groupBy("query_id", "line").agg(F.max("n_visits").alias("best")))
+                 .groupBy("query_id", "line").agg(F.max("n").alias("best")))
     w2 = Window.partitionBy("query_id").orderBy(F.desc("best"), "line")
     b = (lines.withColumn("_rn", F.row_number().over(w2)).where(F.col("_rn") <= k)
               .select("query_id", (F.col("_rn") - 1).cast("bigint").alias("ord"), "line"))
@@ -275,24 +249,15 @@ def titles(queries: DataFrame, labels: DataFrame) -> DataFrame:
         "query_id", F.col("pos").cast("bigint").alias("ord"), F.col("col").alias("line"))
 
 
-def search(results: DataFrame | None, queries: DataFrame, k: int = TOP_K,
-           max_expansions: int | None = MAX_EXPANSIONS, transpositions: bool = True,
-           identity: str = "tuple", index: SearchIndex | None = None) -> DataFrame:
+def search(results: DataFrame, queries: DataFrame, k: int = TOP_K,
+           max_expansions: int | None = None, transpositions: bool = True,
+           identity: str = "tuple") -> DataFrame:
     """Full search: ``query_id, kind, ord, line`` with ``kind`` 'title' or
-    'result' (``NONE`` as the only result line when a query keeps no hit).
-
-    With a stored ``index`` (``plans.serve.write_index``) the dictionary and
-    postings are read instead of being derived from ``results``.
-    """
-    matches = query_matches(queries, results, None, max_expansions, transpositions, index=index)
+    'result' (``NONE`` as the only result line when a query keeps no hit)."""
+    matches = query_matches(queries, results, None, max_expansions, transpositions)
     labels = resolve_label(matches)
-    small = matches_fit_broadcast(queries, max_expansions)
-    hits = combine(matches, results, identity=identity, broadcast_matches=small,
-                   postings_df=index.postings if index is not None else None)
-    if small:
-        labels = F.broadcast(labels)
-    kept = soft_intersect(hits, few_queries=small).join(labels, "query_id", "left")
-    ranked = rank(kept, k)
+    kept = soft_intersect(combine(matches, results, identity)).join(labels, "query_id", "left")
+    ranked = rank(kept, k, metric_of(results))
     res = (queries.select("query_id").join(ranked, "query_id", "left")
                   .select("query_id", F.lit("result").alias("kind"),
                           F.coalesce("ord", F.lit(0).cast("bigint")).alias("ord"),

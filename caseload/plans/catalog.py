@@ -2,24 +2,25 @@
 ``(spark, sf_dir) -> DataFrame`` over the given tables (SURVEY 7.3 mapping).
 
 Queries that write (sinks, state, streams, routed files) use a fresh folder
-below the session's checkpoint root per call.  Queries checked against the
-SQL oracle use the Levenshtein form of the fuzzy distance, which the oracle
-engine shares; the transposition-aware form is covered by the tests.
+below the session's checkpoint root per call.  Some fuzzy queries ask for the
+plain Levenshtein distance, the ``*_transposed`` ones and the searches over
+the indexed table use the default, transposition-aware one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseload.functions import text
 from caseload.operators import aggregate, enrich, extract, search
+from caseload.schemas import RESULTS_TWO_METRICS
 from caseload.plans import job, serve, state
-from caseload.session import list_files, work_dir
+from caseload.session import work_dir
 from caseload.sources import lines as line_src
-from caseload.sources import star, synth
+from caseload.sources import star
 from caseload.streaming import visits as stream
 
 PAIR = ["practitioner", "diagnosis"]
@@ -43,9 +44,7 @@ CAPPED_EXPANSIONS = 5
 # ---------------------------------------------------------------- helpers
 
 def encounters(spark: SparkSession, sf: str, require_patient: bool = False) -> DataFrame:
-    """Parsed encounters; the lines carry the patient only when it is read."""
-    lines = star.encounter_lines(spark, sf, with_patient=require_patient)
-    return extract.encounters(lines, require_patient=require_patient)
+    return extract.encounters(star.encounter_lines(spark, sf), require_patient=require_patient)
 
 
 def practitioners(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,10 +65,14 @@ def served_results(spark: SparkSession, sf: str) -> DataFrame:
     return serve.read_results(spark, path)
 
 
-def _slices(spark: SparkSession, sf: str, require_patient: bool = False):
-    lines = star.encounter_lines(spark, sf, with_patient=require_patient)
-    return [extract.encounters(lines.where(F.col("slice") == i), require_patient=require_patient)
-            for i in range(star.N_SLICES)]
+def _slice_totals(spark: SparkSession, sf: str, keys, metric: str) -> list[DataFrame]:
+    """The totals of each input slice, as tables written by one scan."""
+    lines = star.encounter_lines(spark, sf)
+    path = work_dir(spark, "slices")
+    parsed = extract.encounters(lines, require_patient="patient" in keys, keep=("slice",))
+    parsed.groupBy("slice", *keys).agg(F.count(F.lit(1)).alias(metric)).write.partitionBy("slice").parquet(path)
+    rows = spark.read.schema(", ".join(f"{k} string" for k in keys) + f", {metric} bigint, slice int").parquet(path)
+    return [rows.where(F.col("slice") == i).drop("slice") for i in range(star.N_SLICES)]
 
 
 def diagnosis_queries(spark: SparkSession, sf: str) -> DataFrame:
@@ -99,6 +102,30 @@ def hospital_queries(spark: SparkSession, sf: str) -> DataFrame:
                      F.lit("").alias("diagnosis"), F.lit("").alias("full_name"), typo.alias("hospital")))
 
 
+def turned(value: Column) -> Column:
+    """The text with its second and third characters turned round."""
+    return F.concat(F.substring(value, 1, 1), F.substring(value, 3, 1), F.substring(value, 2, 1),
+                    F.substring(value, 4, 1000))
+
+
+def turned_queries(spark: SparkSession, sf: str) -> DataFrame:
+    """The diagnoses, names and hospitals of the tables with two characters
+    turned round, as the fields of one query for each."""
+    p = star.table(spark, sf, "part").select("p_name").distinct()
+    s = star.table(spark, sf, "supplier")
+    name = F.lower(F.regexp_replace("s_name", "#", " "))
+    n, r = star.table(spark, sf, "nation"), star.table(spark, sf, "region")
+    hospital = F.concat(F.lower(F.col("r_name")), F.lit("-"), F.lower(F.col("n_name")))
+    none = F.lit("")
+    return (p.select(F.concat(F.lit("d:"), F.col("p_name")).alias("query_id"), turned(F.col("p_name")).alias("diagnosis"),
+                     none.alias("full_name"), none.alias("hospital"))
+            .unionByName(s.select(F.concat(F.lit("s:"), F.col("s_suppkey").cast("string")).alias("query_id"),
+                                  none.alias("diagnosis"), turned(name).alias("full_name"), none.alias("hospital")))
+            .unionByName(n.join(r, n.n_regionkey == r.r_regionkey).select(
+                F.concat(F.lit("n:"), F.col("n_nationkey").cast("string")).alias("query_id"),
+                none.alias("diagnosis"), none.alias("full_name"), turned(hospital).alias("hospital"))))
+
+
 def batch_queries(spark: SparkSession, sf: str) -> DataFrame:
     """The diagnosis queries and the nation (hospital) queries together: a
     table of queries that grows with the data."""
@@ -107,11 +134,11 @@ def batch_queries(spark: SparkSession, sf: str) -> DataFrame:
     return d.unionByName(h)
 
 
-def _matches(spark, sf, queries, fields, cap):
+def _matches(spark, sf, queries, fields, cap=None, transpositions=False):
     fz = {f: search.FUZZINESS[f] for f in fields}
     res = served_results(spark, sf)
     terms = search.query_terms(queries, fields)
-    return search.expand_terms(terms, search.vocabulary(res, fields), fz, cap, transpositions=False)
+    return search.expand_terms(terms, search.vocabulary(res, fields), fz, cap, transpositions)
 
 
 # ---------------------------------------------------------------- queries
@@ -125,8 +152,7 @@ def q_parse_practitioners(spark, sf):
 
 
 def q_malformed_sentinel(spark, sf):
-    enc = extract.encounters(star.encounter_lines(spark, sf, damaged=True, with_patient=False),
-                             on_malformed="sentinel")
+    enc = extract.encounters(star.encounter_lines(spark, sf, damaged=True), on_malformed="sentinel")
     return aggregate.visit_counts(enc)
 
 
@@ -134,12 +160,23 @@ def q_malformed_quarantine(spark, sf):
     return extract.rejects(star.encounter_lines(spark, sf, damaged=True)).select("value", "module")
 
 
+def q_practitioner_sentinel(spark, sf):
+    return extract.practitioners(star.practitioner_lines(spark, sf, damaged=True), on_malformed="sentinel")
+
+
+def q_practitioner_quarantine(spark, sf):
+    """What is kept and what is set aside, with the module it came from."""
+    lines = star.practitioner_lines(spark, sf, damaged=True)
+    kept = extract.practitioners(lines).select(F.col("practitioner").alias("value"), F.lit("kept").alias("module"))
+    return kept.unionByName(extract.rejects(lines, module="practitioner").select("value", "module"))
+
+
 def q_visit_counts(spark, sf):
     return aggregate.visit_counts(encounters(spark, sf))
 
 
 def q_merge_visit_counts(spark, sf):
-    return state.fold([aggregate.visit_counts(e) for e in _slices(spark, sf)], PAIR, "n_visits")
+    return state.fold(_slice_totals(spark, sf, PAIR, "n_visits"), PAIR, "n_visits")
 
 
 def q_patient_cases(spark, sf):
@@ -147,7 +184,7 @@ def q_patient_cases(spark, sf):
 
 
 def q_merge_patient_cases(spark, sf):
-    return state.fold([aggregate.patient_cases(e) for e in _slices(spark, sf, True)], CASE_KEYS, "n_cases")
+    return state.fold(_slice_totals(spark, sf, CASE_KEYS, "n_cases"), CASE_KEYS, "n_cases")
 
 
 def q_visits_and_patients(spark, sf):
@@ -164,7 +201,24 @@ def q_enriched_visits_and_patients(spark, sf):
 
 
 def q_diagnosis_list(spark, sf):
-    return aggregate.list_diagnoses(aggregate.visit_counts(encounters(spark, sf)))
+    return aggregate.list_diagnoses(encounters(spark, sf))
+
+
+def _stored_state(spark, sf) -> str:
+    path = work_dir(spark, "state")
+    for i, part in enumerate(_slice_totals(spark, sf, PAIR, "n_visits")):
+        state.append_delta(spark, part, path, i)
+    return path
+
+
+def q_stored_slice(spark, sf):
+    """One diagnosis of the stored totals: partition pruning in every delta."""
+    return state.read_totals(spark, _stored_state(spark, sf), PAIR, "n_visits", diagnosis=SLICE_DIAGNOSIS)
+
+
+def q_stored_diagnoses(spark, sf):
+    """The diagnoses of the stored totals, from their partition values."""
+    return aggregate.list_diagnoses(state.read_totals(spark, _stored_state(spark, sf), PAIR, "n_visits"))
 
 
 def q_diagnosis_slice(spark, sf):
@@ -180,58 +234,91 @@ def q_result_documents(spark, sf):
     return serve.to_documents(results(spark, sf), per_diagnosis=True)
 
 
+def q_two_metric_documents(spark, sf):
+    return serve.to_documents(q_enriched_visits_and_patients(spark, sf))
+
+
+def q_case_documents(spark, sf):
+    return serve.to_documents(aggregate.patient_cases(encounters(spark, sf, True)), per_diagnosis=False,
+                              order_by=("practitioner", "patient"))
+
+
+def q_chunked_documents(spark, sf):
+    """The result documents as they are sent: cut into requests, the requests
+    stored, and their documents read back with the requests' sizes checked."""
+    path = work_dir(spark, "requests")
+    serve.requests(serve.to_documents(results(spark, sf))).write.parquet(path)
+    sent = spark.read.parquet(path)
+    size = F.when((F.col("n_docs") == F.size("docs")) & (F.col("n_docs") <= serve.REQUEST), F.col("docs")).otherwise(
+        F.raise_error("a request of the wrong size").cast("array<struct<diagnosis: string, _id: bigint, doc: string>>"))
+    return sent.select(F.inline(size))
+
+
 def q_partitioned_roundtrip(spark, sf):
+    """The table written twice, first with a diagnosis that the second lacks."""
     path = work_dir(spark, "results")
     prac = practitioners(spark, sf)
-    first = enrich.enrich(aggregate.visit_counts(_slices(spark, sf)[0]), prac)
-    serve.write_results(first, path)
+    first = enrich.enrich(_slice_totals(spark, sf, PAIR, "n_visits")[0], prac)
+    vanished = first.limit(5).withColumn("diagnosis", F.lit("vanished"))
+    serve.write_results(first.unionByName(vanished), path)
     serve.write_results(results(spark, sf), path)
     return serve.read_results(spark, path)
 
 
 def q_routed_scan(spark, sf):
-    root = work_dir(spark, "routed")
-    _stage_store(spark, sf, root)
+    root = _stage_store(spark, sf, "routed")
     return (line_src.read_routed(spark, f"{root}/store").groupBy("role")
             .agg(F.count(F.lit(1)).alias("n_lines")))
 
 
-def _stage_store(spark, sf, root):
+def _stage_store(spark, sf, tag):
+    root = work_dir(spark, tag)
     star.write_ndjson(star.encounter_lines(spark, sf), f"{root}/store/{line_src.ENCOUNTER_MARKER}", "slice")
     star.write_ndjson(star.practitioner_lines(spark, sf), f"{root}/store/{line_src.PRACTITIONER_MARKER}")
-    return line_src.route_paths(spark, f"{root}/store", level="files")
+    return root
 
 
 def q_batch_build(spark, sf):
     """The batch job end to end: files found by role, built in one plan."""
-    root = work_dir(spark, "build")
-    _stage_store(spark, sf, root)
+    root = _stage_store(spark, sf, "build")
     routed = line_src.route_paths(spark, f"{root}/store")        # folders, not files
     return job.build(spark, routed["encounter"], routed["practitioner"], f"{root}/results")
 
 
 def q_incremental_build(spark, sf):
     """The patient-aware job fed one slice of files per run into its state."""
-    root = work_dir(spark, "build-inc")
-    routed = _stage_store(spark, sf, root)
+    root = _stage_store(spark, sf, "build-inc")
+    routed = line_src.route_paths(spark, f"{root}/store")
     out = None
     for i in range(star.N_SLICES):
-        files = [f for f in routed["encounter"] if f"/slice={i}/" in f]
-        out = job.build(spark, files, routed["practitioner"], f"{root}/results", metrics="patients",
+        folders = [f"{f}/slice={i}" for f in routed["encounter"]]
+        out = job.build(spark, folders, routed["practitioner"], f"{root}/results", metrics="patients",
                         state_path=f"{root}/state", batch_id=i, duplicates="latest")
     return out
 
 
 def q_fuzzy_diagnosis(spark, sf):
-    return _matches(spark, sf, diagnosis_queries(spark, sf), ("diagnosis",), None)
+    return _matches(spark, sf, diagnosis_queries(spark, sf), ("diagnosis",))
 
 
 def q_fuzzy_name(spark, sf):
-    return _matches(spark, sf, name_queries(spark, sf), ("full_name",), None)
+    return _matches(spark, sf, name_queries(spark, sf), ("full_name",))
 
 
 def q_fuzzy_hospital(spark, sf):
-    return _matches(spark, sf, hospital_queries(spark, sf), ("hospital",), None)
+    return _matches(spark, sf, hospital_queries(spark, sf), ("hospital",))
+
+
+def q_fuzzy_diagnosis_transposed(spark, sf):
+    return _matches(spark, sf, turned_queries(spark, sf), ("diagnosis",), transpositions=True)
+
+
+def q_fuzzy_name_transposed(spark, sf):
+    return _matches(spark, sf, turned_queries(spark, sf), ("full_name",), transpositions=True)
+
+
+def q_fuzzy_hospital_transposed(spark, sf):
+    return _matches(spark, sf, turned_queries(spark, sf), ("hospital",), transpositions=True)
 
 
 def q_capped_expansion(spark, sf):
@@ -242,8 +329,7 @@ def q_soft_intersection(spark, sf):
     res = served_results(spark, sf)
     q = search.make_queries(spark, SOFT_QUERIES)
     m = search.query_matches(q, res, transpositions=False)
-    small = search.matches_fit_broadcast(q, search.MAX_EXPANSIONS)
-    return search.soft_intersect(search.combine(m, res, broadcast_matches=small), few_queries=small)
+    return search.soft_intersect(search.combine(m, res))
 
 
 def q_search_with_diagnosis(spark, sf):
@@ -260,12 +346,23 @@ def q_batch_search(spark, sf):
     return search.search(served_results(spark, sf), batch_queries(spark, sf), transpositions=False)
 
 
+def q_search_transposed(spark, sf):
+    """The default search: an adjacent transposition is one edit."""
+    return search.search(served_results(spark, sf), search.make_queries(spark, [SEARCH_WITH_DIAGNOSIS]))
+
+
 def q_indexed_search(spark, sf):
-    """The batch of searches answered from a stored search index."""
-    path = work_dir(spark, "index")
-    serve.write_index(served_results(spark, sf), path)
-    return search.search(None, batch_queries(spark, sf), transpositions=False,
-                         index=serve.read_index(spark, path))
+    """A batch of searches with the default distance; the diagnosis folders of
+    the served table are its index."""
+    return search.search(served_results(spark, sf), turned_queries(spark, sf))
+
+
+def q_search_patients(spark, sf):
+    """A search over the patient-aware results, ranked by distinct patients."""
+    path = work_dir(spark, "served-patients")
+    serve.write_results(q_enriched_visits_and_patients(spark, sf), path)
+    return search.search(serve.read_results(spark, path, schema=RESULTS_TWO_METRICS),
+                         search.make_queries(spark, [SEARCH_WITH_DIAGNOSIS]), transpositions=False)
 
 
 def q_title_case(spark, sf):
@@ -273,50 +370,63 @@ def q_title_case(spark, sf):
     return h.select("hospital", text.title_case("hospital").alias("title"))
 
 
-def _stream_input(spark, sf, root):
-    """Stage the encounter lines as NDJSON files; returns the folder and the
-    files per trigger that make the stream arrive in three batches."""
-    star.write_ndjson(star.encounter_lines(spark, sf), f"{root}/in", "slice")
-    n_files = len(list_files(spark, f"{root}/in"))
-    return f"{root}/in", max(1, -(-n_files // star.N_SLICES))
+def _streamed(spark, sf, root, run):
+    """Have the encounter lines arrive slice by slice in the folder that the
+    stream reads, and let the stream catch up after each arrival."""
+    lines = star.encounter_lines(spark, sf)
+    for i in range(star.N_SLICES):
+        star.write_ndjson(lines.where(F.col("slice") == i), f"{root}/in/slice={i}")
+        run(f"{root}/in")
 
 
 def q_stream_visit_counts(spark, sf):
     root = work_dir(spark, "stream-visits")
-    src, per_trigger = _stream_input(spark, sf, root)
-    stream.run_visit_counts(spark, src, f"{root}/checkpoint", f"{root}/sink", max_files_per_trigger=per_trigger)
+    _streamed(spark, sf, root, lambda src: stream.run_visit_counts(spark, src, f"{root}/checkpoint", f"{root}/sink"))
     return stream.read_visit_counts(spark, f"{root}/sink")
 
 
 def q_stream_patient_counts(spark, sf):
     root = work_dir(spark, "stream-patients")
-    src, per_trigger = _stream_input(spark, sf, root)
-    stream.run_patient_cases(spark, src, f"{root}/checkpoint", f"{root}/state", max_files_per_trigger=per_trigger)
+    _streamed(spark, sf, root, lambda src: stream.run_patient_cases(spark, src, f"{root}/checkpoint", f"{root}/state"))
     return stream.read_patient_counts(spark, f"{root}/state")
 
 
 def q_compacted_state(spark, sf):
     path = work_dir(spark, "state")
     state.clear(spark, path)
-    parts = [aggregate.visit_counts(e) for e in _slices(spark, sf)]
+    parts = _slice_totals(spark, sf, PAIR, "n_visits")
     state.append_delta(spark, parts[0], path, 0)
     state.append_delta(spark, parts[1], path, 1)
     state.compact(spark, path, PAIR, "n_visits")
     state.append_delta(spark, parts[2], path, 2)
-    state.append_delta(spark, parts[0], path, 0)  # replay of a compacted batch: ignored
+    state.append_delta(spark, parts[0], path, 0, replay=True)  # of a compacted batch: ignored
     return state.read_totals(spark, path, PAIR, "n_visits")
 
 
 def q_synth_practitioners(spark, sf):
-    return synth.practitioners(spark, sf)
+    """The practitioner module written as NDJSON and read back (K8)."""
+    path = work_dir(spark, "module")
+    star.write_ndjson(star.practitioner_lines(spark, sf), path)
+    return extract.practitioners(line_src.read_lines(spark, path))
 
 
 def q_synth_patients(spark, sf):
-    return synth.patients(spark, sf)
+    """The patient module written as NDJSON and read back (K8)."""
+    path = work_dir(spark, "module")
+    star.write_ndjson(star.patient_lines(spark, sf), path)
+    return extract.patients(line_src.read_lines(spark, path))
 
 
 def q_synth_encounters(spark, sf):
-    return synth.encounters(spark, sf)
+    """The encounter module written as NDJSON, a folder per slice, and read
+    back with the folder each record came from (K8)."""
+    path = work_dir(spark, "module")
+    star.write_ndjson(star.encounter_lines(spark, sf), path, "slice")
+    lines = line_src.read_lines(spark, path)
+    return extract.encounters(lines, require_patient=True, keep=("file_path",)).select(
+        F.regexp_extract("file_path", "slice=([0-9]+)", 1).cast("int").alias("file_no"),
+        F.col("patient").alias("subject"), F.col("practitioner").alias("individual"),
+        F.col("diagnosis").alias("condition"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -324,6 +434,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_practitioners": q_parse_practitioners,
     "malformed_sentinel": q_malformed_sentinel,
     "malformed_quarantine": q_malformed_quarantine,
+    "practitioner_sentinel": q_practitioner_sentinel,
+    "practitioner_quarantine": q_practitioner_quarantine,
     "visit_counts": q_visit_counts,
     "merge_visit_counts": q_merge_visit_counts,
     "patient_cases": q_patient_cases,
@@ -333,8 +445,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enriched_visits_and_patients": q_enriched_visits_and_patients,
     "diagnosis_list": q_diagnosis_list,
     "diagnosis_slice": q_diagnosis_slice,
+    "stored_slice": q_stored_slice,
+    "stored_diagnoses": q_stored_diagnoses,
     "state_documents": q_state_documents,
     "result_documents": q_result_documents,
+    "two_metric_documents": q_two_metric_documents,
+    "case_documents": q_case_documents,
+    "chunked_documents": q_chunked_documents,
     "partitioned_roundtrip": q_partitioned_roundtrip,
     "routed_scan": q_routed_scan,
     "batch_build": q_batch_build,
@@ -342,10 +459,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fuzzy_diagnosis": q_fuzzy_diagnosis,
     "fuzzy_name": q_fuzzy_name,
     "fuzzy_hospital": q_fuzzy_hospital,
+    "fuzzy_diagnosis_transposed": q_fuzzy_diagnosis_transposed,
+    "fuzzy_name_transposed": q_fuzzy_name_transposed,
+    "fuzzy_hospital_transposed": q_fuzzy_hospital_transposed,
     "capped_expansion": q_capped_expansion,
     "soft_intersection": q_soft_intersection,
     "search_with_diagnosis": q_search_with_diagnosis,
     "search_without_diagnosis": q_search_without_diagnosis,
+    "search_transposed": q_search_transposed,
+    "search_patients": q_search_patients,
     "batch_search": q_batch_search,
     "indexed_search": q_indexed_search,
     "title_case": q_title_case,

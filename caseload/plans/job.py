@@ -3,8 +3,10 @@
 One plan for all files and all diagnoses: line scan -> ``from_json`` ->
 partial/final aggregation -> practitioner join -> Parquet partitioned by
 diagnosis.  Optionally folds the batch into a delta state table first, so a
-sequence of runs (one per arriving file set) accumulates totals, and a re-run
-of the same ``batch_id`` replaces its own delta.
+sequence of runs (one per arriving file set) accumulates totals; a re-run of a
+``batch_id`` replaces its own delta.  Such a run reads and rewrites only the
+diagnoses that its batch touches, and every ``compact_every`` batches the
+deltas become one snapshot, so its cost follows the batch, not the history.
 
     python -m caseload.plans.job --root <input folder> --results <out> \\
         [--state <state folder> --batch-id N] [--metrics visits|patients] \\
@@ -16,11 +18,15 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from caseload.operators import aggregate, enrich, extract
 from caseload.plans import serve, state
+from caseload.schemas import RESULTS, RESULTS_TWO_METRICS
+from caseload.session import work_dir
 from caseload.sources import lines as line_src
 
+COMPACT_EVERY = 20
 PAIR = ["practitioner", "diagnosis"]
 CASE_KEYS = ["practitioner", "diagnosis", "patient"]
 
@@ -39,32 +45,46 @@ def totals(encounter_lines: DataFrame, metrics: str = "visits",
 def build(spark: SparkSession, encounter_paths, practitioner_paths, results_path: str, *,
           metrics: str = "visits", on_malformed: str = "quarantine",
           state_path: str | None = None, batch_id: int | None = None,
-          rejects_path: str | None = None, chunk: int = serve.CHUNK,
-          duplicates: str = "keep") -> DataFrame:
+          rejects_path: str | None = None, duplicates: str = "keep",
+          compact_every: int = COMPACT_EVERY) -> DataFrame:
     """Run the build; returns the written results table (read back)."""
     enc_lines = line_src.read_lines(spark, encounter_paths)
     prac_lines = line_src.read_lines(spark, practitioner_paths)
-    prac = extract.practitioners(prac_lines, on_malformed="quarantine", duplicates=duplicates)
+    prac = extract.practitioners(prac_lines, on_malformed, duplicates=duplicates)
     t = totals(enc_lines, metrics, on_malformed)
+    touched = None
     keys, metric = (PAIR, "n_visits") if metrics == "visits" else (CASE_KEYS, "n_cases")
     if state_path is not None:
         if batch_id is None:
             raise ValueError("batch_id is required with state_path")
-        state.append_delta(spark, t, state_path, batch_id)
-        t = state.read_totals(spark, state_path, keys, metric)
+        touched = _fold_batch(spark, t, state_path, batch_id, keys, metric)
+        t = state.read_totals(spark, state_path, keys, metric, only=touched)
     if metrics == "patients":
         t = aggregate.visits_and_patients(t)
-    serve.write_results(enrich.enrich(t, prac), results_path, chunk)
+    serve.write_results(enrich.enrich(t, prac), results_path, touched)
+    if state_path is not None and len(state.deltas(spark, state_path)) >= compact_every:
+        state.compact(spark, state_path, keys, metric)
     if rejects_path is not None:
         # a second pass over the input, only when the rejects are asked for
         rejected = extract.rejects(enc_lines, require_patient=metrics == "patients").unionByName(
             extract.rejects(prac_lines, module="practitioner"))
         rejected.write.mode("overwrite").partitionBy("module").parquet(rejects_path)
-    from caseload.schemas import RESULTS
-    schema = RESULTS if metrics == "visits" else \
-        "practitioner string, n_patients bigint, n_visits bigint, full_name string, email string, " \
-        "hospital string, diagnosis string"
-    return serve.read_results(spark, results_path, schema=schema)
+    return serve.read_results(spark, results_path, schema=RESULTS if metrics == "visits" else RESULTS_TWO_METRICS)
+
+
+def _fold_batch(spark: SparkSession, totals: DataFrame, state_path: str, batch_id: int, keys, metric: str) -> DataFrame:
+    """Append the batch's delta; gives the diagnoses that it touches, those of
+    a delta that it replaces included, as a written table (small, so reading
+    the state by it prunes partitions)."""
+    path = work_dir(spark, "touched")
+    old = state.deltas(spark, state_path).get(batch_id)
+    if old is not None:
+        state.read_delta(spark, old, keys, metric).select("diagnosis").distinct().write.mode("append").parquet(path)
+    state.append_delta(spark, totals, state_path, batch_id)
+    new = state.deltas(spark, state_path)[batch_id]
+    state.read_delta(spark, new, keys, metric).select("diagnosis").distinct().write.mode("append").parquet(path)
+    # the comparison holds for every diagnosis; Spark prunes partitions only by a side that has a filter
+    return spark.read.schema("diagnosis string").parquet(path).where(F.col("diagnosis") >= "")
 
 
 def main(argv=None) -> None:

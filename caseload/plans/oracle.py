@@ -1,16 +1,16 @@
 """Reference SQL for every registered query (ANSI SQL as run by DuckDB over
 the same tables), written independently of the Spark plans: the star
 mapping, aggregation, fuzzy matching, soft intersection and ranking are
-restated in plain SQL."""
+restated in plain SQL, constants included.  Only the typed queries of the
+registered searches are taken from the catalog."""
 
 from __future__ import annotations
 
-from caseload.functions.text import TITLE_CHUNK_PATTERN, TOKEN_PATTERN
 from caseload.plans import catalog as C
-from caseload.sources import synth
 
-TOK = TOKEN_PATTERN.replace("'", "''")
-CHUNK = TITLE_CHUNK_PATTERN
+# runs of letters and digits, inner apostrophes kept; runs of letters / of others
+TOK = r"[\p{L}\p{N}]+(?:''[\p{L}\p{N}]+)*"
+CHUNK = r"(\p{L}+|[^\p{L}]+)"
 
 
 def tokens(x: str) -> str:
@@ -110,12 +110,35 @@ def _kcase(col: str = "t.field") -> str:
     return f"CASE {col} WHEN 'diagnosis' THEN 2 WHEN 'full_name' THEN 2 ELSE 1 END"
 
 
-def _expand_sql(cap) -> str:
-    exp = f"""scored AS (
-  SELECT t.field, t.term, v.term AS match, CAST(levenshtein(t.term, v.term) AS BIGINT) AS distance
+def _swap_sql(a: str, b: str, tail: str) -> str:
+    """Least 1 + edits before + ``tail`` after over the neighbours of a that
+    stand the other way round in b, at most one place away (99: none).  Splits
+    at a transposition, so it is exact for distances of up to 2."""
+    return f"""coalesce(list_min(list_transform(list_filter(
+      flatten(list_transform(range(1, length({a})), lambda i: list_transform([i - 1, i, i + 1], lambda j: {{'i': i, 'j': j}}))),
+      lambda p: p.j >= 1 AND p.j < length({b}) AND {a}[p.i] = {b}[p.j + 1] AND {a}[p.i + 1] = {b}[p.j]
+                AND {a}[p.i] <> {a}[p.i + 1]),
+      lambda p: levenshtein(substr({a}, 1, p.i - 1), substr({b}, 1, p.j - 1)) + 1 + {tail})), 99)"""
+
+
+def _osa_sql(a: str, b: str) -> str:
+    """Optimal-string-alignment distance, exact up to 2."""
+    ra, rb = f"substr({a}, p.i + 2)", f"substr({b}, p.j + 2)"
+    second = f"""CASE WHEN length({ra}) = length({rb}) AND list_contains(list_transform(range(1, length({ra})), lambda t:
+        substr({ra}, 1, t - 1) || substr({ra}, t + 1, 1) || substr({ra}, t, 1) || substr({ra}, t + 2)), {rb})
+      THEN 1 ELSE 99 END"""
+    return f"least(levenshtein({a}, {b}), {_swap_sql(a, b, f'least(levenshtein({ra}, {rb}), {second})')})"
+
+
+def _expand_sql(cap, transposed: bool = False) -> str:
+    distance = _osa_sql("term", "match") if transposed else "levenshtein(term, match)"
+    exp = f"""pairs AS (
+  SELECT t.field, t.term, v.term AS match
   FROM (SELECT DISTINCT field, term FROM qterms) t JOIN vocab v ON t.field = v.field
-  WHERE levenshtein(t.term, v.term) <= {_kcase()}
-    AND levenshtein(t.term, v.term) < least(length(t.term), length(v.term)))"""
+  WHERE levenshtein(t.term, v.term) <= 4),
+scored AS (
+  SELECT * FROM (SELECT field, term, match, CAST({distance} AS BIGINT) AS distance FROM pairs)
+  WHERE distance <= {_kcase('field')} AND distance < least(length(term), length(match)))"""
     if cap is None:
         return exp + ",\nexpanded AS (SELECT field, term, match, distance FROM scored)"
     return exp + f""",
@@ -125,8 +148,9 @@ expanded AS (SELECT field, term, match, distance FROM (
   WHERE rn <= {cap})"""
 
 
-def matches_sql(queries_cte: str, fields=("diagnosis", "full_name", "hospital"), cap=50) -> list[str]:
-    return [queries_cte, _qterms_sql(fields), _vocab_sql(fields), _expand_sql(cap),
+def matches_sql(queries_cte: str, fields=("diagnosis", "full_name", "hospital"), cap=None,
+                transposed: bool = False) -> list[str]:
+    return [queries_cte, _qterms_sql(fields), _vocab_sql(fields), _expand_sql(cap, transposed),
             """matches AS (SELECT qt.query_id, qt.field, e.match, min(e.distance) AS distance
   FROM qterms qt JOIN expanded e ON qt.field = e.field AND qt.term = e.term
   GROUP BY qt.query_id, qt.field, e.match)"""]
@@ -155,7 +179,7 @@ def hits_sql() -> list[str]:
     return [rk, hits, r1, r2, r3, kept]
 
 
-def search_sql(queries_cte: str, k: int = 10) -> str:
+def search_sql(queries_cte: str, k: int = 10, transposed: bool = False, results=None) -> str:
     labels = """labels AS (SELECT query_id, first(match ORDER BY distance, match) AS label
   FROM matches WHERE field = 'diagnosis' GROUP BY query_id)"""
     ranked = f"""lab AS (SELECT kept.*, labels.label FROM kept LEFT JOIN labels ON kept.query_id = labels.query_id),
@@ -171,7 +195,8 @@ rb AS (SELECT query_id, ord, line FROM (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY best DESC, line) - 1 AS BIGINT) AS ord,
          line FROM lines) WHERE ord < {k}),
 ranked AS (SELECT * FROM ra UNION ALL SELECT * FROM rb)"""
-    body = with_(ENC, PRAC, VC, RES, *matches_sql(queries_cte), *hits_sql(), labels, ranked)
+    body = with_(ENC, PRAC, *(results or [VC, RES]), *matches_sql(queries_cte, transposed=transposed), *hits_sql(),
+                 labels, ranked)
     return body + """SELECT q.query_id, 'title' AS kind, CAST(0 AS BIGINT) AS ord,
        'Disease Query: ' || coalesce(q.diagnosis, '') AS line
 FROM q JOIN labels l ON q.query_id = l.query_id
@@ -187,22 +212,23 @@ SELECT q.query_id, 'result', coalesce(r.ord, CAST(0 AS BIGINT)), coalesce(r.line
 FROM q LEFT JOIN ranked r ON q.query_id = r.query_id"""
 
 
-def _pick(x: str, salt: int, n: str) -> str:
-    m, a = synth.MODULUS, synth.MULTIPLIER
-    return f"(((({x}) * {a} + {salt}) % {m}) * {a} % {m} % ({n}))"
-
-
-def _list(values) -> str:
-    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+def _turned(x: str) -> str:
+    return f"substr({x}, 1, 1) || substr({x}, 3, 1) || substr({x}, 2, 1) || substr({x}, 4)"
 
 
-def _choose(values, x: str, salt: int) -> str:
-    return f"{_list(values)}[{_pick(x, salt, str(len(values)))} + 1]"
-
-
-def _synth_name(x: str) -> str:
-    return (f"{_choose(synth.FIRST_NAMES, x, synth.S_FIRST)} || ' ' || "
-            f"{_choose(synth.FAMILY_NAMES, x, synth.S_FAMILY)}")
+Q_TURNED = f"""q AS (SELECT DISTINCT 'd:' || p_name AS query_id, {_turned('p_name')} AS diagnosis, '' AS full_name,
+    '' AS hospital FROM part
+  UNION ALL SELECT 's:' || CAST(s_suppkey AS VARCHAR), '', {_turned("lower(replace(s_name, '#', ' '))")}, '' FROM supplier
+  UNION ALL SELECT 'n:' || CAST(n.n_nationkey AS VARCHAR), '', '', {_turned("(lower(r.r_name) || '-' || lower(n.n_name))")}
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+#: the patient-aware results under the count's name that the hit CTEs use
+RES_PATIENTS = """res AS (
+  SELECT vp.practitioner, vp.n_patients AS n_visits, prac.full_name, prac.email, prac.hospital, vp.diagnosis
+  FROM vp JOIN prac ON vp.practitioner = prac.practitioner)"""
+# the practitioner JSON text as the adapter emits it
+PRAC_JSON = ("'{\"resourceType\":\"Practitioner\",\"identifier\":\"' || practitioner || '\",\"name\":\"' || full_name"
+             " || '\",\"telecom\":\"' || email || '\",\"qualification\":[{\"identifier\":\"' || hospital || '\"}]}'")
+PRAC_JSON_BARE = PRAC_JSON.replace("[{\"identifier\":\"' || hospital || '\"}]", "[]")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -268,23 +294,41 @@ FROM vp JOIN prac ON vp.practitioner = prac.practitioner""",
         "search_without_diagnosis": search_sql(values_queries([C.SEARCH_WITHOUT_DIAGNOSIS])),
         "batch_search": search_sql(Q_DIAG.replace("qd AS", "q0 AS", 1) + ",\n" + Q_HOSP
                                    + ",\nq AS (SELECT * FROM q0 UNION ALL SELECT * FROM qh)"),
-        "indexed_search": search_sql(Q_DIAG.replace("qd AS", "q0 AS", 1) + ",\n" + Q_HOSP
-                                     + ",\nq AS (SELECT * FROM q0 UNION ALL SELECT * FROM qh)"),
+        "indexed_search": search_sql(Q_TURNED, transposed=True),
         "title_case": with_(PRAC) + f"SELECT DISTINCT hospital, {title('hospital')} AS title FROM prac",
         "stream_visit_counts": with_(ENC, VC) + "SELECT practitioner, diagnosis, n_visits FROM vc",
         "stream_patient_counts": with_(ENC, CASES, VP) + "SELECT practitioner, diagnosis, n_patients, n_visits FROM vp",
         "compacted_state": with_(ENC, VC) + "SELECT practitioner, diagnosis, n_visits FROM vc",
-        "synth_practitioners": f"""SELECT CAST(s_suppkey AS VARCHAR) AS identifier, {_synth_name('s_suppkey')} AS name,
-  substr({_synth_name('s_suppkey')}, 1, 1) || split_part({_synth_name('s_suppkey')}, ' ', 2)
-    || {_choose(synth.EMAIL_SUFFIXES, 's_suppkey', synth.S_SUFFIX)} AS telecom,
-  {_choose(synth.HOSPITALS, 's_suppkey', synth.S_HOSPITAL)} AS hospital
-FROM supplier""",
-        "synth_patients": f"SELECT CAST(c_custkey AS VARCHAR) AS identifier, {_synth_name('c_custkey')} AS name FROM customer",
-        "synth_encounters": f"""SELECT CAST(l_orderkey % 3 AS INTEGER) AS file_no,
-  CAST((l_orderkey // 3) * 8 + l_linenumber AS VARCHAR) AS identifier,
-  CAST({_pick('l_orderkey * 8 + l_linenumber', synth.S_PATIENT, '(SELECT count(*) FROM customer)')} AS VARCHAR) AS subject,
-  CAST({_pick('l_orderkey * 8 + l_linenumber', synth.S_PRACTITIONER, '(SELECT count(*) FROM supplier)')} AS VARCHAR)
-    AS individual,
-  {_choose(synth.DIAGNOSES, 'l_orderkey * 8 + l_linenumber', synth.S_DIAGNOSIS)} AS condition
-FROM lineitem""",
+        "synth_practitioners": with_(PRAC) + "SELECT practitioner, full_name, email, hospital FROM prac",
+        "synth_patients": """SELECT CAST(c_custkey AS VARCHAR) AS identifier, lower(replace(c_name, '#', ' ')) AS name
+FROM customer""",
+        "synth_encounters": with_(ENC) + """SELECT slice AS file_no, patient AS subject, practitioner AS individual,
+       diagnosis AS condition FROM enc""",
+        "practitioner_sentinel": with_(PRAC) + """, bad AS (SELECT *, CAST(practitioner AS BIGINT) % 10 IN (1, 2) AS b FROM prac)
+SELECT CASE WHEN b THEN '0' ELSE practitioner END AS practitioner, CASE WHEN b THEN '0' ELSE full_name END AS full_name,
+       CASE WHEN b THEN '0' ELSE email END AS email, CASE WHEN b THEN '0' ELSE hospital END AS hospital FROM bad""",
+        "practitioner_quarantine": with_(PRAC) + f"""SELECT practitioner AS value, 'kept' AS module FROM prac
+WHERE CAST(practitioner AS BIGINT) % 10 NOT IN (1, 2)
+UNION ALL SELECT CASE WHEN CAST(practitioner AS BIGINT) % 10 = 1 THEN substr({PRAC_JSON}, 1, 40) ELSE {PRAC_JSON_BARE} END,
+  'practitioner' FROM prac WHERE CAST(practitioner AS BIGINT) % 10 IN (1, 2)""",
+        "stored_slice": with_(ENC, VC) + f"SELECT practitioner, diagnosis, n_visits FROM vc WHERE diagnosis = '{C.SLICE_DIAGNOSIS}'",
+        "stored_diagnoses": with_(ENC) + "SELECT DISTINCT diagnosis FROM enc",
+        "two_metric_documents": with_(ENC, PRAC, CASES, VP) + """SELECT vp.diagnosis,
+  CAST(row_number() OVER (PARTITION BY vp.diagnosis ORDER BY vp.practitioner) - 1 AS BIGINT) AS _id,
+  '{"Practitioner":"' || vp.practitioner || '","Number of patients":' || vp.n_patients || ',"Number of cases":' || vp.n_visits
+    || ',"Full name":"' || full_name || '","E-mail":"' || email || '","Hospital":"' || hospital || '"}' AS doc
+FROM vp JOIN prac ON vp.practitioner = prac.practitioner""",
+        "case_documents": with_(ENC, CASES) + """SELECT diagnosis,
+  CAST(row_number() OVER (ORDER BY diagnosis, practitioner, patient) - 1 AS BIGINT) AS _id,
+  '{"Practitioner":"' || practitioner || '","Patient":"' || patient || '","Number of cases":' || n_cases || '}' AS doc
+FROM cases""",
+        "chunked_documents": docs_res,
+        "fuzzy_diagnosis_transposed": with_(ENC, PRAC, VC, RES, *matches_sql(Q_TURNED, ("diagnosis",), None, True)[:-1])
+                                       + "SELECT field, term, match, distance FROM expanded",
+        "fuzzy_name_transposed": with_(ENC, PRAC, VC, RES, *matches_sql(Q_TURNED, ("full_name",), None, True)[:-1])
+                                  + "SELECT field, term, match, distance FROM expanded",
+        "fuzzy_hospital_transposed": with_(ENC, PRAC, VC, RES, *matches_sql(Q_TURNED, ("hospital",), None, True)[:-1])
+                                      + "SELECT field, term, match, distance FROM expanded",
+        "search_transposed": search_sql(values_queries([C.SEARCH_WITH_DIAGNOSIS]), transposed=True),
+        "search_patients": search_sql(values_queries([C.SEARCH_WITH_DIAGNOSIS]), results=[CASES, VP, RES_PATIENTS]),
     }

@@ -1,38 +1,69 @@
 """Served results.
 
-Results are a Parquet table partitioned by diagnosis.  Rewriting uses
-dynamic partition overwrite: every diagnosis present in the new data is
-replaced whole (no stale rows survive, unlike an upsert by position), other
-diagnoses are left alone.  ``maxRecordsPerFile`` bounds file size the way
-the bulk chunks bounded request size.
+Results are a Parquet table partitioned by diagnosis.  A full build replaces
+the table, so a diagnosis that vanished is no longer served.  An incremental
+build names the diagnoses it touched: each is replaced whole (dynamic
+partition overwrite), the touched ones without rows are removed, all others
+are left alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from itertools import islice
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseload.operators.ordinal import with_ordinal
-from caseload.schemas import DISPLAY_NAMES, RESULTS
+from caseload.schemas import RESULTS, display_names
+from caseload.session import delete_path, hadoop_path, path_exists, work_dir
 
-CHUNK = 1000
+#: Documents of one request to an external store, at most.
+REQUEST = 1000
 
 
-def write_results(results: DataFrame, path: str, chunk: int = CHUNK) -> None:
-    """K2 + K3: overwrite the diagnoses present in ``results``.
+def write_results(results: DataFrame, path: str, touched: DataFrame | None = None,
+                  max_records_per_file: int | None = None) -> None:
+    """K2 + K3 + K7: replace the table, or with ``touched`` (a table with a
+    column ``diagnosis``) only those diagnoses.
 
     The ``rebalance`` hint shuffles by diagnosis so each task writes few
     diagnosis folders (few files), and AQE splits an oversized partition --
     a hot diagnosis -- over several tasks and merges small ones; unlike a
     range partitioning it needs no sampling pass over its input.
     """
-    (results.hint("rebalance", "diagnosis").write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("maxRecordsPerFile", chunk)
-            .partitionBy("diagnosis").parquet(path))
+    def write(df: DataFrame, mode: str, to: str) -> None:
+        out = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
+        if max_records_per_file:
+            out = out.option("maxRecordsPerFile", max_records_per_file)
+        out.partitionBy("diagnosis").parquet(to)
+
+    spread = results.hint("rebalance", "diagnosis")
+    if touched is None:
+        write(spread, "static", path)
+        return
+    spark = results.sparkSession
+    new = work_dir(spark, "results")  # worked out once: for the table and for what it lacks
+    write(spread, "static", new)
+    rows = spark.read.schema(results.schema).parquet(new)
+    write(rows.hint("rebalance", "diagnosis"), "dynamic", path)
+    _remove_emptied(spark, path, touched, rows)
+
+
+def _remove_emptied(spark: SparkSession, path: str, touched: DataFrame, results: DataFrame) -> None:
+    """Drop the folders of touched diagnoses that have no rows any more."""
+    gone = touched.select("diagnosis").distinct().join(results.select("diagnosis"), "diagnosis", "left_anti")
+    names = {r["diagnosis"] for r in gone.collect()}  # diagnoses that a batch emptied, no more
+    if not names or not path_exists(spark, path):
+        return
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    fs, p = hadoop_path(spark, path)
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("diagnosis=") and unescape(name.removeprefix("diagnosis=")) in names:
+            delete_path(spark, st.getPath().toString())
 
 
 def read_results(spark: SparkSession, path: str, diagnosis: str | None = None,
@@ -48,52 +79,41 @@ def to_documents(df: DataFrame, display: dict | None = None, per_diagnosis: bool
                  order_by=("practitioner",)) -> DataFrame:
     """K4 + P8: ``diagnosis, _id, doc`` -- one JSON document per row with the
     display field names, diagnosis moved out of the body into its own column
-    (the document type), ``_id`` restarting per diagnosis or global."""
-    display = dict(display or DISPLAY_NAMES)
-    body = [c for c in df.columns if c != "diagnosis" and c in display]
-    tie = [c for c in df.columns if c != "diagnosis" and c not in order_by]
-    ordered = with_ordinal(df, [*order_by, *tie], ["diagnosis"] if per_diagnosis else [],
-                           name="_id") if per_diagnosis else \
+    (the document type), ``_id`` restarting per diagnosis or global.
+
+    The display names follow from the columns unless given; a column without
+    one is an error, never left out."""
+    display = dict(display or display_names(df.columns))
+    body = [c for c in df.columns if c != "diagnosis"]
+    unnamed = [c for c in body if c not in display]
+    if unnamed:
+        raise ValueError(f"no display name for {', '.join(unnamed)}")
+    tie = [c for c in body if c not in order_by]
+    ordered = with_ordinal(df, [*order_by, *tie], ["diagnosis"], name="_id") if per_diagnosis else \
         with_ordinal(df, ["diagnosis", *order_by, *tie], [], name="_id")
     doc = F.to_json(F.struct(*[F.col(c).alias(display[c]) for c in body]))
     return ordered.select("diagnosis", "_id", doc.alias("doc"))
 
 
-def send_in_chunks(docs: DataFrame, send: Callable[[list[dict]], None], chunk: int = CHUNK) -> None:
+def requests(docs: DataFrame, size: int = REQUEST) -> DataFrame:
+    """K3: the documents of each partition in requests of at most ``size``:
+    ``n_docs, docs`` (array of struct<diagnosis, _id, doc>)."""
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = (r for batch in batches for r in batch.to_dict("records"))
+        while part := list(islice(rows, size)):
+            yield pd.DataFrame({"n_docs": [len(part)], "docs": [part]})
+
+    return docs.select("diagnosis", "_id", "doc").mapInPandas(
+        cut, "n_docs int, docs array<struct<diagnosis: string, _id: bigint, doc: string>>")
+
+
+def send_in_chunks(docs: DataFrame, send: Callable[[list[dict]], None], chunk: int = REQUEST) -> None:
     """K3 for an external document store: every partition sends its rows in
-    requests of at most ``chunk`` documents (the bulk requests of the
-    reference), from the executors -- nothing passes through the driver.
-    ``send`` must be idempotent per document (e.g. upsert by ``_id``): a
-    retried task sends its partition again."""
+    requests of at most ``chunk`` documents, from the executors -- nothing
+    passes through the driver.  ``send`` must be idempotent per document (e.g.
+    upsert by ``_id``): a retried task sends its partition again."""
     def run(rows):
-        it = iter(rows)
-        while True:
-            batch = list(islice(it, chunk))
-            if not batch:
-                break
-            send([r.asDict() for r in batch])
-
-    docs.foreachPartition(run)
-
-
-def write_index(results: DataFrame, path: str) -> None:
-    """The search index of a results table (the term dictionary of the
-    search service): distinct terms with their deletion variants, and the
-    postings.  Written once with the results so repeated searches only join
-    against it.  Both parts are partitioned by field and clustered by their
-    join key, so a term lookup reads few row groups."""
-    from caseload.operators import search
-    idx = search.build_index(results)
-    (idx.dictionary.hint("rebalance", "field", "variant").sortWithinPartitions("field", "variant")
-        .write.mode("overwrite").partitionBy("field").parquet(f"{path}/dictionary"))
-    (idx.postings.hint("rebalance", "field", "term").sortWithinPartitions("field", "term")
-        .write.mode("overwrite").partitionBy("field").parquet(f"{path}/postings"))
-
-
-def read_index(spark: SparkSession, path: str):
-    from caseload.operators import search
-    d = spark.read.schema("match string, variant string, field string").parquet(f"{path}/dictionary")
-    p = spark.read.schema("practitioner string, full_name string, n_visits bigint, hospital string, "
-                          "email string, term string, field string").parquet(f"{path}/postings")
-    return search.SearchIndex(d.select("field", "match", "variant"),
-                              p.select("field", "term", "practitioner", *search.HIT))
+        for r in rows:
+            send([d.asDict() for d in r["docs"]])
+
+    requests(docs, chunk).foreachPartition(run)

@@ -2,16 +2,19 @@
 
 Layout below ``path``::
 
-    batch_id=<n>/diagnosis=<d>/part-*.parquet     one delta per folded batch
-    _snapshots/upto=<n>/diagnosis=<d>/...          compacted sum of batches <= n
+    batch_id=<n>/attempt=<k>/diagnosis=<d>/part-*.parquet   one delta per folded batch
+    _snapshots/upto=<n>/diagnosis=<d>/...                   compacted sum of batches <= n
 
-A batch is written by first removing its own ``batch_id=<n>`` folder, so a
+A batch is written into a new attempt folder and counts once that folder is
+complete (``_SUCCESS``); only then are its older attempts removed.  So a
 replayed batch (at-least-once ``foreachBatch``, a re-run job) replaces its
-delta instead of adding it twice.  Reading sums the newest complete snapshot
-and the deltas above it; deltas at or below the snapshot are ignored, so a
-replay of an already compacted batch changes nothing.  ``diagnosis`` is a
-partition column: one diagnosis slice is read by partition pruning.
-Everything is distributed Parquet; nothing passes through the driver.
+delta, and readers see the old or the new delta whole, never a part and never
+neither.  Reading sums the newest complete snapshot and the deltas above it.
+A batch that a snapshot already holds cannot be replaced: writing it again is
+an error, or -- for a stream, which only ever repeats itself -- a no-op.
+``diagnosis`` is a partition column: one diagnosis slice is read by partition
+pruning.  Everything is distributed Parquet; the driver lists folders, one per
+batch since the last snapshot.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from caseload.session import delete_path, hadoop_path, path_exists
 
@@ -29,106 +32,118 @@ SNAPSHOTS = "_snapshots"
 
 def merge_counts(old: DataFrame, new: DataFrame, keys, metric: str) -> DataFrame:
     """Union of two totals, summed per key."""
-    keys = list(keys)
-    return (old.select(*keys, metric).unionByName(new.select(*keys, metric))
-               .groupBy(*keys).agg(F.sum(metric).cast("bigint").alias(metric)))
+    return fold([old, new], keys, metric)
 
 
 def fold(parts, keys, metric: str) -> DataFrame:
-    """Fold a sequence of totals into one (``merge_counts`` left to right)."""
-    return reduce(lambda a, b: merge_counts(a, b, keys, metric), parts)
+    """Fold any number of totals into one: a union and a single aggregation,
+    whatever their number."""
+    keys = list(keys)
+    rows = reduce(DataFrame.unionByName, [p.select(*keys, metric) for p in parts])
+    return rows.groupBy(*keys).agg(F.sum(metric).cast("bigint").alias(metric))
 
 
-def _schema(keys, metric: str, batch_col: str | None) -> StructType:
-    from pyspark.sql.types import StringType
-    fields = [StructField(k, StringType()) for k in keys if k != "diagnosis"]
-    fields.append(StructField(metric, LongType()))
-    if batch_col:
-        fields.append(StructField(batch_col, LongType()))
-    fields.append(StructField("diagnosis", StringType()))
-    return StructType(fields)
+def _schema(keys, metric: str) -> StructType:
+    return StructType([*[StructField(k, StringType()) for k in keys if k != "diagnosis"],
+                       StructField(metric, LongType()), StructField("diagnosis", StringType())])
 
 
-def append_delta(spark: SparkSession, totals: DataFrame, path: str, batch_id: int) -> None:
-    """K1: write ``totals`` as the delta of ``batch_id`` (idempotent).
+def _numbered(spark: SparkSession, path: str, prefix: str, complete: bool = False) -> dict[int, str]:
+    """number -> folder of the folders ``<prefix><number>`` below ``path``."""
+    if not path_exists(spark, path):
+        return {}
+    fs, p = hadoop_path(spark, path)
+    out = {}
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith(prefix) and (not complete or fs.exists(st.getPath().suffix("/_SUCCESS"))):
+            out[int(name.removeprefix(prefix))] = st.getPath().toString()
+    return out
+
+
+def append_delta(spark: SparkSession, totals: DataFrame, path: str, batch_id: int,
+                 replay: bool = False) -> bool:
+    """K1: write ``totals`` as the delta of ``batch_id``, in place of an older one.
 
     Rebalanced by diagnosis first (AQE splits a hot diagnosis over several
     tasks and merges small partitions), so each task writes few folders.
+    Returns False if a snapshot already holds the batch and ``replay`` says
+    that the totals are the same; without ``replay`` that is an error.
     """
-    target = f"{path.rstrip('/')}/batch_id={int(batch_id)}"
-    delete_path(spark, target)
-    totals.hint("rebalance", "diagnosis").write.mode("append").partitionBy("diagnosis").parquet(target)
+    root = path.rstrip("/")
+    upto = latest_snapshot(spark, root)
+    if upto is not None and batch_id <= upto:
+        if replay:
+            return False
+        raise ValueError(f"batch {batch_id} is part of the snapshot up to {upto} and cannot be replaced")
+    target = f"{root}/batch_id={int(batch_id)}"
+    older = _numbered(spark, target, "attempt=")
+    attempt = max(older, default=-1) + 1
+    (totals.hint("rebalance", "diagnosis").write.mode("errorifexists")
+           .partitionBy("diagnosis").parquet(f"{target}/attempt={attempt}"))
+    for folder in older.values():
+        delete_path(spark, folder)
+    return True
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> int | None:
-    snap = f"{path.rstrip('/')}/{SNAPSHOTS}"
-    if not path_exists(spark, snap):
-        return None
-    fs, p = hadoop_path(spark, snap)
-    best = None
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("upto=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            n = int(name.split("=", 1)[1])
-            best = n if best is None or n > best else best
-    return best
+    return max(_numbered(spark, f"{path.rstrip('/')}/{SNAPSHOTS}", "upto=", complete=True), default=None)
 
 
-def read_totals(spark: SparkSession, path: str, keys, metric: str,
-                diagnosis: str | None = None) -> DataFrame:
-    """Current totals = newest snapshot + newer deltas, summed."""
-    keys = list(keys)
+def deltas(spark: SparkSession, path: str) -> dict[int, str]:
+    """batch_id -> folder of its newest complete delta, above the newest snapshot."""
     root = path.rstrip("/")
     upto = latest_snapshot(spark, root)
-    parts = []
-    if max_batch(spark, root) is not None:
-        deltas = (spark.read.schema(_schema(keys, metric, "batch_id"))
-                       .parquet(root))  # batch_id=/diagnosis= folders; _snapshots is hidden
-        if upto is not None:
-            deltas = deltas.where(F.col("batch_id") > F.lit(upto))
-        parts.append(deltas.select(*keys, metric))
-    if upto is not None:
-        parts.append(spark.read.schema(_schema(keys, metric, None))
-                          .parquet(f"{root}/{SNAPSHOTS}/upto={upto}").select(*keys, metric))
-    if not parts:
-        return spark.createDataFrame([], _schema(keys, metric, None)).select(*keys, metric)
-    out = reduce(lambda a, b: a.unionByName(b), parts)
-    if diagnosis is not None:
-        out = out.where(F.col("diagnosis") == F.lit(diagnosis))
-    return out.groupBy(*keys).agg(F.sum(metric).cast("bigint").alias(metric))
+    out = {}
+    for batch, folder in _numbered(spark, root, "batch_id=").items():
+        attempts = _numbered(spark, folder, "attempt=", complete=True)
+        if attempts and (upto is None or batch > upto):
+            out[batch] = attempts[max(attempts)]
+    return out
 
 
-def max_batch(spark: SparkSession, path: str) -> int | None:
+def read_delta(spark: SparkSession, folder: str, keys, metric: str) -> DataFrame:
+    return spark.read.schema(_schema(list(keys), metric)).parquet(folder)
+
+
+def read_totals(spark: SparkSession, path: str, keys, metric: str,
+                diagnosis: str | None = None, only: DataFrame | None = None) -> DataFrame:
+    """Current totals = newest snapshot + newer deltas, summed.
+
+    ``diagnosis`` reads one slice, ``only`` (a table with a column
+    ``diagnosis``) the slices it names; both prune partitions.
+    """
+    keys = list(keys)
     root = path.rstrip("/")
-    if not path_exists(spark, root):
-        return None
-    fs, p = hadoop_path(spark, root)
-    ids = [int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(p)
-           if st.getPath().getName().startswith("batch_id=")]
-    return max(ids) if ids else None
+    upto = latest_snapshot(spark, root)
+    folders = [*deltas(spark, root).values(), *([] if upto is None else [f"{root}/{SNAPSHOTS}/upto={upto}"])]
+    if not folders:
+        return spark.createDataFrame([], _schema(keys, metric)).select(*keys, metric)
+    parts = [read_delta(spark, f, keys, metric) for f in folders]
+    if diagnosis is not None:
+        parts = [p.where(F.col("diagnosis") == F.lit(diagnosis)) for p in parts]
+    if only is not None:
+        parts = [p.join(only.select("diagnosis"), "diagnosis", "left_semi") for p in parts]
+    return fold(parts, keys, metric)
 
 
-def compact(spark: SparkSession, path: str, keys, metric: str) -> int | None:
-    """K5: fold every delta into a new snapshot, then drop what it replaced.
+def compact(spark: SparkSession, path: str, keys, metric: str, totals: DataFrame | None = None) -> int | None:
+    """K5: fold every delta into a new snapshot (``totals`` if given), then drop what it replaced.
 
     The new snapshot is complete (``_SUCCESS``) before anything old is
     removed, so a crash at any point leaves readable state.
     """
     root = path.rstrip("/")
-    top = max_batch(spark, root)
-    if top is None:
-        return latest_snapshot(spark, root)
+    top = max(deltas(spark, root), default=None)
     prev = latest_snapshot(spark, root)
-    if prev is not None and prev >= top:
+    if top is None:
         return prev
-    totals = read_totals(spark, root, keys, metric)
+    totals = read_totals(spark, root, keys, metric) if totals is None else totals
     (totals.hint("rebalance", "diagnosis")
            .write.mode("overwrite").partitionBy("diagnosis").parquet(f"{root}/{SNAPSHOTS}/upto={top}"))
-    fs, p = hadoop_path(spark, root)
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= top:
-            fs.delete(st.getPath(), True)
+    for batch, folder in _numbered(spark, root, "batch_id=").items():
+        if batch <= top:
+            delete_path(spark, folder)
     if prev is not None:
         delete_path(spark, f"{root}/{SNAPSHOTS}/upto={prev}")
     return top

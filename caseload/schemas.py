@@ -27,21 +27,25 @@ PRACTITIONER_READ = StructType([
     StructField(CORRUPT, StringType()),
 ])
 
-VISIT_TOTALS = StructType([
-    StructField("practitioner", StringType()),
-    StructField("diagnosis", StringType()),
-    StructField("n_visits", LongType()),
+# patient: $.identifier, $.name
+PATIENT_READ = StructType([
+    StructField("identifier", StringType()),
+    StructField("name", StringType()),
+    StructField(CORRUPT, StringType()),
 ])
 
-PATIENT_CASES = StructType([
+RESULTS = StructType([
     StructField("practitioner", StringType()),
+    StructField("n_visits", LongType()),
+    StructField("full_name", StringType()),
+    StructField("email", StringType()),
+    StructField("hospital", StringType()),
     StructField("diagnosis", StringType()),
-    StructField("patient", StringType()),
-    StructField("n_cases", LongType()),
 ])
 
-RESULTS = StructType([
+RESULTS_TWO_METRICS = StructType([
     StructField("practitioner", StringType()),
+    StructField("n_patients", LongType()),
     StructField("n_visits", LongType()),
     StructField("full_name", StringType()),
     StructField("email", StringType()),
@@ -75,3 +79,16 @@ DISPLAY_NAMES_TWO_METRICS = {
     "email": "E-mail",
     "hospital": "Hospital",
 }
+# documents of the cases per patient
+DISPLAY_NAMES_CASES = {
+    "practitioner": "Practitioner",
+    "patient": "Patient",
+    "n_cases": "Number of cases",
+}
+
+
+def display_names(columns) -> dict[str, str]:
+    """The display names of a table with these columns."""
+    if "n_cases" in columns:
+        return DISPLAY_NAMES_CASES
+    return DISPLAY_NAMES_TWO_METRICS if "n_patients" in columns else DISPLAY_NAMES

@@ -12,13 +12,12 @@ Scale notes (100 TB of encounter text on ~1000 executors):
   splits hot join partitions.
 * Broadcasts: Spark broadcasts a side only when its size estimate (static
   statistics, or the materialised shuffle size under AQE) is below the
-  broadcast threshold and sort-merges otherwise.  The only explicit hints are
-  the search's match / per-query tables, after counting the query terms.
+  broadcast threshold and sort-merges otherwise.  There are no hints.
+* State stores of streams are RocksDB: their size is bounded by disk, not heap.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -32,6 +31,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -62,8 +63,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     Uses the directory the cluster names in ``spark.checkpoint.dir`` (or one
-    already set on the context).  Only when none is set -- local runs and
-    tests -- a fresh local folder is created and registered.
+    already set on the context).  Only in local mode, where driver and
+    executors are one process, a fresh local folder stands in for it; on a
+    cluster executors would each write to their own disk, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -71,15 +73,39 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="caseload-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
+
+
 def work_dir(spark: SparkSession, tag: str) -> str:
-    """A fresh, unique folder below the checkpoint root (never reused)."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/work/{tag}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder below the checkpoint root (never reused).
+
+    The folders of a session lie in one folder, which the session owns: it is
+    removed when the driver's JVM ends (``clear_work`` removes it earlier).
+    """
+    return f"{_session_work(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def _session_work(spark: SparkSession) -> str:
+    path = f"{checkpoint_root(spark).rstrip('/')}/work/{spark.sparkContext.applicationId}"
+    fs, p = hadoop_path(spark, path)
+    if not fs.exists(p):
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+    return path
+
+
+def clear_work(spark: SparkSession) -> bool:
+    """Remove every work folder of this session; tables read from them are gone."""
+    return delete_path(spark, _session_work(spark))
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -114,17 +140,3 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
             out.append(st.getPath().toString())
     return sorted(out)
 
-
-def spread(df, min_partitions: int | None = None):
-    """Round-robin ``df`` over the cluster's cores only when its scan yields
-    fewer partitions than that (e.g. one unsplittable row group); a fact
-    table of thousands of splits is returned untouched, without a shuffle."""
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
-def local_cpus(default: int = 8) -> int:
-    return int(os.environ.get("BENCH_CPUS", default))

@@ -83,12 +83,15 @@ def route_paths(spark: SparkSession, root: str,
 
 
 def read_routed(spark: SparkSession, root: str, **markers) -> DataFrame:
-    """All routed lines in one scan: ``value, file_path, role``."""
+    """All routed lines: ``value, file_path, role``, scanned once.  A file whose
+    path holds both markers has both roles, so its lines come twice."""
     routed = route_paths(spark, root, **markers)
     enc = set(routed["encounter"])
     prac = set(routed["practitioner"])
     lines = read_lines(spark, sorted(enc | prac))
     enc_m = markers.get("encounter_marker", ENCOUNTER_MARKER)
-    return lines.withColumn(
-        "role",
-        F.when(F.col("file_path").contains(enc_m), F.lit("encounter")).otherwise(F.lit("practitioner")))
+    prac_m = markers.get("practitioner_marker", PRACTITIONER_MARKER)
+    roles = F.array_compact(F.array(
+        F.when(F.col("file_path").contains(enc_m), F.lit("encounter")),
+        F.when(F.col("file_path").contains(prac_m), F.lit("practitioner"))))
+    return lines.withColumn("role", F.explode(roles))

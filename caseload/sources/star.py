@@ -1,7 +1,6 @@
 """Adapters: the driver's star tables standing in for the clinical modules.
 
-encounter     one ``lineitem`` row joined to ``part`` (and to its ``orders`` row
-              when the patient is read)
+encounter     one ``lineitem`` row joined to its ``orders`` and ``part`` rows
 practitioner  ``l_suppkey`` / ``s_suppkey`` as text
 diagnosis     ``p_name``
 patient       ``o_custkey`` as text
@@ -15,8 +14,9 @@ path (``from_json`` with a pruned schema) runs on every row, while the SQL
 oracle reads the tables directly.  Joins are left to the planner: ``part``,
 ``supplier``, ``nation`` and ``region`` are dimension tables that Spark
 broadcasts when their statistics are under the threshold and sort-merges
-otherwise; ``lineitem`` x ``orders`` -- a sort-merge join on the order key at
-scale -- is only planned for readings that use the patient.
+otherwise.  ``lineitem`` x ``orders`` is a sort-merge join on the order key at
+scale; the lines are dealt out by that key first, which is the exchange the
+join needs, and which also spreads an unsplittable file over the cores.
 """
 
 from __future__ import annotations
@@ -24,8 +24,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseload.session import spread
-
 N_SLICES = 3
 
 
@@ -33,26 +31,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def encounter_records(spark: SparkSession, sf_dir: str, with_patient: bool = True) -> DataFrame:
-    """Flat encounter columns (before JSON encoding).
-
-    ``with_patient=False`` leaves out the patient and with it the join to
-    ``orders`` -- at scale a sort-merge shuffle of the two largest tables --
-    for readings that never look at the patient (visit counts).
-    """
-    # the fact scan feeds per-row JSON encode/parse: keep every core busy
-    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
+def encounter_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat encounter columns (before JSON encoding)."""
+    li = (table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+          .repartition("l_orderkey"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    if with_patient:
-        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-        li = li.join(orders, li.l_orderkey == orders.o_orderkey)
-    else:
-        li = li.withColumn("o_custkey", F.lit(None).cast("bigint"))
-    return (li.join(part, li.l_partkey == part.p_partkey)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return (li.join(orders, li.l_orderkey == orders.o_orderkey)
+              .join(part, li.l_partkey == part.p_partkey)
               .select("l_orderkey", "l_linenumber", "l_suppkey", "o_custkey", "p_name"))
 
 
-def _encounter_json(with_patient: bool = True) -> Column:
+def _encounter_json() -> Column:
     fields = [
         F.lit("Encounter").alias("resourceType"),
         F.concat_ws("-", F.col("l_orderkey").cast("string"),
@@ -61,8 +51,6 @@ def _encounter_json(with_patient: bool = True) -> Column:
         F.array(F.struct(F.col("l_suppkey").cast("string").alias("individual"))).alias("participant"),
         F.array(F.struct(F.col("p_name").alias("condition"))).alias("diagnosis"),
     ]
-    if not with_patient:
-        fields.pop(2)
     return F.to_json(F.struct(*fields))
 
 
@@ -80,12 +68,10 @@ def damage(value: Column, line_number: Column) -> Column:
              .otherwise(value))
 
 
-def encounter_lines(spark: SparkSession, sf_dir: str, damaged: bool = False,
-                    with_patient: bool = True) -> DataFrame:
-    """``value`` (one JSON encounter per row), ``file_path`` and ``slice``;
-    without ``subject`` when ``with_patient`` is false."""
-    rec = encounter_records(spark, sf_dir, with_patient)
-    value = _encounter_json(with_patient)
+def encounter_lines(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
+    """``value`` (one JSON encounter per row), ``file_path`` and ``slice``."""
+    rec = encounter_records(spark, sf_dir)
+    value = _encounter_json()
     if damaged:
         value = damage(value, F.col("l_linenumber"))
     slice_no = F.pmod(F.col("l_orderkey"), F.lit(N_SLICES)).cast("int")
@@ -110,7 +96,17 @@ def practitioner_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.concat(F.lower(F.col("r_name")), F.lit("-"), F.lower(F.col("n_name"))).alias("hospital")))
 
 
-def practitioner_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def damage_practitioner(value: Column, practitioner: Column) -> Column:
+    """Deterministic damage by the id's remainder by 10: 1 text cut after 40
+    characters, 2 no qualification, 4 id written as a JSON number."""
+    rest = F.pmod(practitioner.cast("bigint"), F.lit(10))
+    return (F.when(rest == 1, F.substring(value, 1, 40))
+             .when(rest == 2, F.regexp_replace(value, r'"qualification":\[[^\]]*\]', '"qualification":[]'))
+             .when(rest == 4, F.regexp_replace(value, r'"identifier":"(\d+)"', '"identifier":$1'))
+             .otherwise(value))
+
+
+def practitioner_lines(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
     rec = practitioner_records(spark, sf_dir)
     value = F.to_json(F.struct(
         F.lit("Practitioner").alias("resourceType"),
@@ -119,9 +115,21 @@ def practitioner_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("email").alias("telecom"),
         F.array(F.struct(F.col("hospital").alias("identifier"))).alias("qualification"),
     ))
+    if damaged:
+        value = damage_practitioner(value, F.col("practitioner"))
     return rec.select(value.alias("value"), F.lit("practitioners/part-0").alias("file_path"))
 
 
+def patient_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    value = F.to_json(F.struct(
+        F.lit("Patient").alias("resourceType"),
+        F.col("c_custkey").cast("string").alias("identifier"),
+        F.lower(F.regexp_replace("c_name", "#", " ")).alias("name"),
+    ))
+    return c.select(value.alias("value"), F.lit("patients/part-0").alias("file_path"))
+
+
 def write_ndjson(lines: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Write ``value`` lines as text files (one JSON object per line)."""
     cols = ["value"] + ([partition_by] if partition_by else [])

@@ -2,9 +2,11 @@
 
 T1 ``visit_counts``: a streaming aggregation (state store keyed by
 practitioner/diagnosis, checkpointed) in ``update`` mode.  Each micro-batch's
-updated totals are written by ``foreachBatch`` into ``batch_id=<n>`` of the
-sink; the current total of a key is the value from its latest batch.  A
-replayed batch overwrites its own folder, so output is exactly-once.
+updated totals are written by ``foreachBatch`` as a delta of that batch
+(``plans.state`` layout); the current total of a key is the value from its
+latest batch.  A replayed batch replaces its own delta, so output is
+exactly-once.  Give the session the RocksDB state store (``session.DEFAULT_CONF``):
+the pairs then live on disk, not on the heap.
 
 T2 ``patient_cases``: distinct patients cannot be counted by a streaming
 aggregation without event time (``count(distinct)`` is rejected and nested
@@ -14,17 +16,21 @@ state with every patient.  Instead each micro-batch computes its cases per
 (``plans.state``) under its batch id; patients and visits are derived on
 read.  Idempotent for the same reason as T1.
 
-A run that starts without an existing checkpoint numbers its batches from 0
-again, and files may fall into other batches than before; so a fresh start
-first clears what an earlier run left in the sink / state table.
+A run without a checkpoint numbers its batches from 0 again, and files may
+fall into other batches than before; so it refuses to write next to what an
+earlier run left, unless ``fresh=True`` says to clear that first.
 
-Both read files at most ``max_files_per_trigger`` at a time (one file per
-batch reproduces folding file by file) and run with ``availableNow`` for
-bounded catch-up, or any other trigger for a long-running job.
+Both take all files that are there, or ``max_files_per_trigger`` at a time
+(one file per batch reproduces folding file by file), and run with
+``availableNow`` for bounded catch-up, or any other trigger for a long-running
+job; every ``compact_every`` batches the deltas are folded into a snapshot, so
+neither the folders nor the reads grow with the number of batches.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,29 +38,39 @@ from caseload.operators import aggregate, extract
 from caseload.plans import state
 from caseload.session import delete_path, path_exists
 
+COMPACT_EVERY = 20
+
+
+def _lines(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None) -> DataFrame:
+    reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(input_dir).select("value", F.col("_metadata.file_path").alias("file_path"))
+
 
-def _lines(spark: SparkSession, input_dir: str, max_files_per_trigger: int) -> DataFrame:
-    return (spark.readStream.format("text")
-                 .option("maxFilesPerTrigger", max_files_per_trigger)
-                 .option("recursiveFileLookup", "true")
-                 .load(input_dir)
-                 .select("value", F.col("_metadata.file_path").alias("file_path")))
+def _start(spark: SparkSession, checkpoint: str, out: str, fresh: bool) -> None:
+    if path_exists(spark, checkpoint):
+        return
+    if path_exists(spark, out):
+        if not fresh:
+            raise ValueError(f"{out} holds the output of another run, but there is no checkpoint at {checkpoint}; "
+                             "pass fresh=True to clear it")
+        delete_path(spark, out)
 
 
 def run_visit_counts(spark: SparkSession, input_dir: str, checkpoint: str, sink: str,
-                     max_files_per_trigger: int = 1, trigger: dict | None = None,
-                     on_malformed: str = "quarantine"):
+                     max_files_per_trigger: int | None = None, trigger: dict | None = None,
+                     on_malformed: str = "quarantine", fresh: bool = False, compact_every: int = COMPACT_EVERY):
     """Start (and, with the default ``availableNow`` trigger, finish) the
     running visit count; returns the finished ``StreamingQuery``."""
-    if not path_exists(spark, checkpoint):
-        delete_path(spark, sink)
+    _start(spark, checkpoint, sink, fresh)
     counts = aggregate.visit_counts(
         extract.encounters(_lines(spark, input_dir, max_files_per_trigger), on_malformed))
 
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        target = f"{sink.rstrip('/')}/batch_id={int(batch_id)}"
-        delete_path(spark, target)
-        df.write.mode("append").parquet(target)
+        state.append_delta(spark, df, sink, batch_id, replay=True)
+        if batch_id % compact_every == compact_every - 1:
+            compact_visit_counts(spark, sink)
 
     q = (counts.writeStream.outputMode("update")
                .option("checkpointLocation", checkpoint)
@@ -66,64 +82,42 @@ def run_visit_counts(spark: SparkSession, input_dir: str, checkpoint: str, sink:
     return q
 
 
-_SINK_SCHEMA = "practitioner string, diagnosis string, n_visits bigint"
+PAIR = ["practitioner", "diagnosis"]
 
 
 def read_visit_counts(spark: SparkSession, sink: str) -> DataFrame:
     """Current totals of T1: per key, the count of its latest batch (the
     compacted snapshot counts as the batch it was compacted up to)."""
-    root = sink.rstrip("/")
-    upto = state.latest_snapshot(spark, root)
-    parts = []
-    if state.max_batch(spark, root) is not None:
-        deltas = (spark.read.schema(_SINK_SCHEMA + ", batch_id bigint")
-                       .parquet(root))  # batch_id=/diagnosis= folders; _snapshots is hidden
-        if upto is not None:
-            deltas = deltas.where(F.col("batch_id") > F.lit(upto))
-        parts.append(deltas)
+    folders = state.deltas(spark, sink)
+    upto = state.latest_snapshot(spark, sink)
     if upto is not None:
-        parts.append(spark.read.schema(_SINK_SCHEMA).parquet(f"{root}/{state.SNAPSHOTS}/upto={upto}")
-                          .withColumn("batch_id", F.lit(upto).cast("bigint")))
-    if not parts:
-        return spark.createDataFrame([], _SINK_SCHEMA)
-    df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return df.groupBy("practitioner", "diagnosis").agg(
-        F.max_by("n_visits", "batch_id").alias("n_visits"))
+        folders[upto] = f"{sink.rstrip('/')}/{state.SNAPSHOTS}/upto={upto}"
+    if not folders:
+        return spark.createDataFrame([], "practitioner string, diagnosis string, n_visits bigint")
+    rows = reduce(DataFrame.unionByName, [
+        state.read_delta(spark, folder, PAIR, "n_visits").withColumn("batch_id", F.lit(batch).cast("bigint"))
+        for batch, folder in folders.items()])
+    return rows.groupBy(*PAIR).agg(F.max_by("n_visits", "batch_id").alias("n_visits"))
 
 
 def compact_visit_counts(spark: SparkSession, sink: str) -> int | None:
-    """Fold T1's per-batch updates into one snapshot so reading a
-    long-running stream does not grow with its number of batches.  The
-    snapshot is complete before the batches it replaces are removed; a
-    replayed batch at or below the snapshot is ignored on read."""
-    root = sink.rstrip("/")
-    top = state.max_batch(spark, root)
-    prev = state.latest_snapshot(spark, root)
-    if top is None or (prev is not None and prev >= top):
-        return prev
-    current = read_visit_counts(spark, root)
-    (current.hint("rebalance", "diagnosis")
-            .write.mode("overwrite").parquet(f"{root}/{state.SNAPSHOTS}/upto={top}"))
-    fs, p = state.hadoop_path(spark, root)
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= top:
-            fs.delete(st.getPath(), True)
-    if prev is not None:
-        delete_path(spark, f"{root}/{state.SNAPSHOTS}/upto={prev}")
-    return top
+    """Fold T1's per-batch updates into one snapshot: the latest count of each
+    key, complete before what it replaces is removed."""
+    return state.compact(spark, sink, PAIR, "n_visits", read_visit_counts(spark, sink))
 
 
 def run_patient_cases(spark: SparkSession, input_dir: str, checkpoint: str, state_path: str,
-                      max_files_per_trigger: int = 1, trigger: dict | None = None):
+                      max_files_per_trigger: int | None = None, trigger: dict | None = None,
+                      fresh: bool = False, compact_every: int = COMPACT_EVERY):
     """Fold cases per (practitioner, diagnosis, patient) batch by batch."""
-    if not path_exists(spark, checkpoint):
-        state.clear(spark, state_path)
+    _start(spark, checkpoint, state_path, fresh)
     enc = extract.encounters(_lines(spark, input_dir, max_files_per_trigger),
                              "quarantine", require_patient=True)
 
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        state.append_delta(spark, aggregate.patient_cases(df), state_path, batch_id)
+        state.append_delta(spark, aggregate.patient_cases(df), state_path, batch_id, replay=True)
+        if batch_id % compact_every == compact_every - 1:
+            compact_patient_cases(spark, state_path)
 
     q = (enc.writeStream.option("checkpointLocation", checkpoint)
             .foreachBatch(write_batch)

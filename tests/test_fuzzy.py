@@ -5,6 +5,7 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from caseload.functions import fuzzy
 from caseload.operators import search
@@ -20,10 +21,15 @@ def lev(a, b):
     return d[-1]
 
 
-@pytest.mark.parametrize("a,b,want", [("ab", "ba", 1), ("ca", "abc", 3), ("hya fever", "hay fever", 1),
-                                      ("hya fevre", "hay fever", 2), ("", "abc", 3), ("kitten", "sitting", 3)])
-def test_osa(a, b, want):
-    assert fuzzy._osa(a, b) == want
+def spark_osa(spark, pairs):
+    df = spark.createDataFrame(pairs, "a string, b string")
+    return [r.d for r in df.select(fuzzy.osa(F.col("a"), F.col("b")).alias("d")).collect()]
+
+
+def test_osa(spark):
+    cases = [("ab", "ba", 1), ("ca", "abc", 3), ("hya fever", "hay fever", 1), ("hya fevre", "hay fever", 2),
+             ("", "abc", 3), ("abc", "", 3), ("", "", 0), ("kitten", "sitting", 3)]
+    assert spark_osa(spark, [c[:2] for c in cases]) == [c[2] for c in cases]
 
 
 def test_deletion_variants(spark):
@@ -51,12 +57,12 @@ def test_expand_terms_equals_brute_force(spark, transpositions):
     words = ["".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 7))) for _ in range(250)]
     vocab = sorted(set(words[:180]))
     terms = sorted(set(words[150:]))
-    for field, k in (("diagnosis", 2), ("hospital", 1)):
+    for field, k in (("diagnosis", 2), ("hospital", 1), ("hospital", 3)):
         t = spark.createDataFrame([(field, w) for w in terms], "field string, term string")
         v = spark.createDataFrame([(field, w) for w in vocab], "field string, term string")
         got = {(r.term, r.match, r.distance) for r in
                search.expand_terms(t, v, {field: k}, None, transpositions).collect()}
-        assert got == _brute(terms, vocab, k, fuzzy._osa if transpositions else lev)
+        assert got == _brute(terms, vocab, k, _osa_recursive if transpositions else lev)
 
 
 def test_cap_keeps_closest(spark):
@@ -88,15 +94,25 @@ def _osa_recursive(a, b):
     return d(len(a), len(b))
 
 
-from hypothesis import given, settings  # noqa: E402
-from hypothesis import strategies as st  # noqa: E402
+def test_osa_matches_definition(spark):
+    rnd = random.Random(5)
+    pairs = [tuple("".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 7))) for _ in range(2)) for _ in range(600)]
+    got = spark_osa(spark, pairs)
+    assert got == [_osa_recursive(a, b) for a, b in pairs]
+    # a transposition saves at most one of two edits
+    assert all(d <= lev(a, b) <= 2 * d for d, (a, b) in zip(got, pairs))
 
-_short = st.text(alphabet="abcd", max_size=7)
 
+def test_every_match_counts_without_a_cap(spark):
+    vocab = [f"{i:09d}" for i in range(400)]
+    t = spark.createDataFrame([("full_name", "000000042")], "field string, term string")
+    v = spark.createDataFrame([("full_name", w) for w in vocab], "field string, term string")
+    got = {r.match for r in search.expand_terms(t, v, {"full_name": 2}).collect()}
+    assert got == {w for w in vocab if _osa_recursive("000000042", w) <= 2} and len(got) > 50
 
-@settings(max_examples=400, deadline=None)
-@given(_short, _short)
-def test_osa_matches_definition(a, b):
-    d = fuzzy._osa(a, b)
-    assert d == _osa_recursive(a, b)
-    assert d <= lev(a, b) <= 2 * d          # a transposition saves at most one of two edits
+
+def test_no_python_in_the_distance(spark, capsys):
+    t = spark.createDataFrame([("full_name", "abcd")], "field string, term string")
+    search.expand_terms(t, t, {"full_name": 2}).explain()
+    plan = capsys.readouterr().out
+    assert "ArrowEvalPython" not in plan and plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") == 1

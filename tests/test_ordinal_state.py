@@ -3,11 +3,13 @@
 import json
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from caseload.operators.ordinal import with_ordinal
 from caseload.plans import serve, state
+from caseload.schemas import RESULTS_TWO_METRICS
 
 PAIR = ["practitioner", "diagnosis"]
 
@@ -66,7 +68,9 @@ def test_delta_state_replay_compact_clear(spark, tmp):
     assert current(diagnosis="flu") == [("1", "flu", 7)]
     assert state.compact(spark, tmp, PAIR, "n_visits") == 1
     assert current() == [("1", "flu", 7), ("2", "gout", 1)]
-    state.append_delta(spark, b, tmp, 1)          # replay of a compacted batch: ignored
+    assert not state.append_delta(spark, b, tmp, 1, replay=True)   # a stream repeats a compacted batch
+    with pytest.raises(ValueError):               # a correction of it is not lost in silence
+        state.append_delta(spark, a, tmp, 1)
     assert current() == [("1", "flu", 7), ("2", "gout", 1)]
     state.append_delta(spark, b, tmp, 2)
     assert current() == [("1", "flu", 12), ("2", "gout", 1)]
@@ -74,13 +78,55 @@ def test_delta_state_replay_compact_clear(spark, tmp):
     assert current() == []
 
 
+def test_a_half_written_delta_does_not_count(spark, tmp):
+    """Until a new attempt is complete, the old delta is the one that is read."""
+    from caseload.session import delete_path
+    schema = "practitioner string, diagnosis string, n_visits long"
+    state.append_delta(spark, spark.createDataFrame([("1", "flu", 2)], schema), tmp, 0)
+    half = f"{tmp}/batch_id=0/attempt=1"
+    spark.createDataFrame([("1", "flu", 9)], schema).write.partitionBy("diagnosis").parquet(half)
+    delete_path(spark, f"{half}/_SUCCESS")
+    assert [r.n_visits for r in state.read_totals(spark, tmp, PAIR, "n_visits").collect()] == [2]
+    state.append_delta(spark, spark.createDataFrame([("1", "flu", 3)], schema), tmp, 0)
+    assert [r.n_visits for r in state.read_totals(spark, tmp, PAIR, "n_visits").collect()] == [3]
+
+
+def test_null_group_keeps_its_rows(spark):
+    df = spark.createDataFrame([("1", None, 3), ("2", None, 1), ("2", "flu", 1)],
+                               "practitioner string, diagnosis string, n_visits long")
+    docs = serve.to_documents(df).collect()
+    assert sorted((r.diagnosis or "", r._id) for r in docs) == [("", 0), ("", 1), ("flu", 0)]
+
+
+def test_documents_name_every_column(spark):
+    both = spark.createDataFrame([("7", 2, 3, "a b", "e", "h", "flu")], RESULTS_TWO_METRICS)
+    assert json.loads(serve.to_documents(both).first().doc) == {
+        "Practitioner": "7", "Number of patients": 2, "Number of cases": 3, "Full name": "a b", "E-mail": "e", "Hospital": "h"}
+    cases = spark.createDataFrame([("7", "flu", "p", 3)], "practitioner string, diagnosis string, patient string, n_cases long")
+    assert json.loads(serve.to_documents(cases).first().doc) == {"Practitioner": "7", "Patient": "p", "Number of cases": 3}
+    with pytest.raises(ValueError):
+        serve.to_documents(both.withColumn("extra", F.lit(1)))
+
+
+def test_full_build_replaces_and_incremental_build_removes_what_it_empties(spark, tmp):
+    from caseload.schemas import RESULTS
+    row = lambda d, n=1: ("1", n, "a b", "e", "h", d)
+    serve.write_results(spark.createDataFrame([row("flu"), row("gout")], RESULTS), tmp)
+    serve.write_results(spark.createDataFrame([row("flu", 2), row("a/b=c", 1)], RESULTS), tmp)
+    read = lambda: sorted((r.diagnosis, r.n_visits) for r in serve.read_results(spark, tmp).collect())
+    assert read() == [("a/b=c", 1), ("flu", 2)]
+    touched = spark.createDataFrame([("flu",), ("a/b=c",)], "diagnosis string")
+    serve.write_results(spark.createDataFrame([row("flu", 3)], RESULTS), tmp, touched)
+    assert read() == [("flu", 3)]
+
+
 def test_results_overwrite_per_diagnosis(spark, tmp):
     from caseload.schemas import RESULTS
     old = spark.createDataFrame([("1", 5, "a b", "e", "h", "flu"), ("9", 1, "z z", "e", "h", "flu"),
                                  ("1", 2, "a b", "e", "h", "gout")], RESULTS)
     new = spark.createDataFrame([("1", 6, "a b", "e", "h", "flu")], RESULTS)
     serve.write_results(old, tmp)
-    serve.write_results(new, tmp)
+    serve.write_results(new, tmp, new.select("diagnosis"))
     got = sorted(map(tuple, serve.read_results(spark, tmp).collect()))
     assert got == [("1", 2, "a b", "e", "h", "gout"), ("1", 6, "a b", "e", "h", "flu")]
     assert [r.n_visits for r in serve.read_results(spark, tmp, diagnosis="gout").collect()] == [2]

@@ -19,6 +19,7 @@ def test_scan_is_pruned_and_aggregation_is_partial(spark, capsys):
     p = plan(catalog.q_visit_counts(spark, SF), capsys)
     schemas = re.findall(r"ReadSchema: (struct<[^\n]*>)", p)
     assert "struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_linenumber:int>" in schemas
+    assert "struct<o_orderkey:bigint,o_custkey:bigint>" in schemas
     assert "partial_count(1)" in p
     assert p.count("from_json(") == 1
 
@@ -39,7 +40,7 @@ def test_search_has_no_all_pairs_join(spark, capsys):
     p = plan(search.search(res, q, transpositions=False), capsys, "extended")
     assert "CartesianProduct" not in p
     assert "BroadcastNestedLoopJoin" not in p
-    assert "WindowGroupLimit" in p          # per-query top-k and expansion cap are partial
+    assert "WindowGroupLimit" in p          # per-query top-k is partial
     assert "partial_bit_or" in p
 
 
@@ -48,14 +49,40 @@ def test_ordinals_read_one_checkpointed_copy(spark, capsys, name):
     """Both branches of the ordinal (counts, final join) read the same
     checkpointed, range-sorted rows; no row_number over a whole group."""
     p = plan(catalog.QUERIES[name](spark, SF), capsys)
-    assert p.count("Scan ExistingRDD") >= 2
+    assert p.split("(1) ")[0].count("Scan ExistingRDD") == 1    # the counts were read from it before
     assert "row_number" not in p
+    assert "hashpartitioning" not in p              # the rows are not moved again
 
 
-def test_no_forced_broadcast_of_data(spark, capsys):
-    """Only the size-checked search sides carry a broadcast hint."""
-    p = plan(catalog.q_enriched_visits_and_patients(spark, SF), capsys, "extended")
-    assert "BROADCAST" not in p.split("== Analyzed Logical Plan ==")[1].split("== Optimized")[0]
+def test_no_forced_broadcast(spark, capsys):
+    res = catalog.served_results(spark, SF)
+    for df in (catalog.q_enriched_visits_and_patients(spark, SF), search.search(res, catalog.batch_queries(spark, SF))):
+        p = plan(df, capsys, "extended")
+        assert "BROADCAST" not in p.split("== Analyzed Logical Plan ==")[1].split("== Optimized")[0]
+
+
+def test_fold_aggregates_once_whatever_the_number_of_parts(spark, capsys):
+    from caseload.plans import state
+    part = spark.createDataFrame([("1", "flu", 2)], "practitioner string, diagnosis string, n_visits long")
+    p = plan(state.fold([part] * 5, ["practitioner", "diagnosis"], "n_visits"), capsys, "simple")
+    assert p.count("Exchange") == 1
+
+
+def test_a_batch_reads_only_the_diagnoses_it_touches(spark, capsys, tmp):
+    from caseload.plans import job, state
+    keys = ["practitioner", "diagnosis"]
+    schema = "practitioner string, diagnosis string, n_visits long"
+    state.append_delta(spark, spark.createDataFrame([("1", "flu", 2), ("1", "gout", 1)], schema), tmp, 0)
+    batch = spark.createDataFrame([("1", "flu", 3)], schema)
+    touched = job._fold_batch(spark, batch, tmp, 1, keys, "n_visits")
+    totals = state.read_totals(spark, tmp, keys, "n_visits", only=touched)
+    assert sorted(map(tuple, totals.collect())) == [("1", "flu", 5)]
+    assert "dynamicpruning" in plan(totals, capsys)
+
+
+def test_a_stored_slice_is_one_partition(spark, capsys):
+    p = plan(catalog.q_stored_slice(spark, SF), capsys)
+    assert "PartitionFilters: [isnotnull(diagnosis" in p and "= cold widget)" in p
 
 
 def test_streaming_aggregation_is_partial_before_state(spark, capsys, tmp):

@@ -1,6 +1,7 @@
-"""Search fixtures (FIXTURES section 5) and the soft intersection against a
-plain-Python model of the reference's loop."""
+"""Search fixtures (FIXTURES section 5) and the soft intersection against its
+rule stated over sets."""
 
+import itertools
 import random
 
 import pytest
@@ -83,21 +84,26 @@ def test_more_than_ten_hits_and_ties(spark):
     assert lines == [f"Dr. {r[2]}, {r[1]} patients, Lake Centre, {r[3]}" for r in want]
 
 
-def reference_loop(lists):
-    full = set().union(*lists)
-    for lst in lists:
-        if full & set(lst):
-            full &= set(lst)
-    return full
+def required_lists(lists):
+    """Which lists count: of all choices of lists with a common element, the
+    one that is first when earlier lists matter more."""
+    choices = [c for c in itertools.product((True, False), repeat=len(lists))
+               if any(c) and set.intersection(*[set(x) for x, on in zip(lists, c) if on])]
+    return max(choices, default=(False,) * len(lists))
 
 
-def test_soft_intersection_matches_loop(spark):
+def kept(lists):
+    chosen = [set(x) for x, on in zip(lists, required_lists(lists)) if on]
+    return set.intersection(*chosen) if chosen else set()
+
+
+def test_soft_intersection_matches_its_rule(spark):
     rnd = random.Random(3)
     rows, want = [], {}
     for qi in range(60):
         universe = [f"t{j}" for j in range(8)]
         lists = [rnd.sample(universe, rnd.randint(0, 5)) for _ in range(3)]
-        want[f"q{qi}"] = reference_loop(lists)
+        want[f"q{qi}"] = kept(lists)
         for t in universe:
             mask = sum(bit for bit, lst in zip((4, 2, 1), lists) if t in lst)
             if mask:
@@ -118,18 +124,6 @@ def test_batch_equals_single_queries(spark, res):
         assert sorted(tuple(r) for r in single) == sorted(tuple(r) for r in batch if r.query_id == q[0])
 
 
-def test_index_gives_the_same_answers(spark, res, tmp):
-    from caseload.plans import serve
-    serve.write_index(res, tmp)
-    idx = serve.read_index(spark, tmp)
-    qs = search.make_queries(spark, [("a", "Hya Fevre", "", ""), ("b", "sprain", "bertholdt quimby", ""),
-                                     ("c", "", "reyes", "lake"), ("d", "", "", "")])
-    direct = sorted(map(tuple, search.search(res, qs).collect()))
-    indexed = sorted(map(tuple, search.search(None, qs, index=idx).collect()))
-    assert direct == indexed
-    assert idx.dictionary.where("field = 'diagnosis' AND match = 'sprain'").count() > 1
-
-
 def test_null_fields_do_not_hide_the_others(spark, res):
     q = spark.createDataFrame([("n", "hay fever", None, None)], search.QUERIES)
     out = [r.line for r in search.search(res, q).collect() if r.kind == "title"]
@@ -140,23 +134,41 @@ def test_null_fields_do_not_hide_the_others(spark, res):
     assert hits.where("n_visits = 3").count() == 1
 
 
-def test_large_query_table_path_gives_the_same_answers(spark, monkeypatch, capsys):
-    """Above the broadcast bound the hit joins are shuffled joins; same answers."""
+def test_joins_of_either_kind_give_the_same_answers(spark):
+    """Matches broadcast by their size or joined by shuffle: one answer."""
     from conftest import SF
     from caseload.plans import catalog
-    res = catalog.results(spark, SF)
+    res = catalog.served_results(spark, SF)
     qs = catalog.batch_queries(spark, SF)
-    small = sorted(map(tuple, search.search(res, qs, transpositions=False).collect()))
-    monkeypatch.setattr(search, "MATCH_BROADCAST_ROWS", 0)
-    assert not search.matches_fit_broadcast(qs, search.MAX_EXPANSIONS)
-    plan = search.search(res, qs, transpositions=False)
-    plan.explain("extended")
-    analyzed = capsys.readouterr().out.split("== Analyzed Logical Plan ==")[1].split("== Optimized")[0]
-    assert "BROADCAST" not in analyzed
-    large = sorted(map(tuple, plan.collect()))
+    small = sorted(map(tuple, search.search(res, qs).collect()))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for key in keys:
+        spark.conf.set(key, "-1")
+    try:
+        large = sorted(map(tuple, search.search(res, qs).collect()))
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
     assert small == large and len(small) > 0
 
 
+def test_a_diagnosis_search_prunes_the_served_table(spark, capsys):
+    from conftest import SF
+    from caseload.plans import catalog
+    res = catalog.served_results(spark, SF)
+    q = search.make_queries(spark, [("q", "cold widget", "", "")])
+    search.combine(search.query_matches(q, res), res).explain()
+    assert "dynamicpruning" in capsys.readouterr().out
+
+
+def test_ranked_by_patients_where_the_results_count_them(spark):
+    from caseload.schemas import RESULTS_TWO_METRICS
+    rows = [("1", 3, 30, "ana reyes", "a@x", "lake", "gout"), ("2", 5, 6, "tom vale", "t@x", "lake", "gout")]
+    res = spark.createDataFrame(rows, RESULTS_TWO_METRICS)
+    assert run(spark, res, ("gout", "", ""))[1] == ["Dr. tom vale, 5 patients, Lake, t@x",
+                                                    "Dr. ana reyes, 3 patients, Lake, a@x"]
+
+
 def test_hit_identity(spark):
     from caseload.schemas import RESULTS
     rows = [("1", 4, "kim park", "k@x", "lake", "gout"), ("2", 4, "kim park", "k@x", "lake", "gout")]

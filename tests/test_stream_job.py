@@ -1,8 +1,8 @@
-"""T1/T2 streaming folds, synthetic modules, the batch job and the driver
-contract."""
+"""T1/T2 streaming folds, the batch job, work folders and the driver contract."""
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF
@@ -10,7 +10,7 @@ from conftest import SF
 from caseload.operators import aggregate, extract
 from caseload.plans import catalog, job
 from caseload.sources import lines as line_src
-from caseload.sources import star, synth
+from caseload.sources import star
 from caseload.streaming import visits as stream
 
 
@@ -32,8 +32,20 @@ def test_stream_visit_counts_restart_is_idempotent(spark, tmp):
     assert _tuples(stream.read_visit_counts(spark, f"{tmp}/sink")) == want
     assert stream.compact_visit_counts(spark, f"{tmp}/sink") is not None
     assert _tuples(stream.read_visit_counts(spark, f"{tmp}/sink")) == want
-    stream.run_visit_counts(spark, src, f"{tmp}/ck2", f"{tmp}/sink", max_files_per_trigger=100)
+    with pytest.raises(ValueError):     # another checkpoint must not wipe the sink
+        stream.run_visit_counts(spark, src, f"{tmp}/ck2", f"{tmp}/sink")
     assert _tuples(stream.read_visit_counts(spark, f"{tmp}/sink")) == want
+    stream.run_visit_counts(spark, src, f"{tmp}/ck2", f"{tmp}/sink", max_files_per_trigger=100, fresh=True)
+    assert _tuples(stream.read_visit_counts(spark, f"{tmp}/sink")) == want
+
+
+def test_stream_compacts_by_itself(spark, tmp):
+    src = _stage(spark, tmp)
+    stream.run_visit_counts(spark, src, f"{tmp}/ck", f"{tmp}/sink", max_files_per_trigger=1, compact_every=2)
+    from caseload.plans import state
+    assert state.latest_snapshot(spark, f"{tmp}/sink") is not None
+    assert len(state.deltas(spark, f"{tmp}/sink")) < 2
+    assert _tuples(stream.read_visit_counts(spark, f"{tmp}/sink")) == _tuples(catalog.q_visit_counts(spark, SF))
 
 
 def test_stream_patient_counts(spark, tmp):
@@ -49,44 +61,10 @@ def test_stream_patient_counts(spark, tmp):
     assert stream.compact_patient_cases(spark, f"{tmp}/state") is not None
     assert _tuples(stream.read_patient_counts(spark, f"{tmp}/state")) == got
     # a fresh checkpoint starts over (state cleared first) with other batch sizes
-    stream.run_patient_cases(spark, src, f"{tmp}/ck2", f"{tmp}/state", max_files_per_trigger=5)
+    stream.run_patient_cases(spark, src, f"{tmp}/ck2", f"{tmp}/state", max_files_per_trigger=5, fresh=True)
     assert _tuples(stream.read_patient_counts(spark, f"{tmp}/state")) == got
 
 
-def test_synth_roundtrip(spark, tmp):
-    enc = synth.encounters(spark, SF)
-    synth.write_ndjson(synth.encounter_documents(enc), f"{tmp}/enc", "file_no")
-    synth.write_ndjson(synth.practitioner_documents(synth.practitioners(spark, SF)), f"{tmp}/prac")
-    parsed = extract.encounters(line_src.read_lines(spark, f"{tmp}/enc"), require_patient=True)
-    assert parsed.count() == enc.count()
-    assert extract.rejects(line_src.read_lines(spark, f"{tmp}/enc")).count() == 0
-    n_sup = star.table(spark, SF, "supplier").count()
-    ids = parsed.select(F.col("practitioner").cast("int").alias("p"))
-    assert ids.where((F.col("p") < 0) | (F.col("p") >= n_sup)).count() == 0
-    prac = extract.practitioners(line_src.read_lines(spark, f"{tmp}/prac"))
-    assert prac.count() == n_sup
-    assert prac.where(~F.col("hospital").isin(synth.HOSPITALS)).count() == 0
-    # identifiers recur across files (restart per file)
-    per_file = enc.groupBy("identifier").agg(F.countDistinct("file_no").alias("n"))
-    assert per_file.where(F.col("n") > 1).count() > 0
-
-
-def test_synth_is_roughly_uniform(spark):
-    enc = synth.encounters(spark, "/root/testdata/sf0.01")
-    counts = [r["count"] for r in enc.groupBy("condition").count().collect()]
-    assert len(counts) == len(synth.DIAGNOSES)
-    mean = sum(counts) / len(counts)
-    assert all(abs(c - mean) < 0.15 * mean for c in counts)
-
-
-def test_read_names(spark, tmp):
-    path = f"{tmp.replace('file:', '')}-names.csv"
-    with open(path, "w") as f:
-        f.write('"year","name","percent","sex"\n1990,"Ada",0.1,"girl"\n1990,"Bram",0.1,"boy"\n')
-    got = sorted(map(tuple, synth.read_names(spark, path).collect()))
-    assert got == [("Ada", "girl"), ("Bram", "boy")]
-
-
 def test_batch_job_from_files(spark, tmp):
     root = f"{tmp}/store"
     star.write_ndjson(star.encounter_lines(spark, SF, damaged=True), f"{root}/{line_src.ENCOUNTER_MARKER}", "slice")
@@ -125,7 +103,8 @@ def test_route_paths_requires_practitioners(spark, tmp):
 
 def test_driver_contract(spark):
     import __spark_entry__ as E
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(catalog.QUERIES) <= set(E.oracle_sql())
     df = E.entry(spark)
     rows = df.collect()
     assert rows and set(df.columns) == {"query_id", "kind", "ord", "line"}
@@ -141,3 +120,50 @@ def test_job_cli(spark, tmp):
     from caseload.plans import serve
     got = _tuples(serve.read_results(spark, f"{tmp}/res").select(*catalog.results(spark, SF).columns))
     assert got == _tuples(catalog.results(spark, SF))
+
+
+def test_machine_local_work_folders_are_refused_on_a_cluster():
+    from caseload import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(Conf)
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Session())
+    assert session.is_local("local[4]") and session.is_local("local") and not session.is_local("local-cluster[2,1,512]")
+
+
+def test_work_folders_have_an_owner(spark, tmp):
+    from caseload import session
+    assert f"/work/{spark.sparkContext.applicationId}/" in tmp
+
+
+def test_a_file_below_both_markers_has_both_roles(spark, tmp):
+    root = f"{tmp}/both"
+    star.write_ndjson(star.practitioner_lines(spark, SF), f"{root}/{line_src.ENCOUNTER_MARKER}{line_src.PRACTITIONER_MARKER}")
+    got = {r["role"]: r["count"] for r in line_src.read_routed(spark, root).groupBy("role").count().collect()}
+    assert got == {"encounter": 10, "practitioner": 10}
+
+
+def test_a_replaced_batch_takes_back_what_it_had(spark, tmp):
+    """A corrected batch without a diagnosis removes it from the served table."""
+    def store(name, diagnoses):
+        lines = [f'{{"participant":[{{"individual":"1"}}],"diagnosis":[{{"condition":"{d}"}}],"subject":"s"}}' for d in diagnoses]
+        spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{tmp}/{name}")
+        return f"{tmp}/{name}"
+
+    spark.createDataFrame([('{"identifier":"1","name":"a b","telecom":"e","qualification":[{"identifier":"h"}]}',)],
+                          "value string").write.text(f"{tmp}/prac")
+    build = lambda path: sorted((r.diagnosis, r.n_visits) for r in job.build(
+        spark, path, f"{tmp}/prac", f"{tmp}/out", state_path=f"{tmp}/st", batch_id=0).collect())
+    assert build(store("first", ["flu", "gout", "gout"])) == [("flu", 1), ("gout", 2)]
+    assert build(store("second", ["flu", "flu"])) == [("flu", 2)]
