@@ -8,8 +8,8 @@ on the digest, and a payload is checked against its digest when it is read.
 Records with equal payloads (of at least ``min_bytes``) are revisits of the
 one with the smallest page_id, the response.  Digests are computed where the
 pages are read, so only (digest, id) pairs meet in the search for the smallest
-id, and a payload that a third of the pages share is one row per task there;
-payload bytes move only for the responses, once each.
+id, and a payload that a third of the pages share is one row per task, there
+and where its bytes move to be stored once.
 
 Edge cases: a null html is an empty payload, a null url an empty target; rows
 that repeat both page_id and payload are all of the same kind; rows with a
@@ -24,12 +24,15 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseload.llm.common import written
 
 MIN_BYTES = 0
+#: Payloads are stored compressed one by one, so they also move compressed.
+LEVEL = 3
 DATE = "1970-01-01T00:00:00Z"
 _ID = "urn:x-page:"
 _CRLF = b"\r\n"
@@ -79,20 +82,36 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES) -> No
 
     planned.select("sha256", "page_id", "url", "n", "sha1", "first").mapInArrow(
         headers, "sha256 string, header binary").write.parquet(f"{path}/records")
-    stored = planned.where("page_id <=> first").select(F.col("page_id").alias("p"), F.col("sha256").alias("s")).distinct()
-    bodies = digested(pages).select("page_id", "sha256", "payload").join(
-        stored, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("sha256") == F.col("s")))
-    bodies.dropDuplicates(["sha256"]).select("sha256", "payload").write.parquet(f"{path}/payloads")
+
+    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = zstandard.ZstdCompressor(level=LEVEL)
+        for batch in batches:
+            small = [coder.compress(memoryview(p.as_buffer())) for p in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(small, pa.binary())], ["sha256", "payload"])
+
+    digested(pages).select("sha256", "payload").mapInArrow(compress, "sha256 string, payload binary").dropDuplicates(
+        ["sha256"]).write.parquet(f"{path}/payloads")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """(header, payload) of every record, the payload being the full one also
     for revisits.  A stored payload that differs from its digest is an error."""
     stored = spark.read.schema("sha256 string, payload binary").parquet(f"{path}/payloads")
-    sound = stored.select("sha256", F.when(F.sha2("payload", 256) == F.col("sha256"), F.col("payload")).otherwise(
-        F.raise_error(F.concat(F.lit("damaged payload "), F.col("sha256"))).cast("binary")).alias("payload"))
-    return spark.read.schema("sha256 string, header binary").parquet(f"{path}/records").join(sound, "sha256").select(
-        "header", "payload")
+    headers = spark.read.schema("sha256 string, header binary").parquet(f"{path}/records")
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                full = [coder.decompress(memoryview(p.as_buffer())) for p in part.column(2)]
+                for digest, payload in zip(part.column(0).to_pylist(), full):
+                    if hashlib.sha256(payload).hexdigest() != digest:
+                        raise ValueError(f"damaged payload {digest}")
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(full, pa.binary())], ["header", "payload"])
+
+    return headers.join(stored, "sha256").select("sha256", "header", "payload").mapInArrow(
+        unpack, "header binary, payload binary")
 
 
 def records(archive: DataFrame) -> DataFrame:
