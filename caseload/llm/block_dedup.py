@@ -148,10 +148,11 @@ def _extend(table: pa.Table) -> list[bytes]:
     return [bits(out[a:b]) for a, b in zip(sizes, sizes[1:])]
 
 
-def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept): ``kept`` is the words left, joined by one space."""
+def dedup(docs: DataFrame, window: int = WINDOW, **sizes) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept): ``kept`` is the words left, joined
+    by one space.  ``sizes``: chunk_bytes, bucket_bytes (see ``chunks``)."""
     block = window // 2
-    chunks = Chunks(docs.select("doc_id", "text"))
+    chunks = Chunks(docs.select("doc_id", "text"), **sizes)
     buckets = chunks.buckets
 
     def hits(words: _Words, got: dict[int, bytes]) -> tuple[_Probes, np.ndarray]:

@@ -8,6 +8,12 @@ once as a table bucketed by chunk; each chunk sends its distinct keys to hash
 key, in the order sent, and the chunk works the keys out again to use the
 answer.  A key that a third of all documents share is one entry per chunk.
 Chunks and buckets have a fixed size; their number grows with the input.
+
+A chunk sends a row to every bucket, so a row holds about
+``chunk_bytes * bucket_bytes / input bytes`` times the keys of a byte.  The
+defaults suit small executors and up to some hundred GB; for 100 TB give both
+sizes 16 times as large (and Python some GB a task), or rows hold few keys
+each and packing saves nothing over plain rows -- the result is the same.
 """
 
 from __future__ import annotations
@@ -40,14 +46,20 @@ BYTE_VALUES = _rng.integers(0, 1 << 64, 256, dtype=np.uint64, endpoint=False)
 
 
 class Chunks:
-    """The written chunk table and the number of key buckets to use with it."""
+    """The written chunk table and the number of key buckets to use with it.
+
+    The table is one of the session's work folders, and its name one of the
+    session's catalog: results are read from it for as long as they are used.
+    """
 
-    def __init__(self, docs: DataFrame):
-        self.spark, self.schema = docs.sparkSession, docs.schema
+    def __init__(self, docs: DataFrame, chunk_bytes: int | None = None, bucket_bytes: int | None = None):
+        self.spark = docs.sparkSession
+        chunk_bytes, bucket_bytes = chunk_bytes or CHUNK_BYTES, bucket_bytes or BUCKET_BYTES
         _, size = text_totals(docs)
-        chunks = max(1, math.ceil(size / CHUNK_BYTES))
-        tasks = max(1, math.ceil(size / TASK_BYTES))
-        self.buckets = max(1, math.ceil(size / BUCKET_BYTES))
+        chunks = max(1, math.ceil(size / chunk_bytes))
+        most = int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+        tasks = min(max(1, math.ceil(size / max(TASK_BYTES, chunk_bytes))), most)
+        self.buckets = max(1, math.ceil(size / bucket_bytes))
         self.table = f"chunks_{uuid.uuid4().hex[:16]}"
         names = docs.columns
 
@@ -98,9 +110,6 @@ class Chunks:
 
         return chunks.cogroup(replies.groupBy("chunk")).applyInArrow(both, schema)
 
-    def drop(self) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
-
 
 def _fields(schema: str) -> list[tuple[str, str]]:
     return [tuple(f.split()) for f in schema.split(",")]
@@ -157,11 +166,19 @@ def mixed(h: np.ndarray, seed: int = 0) -> np.ndarray:
     return h
 
 
+_known_powers: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
-        out[0] = 1
-    return np.multiply.accumulate(out, out=out)
+    """base ** 0 .. base ** (n - 1); those of usual chunk sizes are worked out once per process."""
+    known = _known_powers.get(base)
+    if known is None or len(known) < n:
+        known = np.full(max(n, CHUNK_BYTES + (CHUNK_BYTES >> 2)), base, np.uint64)
+        known[0] = 1
+        np.multiply.accumulate(known, out=known)
+        if n <= 2 * CHUNK_BYTES:
+            _known_powers[base] = known
+    return known[:n]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -26,8 +26,11 @@ from pyspark.sql import functions as F
 
 from caseload.llm.common import text_totals, whole_text
 
-#: Bytes of text in a range of neighbouring ids, about.
+#: Bytes of text in a range of neighbouring ids, about; there are at most
+#: RANGES of them (the driver knows each by one number), so beyond that many
+#: they grow.  A range is sorted and streamed, never held.
 RANGE_BYTES = 8 << 20
+RANGES = 10000
 BUCKETS = 128
 SPAN = 5
 #: (first, second, third) offsets of the triplets that end a window of SPAN bytes.
@@ -120,9 +123,9 @@ def with_next(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     n, size = text_totals(docs)
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("key"), "doc_id",
                         whole_text().alias("text"))
-    ranges = max(1, math.ceil(size / range_bytes))
+    ranges = min(max(1, math.ceil(size / range_bytes)), RANGES)
     probs = [k / ranges for k in range(1, ranges)]
-    cuts = np.array(sorted(set(keyed.approxQuantile("key", probs, 0.1 / ranges))) if probs and n else [], np.float64)
+    cuts = np.array(sorted(set(keyed.approxQuantile("key", probs, 0.2 / ranges))) if probs and n else [], np.float64)
 
     @F.pandas_udf("int")
     def range_of(keys: pd.Series) -> pd.Series:

@@ -122,7 +122,7 @@ def records(archive: DataFrame) -> DataFrame:
 
 
 def _field(name: str):
-    return F.regexp_extract(F.decode("header", "UTF-8"), rf"(?m)^{name}: ([^\r\n]*)\r$", 1)
+    return F.regexp_extract(F.decode("header", "UTF-8"), rf"\r\n{name}: ([^\r\n]*)\r\n", 1)
 
 
 def parsed(archive: DataFrame, id_type: str = "long") -> DataFrame:
