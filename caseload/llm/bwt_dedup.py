@@ -47,7 +47,10 @@ ANCHOR = 20
 SYMBOL = 10
 #: Windows of a string, at most (its answer is a 32-bit mask).
 RUN = 32
+#: Merge buckets for each bucket of anchors: a merge holds much more than the strings' bytes.
+FINER = 4
 _DIGEST = 6  # bytes
+_CACHED = 1 << 16
 
 
 def sliding_min(values: np.ndarray, k: int) -> np.ndarray:
@@ -58,6 +61,29 @@ def sliding_min(values: np.ndarray, k: int) -> np.ndarray:
     return np.minimum(values[:len(values) - (k - span)], values[k - span:]) if span < k else values
 
 
+def anchors_of(data: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of the ``anchor`` bytes from each place, least such hash in the
+    window of ``length`` bytes from each place), worked out in blocks that the
+    processor's caches hold."""
+    hashes = np.empty(len(data) - anchor + 1, np.uint64)
+    least = np.empty(len(data) - length + 1, np.uint64)
+    for at in range(0, len(least), _CACHED):
+        n = min(_CACHED, len(least) - at)
+        h = rolling(BYTE_VALUES[data[at:at + n + length - 1]], anchor)
+        hashes[at:at + len(h)] = h
+        least[at:at + n] = sliding_min(h, length - anchor + 1)
+    return hashes, least
+
+
+def _digests(hashes: np.ndarray, start: np.ndarray, size: np.ndarray, anchor: int) -> np.ndarray:
+    """Hashes of data[start:start + size] from those of pieces that cover it."""
+    out = size.astype(np.uint64)
+    for k in range(0, int(size.max()), anchor):
+        piece = hashes[start + np.minimum(k, size - anchor)]
+        out = out * np.uint64(0x9E3779B97F4A7C15) + piece
+    return mixed(out)
+
+
 class _Strings:
     """The anchored strings of a chunk, the distinct ones (entries) in sending order."""
 
@@ -65,29 +91,35 @@ class _Strings:
         self.ids, known, self.texts = texts_of(rows)
         self.data = data = np.frombuffer(b"".join(self.texts), np.uint8)
         self.bounds = np.cumsum([0, *map(len, self.texts)])
-        self.start = self.n = self.of = self.keys = self.digest = self.least = np.zeros(0, np.int64)
+        self.start = self.n = self.of = self.rep = self.keys = self.digest = self.least = np.zeros(0, np.int64)
         self.many = np.zeros(0, bool)
         if len(data) < length:
             return
-        least = sliding_min(rolling(BYTE_VALUES[data], anchor), length - anchor + 1)
-        doc = np.repeat(np.arange(len(self.texts)), np.diff(self.bounds))
-        at = np.flatnonzero((doc[:len(least)] == doc[length - 1:]) & known[doc[:len(least)]])
-        if not len(at):
+        hashes, least = anchors_of(data, length, anchor)
+        inside = np.ones(len(least) + 1, bool)  # windows within one known document
+        inside[-1] = False
+        for k, (a, b) in enumerate(zip(self.bounds.tolist(), self.bounds[1:].tolist())):
+            inside[(max(a, b - length + 1) if known[k] else a):b] = False
+        new = np.empty(len(least) + 1, bool)
+        new[0] = new[-1] = True
+        np.not_equal(least[1:], least[:-1], out=new[1:-1])
+        new[1:] |= inside[1:] != inside[:-1]
+        edges = np.flatnonzero(new)
+        begin, n = edges[:-1], np.diff(edges)
+        begin, n = begin[inside[begin]], n[inside[begin]]
+        if not len(begin):
             return
-        key = least[at]
-        new = np.r_[True, (np.diff(at) != 1) | (key[1:] != key[:-1])]
-        begin = np.flatnonzero(new)
-        run = np.arange(len(at)) - np.repeat(begin, np.diff(np.r_[begin, len(at)]))
-        begin = np.flatnonzero(run % RUN == 0)
-        n = np.diff(np.r_[begin, len(at)])
-        start = at[begin]
-        digest = (span_hashes(data, start, start + n + length - 1) >> np.uint64(64 - 8 * _DIGEST)).astype(np.int64)
-        spread = mixed(key[begin], 0x2545F4914F6CDD1D)
+        pieces = -(-n // RUN)  # strings of RUN windows at most
+        within = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        start = np.repeat(begin, pieces) + within * RUN
+        n = np.minimum(np.repeat(n, pieces) - within * RUN, RUN)
+        digest = (_digests(hashes, start, n + length - 1, anchor) >> np.uint64(64 - 8 * _DIGEST)).astype(np.int64)
+        spread = mixed(least[start], 0x2545F4914F6CDD1D)
         bucket = ((spread >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
         keys = bucket << 32 | (spread & np.uint64(0xFFFFFFFF)).astype(np.int64)
         order = np.lexsort((digest, keys))
         self.start, self.n, keys, digest = start[order], n[order], keys[order], digest[order]
-        self.doc = self.ids[doc[self.start]]
+        self.doc = self.ids[np.searchsorted(self.bounds, self.start, side="right") - 1]
         entry = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (digest[1:] != digest[:-1])])
         self.of = np.repeat(np.arange(len(entry)), np.diff(np.r_[entry, len(keys)]))
         self.rep = entry  # a place of each entry
@@ -149,17 +181,21 @@ def _states(keys: np.ndarray, buckets: int, got: dict[int, bytes]) -> np.ndarray
 
 
 def _stable_order(keys: np.ndarray) -> np.ndarray:
-    """Stable argsort of small non-negative integers, by sorting (key, place) in one number."""
-    n = len(keys)
-    width = max(1, n.bit_length())
-    return np.sort((keys.astype(np.int64) << width) | np.arange(n)) & ((1 << width) - 1)
+    """Stable argsort of non-negative integers below 2 ** (63 - places' bits),
+    by sorting (key, place) in one number."""
+    width = max(1, len(keys).bit_length())
+    both = keys.astype(np.int64) << width
+    both |= np.arange(len(keys))
+    both.sort()
+    both &= (1 << width) - 1
+    return both.astype(np.int32)
 
 
 def shard_transform(symbols: list[np.ndarray], before: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(suffixes in order, their preceding symbols): the transform of every
     shard, one after the other.  ``symbols[r]`` is the symbol of each suffix
     after r symbols (0 past its end); orders are kept to that many symbols."""
-    order = np.arange(len(before))
+    order = np.arange(len(before), dtype=np.int32)
     for column in reversed(symbols):
         order = order[_stable_order(column[order])]
     order = order[_stable_order(shard[order])]
@@ -174,16 +210,19 @@ def interleave(transform: np.ndarray, sizes: np.ndarray, rounds: int) -> tuple[n
     prefixes of so many symbols are equal.
     """
     n = len(transform)
-    source = np.repeat(np.arange(len(sizes)), sizes)
-    interval = np.zeros(n, np.int64)
-    slots = np.arange(n)  # of the entries, shard after shard
+    source = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    interval = np.zeros(n, np.int32)
+    slots = np.arange(n, dtype=np.int32)  # of the entries, shard after shard
+    symbol = np.empty(n, transform.dtype)
     for _ in range(rounds):
-        symbol = np.empty(n, np.int64)
         symbol[slots] = transform  # the r-th slot of a shard reads its r-th symbol
         order = _stable_order(symbol)
-        symbol, source, interval = symbol[order], source[order], interval[order]
-        edge = np.r_[False, (symbol[1:] != symbol[:-1]) | (symbol[1:] != 0) & (interval[1:] != interval[:-1])]
-        interval = np.cumsum(edge)
+        sorted_symbol, source, interval = symbol[order], source[order], interval[order]
+        edge = np.zeros(n, bool)
+        edge[1:] = interval[1:] != interval[:-1]
+        edge &= sorted_symbol != 0  # all ends are alike
+        edge[1:] |= sorted_symbol[1:] != sorted_symbol[:-1]
+        interval = np.cumsum(edge, dtype=np.int32)
         slots = _stable_order(source)
     return slots, interval[slots]
 
@@ -191,45 +230,66 @@ def interleave(transform: np.ndarray, sizes: np.ndarray, rounds: int) -> tuple[n
 def _merge(length: int):
     rounds = length // SYMBOL
 
+    def repeated(data: np.ndarray, start: np.ndarray, size: np.ndarray, least: np.ndarray,
+                 shard: np.ndarray) -> np.ndarray:
+        """(string, window) -> least id of the interval that the window is in."""
+        # every place of a string, its end included, is a suffix
+        own = np.repeat(np.arange(len(size), dtype=np.int32), size + 1)
+        place = (np.arange(len(own)) - np.repeat(np.cumsum(size + 1) - size - 1, size + 1)).astype(np.int32)
+        left = (size[own] - place).astype(np.int32)
+        at = start[own] + place
+        width = 63 - max(1, len(own).bit_length())
+        block = (rolling(BYTE_VALUES[data], SYMBOL) >> np.uint64(64 - width)).astype(np.int64) | 1
+        block = np.r_[block, np.zeros(length + SYMBOL, np.int64)]
+        symbols = [np.where(left >= (k + 1) * SYMBOL, block[np.minimum(at + k * SYMBOL, len(block) - 1)], 0)
+                   for k in range(rounds)]
+        before = np.where(place >= SYMBOL, block[at - SYMBOL], 0)
+        order, transform = shard_transform(symbols, before, shard[own])
+        del symbols, before, at, block
+        _, interval = interleave(transform, np.bincount(shard[own]), rounds)
+        whole = left[order] >= length  # suffixes that hold a window
+        interval, own, place = interval[whole], own[order][whole], place[order][whole]
+        low = np.full(int(interval.max()) + 1, np.iinfo(np.int64).max)
+        np.minimum.at(low, interval, least[own])
+        out = np.full((len(size), RUN), np.iinfo(np.int64).max)
+        out[own, place] = low[interval]
+        return out
+
     def run(table: pa.Table) -> list[bytes]:
         """In a bucket: for each window of each string, whether a smaller id has it."""
         lengths = [np.frombuffer(x.as_py(), np.uint8) for x in table.column("keys")]
         data = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in table.column("digests")])
         least = np.concatenate([wide_ints(x.as_py()) for x in table.column("least")])
-        shard = np.repeat(np.arange(len(lengths)), [len(x) for x in lengths])
+        shard = np.repeat(np.arange(len(lengths), dtype=np.int32), [len(x) for x in lengths])
         size = np.concatenate(lengths).astype(np.int64)
         start = np.cumsum(size) - size
-        # every place of a string, its end included, is a suffix
-        own = np.repeat(np.arange(len(size)), size + 1)
-        place = np.arange(len(own)) - np.repeat(start + np.arange(len(size)), size + 1)
-        left = size[own] - place
-        at = start[own] + place
-        _, rank = np.unique(rolling(BYTE_VALUES[data], SYMBOL), return_inverse=True)
-        rank = np.r_[rank + 1, np.zeros(length + SYMBOL, np.int64)]
-        symbols = [np.where(left >= (r + 1) * SYMBOL, rank[np.minimum(at + r * SYMBOL, len(rank) - 1)], 0)
-                   for r in range(rounds)]
-        before = np.where(place >= SYMBOL, rank[at - SYMBOL], 0)
-        order, transform = shard_transform(symbols, before, shard[own])
-        del symbols
-        slot, interval = interleave(transform, np.bincount(shard[own], minlength=len(lengths)), rounds)
-        whole = left[order] >= length  # suffixes that hold a window
-        slot, interval, own, place = slot[whole], interval[whole], own[order][whole], place[order][whole]
-        low = np.full(int(interval.max()) + 1 if len(interval) else 1, np.iinfo(np.int64).max)
-        np.minimum.at(low, interval, least[own])
-        smaller = np.zeros((len(size), RUN), bool)
-        smaller[own, place] = low[interval] < least[own]
-        masks = np.packbits(smaller, axis=1, bitorder="little")
+        # a string that several shards sent stays in the first one
+        _, one, same = np.unique(span_hashes(data, start, start + size), return_index=True, return_inverse=True)
+        first = np.sort(one)
+        same = np.searchsorted(first, one)[same]
+        floor = np.full(len(first), np.iinfo(np.int64).max)
+        np.minimum.at(floor, same, least)
+        low = repeated(data, start[first], size[first], floor, np.unique(shard[first], return_inverse=True)[1].astype(np.int32))
+        masks = np.packbits(low[same] < least[:, None], axis=1, bitorder="little")
         ends = np.cumsum([0, *map(len, lengths)])
         return [masks[a:b].tobytes() for a, b in zip(ends, ends[1:])]
 
     return run
 
 
+def _several(s: _Strings, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries to merge, in sending order, and the merge bucket of each."""
+    several = np.flatnonzero(state == _SEVERAL)
+    bucket = (s.keys[several] >> 32) * FINER + (s.keys[several] & 0xFFFFFFFF) % FINER
+    order = np.argsort(bucket, kind="stable")
+    return several[order], bucket[order]
+
+
 class _Dedup:
     """The three passes over the chunks of a corpus."""
 
-    def __init__(self, docs: DataFrame, length: int, anchor: int):
-        self.chunks = Chunks(docs)
+    def __init__(self, docs: DataFrame, length: int, anchor: int, **sizes):
+        self.chunks = Chunks(docs, **sizes)
         buckets = self.chunks.buckets
 
         def anchors(chunk: int, rows: pa.Table, _) -> pa.Table:
@@ -240,9 +300,9 @@ class _Dedup:
 
         def strings(chunk: int, rows: pa.Table, replies: pa.Table) -> pa.Table:
             s = _Strings(rows, length, anchor, buckets)
-            several = np.flatnonzero(_states(s.keys, buckets, _got(replies)) == _SEVERAL)
+            several, part = _several(s, _states(s.keys, buckets, _got(replies)))
             raw, out = s.data.tobytes(), []
-            for b, p in _parts(s.keys[several] >> 32, buckets):
+            for b, p in _parts(part, buckets * FINER):
                 mine = several[p]
                 begin, size = s.start[s.rep[mine]], s.n[s.rep[mine]] + length - 1
                 text = b"".join(raw[x:x + n] for x, n in zip(begin.tolist(), size.tolist()))
@@ -269,23 +329,26 @@ def _removed(rows: pa.Table, replies: pa.Table, length: int, anchor: int, bucket
         full = (state[s.of] == _COPY) | (s.doc > s.least[s.of])
         np.add.at(cover, s.start[full], 1)
         np.add.at(cover, s.start[full] + s.n[full] + length - 1, -1)
-        several = np.flatnonzero(state == _SEVERAL)
+        several, part = _several(s, state)
         masks = _got(replies, 1)
         found = np.zeros((len(s.keys), RUN), bool)
-        for b, p in _parts(s.keys[several] >> 32, buckets):
+        for b, p in _parts(part, buckets * FINER):
             found[several[p]] = np.unpackbits(np.frombuffer(masks[b], np.uint8).reshape(-1, RUN // 8), axis=1,
                                               bitorder="little").astype(bool)
-        part = np.flatnonzero(~full & (state[s.of] == _SEVERAL))
-        string, window = np.nonzero(found[s.of[part]])
-        at = s.start[part[string]] + window
+        partly = np.flatnonzero(~full & (state[s.of] == _SEVERAL))
+        string, window = np.nonzero(found[s.of[partly]])
+        at = s.start[partly[string]] + window
         np.add.at(cover, at, 1)
         np.add.at(cover, at + length, -1)
     return s, np.cumsum(cover[:-1]) > 0
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept): ``kept`` is the bytes left."""
-    work = _Dedup(docs.select("doc_id", "text"), length, anchor)
+def dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, **sizes) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept): ``kept`` is the bytes left.
+    ``sizes``: chunk_bytes, bucket_bytes (see ``chunks``)."""
+    if length % SYMBOL or anchor >= length:
+        raise ValueError(f"length must be a multiple of {SYMBOL} and larger than the anchor")
+    work = _Dedup(docs.select("doc_id", "text"), length, anchor, **sizes)
     buckets = work.chunks.buckets
 
     def finish(chunk: int, rows: pa.Table, replies: pa.Table) -> pa.Table:
@@ -302,10 +365,10 @@ def dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFr
     return work.chunks.run(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary", work.replies)
 
 
-def deduplicated(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
+def deduplicated(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, **sizes) -> DataFrame:
     """``docs`` with the repeats gone from ``text`` and ``n_chars`` (if there is
     such a column) counted again.  A character that loses a byte goes with it."""
-    work = _Dedup(docs, length, anchor)
+    work = _Dedup(docs, length, anchor, **sizes)
     buckets = work.chunks.buckets
 
     def finish(chunk: int, rows: pa.Table, replies: pa.Table) -> pa.Table:
