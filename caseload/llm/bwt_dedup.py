@@ -75,10 +75,11 @@ def anchors_of(data: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray,
     return hashes, least
 
 
-def _digests(hashes: np.ndarray, start: np.ndarray, size: np.ndarray, anchor: int) -> np.ndarray:
-    """Hashes of data[start:start + size] from those of pieces that cover it."""
+def _digests(hashes: np.ndarray, start: np.ndarray, size: np.ndarray, anchor: int, most: int) -> np.ndarray:
+    """Hashes of data[start:start + size] from those of pieces that cover it;
+    as many pieces as ``most`` bytes take, so that all chunks hash alike."""
     out = size.astype(np.uint64)
-    for k in range(0, int(size.max()), anchor):
+    for k in range(0, most, anchor):
         piece = hashes[start + np.minimum(k, size - anchor)]
         out = out * np.uint64(0x9E3779B97F4A7C15) + piece
     return mixed(out)
@@ -113,7 +114,7 @@ class _Strings:
         within = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         start = np.repeat(begin, pieces) + within * RUN
         n = np.minimum(np.repeat(n, pieces) - within * RUN, RUN)
-        digest = (_digests(hashes, start, n + length - 1, anchor) >> np.uint64(64 - 8 * _DIGEST)).astype(np.int64)
+        digest = (_digests(hashes, start, n + length - 1, anchor, length + RUN - 1) >> np.uint64(64 - 8 * _DIGEST)).astype(np.int64)
         spread = mixed(least[start], 0x2545F4914F6CDD1D)
         bucket = ((spread >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
         keys = bucket << 32 | (spread & np.uint64(0xFFFFFFFF)).astype(np.int64)
