@@ -32,6 +32,15 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD_PATTERN)).cast("long")
 
 
+def smallest_hashes(rows: DataFrame, size: int) -> DataFrame:
+    """``size`` of the rows (all, if there are fewer), those with the smallest
+    ``h``, a 32-bit hash.  The rows are counted first and cut at the hash below
+    which about as many lie, so no task passes on more than its share."""
+    n = rows.count()
+    share = min(1.0, (1.2 * size + 100) / n) if n else 1.0
+    return rows.where(F.col("h") <= int(share * 0xFFFFFFFF)).orderBy("h", "doc_id").limit(size)
+
+
 def text_totals(docs: DataFrame) -> tuple[int, int]:
     """(rows, UTF-8 bytes of text): one scan, used to size partitions."""
     row = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(whole_text())).alias("b")).first()

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseload.llm.common import whole_text, written
+from caseload.llm.common import smallest_hashes, whole_text, written
 
 #: Labelled rows that the list is learned from, at most.
 SAMPLE = 20000
@@ -212,10 +212,9 @@ def sample(stats: DataFrame, labels: DataFrame, size: int = SAMPLE):
     """(names, x, bad, grow) from at most ``size`` labelled rows, smallest hash of the id first."""
     columns = features()
     labelled = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = (stats.join(labelled, "doc_id")
-            .select(F.crc32(F.col("doc_id").cast("string")).alias("h"), "doc_id", "quality",
-                    *[c.alias(k) for k, c in columns.items()])
-            .orderBy("h", "doc_id").limit(size).toPandas())
+    rows = smallest_hashes(stats.join(labelled, "doc_id").select(
+        F.crc32(F.col("doc_id").cast("string")).alias("h"), "doc_id", "quality",
+        *[c.alias(k) for k, c in columns.items()]), size).toPandas()
     names = list(columns)
     return (names, rows[names].to_numpy(float).reshape(-1, len(names)), (rows["quality"] == 0).to_numpy(),
             (rows["h"] % 3 != 0).to_numpy())

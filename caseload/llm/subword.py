@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseload.llm.chunks import BYTE_VALUES, rolling, word_hashes
-from caseload.llm.common import whole_text
+from caseload.llm.common import smallest_hashes, whole_text
 
 #: Labelled documents that the model is trained on, at most.
 SAMPLE = 6000
@@ -144,8 +144,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     The ids are chosen on narrow rows; only their texts come to the driver.
     """
     known = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    chosen = (docs.select("doc_id").distinct().join(known, "doc_id").where(~held_out())
-              .withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(sample))
+    chosen = smallest_hashes(docs.select("doc_id").distinct().join(known, "doc_id").where(~held_out()).withColumn(
+        "h", F.xxhash64("doc_id").bitwiseAND(F.lit(0xFFFFFFFF))), sample)
     # at most ``sample`` narrow rows
     rows = (docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id")
             .orderBy("h", "doc_id", "text").limit(sample).select("text", "quality").collect())
