@@ -123,7 +123,10 @@ def expand_terms(terms: DataFrame, vocab: DataFrame, fuzziness: dict | None = No
     fuzziness = dict(fuzziness or FUZZINESS)
     mine = _variants(terms.select("field", "term").distinct(), fuzziness)
     theirs = _variants(vocab.select("field", "term"), fuzziness).withColumnRenamed("term", "match")
-    cand = mine.join(theirs, ["field", "variant"]).select("field", "term", "match").distinct()
+    # dealt by pair: the few terms sit in few partitions, their candidates are
+    # many, and a term that is near very many others is spread as well
+    cand = (mine.join(theirs, ["field", "variant"]).select("field", "term", "match")
+                .repartition("field", "term", "match").distinct())
     scored = fuzzy.with_distance(cand, "term", "match", max(fuzziness.values()), transpositions)
     minlen = F.least(F.length("term"), F.length("match"))
     kept = scored.where((F.col("distance") <= _k_of(fuzziness)) & (F.col("distance") < minlen))

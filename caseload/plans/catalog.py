@@ -354,7 +354,8 @@ def q_search_transposed(spark, sf):
 def q_indexed_search(spark, sf):
     """A batch of searches with the default distance; the diagnosis folders of
     the served table are its index."""
-    return search.search(served_results(spark, sf), turned_queries(spark, sf))
+    queries = turned_queries(spark, sf).where("full_name = ''")
+    return search.search(served_results(spark, sf), queries)
 
 
 def q_search_patients(spark, sf):
