@@ -184,13 +184,22 @@ def _verify(threshold: float):
             return []
         both = overlaps(sets)
         linked = both >= threshold * (size[:, None] + size[None, :] - both) - 1e-9
-        linked &= node[:, None] != node[None, :]
+        node, first, of = np.unique(node, return_index=True, return_inverse=True)
+        if len(node) < len(rows):  # rows that repeat an id are one node
+            order = np.argsort(of, kind="stable")
+            start = np.searchsorted(of[order], np.arange(len(node)))
+            linked = np.logical_or.reduceat(linked[order], start, axis=0)
+            linked = np.logical_or.reduceat(linked[:, order], start, axis=1)
+        else:
+            linked = linked[first][:, first]
+        block, copies = block[first], copies[first]
+        np.fill_diagonal(linked, False)
         if lo != hi:
             linked &= block[:, None] != block[None, :]
         links = linked @ copies
-        root = np.arange(len(rows))
+        root = np.arange(len(node))
         while True:
-            low = np.minimum(root, np.where(linked, root[None, :], len(rows)).min(axis=1))
+            low = np.minimum(root, np.where(linked, root[None, :], len(node)).min(axis=1))
             low = low[low]
             if (low == root).all():
                 break
@@ -225,7 +234,8 @@ def join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: floa
     least ``threshold``, and how many of the documents have its very words."""
     bands, rows = choose_bands(threshold, recall)
     signed = written(signatures(docs, n, bands, rows), "join-signatures")
-    nodes = written(signed.groupBy("d1", "d2").agg(
+    once = signed.groupBy("d1", "d2", "doc_id").agg(F.first("bands").alias("bands"))  # rows that repeat an id
+    nodes = written(once.groupBy("d1", "d2").agg(
         F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")), "join-nodes")
 
     keyed = nodes.select("node", F.explode("bands").alias("key"))

@@ -210,6 +210,20 @@ def test_join_equals_brute_force(spark, monkeypatch, block):
     assert got == brute_join(rows)
 
 
+def test_join_counts_repeated_rows_once(spark):
+    rows = near_copies()
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows + rows[:40]], DOC)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.join(docs).collect()}
+    assert got == brute_join(rows)
+    again = rows + [(rows[5][0], rows[6][1])]  # an id with two texts joins their classes
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in again], DOC)
+    out = ngram_join.join(docs).collect()
+    assert len(out) == len(again)
+    classes = {r.doc_id: r.class_id for r in out}
+    assert classes[rows[5][0]] == classes[rows[6][0]]
+    assert len(ngram_join.one_of_each(docs).collect()) == len(set(classes.values()))
+
+
 def test_join_query_on_a_table(spark):
     rows = [tuple(r) for r in read_table(spark, SF, "documents").select("doc_id", "text").collect()]
     got = {r.doc_id: (r.class_id, r.n_links) for r in queries.op6_ngram_jaccard_join(spark, SF).collect()}
