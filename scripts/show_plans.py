@@ -16,7 +16,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from caseload.plans import catalog  # noqa: E402
 from caseload.session import get_session  # noqa: E402
 
-DEFAULT = ["visit_counts", "visits_and_patients", "enriched_visits", "result_documents", "batch_search"]
+DEFAULT = ["visit_counts", "visits_and_patients", "enriched_visits", "result_documents", "merge_visit_counts", "stored_slice",
+           "fuzzy_name_transposed", "search_with_diagnosis"]
 
 
 def final_plan(df) -> str:
