@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseload.llm.chunks import Chunks, answered, bits, first_of, flags, mixed, narrow_bytes, rolling, texts_of
-from caseload.llm.chunks import wide_ints, word_hashes
+from caseload.llm.chunks import Chunks, answered, answers, bits, by_bucket, first_of, flags, mixed, narrow_bytes
+from caseload.llm.chunks import rolling, texts_of, wide_ints, word_hashes
 from caseload.llm.common import written
 
 WINDOW = 50
@@ -74,11 +74,6 @@ class _Probes:
         self.local = many & self.indexed  # shared by documents of this chunk
 
 
-def _by_bucket(bucket: np.ndarray, buckets: int):
-    ends = np.searchsorted(bucket, np.arange(buckets + 1))
-    return [(b, slice(ends[b], ends[b + 1])) for b in range(buckets) if ends[b] < ends[b + 1]]
-
-
 def _sent(chunk: int, parts: list[tuple[int, bytes, bytes]]) -> pa.Table:
     return pa.table({"bucket": pa.array([p[0] for p in parts], pa.int32()),
                      "chunk": pa.array([chunk] * len(parts), pa.int32()),
@@ -86,15 +81,9 @@ def _sent(chunk: int, parts: list[tuple[int, bytes, bytes]]) -> pa.Table:
                      "extra": pa.array([p[2] for p in parts], pa.binary())})
 
 
-def _answers(replies: pa.Table, kind: int | None = None) -> dict[int, bytes]:
-    rows = replies.to_pydict()
-    return {b: a for b, a, *k in zip(rows["bucket"], rows["answer"], rows.get("kind", rows["bucket"]))
-            if kind is None or k == [kind]}
-
-
 def _answered_flags(bucket: np.ndarray, buckets: int, got: dict[int, bytes]) -> np.ndarray:
     out = np.zeros(len(bucket), bool)
-    for b, part in _by_bucket(bucket, buckets):
+    for b, part in by_bucket(bucket, buckets):
         out[part] = flags(got[b], part.stop - part.start)
     return out
 
@@ -162,18 +151,18 @@ def dedup(docs: DataFrame, window: int = WINDOW, **sizes) -> DataFrame:
     def send_probes(chunk: int, rows: pa.Table, _) -> pa.Table:
         probes = _Probes(_Words(rows), block, buckets)
         return _sent(chunk, [(b, probes.keys[p].astype("<u4").tobytes(), bits(probes.indexed[p]))
-                             for b, p in _by_bucket(probes.keys >> 32, buckets)])
+                             for b, p in by_bucket(probes.keys >> 32, buckets)])
 
     def send_extensions(chunk: int, rows: pa.Table, replies: pa.Table) -> pa.Table:
         words = _Words(rows)
-        found = _Extensions(words, *hits(words, _answers(replies)), window, block, buckets)
+        found = _Extensions(words, *hits(words, answers(replies)), window, block, buckets)
         return _sent(chunk, [(b, found.keys[p].astype("<u8").tobytes(), narrow_bytes(found.least[p]))
-                             for b, p in _by_bucket(found.bucket, buckets)])
+                             for b, p in by_bucket(found.bucket, buckets)])
 
     def finish(chunk: int, rows: pa.Table, replies: pa.Table) -> pa.Table:
         words = _Words(rows)
-        found = _Extensions(words, *hits(words, _answers(replies, 0)), window, block, buckets)
-        smaller = _answered_flags(found.bucket, buckets, _answers(replies, 1))
+        found = _Extensions(words, *hits(words, answers(replies, 0)), window, block, buckets)
+        smaller = _answered_flags(found.bucket, buckets, answers(replies, 1))
         gone = found.at[smaller[found.of] | (found.doc > found.least[found.of])]
         cover = np.zeros(len(words.hashes) + 1, np.int64)
         np.add.at(cover, gone, 1)

@@ -38,8 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseload.llm.chunks import BYTE_VALUES, Chunks, answered, bits, first_of, flags, mixed, narrow_bytes, rolling
-from caseload.llm.chunks import span_hashes, texts_of, wide_ints
+from caseload.llm.chunks import BYTE_VALUES, Chunks, answered, answers, bits, by_bucket, first_of, flags, mixed
+from caseload.llm.chunks import narrow_bytes, rolling, span_hashes, texts_of, wide_ints
 from caseload.llm.common import written
 
 LENGTH = 50
@@ -130,11 +130,6 @@ class _Strings:
         self.many = np.repeat(many, np.diff(np.r_[group, len(keys)]))[entry]
 
 
-def _parts(bucket: np.ndarray, buckets: int):
-    ends = np.searchsorted(bucket, np.arange(buckets + 1))
-    return [(b, slice(ends[b], ends[b + 1])) for b in range(buckets) if ends[b] < ends[b + 1]]
-
-
 def _sent(chunk: int, parts: list[tuple]) -> pa.Table:
     columns = list(zip(*parts)) or [()] * 5
     return pa.table({"bucket": pa.array(columns[0], pa.int32()), "chunk": pa.array([chunk] * len(parts), pa.int32()),
@@ -175,7 +170,7 @@ def _compare(table: pa.Table) -> list[bytes]:
 
 def _states(keys: np.ndarray, buckets: int, got: dict[int, bytes]) -> np.ndarray:
     state = np.zeros(len(keys), np.uint8)
-    for b, part in _parts(keys >> 32, buckets):
+    for b, part in by_bucket(keys >> 32, buckets):
         n, half = part.stop - part.start, len(got[b]) // 2
         state[part] = flags(got[b][:half], n) + 2 * flags(got[b][half:], n).astype(np.uint8)
     return state
@@ -297,13 +292,13 @@ class _Dedup:
             s = _Strings(rows, length, anchor, buckets)
             raw = np.ascontiguousarray(s.digest.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_DIGEST])
             return _sent(chunk, [(b, s.keys[p].astype("<u4").tobytes(), raw[p].tobytes(), narrow_bytes(s.least[p]),
-                                  bits(s.many[p])) for b, p in _parts(s.keys >> 32, buckets)])
+                                  bits(s.many[p])) for b, p in by_bucket(s.keys >> 32, buckets)])
 
         def strings(chunk: int, rows: pa.Table, replies: pa.Table) -> pa.Table:
             s = _Strings(rows, length, anchor, buckets)
-            several, part = _several(s, _states(s.keys, buckets, _got(replies)))
+            several, part = _several(s, _states(s.keys, buckets, answers(replies)))
             raw, out = s.data.tobytes(), []
-            for b, p in _parts(part, buckets * FINER):
+            for b, p in by_bucket(part, buckets * FINER):
                 mine = several[p]
                 begin, size = s.start[s.rep[mine]], s.n[s.rep[mine]] + length - 1
                 text = b"".join(raw[x:x + n] for x, n in zip(begin.tolist(), size.tolist()))
@@ -315,25 +310,19 @@ class _Dedup:
         self.replies = self.states.withColumn("kind", F.lit(0)).unionByName(self.masks.withColumn("kind", F.lit(1)))
 
 
-def _got(replies: pa.Table, kind: int | None = None) -> dict[int, bytes]:
-    rows = replies.to_pydict()
-    kinds = rows.get("kind", [None] * len(rows["bucket"]))
-    return {b: a for b, a, k in zip(rows["bucket"], rows["answer"], kinds) if k == kind}
-
-
 def _removed(rows: pa.Table, replies: pa.Table, length: int, anchor: int, buckets: int) -> tuple[_Strings, np.ndarray]:
     """The strings of a chunk and which of its bytes go."""
     s = _Strings(rows, length, anchor, buckets)
     cover = np.zeros(len(s.data) + 1, np.int64)
     if len(s.keys):
-        state = _states(s.keys, buckets, _got(replies, 0))
+        state = _states(s.keys, buckets, answers(replies, 0))
         full = (state[s.of] == _COPY) | (s.doc > s.least[s.of])
         np.add.at(cover, s.start[full], 1)
         np.add.at(cover, s.start[full] + s.n[full] + length - 1, -1)
         several, part = _several(s, state)
-        masks = _got(replies, 1)
+        masks = answers(replies, 1)
         found = np.zeros((len(s.keys), RUN), bool)
-        for b, p in _parts(part, buckets * FINER):
+        for b, p in by_bucket(part, buckets * FINER):
             found[several[p]] = np.unpackbits(np.frombuffer(masks[b], np.uint8).reshape(-1, RUN // 8), axis=1,
                                               bitorder="little").astype(bool)
         partly = np.flatnonzero(~full & (state[s.of] == _SEVERAL))

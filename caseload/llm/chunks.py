@@ -129,6 +129,19 @@ def answered(rows: DataFrame, work: Callable) -> DataFrame:
     return rows.groupBy("bucket").applyInArrow(run, "chunk int, bucket int, answer binary")
 
 
+def by_bucket(bucket: np.ndarray, buckets: int) -> list[tuple[int, slice]]:
+    """(bucket, its part) of keys in ascending order of their buckets."""
+    ends = np.searchsorted(bucket, np.arange(buckets + 1))
+    return [(b, slice(ends[b], ends[b + 1])) for b in range(buckets) if ends[b] < ends[b + 1]]
+
+
+def answers(replies: pa.Table, kind: int | None = None) -> dict[int, bytes]:
+    """bucket -> its answer to a chunk; of the given kind if there are several."""
+    rows = replies.to_pydict()
+    kinds = rows.get("kind", [None] * len(rows["bucket"]))
+    return {b: a for b, a, k in zip(rows["bucket"], rows["answer"], kinds) if k == kind}
+
+
 # ---------------------------------------------------------------- arrays
 
 def narrow_bytes(values: np.ndarray) -> bytes:
