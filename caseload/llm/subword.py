@@ -4,7 +4,8 @@ Every word and every character n-gram of a word (its edges marked) is hashed
 to a row of a table of learned vectors; a document is the average of its rows
 and a softmax layer tells its label.  Table and layer are trained together by
 stochastic gradient descent in numpy on a bounded sample: at most ``SAMPLE``
-labelled documents, whole texts, chosen by a hash of the id.
+labelled documents of ``SAMPLE_BYTES`` together, whole texts, chosen by a hash
+of the id.
 
 The output layer is linear, so a document's logit is the average of one number
 per table row: scoring the corpus needs those numbers only (a table of fixed
@@ -22,14 +23,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseload.llm.chunks import BYTE_VALUES, rolling, word_hashes
 from caseload.llm.common import smallest_hashes, whole_text
 
-#: Labelled documents that the model is trained on, at most.
+#: Labelled documents that the model is trained on, at most, and bytes of their texts.
 SAMPLE = 6000
+SAMPLE_BYTES = 128 << 20
 ROWS_LOG2 = 18
 DIM = 16
 GRAMS = (3, 4, 5)
@@ -144,9 +146,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     The ids are chosen on narrow rows; only their texts come to the driver.
     """
     known = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    chosen = smallest_hashes(docs.select("doc_id").distinct().join(known, "doc_id").where(~held_out()).withColumn(
+    sizes = docs.groupBy("doc_id").agg(F.sum(F.octet_length(whole_text())).alias("bytes"))
+    found = smallest_hashes(sizes.join(known, "doc_id").where(~held_out()).withColumn(
         "h", F.xxhash64("doc_id").bitwiseAND(F.lit(0xFFFFFFFF))), sample)
     # at most ``sample`` narrow rows
+    chosen = found.withColumn("so_far", F.sum("bytes").over(Window.orderBy("h", "doc_id"))).where(
+        F.col("so_far") <= SAMPLE_BYTES).drop("bytes", "so_far")
     rows = (docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id")
             .orderBy("h", "doc_id", "text").limit(sample).select("text", "quality").collect())
     return train([r["text"].encode() for r in rows], np.array([r["quality"] for r in rows], int))
