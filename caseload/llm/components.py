@@ -14,6 +14,21 @@ from pyspark.sql import functions as F
 
 from caseload.llm.common import written
 
+#: Parts that the links of a node are dealt into, by the other node.
+SALTS = 32
+
+
+def _least(links: DataFrame) -> DataFrame:
+    """``links`` (u, v) with ``low``, the least v of each u.
+
+    The root of a large component has a link to every node in it, so a node's
+    links meet in SALTS parts, and only the least of each part meets the others.
+    """
+    dealt = links.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    parts = dealt.groupBy("u", "salt").agg(F.min("v").alias("part"))
+    whole = parts.groupBy("u").agg(F.min("part").alias("low"))
+    return dealt.join(parts.join(whole, "u").select("u", "salt", "low"), ["u", "salt"]).drop("salt")
+
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root) of every node that has a link to another; the root is the
@@ -23,11 +38,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     before = None
     while True:
         both = down.unionByName(down.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("low"))
-        large = both.join(low, "u").where("v > u").select(
-            F.col("v").alias("u"), F.least("low", "u").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("low"))
-        small = large.join(low, "u").select(F.explode(F.array(
+        large = _least(both).where("v > u").select(F.col("v").alias("u"), F.least("low", "u").alias("v")).distinct()
+        small = _least(large).select(F.explode(F.array(
             F.struct(F.col("u"), F.col("low").alias("v")), F.struct(F.col("v").alias("u"), F.col("low").alias("v"))))
             .alias("e")).select("e.u", "e.v").where("u != v").distinct()
         down = written(small, "links")
