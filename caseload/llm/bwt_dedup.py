@@ -18,13 +18,21 @@ a smaller id.  Suffixes of the whole corpus are never sorted together:
    one symbol.  Boundaries between slots that differ are kept per round; after
    ``length / SYMBOL`` rounds the slots between two boundaries are one repeated
    interval, and the least id in it decides for all.
-3. Chunks apply the answers to their bytes.
+3. *Hot anchors.*  The first and the last anchor of a passage that many
+   documents share have a string for each document, as their strings reach into
+   the documents' own bytes.  An anchor that chunks send more than ``most``
+   strings of is split by a second key, the hash of a window's bytes: each
+   window is a string of its own, its copies are one per chunk, and it has but
+   one distinct string, so its windows are those of the smallest id.  No merge
+   then holds more than ``most`` strings of an anchor.
+4. Chunks apply the answers to their bytes.
 
 A symbol is a block of ``SYMBOL`` bytes, so a string counts as SYMBOL phase
 strings and a suffix starts at every byte.  Anchors and strings are exchanged
 packed (see ``chunks``): an anchor that a third of the documents share is one
-entry per chunk and distinct string.  Strings count as equal if 48 bits of a
-digest and 32 bits and the bucket of their anchor agree, symbols if 64 bits do.
+entry per chunk, and one more per distinct string if it goes to a merge.
+Strings count as equal if 48 bits of a digest and 32 bits and the bucket of
+their anchor agree, symbols and windows of hot anchors if 64 bits do.
 
 Edge cases: a null text is empty; texts shorter than ``length`` are kept; rows
 with equal ids never remove bytes from one another; rows with a null id are
@@ -49,6 +57,8 @@ SYMBOL = 10
 RUN = 32
 #: Merge buckets for each bucket of anchors: a merge holds much more than the strings' bytes.
 FINER = 4
+#: Strings of an anchor in a merge, at most (a string takes some KB there).
+MOST = 1000
 _DIGEST = 6  # bytes
 _CACHED = 1 << 16
 
@@ -93,6 +103,7 @@ class _Strings:
         self.data = data = np.frombuffer(b"".join(self.texts), np.uint8)
         self.bounds = np.cumsum([0, *map(len, self.texts)])
         self.start = self.n = self.of = self.rep = self.keys = self.digest = self.least = np.zeros(0, np.int64)
+        self.anchors = self.strings = np.zeros(0, np.int64)
         self.many = np.zeros(0, bool)
         if len(data) < length:
             return
@@ -126,8 +137,9 @@ class _Strings:
         self.rep = entry  # a place of each entry
         self.keys, self.digest, self.least = keys[entry], digest[entry], np.minimum.reduceat(self.doc, entry)
         group = first_of(keys)
-        many = np.maximum.reduceat(self.doc, group) != np.minimum.reduceat(self.doc, group)
-        self.many = np.repeat(many, np.diff(np.r_[group, len(keys)]))[entry]
+        self.many = np.maximum.reduceat(self.doc, group) != np.minimum.reduceat(self.doc, group)
+        self.anchors = first_of(self.keys)  # the first entry of each anchor
+        self.strings = np.diff(np.r_[self.anchors, len(self.keys)])  # and how many it has
 
 
 def _sent(chunk: int, parts: list[tuple]) -> pa.Table:
@@ -137,43 +149,69 @@ def _sent(chunk: int, parts: list[tuple]) -> pa.Table:
 
 
 _SENT = "bucket int, chunk int, keys binary, digests binary, least binary, many binary"
-#: What a bucket says of an entry: only one document has its anchor; the anchor
-#: has one string and no smaller id has it; ... and a smaller one has; or its
-#: anchor has several strings.
-_ALONE, _FIRST, _COPY, _SEVERAL = range(4)
-
-
-def _compare(table: pa.Table) -> list[bytes]:
-    """In a bucket: the state of every entry, two bits each."""
-    keys = [np.frombuffer(k.as_py(), "<u4") for k in table.column("keys")]
-    sizes = np.cumsum([0, *map(len, keys)])
-    raw = np.concatenate([np.frombuffer(d.as_py(), np.uint8) for d in table.column("digests")]).reshape(-1, _DIGEST)
-    digest = np.zeros((len(raw), 8), np.uint8)
-    digest[:, :_DIGEST] = raw
-    digest = digest.view("<u8").ravel().astype(np.int64)
-    least = np.concatenate([wide_ints(x.as_py()) for x in table.column("least")])
-    many = np.concatenate([flags(x.as_py(), len(k)) for x, k in zip(table.column("many"), keys)])
-    joined = np.concatenate(keys)
-    order = np.argsort(joined, kind="stable")
-    start = first_of(joined[order])
-    n = np.diff(np.r_[start, len(order)])
-    low = np.minimum.reduceat(least[order], start)
-    shared = (np.maximum.reduceat(least[order], start) != low) | np.logical_or.reduceat(many[order], start)
-    one = np.maximum.reduceat(digest[order], start) == np.minimum.reduceat(digest[order], start)
-    state = np.zeros(len(order), np.uint8)
-    state[order] = np.repeat(np.where(shared, np.where(one, _FIRST, _SEVERAL), _ALONE), n)
-    floor = np.zeros(len(order), np.int64)
-    floor[order] = np.repeat(low, n)
-    state[(state == _FIRST) & (floor < least)] = _COPY
-    return [bits(state[a:b] & 1) + bits(state[a:b] >> 1) for a, b in zip(sizes, sizes[1:])]
+#: What a bucket says of a chunk's anchor: only one document has it; it has one
+#: string and no smaller id has it; ... and a smaller one has; it has several
+#: strings; or more than a merge takes.
+_ALONE, _FIRST, _COPY, _SEVERAL, _HOT = range(5)
+
+
+def _anchors(s: _Strings, buckets: int) -> list[tuple]:
+    """For each bucket the anchors of a chunk: digest of the first string, number
+    of strings, least id, whether several ids have it."""
+    a = s.anchors
+    raw = np.ascontiguousarray(s.digest[a].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_DIGEST])
+    least = np.minimum.reduceat(s.least, a) if len(a) else s.least
+    out = []
+    for b, p in by_bucket(s.keys[a] >> 32, buckets):
+        several = s.strings[p] > 1
+        out.append((b, s.keys[a][p].astype("<u4").tobytes(), raw[p].tobytes(), narrow_bytes(least[p]),
+                    bits(s.many[p]) + bits(several) + narrow_bytes(s.strings[p][several])))
+    return out
+
+
+def _compare(most: int):
+    def run(table: pa.Table) -> list[bytes]:
+        """In a bucket: the state of every anchor of every chunk, three bits each."""
+        keys = [np.frombuffer(k.as_py(), "<u4") for k in table.column("keys")]
+        sizes = np.cumsum([0, *map(len, keys)])
+        raw = np.concatenate([np.frombuffer(d.as_py(), np.uint8) for d in table.column("digests")]).reshape(-1, _DIGEST)
+        digest = np.zeros((len(raw), 8), np.uint8)
+        digest[:, :_DIGEST] = raw
+        digest = digest.view("<u8").ravel().astype(np.int64)
+        least = np.concatenate([wide_ints(x.as_py()) for x in table.column("least")])
+        many, strings = np.zeros(sizes[-1], bool), np.ones(sizes[-1], np.int64)
+        for x, a, b in zip(table.column("many"), sizes, sizes[1:]):
+            sent, half = x.as_py(), -(-(b - a) // 8)
+            many[a:b] = flags(sent[:half], b - a)
+            strings[a:b][flags(sent[half:2 * half], b - a)] = wide_ints(sent[2 * half:])
+        joined = np.concatenate(keys)
+        order = np.argsort(joined, kind="stable")
+        start = first_of(joined[order])
+        n = np.diff(np.r_[start, len(order)])
+        low = np.minimum.reduceat(least[order], start)
+        shared = (np.maximum.reduceat(least[order], start) != low) | np.logical_or.reduceat(many[order], start)
+        one = np.maximum.reduceat(digest[order], start) == np.minimum.reduceat(digest[order], start)
+        one &= np.maximum.reduceat(strings[order], start) == 1
+        several = np.where(np.add.reduceat(strings[order], start) > most, _HOT, _SEVERAL)
+        state = np.zeros(len(order), np.uint8)
+        state[order] = np.repeat(np.where(shared, np.where(one, _FIRST, several), _ALONE), n)
+        floor = np.zeros(len(order), np.int64)
+        floor[order] = np.repeat(low, n)
+        state[(state == _FIRST) & (floor < least)] = _COPY
+        return [b"".join(bits(state[a:b] >> k & 1) for k in range(3)) for a, b in zip(sizes, sizes[1:])]
+
+    return run
 
 
-def _states(keys: np.ndarray, buckets: int, got: dict[int, bytes]) -> np.ndarray:
+def _states(s: _Strings, buckets: int, got: dict[int, bytes]) -> np.ndarray:
+    """The state of every entry: that of its anchor."""
+    keys = s.keys[s.anchors]
     state = np.zeros(len(keys), np.uint8)
     for b, part in by_bucket(keys >> 32, buckets):
-        n, half = part.stop - part.start, len(got[b]) // 2
-        state[part] = flags(got[b][:half], n) + 2 * flags(got[b][half:], n).astype(np.uint8)
-    return state
+        n, third = part.stop - part.start, len(got[b]) // 3
+        for k in range(3):
+            state[part] += flags(got[b][k * third:(k + 1) * third], n).astype(np.uint8) << k
+    return np.repeat(state, s.strings)
 
 
 def _stable_order(keys: np.ndarray) -> np.ndarray:
@@ -273,6 +311,39 @@ def _merge(length: int):
     return run
 
 
+class _Windows:
+    """The windows of a chunk's strings at hot anchors, the distinct ones in
+    sending order; ``at`` are their places, ``of`` the distinct window of each."""
+
+    def __init__(self, s: _Strings, state: np.ndarray, length: int, buckets: int):
+        hot = np.flatnonzero(state[s.of] == _HOT)
+        n = s.n[hot]
+        at = np.repeat(s.start[hot] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        doc = np.repeat(s.doc[hot], n) if len(hot) else at
+        hashes = span_hashes(s.data, at, at + length) if len(at) else at.astype(np.uint64)
+        bucket = (mixed(hashes, 0x5851F42D4C957F2D) >> np.uint64(32)) % np.uint64(buckets * FINER)
+        order = np.lexsort((hashes, bucket))
+        self.at, self.doc, hashes, bucket = at[order], doc[order], hashes[order], bucket[order]
+        first = first_of(hashes)
+        self.of = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(hashes)]))
+        self.hashes = hashes[first]
+        self.bucket = bucket[first].astype(np.int64)
+        self.least = np.minimum.reduceat(self.doc, first) if len(first) else self.doc
+
+
+def _least(table: pa.Table) -> list[bytes]:
+    """In a bucket of windows: whether a smaller id has each."""
+    hashes = [np.frombuffer(k.as_py(), "<u8") for k in table.column("keys")]
+    ends = np.cumsum([0, *map(len, hashes)])
+    least = np.concatenate([wide_ints(x.as_py()) for x in table.column("least")])
+    joined = np.concatenate(hashes)
+    order = np.argsort(joined, kind="stable")
+    start = first_of(joined[order])
+    floor = np.zeros(len(order), np.int64)
+    floor[order] = np.repeat(np.minimum.reduceat(least[order], start), np.diff(np.r_[start, len(order)]))
+    return [bits(floor[a:b] < least[a:b]) for a, b in zip(ends, ends[1:])]
+
+
 def _several(s: _Strings, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The entries to merge, in sending order, and the merge bucket of each."""
     several = np.flatnonzero(state == _SEVERAL)
@@ -284,29 +355,34 @@ def _several(s: _Strings, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class _Dedup:
     """The three passes over the chunks of a corpus."""
 
-    def __init__(self, docs: DataFrame, length: int, anchor: int, **sizes):
+    def __init__(self, docs: DataFrame, length: int, anchor: int, most: int = MOST, **sizes):
         self.chunks = Chunks(docs, **sizes)
         buckets = self.chunks.buckets
+        merge = _merge(length)
 
         def anchors(chunk: int, rows: pa.Table, _) -> pa.Table:
-            s = _Strings(rows, length, anchor, buckets)
-            raw = np.ascontiguousarray(s.digest.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_DIGEST])
-            return _sent(chunk, [(b, s.keys[p].astype("<u4").tobytes(), raw[p].tobytes(), narrow_bytes(s.least[p]),
-                                  bits(s.many[p])) for b, p in by_bucket(s.keys >> 32, buckets)])
+            return _sent(chunk, _anchors(_Strings(rows, length, anchor, buckets), buckets))
 
         def strings(chunk: int, rows: pa.Table, replies: pa.Table) -> pa.Table:
             s = _Strings(rows, length, anchor, buckets)
-            several, part = _several(s, _states(s.keys, buckets, answers(replies)))
+            state = _states(s, buckets, answers(replies))
+            several, part = _several(s, state)
             raw, out = s.data.tobytes(), []
             for b, p in by_bucket(part, buckets * FINER):
                 mine = several[p]
                 begin, size = s.start[s.rep[mine]], s.n[s.rep[mine]] + length - 1
                 text = b"".join(raw[x:x + n] for x, n in zip(begin.tolist(), size.tolist()))
                 out.append((b, size.astype(np.uint8).tobytes(), text, narrow_bytes(s.least[mine]), b""))
+            w = _Windows(s, state, length, buckets)
+            out += [(buckets * FINER + b, w.hashes[p].astype("<u8").tobytes(), b"", narrow_bytes(w.least[p]), b"")
+                    for b, p in by_bucket(w.bucket, buckets * FINER)]
             return _sent(chunk, out)
 
-        self.states = written(answered(self.chunks.run(anchors, _SENT), _compare), "bwt-states")
-        self.masks = written(answered(self.chunks.run(strings, _SENT, self.states), _merge(length)), "bwt-masks")
+        def decide(table: pa.Table) -> list[bytes]:
+            return (merge if table.column("bucket")[0].as_py() < buckets * FINER else _least)(table)
+
+        self.states = written(answered(self.chunks.run(anchors, _SENT), _compare(most)), "bwt-states")
+        self.masks = written(answered(self.chunks.run(strings, _SENT, self.states), decide), "bwt-masks")
         self.replies = self.states.withColumn("kind", F.lit(0)).unionByName(self.masks.withColumn("kind", F.lit(1)))
 
 
@@ -315,7 +391,7 @@ def _removed(rows: pa.Table, replies: pa.Table, length: int, anchor: int, bucket
     s = _Strings(rows, length, anchor, buckets)
     cover = np.zeros(len(s.data) + 1, np.int64)
     if len(s.keys):
-        state = _states(s.keys, buckets, answers(replies, 0))
+        state = _states(s, buckets, answers(replies, 0))
         full = (state[s.of] == _COPY) | (s.doc > s.least[s.of])
         np.add.at(cover, s.start[full], 1)
         np.add.at(cover, s.start[full] + s.n[full] + length - 1, -1)
@@ -328,6 +404,11 @@ def _removed(rows: pa.Table, replies: pa.Table, length: int, anchor: int, bucket
         partly = np.flatnonzero(~full & (state[s.of] == _SEVERAL))
         string, window = np.nonzero(found[s.of[partly]])
         at = s.start[partly[string]] + window
+        w = _Windows(s, state, length, buckets)
+        smaller = np.zeros(len(w.hashes), bool)
+        for b, p in by_bucket(w.bucket, buckets * FINER):
+            smaller[p] = flags(masks[buckets * FINER + b], p.stop - p.start)
+        at = np.r_[at, w.at[smaller[w.of] | (w.doc > w.least[w.of])]]
         np.add.at(cover, at, 1)
         np.add.at(cover, at + length, -1)
     return s, np.cumsum(cover[:-1]) > 0
@@ -335,7 +416,7 @@ def _removed(rows: pa.Table, replies: pa.Table, length: int, anchor: int, bucket
 
 def dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, **sizes) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): ``kept`` is the bytes left.
-    ``sizes``: chunk_bytes, bucket_bytes (see ``chunks``)."""
+    ``sizes``: chunk_bytes, bucket_bytes (see ``chunks``), most."""
     if length % SYMBOL or anchor >= length:
         raise ValueError(f"length must be a multiple of {SYMBOL} and larger than the anchor")
     work = _Dedup(docs.select("doc_id", "text"), length, anchor, **sizes)

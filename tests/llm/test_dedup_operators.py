@@ -95,6 +95,40 @@ def test_bwt_dedup_equals_brute_force(spark, sizes, seed):
     assert got == sorted(want) and sum(w[2] for w in want) > 0
 
 
+@pytest.mark.parametrize("most", [1, 7])
+def test_bwt_dedup_splits_hot_anchors(spark, sizes, most):
+    rows = planted(3)
+    docs = spark.createDataFrame(rows, DOC)
+    got = sorted((str(r.doc_id), r.n_removed, bytes(r.kept)) for r in bwt_dedup.dedup(docs, most=most).collect())
+    want = [(str(i), sum(gone), bytes(b for b, g in zip(u, gone) if not g))
+            for (i, *_), (u, gone) in zip(rows, brute_windows([r[:2] for r in rows], lambda t: t.encode(), 50))]
+    assert got == sorted(want)
+
+
+def test_a_passage_in_many_surroundings_fills_no_merge(spark, monkeypatch):
+    rng = random.Random(5)
+    own = lambda k: "".join(rng.choice("abcdefgh") for _ in range(k))
+    passage = own(90)
+    rows = [(d, own(60) + passage + own(60), "en", "s", 0) for d in range(1500)]
+
+    def bounded(length, plain=bwt_dedup._merge):
+        merge = plain(length)
+
+        def run(table):
+            n = sum(len(k.as_py()) for k in table.column("keys"))
+            if n > 1000:
+                raise ValueError(f"{n} strings in a merge")
+            return merge(table)
+
+        return run
+
+    monkeypatch.setattr(bwt_dedup, "_merge", bounded)
+    out = bwt_dedup.dedup(spark.createDataFrame(rows, DOC), chunk_bytes=1 << 15).collect()
+    want = {i: sum(gone) for (i, *_), (_, gone) in
+            zip(rows, brute_windows([r[:2] for r in rows], lambda t: t.encode(), 50))}
+    assert {r.doc_id: r.n_removed for r in out} == want and sum(want.values()) >= 1499 * 90
+
+
 def test_dedup_queries_on_a_table(spark):
     rows = [tuple(r) for r in read_table(spark, SF, "documents").select("doc_id", "text").collect()]
     words = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in queries.op8_block_anchor_dedup(spark, SF).collect()}
