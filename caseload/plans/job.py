@@ -5,8 +5,11 @@ partial/final aggregation -> practitioner join -> Parquet partitioned by
 diagnosis.  Optionally folds the batch into a delta state table first, so a
 sequence of runs (one per arriving file set) accumulates totals; a re-run of a
 ``batch_id`` replaces its own delta.  Such a run reads and rewrites only the
-diagnoses that its batch touches, and every ``compact_every`` batches the
-deltas become one snapshot, so its cost follows the batch, not the history.
+diagnoses that its batch touches and those of practitioners whose records are
+new, changed or gone since the last run, and every ``compact_every`` batches
+the deltas become one snapshot.  So its cost follows the batch, not the
+history; only a run with other practitioner records looks their ids up in all
+stored totals.
 
     python -m caseload.plans.job --root <input folder> --results <out> \\
         [--state <state folder> --batch-id N] [--metrics visits|patients] \\
@@ -57,11 +60,18 @@ def build(spark: SparkSession, encounter_paths, practitioner_paths, results_path
     if state_path is not None:
         if batch_id is None:
             raise ValueError("batch_id is required with state_path")
-        touched = _fold_batch(spark, t, state_path, batch_id, keys, metric)
+        path = work_dir(spark, "practitioners")  # parsed once: compared, joined and stored
+        prac.write.parquet(path)
+        prac = spark.read.schema(prac.schema).parquet(path)
+        touched = _fold_batch(spark, t, prac, state_path, batch_id, keys, metric)
         t = state.read_totals(spark, state_path, keys, metric, only=touched)
     if metrics == "patients":
         t = aggregate.visits_and_patients(t)
+    if state_path is not None:
+        state.forget_practitioners(spark, state_path)
     serve.write_results(enrich.enrich(t, prac), results_path, touched)
+    if state_path is not None:
+        state.keep_practitioners(prac, state_path)
     if state_path is not None and len(state.deltas(spark, state_path)) >= compact_every:
         state.compact(spark, state_path, keys, metric)
     if rejects_path is not None:
@@ -72,10 +82,11 @@ def build(spark: SparkSession, encounter_paths, practitioner_paths, results_path
     return serve.read_results(spark, results_path, schema=RESULTS if metrics == "visits" else RESULTS_TWO_METRICS)
 
 
-def _fold_batch(spark: SparkSession, totals: DataFrame, state_path: str, batch_id: int, keys, metric: str) -> DataFrame:
+def _fold_batch(spark: SparkSession, totals: DataFrame, practitioners: DataFrame, state_path: str, batch_id: int,
+                keys, metric: str) -> DataFrame:
     """Append the batch's delta; gives the diagnoses that it touches, those of
-    a delta that it replaces included, as a written table (small, so reading
-    the state by it prunes partitions)."""
+    a delta that it replaces and of other practitioner records included, as a
+    written table (small, so reading the state by it prunes partitions)."""
     path = work_dir(spark, "touched")
     old = state.deltas(spark, state_path).get(batch_id)
     if old is not None:
@@ -83,10 +94,27 @@ def _fold_batch(spark: SparkSession, totals: DataFrame, state_path: str, batch_i
     state.append_delta(spark, totals, state_path, batch_id)
     new = state.deltas(spark, state_path)[batch_id]
     state.read_delta(spark, new, keys, metric).select("diagnosis").distinct().write.mode("append").parquet(path)
+    served = state.served_practitioners(spark, state_path)
+    if served is None:
+        state.diagnoses_of(spark, state_path, keys, metric).write.mode("append").parquet(path)
+    else:
+        changed = _changed(spark, served, practitioners)
+        if not changed.isEmpty():
+            state.diagnoses_of(spark, state_path, keys, metric, changed).write.mode("append").parquet(path)
     # the comparison holds for every diagnosis; Spark prunes partitions only by a side that has a filter
     return spark.read.schema("diagnosis string").parquet(path).where(F.col("diagnosis") >= "")
 
 
+def _changed(spark: SparkSession, old: DataFrame, new: DataFrame) -> DataFrame:
+    """The practitioners whose records (all of an id, if kept) are new, other or gone, as a written table."""
+    path = work_dir(spark, "changed")
+    columns = ["practitioner", *enrich.DETAIL_COLS]
+    both = old.select(*columns, F.lit(-1).alias("n")).unionByName(new.select(*columns, F.lit(1).alias("n")))
+    (both.groupBy(*columns).agg(F.sum("n").alias("n")).where(F.col("n") != 0)
+         .select("practitioner").distinct().write.parquet(path))
+    return spark.read.schema("practitioner string").parquet(path)
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--root", required=True, help="folder holding encounter and practitioner files")

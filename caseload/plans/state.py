@@ -4,6 +4,7 @@ Layout below ``path``::
 
     batch_id=<n>/attempt=<k>/diagnosis=<d>/part-*.parquet   one delta per folded batch
     _snapshots/upto=<n>/diagnosis=<d>/...                   compacted sum of batches <= n
+    _practitioners/part-*.parquet                           practitioners that the last whole run served
 
 A batch is written into a new attempt folder and counts once that folder is
 complete (``_SUCCESS``); only then are its older attempts removed.  So a
@@ -28,6 +29,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from caseload.session import delete_path, hadoop_path, path_exists
 
 SNAPSHOTS = "_snapshots"
+PRACTITIONERS = "_practitioners"
 
 
 def merge_counts(old: DataFrame, new: DataFrame, keys, metric: str) -> DataFrame:
@@ -127,6 +129,37 @@ def read_totals(spark: SparkSession, path: str, keys, metric: str,
     return fold(parts, keys, metric)
 
 
+def diagnoses_of(spark: SparkSession, path: str, keys, metric: str, practitioners: DataFrame | None = None) -> DataFrame:
+    """The diagnoses stored for the given practitioners, or all."""
+    keys = list(keys)
+    root = path.rstrip("/")
+    upto = latest_snapshot(spark, root)
+    folders = [*deltas(spark, root).values(), *([] if upto is None else [f"{root}/{SNAPSHOTS}/upto={upto}"])]
+    parts = [read_delta(spark, f, keys, metric).select("practitioner", "diagnosis") for f in folders]
+    if practitioners is not None:
+        parts = [p.join(practitioners.select("practitioner"), "practitioner", "left_semi") for p in parts]
+    return reduce(DataFrame.unionByName, [p.select("diagnosis").distinct() for p in parts]).distinct()
+
+
+def served_practitioners(spark: SparkSession, path: str) -> DataFrame | None:
+    """The practitioners that the last run joined; None before the first run
+    and after one that did not end."""
+    folder = f"{path.rstrip('/')}/{PRACTITIONERS}"
+    if not path_exists(spark, f"{folder}/_SUCCESS"):
+        return None
+    return spark.read.schema("practitioner string, full_name string, email string, hospital string").parquet(folder)
+
+
+def keep_practitioners(practitioners: DataFrame, path: str) -> None:
+    """Store the practitioners that the served table now has."""
+    practitioners.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{PRACTITIONERS}")
+
+
+def forget_practitioners(spark: SparkSession, path: str) -> bool:
+    """Before the served table changes: if the run fails, the next one serves every diagnosis anew."""
+    return delete_path(spark, f"{path.rstrip('/')}/{PRACTITIONERS}")
+
+
 def compact(spark: SparkSession, path: str, keys, metric: str, totals: DataFrame | None = None) -> int | None:
     """K5: fold every delta into a new snapshot (``totals`` if given), then drop what it replaced.
 

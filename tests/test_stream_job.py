@@ -167,3 +167,34 @@ def test_a_replaced_batch_takes_back_what_it_had(spark, tmp):
         spark, path, f"{tmp}/prac", f"{tmp}/out", state_path=f"{tmp}/st", batch_id=0).collect())
     assert build(store("first", ["flu", "gout", "gout"])) == [("flu", 1), ("gout", 2)]
     assert build(store("second", ["flu", "flu"])) == [("flu", 2)]
+
+
+@pytest.mark.parametrize("duplicates", ["keep", "latest"])
+def test_late_and_corrected_practitioners_reach_untouched_diagnoses(spark, tmp, duplicates):
+    def store(name, lines):
+        spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{tmp}/{name}")
+        return f"{tmp}/{name}"
+
+    def visits(name, *pairs):
+        return store(name, [f'{{"participant":[{{"individual":"{p}"}}],"diagnosis":[{{"condition":"{d}"}}],"subject":"s"}}'
+                            for p, d in pairs])
+
+    def prac(name, **emails):
+        return store(name, [f'{{"identifier":"{p[1:]}","name":"a b","telecom":"{e}","qualification":[{{"identifier":"h"}}]}}'
+                            for p, e in emails.items()])
+
+    def build(path, practitioners, batch):
+        out = job.build(spark, path, practitioners, f"{tmp}/out", state_path=f"{tmp}/st", batch_id=batch,
+                        duplicates=duplicates, compact_every=2)
+        return sorted((r.practitioner, r.diagnosis, r.email, r.n_visits) for r in out.collect())
+
+    assert build(visits("a", ("1", "flu"), ("2", "gout"), ("3", "flu")), prac("p0", _1="old", _3="c"), 0) == [
+        ("1", "flu", "old", 1), ("3", "flu", "c", 1)]
+    # 2 is late and 1 corrected, while the batch has another diagnosis only
+    second = [("1", "flu", "new", 1), ("2", "gout", "b", 1), ("3", "flu", "c", 1), ("3", "sprain", "c", 1)]
+    assert build(visits("b", ("3", "sprain")), prac("p1", _1="new", _2="b", _3="c"), 1) == second
+    # from a snapshot; then a record that is gone
+    assert build(visits("c", ("3", "cold")), prac("p2", _1="newer", _2="b", _3="c"), 2) == sorted(
+        [("1", "flu", "newer", 1), ("3", "cold", "c", 1)] + second[1:])
+    assert build(visits("d", ("3", "cold")), prac("p3", _1="newer", _3="c"), 3) == [
+        ("1", "flu", "newer", 1), ("3", "cold", "c", 2), ("3", "flu", "c", 1), ("3", "sprain", "c", 1)]
