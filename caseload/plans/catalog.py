@@ -358,6 +358,12 @@ def q_indexed_search(spark, sf):
     return search.search(served_results(spark, sf), queries)
 
 
+def q_turned_search(spark, sf):
+    """A batch of searches by diagnosis, by practitioner name and by hospital:
+    the whole table of turned queries."""
+    return search.search(served_results(spark, sf), turned_queries(spark, sf))
+
+
 def q_search_patients(spark, sf):
     """A search over the patient-aware results, ranked by distinct patients."""
     path = work_dir(spark, "served-patients")
@@ -471,6 +477,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_patients": q_search_patients,
     "batch_search": q_batch_search,
     "indexed_search": q_indexed_search,
+    "turned_search": q_turned_search,
     "title_case": q_title_case,
     "stream_visit_counts": q_stream_visit_counts,
     "stream_patient_counts": q_stream_patient_counts,

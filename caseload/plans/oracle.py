@@ -296,6 +296,7 @@ FROM vp JOIN prac ON vp.practitioner = prac.practitioner""",
                                    + ",\nq AS (SELECT * FROM q0 UNION ALL SELECT * FROM qh)"),
         "indexed_search": search_sql(Q_TURNED.replace("q AS", "qt AS", 1)
                                      + ",\nq AS (SELECT * FROM qt WHERE full_name = '')", transposed=True),
+        "turned_search": search_sql(Q_TURNED, transposed=True),
         "title_case": with_(PRAC) + f"SELECT DISTINCT hospital, {title('hospital')} AS title FROM prac",
         "stream_visit_counts": with_(ENC, VC) + "SELECT practitioner, diagnosis, n_visits FROM vc",
         "stream_patient_counts": with_(ENC, CASES, VP) + "SELECT practitioner, diagnosis, n_patients, n_visits FROM vp",

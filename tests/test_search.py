@@ -179,3 +179,38 @@ def test_hit_identity(spark):
     assert search.combine(m, res, identity="practitioner").count() == 2
     lines = [r.line for r in search.search(res, q, identity="practitioner").collect() if r.kind == "result"]
     assert lines == ["Dr. kim park, 4 patients, Lake, k@x"] * 2
+
+
+def osa(a, b):
+    d = {(i, 0): i for i in range(len(a) + 1)} | {(0, j): j for j in range(len(b) + 1)}
+    for i, j in itertools.product(range(1, len(a) + 1), range(1, len(b) + 1)):
+        d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (a[i - 1] != b[j - 1]))
+        if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+            d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+    return d[len(a), len(b)]
+
+
+def test_a_batch_searches_every_name(spark):
+    """The turned queries by name, against brute force."""
+    from conftest import SF
+    from caseload.functions import text
+    from caseload.plans import catalog
+    asked = catalog.turned_queries(spark, SF).collect()
+    out = catalog.QUERIES["turned_search"](spark, SF).where("kind = 'result'").collect()
+    assert {r.query_id for r in out} == {q.query_id for q in asked}
+    got = {}
+    for r in sorted(out, key=lambda r: r.ord):
+        got.setdefault(r.query_id, []).append(r.line)
+    rows = catalog.results(spark, SF).select(
+        "full_name", "n_visits", text.line_without_count("full_name", "hospital", "email").alias("line")).collect()
+    near = lambda a, b: osa(a, b) <= min(search.FUZZINESS["full_name"], min(len(a), len(b)) - 1)
+    names = {r.full_name for r in rows}
+    by_name = [q for q in asked if q.full_name]
+    assert by_name
+    for q in by_name:
+        hit = {n for n in names if any(near(a, b) for a in q.full_name.split() for b in n.split())}
+        best = {}
+        for r in rows:
+            if r.full_name in hit:
+                best[r.line] = max(best.get(r.line, 0), r.n_visits)
+        assert got[q.query_id] == (sorted(best, key=lambda x: (-best[x], x))[:10] or ["NONE"])
