@@ -74,7 +74,10 @@ def test_a_batch_reads_only_the_diagnoses_it_touches(spark, capsys, tmp):
     schema = "practitioner string, diagnosis string, n_visits long"
     state.append_delta(spark, spark.createDataFrame([("1", "flu", 2), ("1", "gout", 1)], schema), tmp, 0)
     batch = spark.createDataFrame([("1", "flu", 3)], schema)
-    touched = job._fold_batch(spark, batch, tmp, 1, keys, "n_visits")
+    prac = spark.createDataFrame([("1", "ann", "a@x", "mercy")], "practitioner string, full_name string, email string, hospital string")
+    state.keep_practitioners(prac, tmp)                                # the table that the last run served, unchanged
+    touched = job._fold_batch(spark, batch, prac, tmp, 1, keys, "n_visits")
+    assert [r["diagnosis"] for r in touched.distinct().collect()] == ["flu"]
     totals = state.read_totals(spark, tmp, keys, "n_visits", only=touched)
     assert sorted(map(tuple, totals.collect())) == [("1", "flu", 5)]
     assert "dynamicpruning" in plan(totals, capsys)
