@@ -8,17 +8,20 @@ block, pieces are placed best-fit by falling length; local search then moves
 pieces between underfull sequences -- one, one against one, two against one --
 whenever that raises the sum of squared fills, until sequences run empty.
 
-Edge cases: a null or empty text is one piece holding only the separator;
-repeated rows are packed as documents of their own; an empty table gives no
-pieces.
+Edge cases: a null or empty text is one piece holding only the separator; a
+text of any length is encoded whole and cut into pieces, a very long run of
+white space by the slower of two equal encoders; repeated rows are packed as
+documents of their own; of exchanges that gain the same, the first found is
+made, in an order that hangs on the pieces alone, so reruns agree; other
+columns, whatever their names, are not read; an empty table gives no pieces.
 """
 
 from __future__ import annotations
 
-import base64
 import math
 import zlib
 from bisect import bisect_left, insort
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,43 +31,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from caseload.llm.common import whole_text, written
+from caseload.llm.tokens import encoder
 
 SIZE = 2048
 SEPARATOR = 0
 BLOCK = 16384
 
 
-def _encoder(vocabulary: str, ranks: str):
-    """text -> ids of the byte-level BPE vocabulary.
-
-    ``ranks`` holds the same vocabulary for a faster encoder; a text with the
-    vocabulary's special token goes to the library that knows it.
-    """
-    import public_tokenizers
-    import tiktoken
-    from tokenizers import Tokenizer
-
-    with open(ranks, "rb") as lines:
-        merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={})
-    whole = Tokenizer.from_file(vocabulary)
-    special = [t.content for t in whole.get_added_tokens_decoder().values()]
-
-    def encode(text: str) -> list[int]:
-        if any(s in text for s in special):
-            return whole.encode(text, add_special_tokens=False).ids
-        return fast.encode_ordinary(text)
-
-    return encode
-
-
 def pieces(docs: DataFrame, vocabulary: str, ranks: str, size: int = SIZE, separator: int = SEPARATOR,
            with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every document: its
     ids and the separator, cut into pieces of ``size``; a shorter piece is the first."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(vocabulary, ranks)
+        encode = encoder(vocabulary, ranks)
         for batch in batches:
             texts = batch.column(1)
             for at in range(0, batch.num_rows, 512):
@@ -142,27 +122,25 @@ class _Bins:
                     improved = True
 
     def _index(self, b: int, singles: dict, doubles: dict, add: bool) -> None:
-        items, size = self.bins[b], self.size
-        if add and not 0 < self.fill[b] < size:
+        """Enter a sequence under every length, and every sum of two lengths,
+        that it can give -- or take it out.  Pieces of one length are alike, so
+        there are at most about ``size`` such sums, however many pieces it has."""
+        if add and not 0 < self.fill[b] < self.size:
             return
-        for i, x in enumerate(items):
-            a = self.lengths[x]
+        count = Counter(self.lengths[x] for x in self.bins[b])
+        kinds = sorted(count)
+        found = [(singles, a, (b, a)) for a in kinds]
+        found += [(doubles, a + c, (b, a, c)) for i, a in enumerate(kinds) for c in kinds[i:] if a != c or count[a] > 1]
+        for table, key, entry in found:
             if add:
-                singles.setdefault(a, set()).add((b, x))
-            elif a in singles:
-                singles[a].discard((b, x))
-            for y in items[i + 1:] if len(items) <= 16 else ():
-                s = a + self.lengths[y]
-                if add:
-                    doubles.setdefault(s, set()).add((b, x, y))
-                elif s in doubles:
-                    doubles[s].discard((b, x, y))
+                table.setdefault(key, set()).add(entry)
+            elif key in table:
+                table[key].discard(entry)
 
     def _top_up(self, b: int, at, singles, doubles, lengths, sums) -> bool:
         """The exchange that fills ``b`` most: an item or two come in, at most one goes out."""
         gap, best = self.size - self.fill[b], None
-        for out in [None, *self.bins[b]]:
-            gone = 0 if out is None else self.lengths[out]
+        for gone in [0, *sorted({self.lengths[x] for x in self.bins[b]})]:
             for keys, table in ((lengths, singles), (sums, doubles)):
                 k = bisect_left(keys, gone + gap + 1) - 1
                 while k >= 0 and keys[k] - gone > (best[0] if best else 0):
@@ -170,22 +148,21 @@ class _Bins:
                     found = next((e for e in table.get(keys[k], ()) if e[0] != b and self.fill[b] + gain > self.fill[e[0]]),
                                  None)
                     if found:
-                        best = (gain, out, found)
+                        best = (gain, gone, found)
                         break
                     k -= 1
             if best and best[0] == gap:
                 break
         if best is None:
             return False
-        gain, out, (other, *come) = best
+        gain, gone, (other, *come) = best
         self._index(b, singles, doubles, add=False)
         self._index(other, singles, doubles, add=False)
-        for x in come:
-            self.bins[other].remove(x)
-            self.bins[b].append(x)
-        if out is not None:
-            self.bins[b].remove(out)
-            self.bins[other].append(out)
+        leaves = self._taken(b, gone) if gone else None
+        for length in come:
+            self.bins[b].append(self._taken(other, length))
+        if leaves is not None:
+            self.bins[other].append(leaves)
         self.fill[b] += gain
         self.fill[other] -= gain
         for k in (b, other):
@@ -195,6 +172,12 @@ class _Bins:
                 lengths[:], sums[:] = sorted(singles), sorted(doubles)
         return True
 
+    def _taken(self, b: int, length: int) -> int:
+        """A piece of this length, taken out of the sequence."""
+        x = next(x for x in self.bins[b] if self.lengths[x] == length)
+        self.bins[b].remove(x)
+        return x
+
 
 def place(lengths: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, np.ndarray, int]:
     """(sequence, offset) of each length and the number of sequences."""
@@ -229,7 +212,8 @@ def pack(parts: DataFrame, size: int = SIZE, block: int = BLOCK) -> DataFrame:
         return (rows.append_column("sequence_id", pa.array((key[0].as_py() << 32) + sequence))
                     .append_column("offset", pa.array(offset)))
 
-    return dealt.groupBy("block").applyInArrow(run, StructType([
+    # by range, so that no two blocks of these few meet in one task
+    return dealt.repartitionByRange(blocks, "block").groupBy("block").applyInArrow(run, StructType([
         *parts.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())]))
 
 

@@ -127,6 +127,37 @@ def test_special_token_text(spark):
     assert [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows] == brute_pieces(row)
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", "\u00a0", " \n\t"])
+def test_very_long_white_space(spark, blank):
+    run = blank * (2_000_000 // len(blank))
+    rows = [(1, run, "en", "s", 0), (2, f"a{run}b", "en", "s", 0), (3, f"a {run}", "en", "s", 0)]
+    got = packing.pieces(spark.createDataFrame(rows, DOC), **queries.tokenizer_paths()).collect()
+    assert sorted([tuple(r) for r in got], key=str) == brute_pieces(rows)
+
+
+def test_exchanges_reach_sequences_of_many_short_pieces():
+    # best fit leaves gaps here that only short pieces from sequences of very many pieces close
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        lengths = np.concatenate([rng.integers(1, 60, 400), rng.integers(900, 1100, 40)])
+        sequence, offset, n = packing.place(lengths, 2048)
+        fill = np.bincount(sequence, lengths, n)
+        assert fill.max() <= 2048 and n == math.ceil(lengths.sum() / 2048)
+        for k in range(n):
+            own = np.argsort(offset[sequence == k])
+            assert (np.cumsum(lengths[sequence == k][own])[:-1] == np.sort(offset[sequence == k])[1:]).all()
+
+
+def test_two_for_one_from_a_sequence_of_more_than_sixteen_pieces():
+    bins = packing._Bins(np.array([], int), 100)
+    bins.lengths = [60, 30, *[7] * 10, *[3] * 9]
+    bins.bins, bins.fill = [[0, 1], list(range(2, 21))], [90, 97]
+    bins.size = 100
+    bins.search()
+    # 10 = 7 + 3 comes over; then both hold what they can
+    assert bins.fill[0] == 100 and sum(bins.fill) == 187 and sum(map(len, bins.bins)) == 21
+
+
 def test_packing_query_is_tight(spark):
     rows = queries.op2_best_fit_packing(spark, SF).collect()
     table = [tuple(r) for r in read_table(spark, SF, "documents").select("doc_id", "text").collect()]
