@@ -5,13 +5,17 @@ before it, a block ends a paragraph, cells get rows) and a renderer walks the
 tree: hidden elements leave nothing, blocks stand on lines of their own with
 blank lines where a browser leaves a margin, lists get markers and indents,
 and the cells of a table are aligned in columns.  Both walk with a stack of
-their own, so nesting may be as deep as it likes.
+their own, so nesting may be as deep as it likes.  Of a drop-down list the
+chosen option shows, of a drawing its text elements, of an object what stands
+in for it; a visible child of an invisible element shows.
 
 Each page is one row of one task; nothing is shuffled.
 
-Edge cases: a null or empty page gives an empty text; markup that breaks off
-ends where it breaks off; repeated rows give equal texts; an empty table gives
-no rows.
+Edge cases: a null or empty page gives an empty text; a page of any length is
+rendered whole; markup that breaks off ends where it breaks off, malformed
+declarations are comments, numbers out of bounds count as the bound that the
+HTML standard sets; repeated rows give equal texts; other columns, whatever
+their names, are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,12 +31,13 @@ from pyspark.sql import functions as F
 
 # Fixed values of the HTML standard: which elements are void, never shown, blocks, or end others.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("head title script style template noscript noembed noframes iframe object canvas audio video svg math "
-                   "select datalist meta link base col colgroup input area map param source track".split())
+UNSEEN = frozenset("head title script style template noscript noembed noframes iframe canvas audio video annotation "
+                   "annotation-xml datalist meta link base col colgroup input area map param source track".split())
+SVG_UNSEEN = frozenset("title desc metadata defs symbol clippath mask pattern marker style script".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
-                   "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre "
-                   "search section summary ul caption".split())
-MARGINS = frozenset("blockquote dl fieldset figure h1 h2 h3 h4 h5 h6 hr menu ol p pre table ul dir".split())
+                   "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p "
+                   "plaintext pre search section summary ul caption xmp".split())
+MARGINS = frozenset("blockquote dl fieldset figure h1 h2 h3 h4 h5 h6 hr menu ol p plaintext pre table ul dir xmp".split())
 LISTS = frozenset("ul ol menu dir".split())
 ENDS_PARAGRAPH = (BLOCKS | {"table"}) - frozenset("body html option optgroup caption legend".split())
 ROWS = frozenset("tbody thead tfoot".split())
@@ -51,7 +56,12 @@ IMPLIED_ENDS = {
     "option": (frozenset(["option"]), frozenset(["select", "datalist"])),
 }
 _BARRIERS = frozenset("table td th caption html template button object".split())
-_HIDDEN_STYLE = re.compile(r"(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+#: The largest spans and list numbers.
+MOST_COLUMNS, MOST_ROWS, MOST_NUMBER = 1000, 65534, (1 << 31) - 1
+PREFORMATTED = frozenset("pre textarea xmp plaintext".split())
+_NUMBER = re.compile(r"[ \t\n\r\f]*([+-]?)0*([0-9]+)")
+_REFERENCE_ZEROS = re.compile(r"&#0+(?=[0-9])")
+_LONG_REFERENCE = re.compile(r"&#[0-9]{8,};?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 BULLET = "- "
 GAP = "  "  # between columns
@@ -67,6 +77,8 @@ class _Node:
 class TreeBuilder(HTMLParser):
     """The tree of a page below ``root``; text nodes are strings."""
 
+    CDATA_CONTENT_ELEMENTS = ("script", "style", "xmp", "plaintext")
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = _Node("html", {})
@@ -124,17 +136,67 @@ class TreeBuilder(HTMLParser):
             self.open.pop()
         self.open[-1].children.append(data)
 
+    def set_cdata_mode(self, elem: str, **more) -> None:
+        super().set_cdata_mode(elem, **more)
+        if elem == "plaintext":  # nothing ends it
+            self.interesting = re.compile("(?!)")
+
+    def parse_html_declaration(self, i: int) -> int:
+        """``<![`` starts a comment, but for character data in drawings and formulas."""
+        if not self.rawdata.startswith("<![", i):
+            return super().parse_html_declaration(i)
+        if self.rawdata.startswith("<![CDATA[", i) and any(n.tag in ("svg", "math") for n in self.open):
+            end = self.rawdata.find("]]>", i)
+            self.handle_data(self.rawdata[i + 9:end] if end >= 0 else self.rawdata[i + 9:])
+            return end + 3 if end >= 0 else len(self.rawdata)
+        return self.parse_bogus_comment(i)
+
     def build(self, html: str) -> _Node:
-        self.feed(html)
+        # no character has so large a number, and Python does not read one of thousands of digits
+        self.feed(_LONG_REFERENCE.sub("\ufffd", _REFERENCE_ZEROS.sub("&#", html)))
+        if self.cdata_elem in ("xmp", "plaintext"):
+            self.handle_data(self.rawdata)
         if self.rawdata.startswith("<") or self.cdata_elem:
             self.rawdata = ""  # a tag or an unseen text that never ends
         self.close()
         return self.root
 
 
-def _hidden(node: _Node) -> bool:
-    return (node.tag in UNSEEN or "hidden" in node.attrs
-            or bool(_HIDDEN_STYLE.search(node.attrs.get("style") or "")))
+def _number(text: str | None, default: int, least: int, most: int) -> int:
+    """The whole number that a text begins with, held within bounds."""
+    found = _NUMBER.match(text or "")
+    if not found:
+        return default
+    n = most if len(found[2]) > 12 else int(found[2])
+    return min(max(-n if found[1] == "-" else n, least), most)
+
+
+def _shown(node: _Node, visible: bool) -> tuple[bool, bool]:
+    """(whether the element is there at all, whether its text is visible)."""
+    there = node.tag not in UNSEEN and "hidden" not in node.attrs
+    for part in (node.attrs.get("style") or "").lower().split(";"):
+        name, _, value = part.partition(":")
+        value = value.split("!")[0].strip()
+        if name.strip() == "display":
+            there = there and value != "none"
+        elif name.strip() == "visibility":
+            visible = visible if value == "inherit" else value not in ("hidden", "collapse")
+    return there, visible
+
+
+def _options(select: _Node) -> list:
+    """What a list of options shows: all of them, or the text of the chosen one."""
+    options, walk = [], [select]
+    while walk:
+        node = walk.pop()
+        if node.tag == "option" and _shown(node, True)[0]:
+            options.append(node)
+        else:
+            walk.extend(c for c in reversed(node.children) if not isinstance(c, str))
+    if "multiple" in select.attrs or _number(select.attrs.get("size"), 1, 0, MOST_NUMBER) > 1:
+        return options
+    chosen = [o for o in options if "selected" in o.attrs][-1:] or [o for o in options if "disabled" not in o.attrs][:1]
+    return [" ", *chosen[0].children, " "] if chosen else []
 
 
 def width(text: str) -> int:
@@ -207,30 +269,34 @@ class _Table:
     """The cells of a table as they are rendered: (row, column, spans, lines)."""
 
     def __init__(self):
-        self.row, self.taken, self.cells, self.captions = -1, set(), [], []
+        self.row, self.column, self.cells, self.captions = -1, 0, [], []
+        self.below: dict[int, int] = {}  # column -> first row that no cell from above reaches
 
     def next_row(self) -> None:
-        self.row += 1
+        self.row, self.column = self.row + 1, 0
 
     def add(self, attrs: dict, lines: list[str]) -> None:
         if self.row < 0:
-            self.row = 0
-        spans = [min(max(int(m.group()), 1), 1000) if (m := re.match(r"\d+", attrs.get(k) or "")) else 1
-                 for k in ("rowspan", "colspan")]
-        column = 0
-        while (self.row, column) in self.taken:
-            column += 1
-        for r in range(self.row, self.row + spans[0]):
-            for c in range(column, column + spans[1]):
-                self.taken.add((r, c))
-        self.cells.append((self.row, column, spans[1], lines))
+            self.next_row()
+        across = _number(attrs.get("colspan"), 1, 1, MOST_COLUMNS)
+        down = _number(attrs.get("rowspan"), 1, 0, MOST_ROWS) or MOST_ROWS
+        while self.below.get(self.column, 0) > self.row:
+            self.column += 1
+        if down > 1:
+            for c in range(self.column, self.column + across):
+                self.below[c] = max(self.below.get(c, 0), self.row + down)
+        self.cells.append((self.row, self.column, across, lines))
+        self.column += across
 
     def lines(self) -> list[str]:
         widths: dict[int, int] = {}
         for _, column, span, lines in sorted(self.cells, key=lambda c: c[2]):
             most = max(map(width, lines), default=0)
-            have = sum(widths.get(c, 0) for c in range(column, column + span)) + len(GAP) * (span - 1)
-            widths[column + span - 1] = widths.get(column + span - 1, 0) + max(0, most - have)
+            filled = [widths[c] for c in range(column, column + span) if widths.get(c)]  # only these have gaps between them
+            have, last = sum(filled) + len(GAP) * max(0, len(filled) - 1), column + span - 1
+            if most > have:
+                new_gap = len(GAP) if filled and not widths.get(last) else 0
+                widths[last] = widths.get(last, 0) + max(1, most - have - new_gap)
         at, places = 0, {}
         for c in range(max(widths, default=-1) + 1):
             places[c] = at
@@ -255,13 +321,15 @@ def render(root: _Node) -> str:
     page = _Flow()
     flows, tables, lists = [page], [], []
     pre = 0
-    stack: list = [(root, False)]
+    # (node, whether it ends here, whether its text is visible, whether it is in a drawing)
+    stack: list = [(root, False, True, False)]
     while stack:
-        node, leaving = stack.pop()
+        node, leaving, visible, drawing = stack.pop()
         flow = flows[-1]
         if isinstance(node, str):
             table = tables[-1] if tables else None
-            if not (table and table[1] == len(flows) and not node.strip()):  # blanks between rows
+            blank_row = table and table[1] == len(flows) and not node.strip()  # between rows
+            if visible and not drawing and not blank_row:
                 flow.text(node, pre > 0)
             continue
         tag = node.tag
@@ -286,17 +354,19 @@ def render(root: _Node) -> str:
                 flow.block(tag == "blockquote")
                 flow.indent, flow.marker = flow.indent[:len(flow.indent) - node.attrs.pop("\0", 0)], ""
             elif tag == "q":
-                flow.text("”", False)
-            elif tag in BLOCKS:
+                flow.text("”" * visible, False)
+            elif tag in BLOCKS or tag == "\0text":
                 flow.block(tag in MARGINS)
-            if tag in ("pre", "textarea"):
+            if tag in PREFORMATTED:
                 pre -= 1
             continue
-        if _hidden(node):
+        there, visible = _shown(node, visible)
+        if not there or drawing and tag in SVG_UNSEEN:
             continue
         children = node.children
         if tag == "br":
-            flow.newline(True)
+            if visible and not drawing:
+                flow.newline(True)
             continue
         if tag in ("img", "embed", "wbr"):
             continue
@@ -313,33 +383,39 @@ def render(root: _Node) -> str:
                 flows.append(_Flow())
         elif tag in LISTS:
             flow.block(not lists)
-            start = re.match(r"-?\d+", node.attrs.get("start") or "1") if tag == "ol" else None
-            lists.append(int(start.group()) if start else None if tag != "ol" else 1)
+            lists.append(_number(node.attrs.get("start"), 1, -MOST_NUMBER, MOST_NUMBER) if tag == "ol" else None)
         elif tag in ("li", "dd", "blockquote"):
             flow.block(tag == "blockquote")
             lead = GAP
             if tag == "li":
                 number = lists[-1] if lists else None
-                if number is not None and re.fullmatch(r"-?\d+", node.attrs.get("value") or ""):
-                    number = int(node.attrs["value"])
+                if number is not None:
+                    number = _number(node.attrs.get("value"), number, -MOST_NUMBER, MOST_NUMBER)
                 lead = BULLET if number is None else f"{number}. "
                 if number is not None:
                     lists[-1] = number + 1
-                flow.marker = lead
+                flow.marker = lead if visible else ""
             flow.indent += " " * len(lead)
             node.attrs["\0"] = len(lead)
         elif tag == "q":
-            flow.text("“", False)
+            flow.text("“" * visible, False)
         elif tag in BLOCKS:
             flow.block(tag in MARGINS)
-        if tag in ("pre", "textarea"):
+        elif drawing and tag in ("text", "foreignobject"):
+            node.tag, drawing = "\0text", False
+            flow.block(False)
+        elif tag == "svg":
+            drawing = True
+        elif tag == "select":
+            children = _options(node)
+        if tag in PREFORMATTED:
             pre += 1
             if children and isinstance(children[0], str) and children[0].startswith("\n"):
                 children = [children[0][1:], *children[1:]]
         if tag == "details" and "open" not in node.attrs:
             children = [c for c in children if not isinstance(c, str) and c.tag == "summary"][:1]
-        stack.append((node, True))
-        stack.extend((c, False) for c in reversed(children))
+        stack.append((node, True, visible, drawing))
+        stack.extend((c, False, visible, drawing) for c in reversed(children))
     return "\n".join(page.done())
 
 

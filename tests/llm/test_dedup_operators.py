@@ -374,11 +374,52 @@ def test_archive_query(spark):
     ("<details><summary>s</summary>no</details>", "s"), ("<details open><summary>s</summary>yes</details>", "s\nyes"),
     ("<blockquote>q<p>r</blockquote>e", "  q\n\n  r\n\ne"), ("<dl><dt>t<dd>d</dl>", "t\n  d"), ("x</p>y", "x\n\ny"),
     ("one  <b> two</b>\n three <a href='x", "one two three"), ("<div>" * 5000 + "deep", "deep"),
+    ("a<![foo[x]]>b", "ab"), ("<![ @x]>y", "y"), ("a<![CDATA[x]]>b", "ab"), ("<svg><text><![CDATA[x<]]></text></svg>", "x<"),
+    ("a<![", "a"), ("<!x>y", "y"), ("<?x>y", "y"), ("</>y", "y"),
+    (f"<ol start={'9' * 5000}><li>a</ol>", "2147483647. a"), (f"<ol><li value=-{'9' * 5000}>a</ol>", "-2147483647. a"),
+    ("<ol start=-1><li>a<li value=x>b<li value=' 7 '>c</ol>", "-1. a\n0. b\n7. c"),
+    (f"a&#{'1' * 5000};b&#0000000065;c", "a\ufffdbAc"), (f"&#{'0' * 5000}66;", "B"), (f"<p title='&#{'1' * 5000}'>b", "b"),
+    (f"<table><tr><td rowspan={'9' * 5000}>a<td>b<tr><td>c</table>", "a  b\n   c"),
+    ("<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>", "a  b\n   c\n   d"),
+    ("<table><tr><td rowspan=2>a<td colspan=0>b<td rowspan=2>c<tr><td>d<td>e</table>", "a  b  c\n   d     e"),
+    ("<svg><title>t</title><desc>d</desc>z<text>hi</text><defs><text>no</text></defs></svg>x", "hi\nx"),
+    ("<svg><foreignObject><p>in</p></foreignObject></svg>", "in"), ("a <math><mi>x</mi><mo>=</mo><mn>1</mn></math> b", "a x=1 b"),
+    ("<math><semantics><mi>x</mi><annotation>no</annotation></semantics></math>", "x"),
+    ("a<select><option>one<option selected>two<option>three</select>b", "a two b"),
+    ("<select><option disabled>one<optgroup label=g><option>two</optgroup></select>", "two"),
+    ("<select multiple><option>one<option>two</select>", "one\ntwo"), ("<select size=2><option>one<option hidden>no</select>", "one"),
+    ("<select></select>x", "x"), ("<object data=x><param name=a>fallback</object>", "fallback"),
+    ("<div style='visibility:hidden'>no<b style='visibility:visible'>yes</b><br>no</div>", "yes"),
+    ("<p style='VISIBILITY: hidden !important'>no</p><p style='visibility:inherit'>yes", "yes"),
+    ("<ul style='visibility:collapse'><li>no<li style='visibility:visible'>yes</ul>", "- yes"),
+    ("<p>a<plaintext>b <p>c</plaintext>&amp;", "a\n\nb <p>c</plaintext>&amp;"), ("<xmp><b>x</b></xmp>y", "<b>x</b>\n\ny"),
+    ("<xmp><b>x", "<b>x"), ("<iframe>no</iframe><canvas>no</canvas><video>no</video>yes", "yes"),
 ])
 def test_rendering(html, text):
     assert html_text.text_of(html) == text
 
 
+def test_random_markup_never_fails():
+    import random
+    rng = random.Random(11)
+    bits = ["<", ">", "</", "/>", "<!", "<![", "]]>", "<!--", "-->", "--!>", "<?", "&", "&#", "&#x", ";", "=", "'", '"', " ", "\n", "\0",
+            "[", "]", "]>", "@", "<![CDATA[", "<!DOCTYPE", "9" * 5000, "12", "-", "x", "é", "rowspan=", "colspan=", "start=", "value=",
+            "style=visibility:", "hidden", "visible", "display:none", "size=3", "selected", "multiple",
+            *[f"<{t}>" for t in "table tr td th caption ol ul li p div select option optgroup svg text math mi object pre textarea xmp "
+              "plaintext script style title head body html br q dl dt dd blockquote details summary template a b".split()],
+            *[f"</{t}>" for t in "table tr td ol ul li p div select option svg text math object pre xmp script q dl a".split()]]
+    for _ in range(20000):
+        html = "".join(rng.choice(bits) for _ in range(rng.randrange(1, 25)))
+        assert isinstance(html_text.text_of(html), str)
+
+
+def test_spans_cost_no_more_than_their_columns():
+    import time
+    began = time.process_time()
+    assert html_text.text_of("<table>" + ("<tr>" + "<td rowspan=65534 colspan=1000>x" * 4) * 50 + "</table>").split() == ["x"] * 200
+    assert time.process_time() - began < 5
+
+
 def test_every_visible_word_of_the_pages_comes_out(spark):
     """The words between the tags of a page's body, in order, are the words of its text."""
     import html as entities
