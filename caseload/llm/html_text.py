@@ -294,11 +294,12 @@ class _Table:
             most = max(map(width, lines), default=0)
             filled = [widths[c] for c in range(column, column + span) if widths.get(c)]  # only these have gaps between them
             have, last = sum(filled) + len(GAP) * max(0, len(filled) - 1), column + span - 1
+            widths.setdefault(last, 0)
             if most > have:
-                new_gap = len(GAP) if filled and not widths.get(last) else 0
-                widths[last] = widths.get(last, 0) + max(1, most - have - new_gap)
+                new_gap = len(GAP) if filled and not widths[last] else 0
+                widths[last] += max(1, most - have - new_gap)
         at, places = 0, {}
-        for c in range(max(widths, default=-1) + 1):
+        for c in range(max(max(widths, default=-1), max((c for _, c, _, _ in self.cells), default=-1)) + 1):
             places[c] = at
             at += widths.get(c, 0) + (len(GAP) if widths.get(c, 0) else 0)
         out = [x for caption in self.captions for x in caption]
