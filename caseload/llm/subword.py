@@ -5,15 +5,17 @@ to a row of a table of learned vectors; a document is the average of its rows
 and a softmax layer tells its label.  Table and layer are trained together by
 stochastic gradient descent in numpy on a bounded sample: at most ``SAMPLE``
 labelled documents of ``SAMPLE_BYTES`` together, whole texts, chosen by a hash
-of the id.
+of the id; a text above ``LARGEST`` bytes is not learned from, only scored.
 
 The output layer is linear, so a document's logit is the average of one number
 per table row: scoring the corpus needs those numbers only (a table of fixed
 size), in one pass without a shuffle.
 
 Edge cases: a null or empty text has no features and gets the score of the
-bias alone; without labels every score is 0.5; repeated rows score alike; an
-empty table gives no rows.
+bias alone; a text of any length is scored whole; without labels every score
+is 0.5; rows that repeat an id are learned from once each; repeated rows score
+alike; other columns, whatever their names, are not read; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ from caseload.llm.common import smallest_hashes, whole_text
 #: Labelled documents that the model is trained on, at most, and bytes of their texts.
 SAMPLE = 6000
 SAMPLE_BYTES = 128 << 20
+#: Bytes of the largest text that is learned from; so the sample has 64 texts at least, if there are as many.
+LARGEST = SAMPLE_BYTES // 64
 ROWS_LOG2 = 18
 DIM = 16
 GRAMS = (3, 4, 5)
@@ -147,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """
     known = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     sizes = docs.groupBy("doc_id").agg(F.sum(F.octet_length(whole_text())).alias("bytes"))
-    found = smallest_hashes(sizes.join(known, "doc_id").where(~held_out()).withColumn(
+    found = smallest_hashes(sizes.where(F.col("bytes") <= LARGEST).join(known, "doc_id").where(~held_out()).withColumn(
         "h", F.xxhash64("doc_id").bitwiseAND(F.lit(0xFFFFFFFF))), sample)
     # at most ``sample`` narrow rows
     chosen = found.withColumn("so_far", F.sum("bytes").over(Window.orderBy("h", "doc_id"))).where(

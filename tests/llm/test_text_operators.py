@@ -344,6 +344,18 @@ def test_features_of_a_text_do_not_hang_on_its_neighbours():
         assert Counter(row[own == k].tolist()) == Counter(subword.features([t])[0].tolist())
 
 
+def test_a_huge_text_first_in_the_sample_does_not_end_it(spark, monkeypatch):
+    monkeypatch.setattr(subword, "SAMPLE_BYTES", 1 << 16)
+    monkeypatch.setattr(subword, "LARGEST", (1 << 16) // 64)
+    rows = [(i, f"good words here {i}" if i % 2 else f"### bad *** {i}", i % 2) for i in range(100)]
+    known = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    # by the order of the sample the first of all that are not held out
+    first = known.where(~subword.held_out()).orderBy(F.xxhash64("doc_id").bitwiseAND(F.lit(0xFFFFFFFF))).first().doc_id
+    docs = known.withColumn("text", F.when(F.col("doc_id") == first, F.repeat(F.lit("very long "), 20000)).otherwise(F.col("text")))
+    got = subword.classified(docs.select("doc_id", "text"), known.select("doc_id", "quality")).collect()
+    assert len({r.score for r in got}) > 2 and all(r.predicted == r.doc_id % 2 for r in got if r.doc_id != first)
+
+
 def test_classifier_edge_cases(spark, docs, none):
     no_labels = spark.createDataFrame([], "doc_id long, quality int")
     rows = subword.classified(docs, no_labels).collect()
