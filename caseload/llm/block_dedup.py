@@ -83,7 +83,7 @@ def _sent(chunk: int, parts: list[tuple[int, bytes, bytes]]) -> pa.Table:
 
 def _answered_flags(bucket: np.ndarray, buckets: int, got: dict[int, bytes]) -> np.ndarray:
     out = np.zeros(len(bucket), bool)
-    for b, part in by_bucket(bucket, buckets):
+    for b, part in by_bucket(bucket):
         out[part] = flags(got[b], part.stop - part.start)
     return out
 
@@ -151,13 +151,13 @@ def dedup(docs: DataFrame, window: int = WINDOW, **sizes) -> DataFrame:
     def send_probes(chunk: int, rows: pa.Table, _) -> pa.Table:
         probes = _Probes(_Words(rows), block, buckets)
         return _sent(chunk, [(b, probes.keys[p].astype("<u4").tobytes(), bits(probes.indexed[p]))
-                             for b, p in by_bucket(probes.keys >> 32, buckets)])
+                             for b, p in by_bucket(probes.keys >> 32)])
 
     def send_extensions(chunk: int, rows: pa.Table, replies: pa.Table) -> pa.Table:
         words = _Words(rows)
         found = _Extensions(words, *hits(words, answers(replies)), window, block, buckets)
         return _sent(chunk, [(b, found.keys[p].astype("<u8").tobytes(), narrow_bytes(found.least[p]))
-                             for b, p in by_bucket(found.bucket, buckets)])
+                             for b, p in by_bucket(found.bucket)])
 
     def finish(chunk: int, rows: pa.Table, replies: pa.Table) -> pa.Table:
         words = _Words(rows)

@@ -23,20 +23,27 @@ a smaller id.  Suffixes of the whole corpus are never sorted together:
    the documents' own bytes.  An anchor that chunks send more than ``most``
    strings of is split by a second key, the hash of a window's bytes: each
    window is a string of its own, its copies are one per chunk, and it has but
-   one distinct string, so its windows are those of the smallest id.  No merge
-   then holds more than ``most`` strings of an anchor.
+   one distinct string, so its windows are those of the smallest id: nothing is
+   left to interleave.  No merge then holds more than ``most`` strings of an
+   anchor.  (A second anchor instead would not bound it: a window that has one
+   byte of its own and 49 of the passage mostly keeps an anchor in the passage.)
 4. Chunks apply the answers to their bytes.
 
 A symbol is a block of ``SYMBOL`` bytes, so a string counts as SYMBOL phase
 strings and a suffix starts at every byte.  Anchors and strings are exchanged
 packed (see ``chunks``): an anchor that a third of the documents share is one
 entry per chunk, and one more per distinct string if it goes to a merge.
-Strings count as equal if 48 bits of a digest and 32 bits and the bucket of
-their anchor agree, symbols and windows of hot anchors if 64 bits do.
-
-Edge cases: a null text is empty; texts shorter than ``length`` are kept; rows
-with equal ids never remove bytes from one another; rows with a null id are
-kept as they are and remove nothing; an empty table gives no rows.
+In a merge all that counts as equal is compared byte by byte: copies of a
+string, and the windows of an interval.  Where bytes are not sent, strings
+count as equal if a 64-bit digest and 32 bits and the bucket of their anchor
+agree, windows of hot anchors if two independent 64-bit hashes do.
+
+Edge cases: a null text is empty; texts shorter than ``length`` are kept, texts
+of any length are worked on whole, in the memory of one task; of rows with
+equal windows the smallest id keeps them; rows with equal ids never remove
+bytes from one another; rows with a null id are kept as they are and remove
+nothing; other columns, whatever their names, are carried or not read; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -59,7 +66,6 @@ RUN = 32
 FINER = 4
 #: Strings of an anchor in a merge, at most (a string takes some KB there).
 MOST = 1000
-_DIGEST = 6  # bytes
 _CACHED = 1 << 16
 
 
@@ -105,9 +111,10 @@ class _Strings:
         self.start = self.n = self.of = self.rep = self.keys = self.digest = self.least = np.zeros(0, np.int64)
         self.anchors = self.strings = np.zeros(0, np.int64)
         self.many = np.zeros(0, bool)
+        self.length, self.anchor, self.hashes = length, anchor, np.zeros(0, np.uint64)
         if len(data) < length:
             return
-        hashes, least = anchors_of(data, length, anchor)
+        self.hashes, least = anchors_of(data, length, anchor)
         inside = np.ones(len(least) + 1, bool)  # windows within one known document
         inside[-1] = False
         for k, (a, b) in enumerate(zip(self.bounds.tolist(), self.bounds[1:].tolist())):
@@ -125,7 +132,7 @@ class _Strings:
         within = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         start = np.repeat(begin, pieces) + within * RUN
         n = np.minimum(np.repeat(n, pieces) - within * RUN, RUN)
-        digest = (_digests(hashes, start, n + length - 1, anchor, length + RUN - 1) >> np.uint64(64 - 8 * _DIGEST)).astype(np.int64)
+        digest = _digests(self.hashes, start, n + length - 1, anchor, length + RUN - 1)
         spread = mixed(least[start], 0x2545F4914F6CDD1D)
         bucket = ((spread >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
         keys = bucket << 32 | (spread & np.uint64(0xFFFFFFFF)).astype(np.int64)
@@ -159,12 +166,11 @@ def _anchors(s: _Strings, buckets: int) -> list[tuple]:
     """For each bucket the anchors of a chunk: digest of the first string, number
     of strings, least id, whether several ids have it."""
     a = s.anchors
-    raw = np.ascontiguousarray(s.digest[a].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_DIGEST])
     least = np.minimum.reduceat(s.least, a) if len(a) else s.least
     out = []
-    for b, p in by_bucket(s.keys[a] >> 32, buckets):
+    for b, p in by_bucket(s.keys[a] >> 32):
         several = s.strings[p] > 1
-        out.append((b, s.keys[a][p].astype("<u4").tobytes(), raw[p].tobytes(), narrow_bytes(least[p]),
+        out.append((b, s.keys[a][p].astype("<u4").tobytes(), s.digest[a][p].astype("<u8").tobytes(), narrow_bytes(least[p]),
                     bits(s.many[p]) + bits(several) + narrow_bytes(s.strings[p][several])))
     return out
 
@@ -174,10 +180,7 @@ def _compare(most: int):
         """In a bucket: the state of every anchor of every chunk, three bits each."""
         keys = [np.frombuffer(k.as_py(), "<u4") for k in table.column("keys")]
         sizes = np.cumsum([0, *map(len, keys)])
-        raw = np.concatenate([np.frombuffer(d.as_py(), np.uint8) for d in table.column("digests")]).reshape(-1, _DIGEST)
-        digest = np.zeros((len(raw), 8), np.uint8)
-        digest[:, :_DIGEST] = raw
-        digest = digest.view("<u8").ravel().astype(np.int64)
+        digest = np.concatenate([np.frombuffer(d.as_py(), "<u8") for d in table.column("digests")])
         least = np.concatenate([wide_ints(x.as_py()) for x in table.column("least")])
         many, strings = np.zeros(sizes[-1], bool), np.ones(sizes[-1], np.int64)
         for x, a, b in zip(table.column("many"), sizes, sizes[1:]):
@@ -207,7 +210,7 @@ def _states(s: _Strings, buckets: int, got: dict[int, bytes]) -> np.ndarray:
     """The state of every entry: that of its anchor."""
     keys = s.keys[s.anchors]
     state = np.zeros(len(keys), np.uint8)
-    for b, part in by_bucket(keys >> 32, buckets):
+    for b, part in by_bucket(keys >> 32):
         n, third = part.stop - part.start, len(got[b]) // 3
         for k in range(3):
             state[part] += flags(got[b][k * third:(k + 1) * third], n).astype(np.uint8) << k
@@ -261,6 +264,39 @@ def interleave(transform: np.ndarray, sizes: np.ndarray, rounds: int) -> tuple[n
     return slots, interval[slots]
 
 
+def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether data[a:a + size] is data[b:b + size], of each (a, b, size)."""
+    first = np.cumsum(size) - size
+    step = np.arange(size.sum()) - np.repeat(first, size)
+    return np.logical_and.reduceat(data[np.repeat(a, size) + step] == data[np.repeat(b, size) + step], first) if len(size) else size > 0
+
+
+def _distinct(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a place of each distinct string, in order, the distinct string of
+    each): found by hash and compared; should hashes ever meet, by the bytes."""
+    _, one, same = np.unique(span_hashes(data, start, start + size), return_index=True, return_inverse=True)
+    other = one[same]
+    if (size == size[other]).all() and _same_bytes(data, start, start[other], size).all():
+        first = np.sort(one)
+        return first, np.searchsorted(first, one)[same]
+    known: dict[bytes, int] = {}
+    same = np.array([known.setdefault(data[a:a + n].tobytes(), len(known)) for a, n in zip(start, size)])
+    return first_of(np.maximum.accumulate(same)), same
+
+
+def _exact(data: np.ndarray, at: np.ndarray, interval: np.ndarray, length: int) -> np.ndarray:
+    """The intervals of the windows at these places, split should one hold different bytes."""
+    order = np.argsort(interval, kind="stable")
+    first = first_of(interval[order])
+    n = np.diff(np.r_[first, len(order)])
+    mine = np.flatnonzero(np.repeat(n > 1, n))  # only these share an interval
+    a, b = at[order][mine], at[order[np.repeat(first, n)]][mine]
+    if _same_bytes(data, a, b, np.full(len(mine), length)).all():
+        return interval
+    known: dict[bytes, int] = {}
+    return np.array([known.setdefault(data[x:x + length].tobytes(), len(known)) for x in at.tolist()], interval.dtype)
+
+
 def _merge(length: int):
     rounds = length // SYMBOL
 
@@ -283,6 +319,7 @@ def _merge(length: int):
         _, interval = interleave(transform, np.bincount(shard[own]), rounds)
         whole = left[order] >= length  # suffixes that hold a window
         interval, own, place = interval[whole], own[order][whole], place[order][whole]
+        interval = _exact(data, start[own] + place, interval, length)
         low = np.full(int(interval.max()) + 1, np.iinfo(np.int64).max)
         np.minimum.at(low, interval, least[own])
         out = np.full((len(size), RUN), np.iinfo(np.int64).max)
@@ -298,9 +335,7 @@ def _merge(length: int):
         size = np.concatenate(lengths).astype(np.int64)
         start = np.cumsum(size) - size
         # a string that several shards sent stays in the first one
-        _, one, same = np.unique(span_hashes(data, start, start + size), return_index=True, return_inverse=True)
-        first = np.sort(one)
-        same = np.searchsorted(first, one)[same]
+        first, same = _distinct(data, start, size)
         floor = np.full(len(first), np.iinfo(np.int64).max)
         np.minimum.at(floor, same, least)
         low = repeated(data, start[first], size[first], floor, np.unique(shard[first], return_inverse=True)[1].astype(np.int32))
@@ -321,12 +356,13 @@ class _Windows:
         at = np.repeat(s.start[hot] - np.cumsum(n) + n, n) + np.arange(n.sum())
         doc = np.repeat(s.doc[hot], n) if len(hot) else at
         hashes = span_hashes(s.data, at, at + length) if len(at) else at.astype(np.uint64)
+        others = _digests(s.hashes, at, np.full(len(at), length), s.anchor, length) if len(at) else hashes
         bucket = (mixed(hashes, 0x5851F42D4C957F2D) >> np.uint64(32)) % np.uint64(buckets * FINER)
-        order = np.lexsort((hashes, bucket))
-        self.at, self.doc, hashes, bucket = at[order], doc[order], hashes[order], bucket[order]
-        first = first_of(hashes)
+        order = np.lexsort((others, hashes, bucket))
+        self.at, self.doc, hashes, others, bucket = at[order], doc[order], hashes[order], others[order], bucket[order]
+        first = np.flatnonzero(np.r_[True, (hashes[1:] != hashes[:-1]) | (others[1:] != others[:-1])]) if len(at) else at
         self.of = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(hashes)]))
-        self.hashes = hashes[first]
+        self.hashes, self.others = hashes[first], others[first]
         self.bucket = bucket[first].astype(np.int64)
         self.least = np.minimum.reduceat(self.doc, first) if len(first) else self.doc
 
@@ -337,8 +373,9 @@ def _least(table: pa.Table) -> list[bytes]:
     ends = np.cumsum([0, *map(len, hashes)])
     least = np.concatenate([wide_ints(x.as_py()) for x in table.column("least")])
     joined = np.concatenate(hashes)
-    order = np.argsort(joined, kind="stable")
-    start = first_of(joined[order])
+    others = np.concatenate([np.frombuffer(d.as_py(), "<u8") for d in table.column("digests")])
+    order = np.lexsort((others, joined))
+    start = np.flatnonzero(np.r_[True, np.diff(joined[order]) != 0] | np.r_[True, np.diff(others[order]) != 0])
     floor = np.zeros(len(order), np.int64)
     floor[order] = np.repeat(np.minimum.reduceat(least[order], start), np.diff(np.r_[start, len(order)]))
     return [bits(floor[a:b] < least[a:b]) for a, b in zip(ends, ends[1:])]
@@ -368,14 +405,14 @@ class _Dedup:
             state = _states(s, buckets, answers(replies))
             several, part = _several(s, state)
             raw, out = s.data.tobytes(), []
-            for b, p in by_bucket(part, buckets * FINER):
+            for b, p in by_bucket(part):
                 mine = several[p]
                 begin, size = s.start[s.rep[mine]], s.n[s.rep[mine]] + length - 1
                 text = b"".join(raw[x:x + n] for x, n in zip(begin.tolist(), size.tolist()))
                 out.append((b, size.astype(np.uint8).tobytes(), text, narrow_bytes(s.least[mine]), b""))
             w = _Windows(s, state, length, buckets)
-            out += [(buckets * FINER + b, w.hashes[p].astype("<u8").tobytes(), b"", narrow_bytes(w.least[p]), b"")
-                    for b, p in by_bucket(w.bucket, buckets * FINER)]
+            out += [(buckets * FINER + b, w.hashes[p].astype("<u8").tobytes(), w.others[p].astype("<u8").tobytes(), narrow_bytes(w.least[p]), b"")
+                    for b, p in by_bucket(w.bucket)]
             return _sent(chunk, out)
 
         def decide(table: pa.Table) -> list[bytes]:
@@ -398,7 +435,7 @@ def _removed(rows: pa.Table, replies: pa.Table, length: int, anchor: int, bucket
         several, part = _several(s, state)
         masks = answers(replies, 1)
         found = np.zeros((len(s.keys), RUN), bool)
-        for b, p in by_bucket(part, buckets * FINER):
+        for b, p in by_bucket(part):
             found[several[p]] = np.unpackbits(np.frombuffer(masks[b], np.uint8).reshape(-1, RUN // 8), axis=1,
                                               bitorder="little").astype(bool)
         partly = np.flatnonzero(~full & (state[s.of] == _SEVERAL))
@@ -406,7 +443,7 @@ def _removed(rows: pa.Table, replies: pa.Table, length: int, anchor: int, bucket
         at = s.start[partly[string]] + window
         w = _Windows(s, state, length, buckets)
         smaller = np.zeros(len(w.hashes), bool)
-        for b, p in by_bucket(w.bucket, buckets * FINER):
+        for b, p in by_bucket(w.bucket):
             smaller[p] = flags(masks[buckets * FINER + b], p.stop - p.start)
         at = np.r_[at, w.at[smaller[w.of] | (w.doc > w.least[w.of])]]
         np.add.at(cover, at, 1)

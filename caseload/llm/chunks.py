@@ -7,13 +7,11 @@ once as a table bucketed by chunk; each chunk sends its distinct keys to hash
 *buckets* as byte arrays, a bucket answers every chunk with a few bits per
 key, in the order sent, and the chunk works the keys out again to use the
 answer.  A key that a third of all documents share is one entry per chunk.
-Chunks and buckets have a fixed size; their number grows with the input.
-
-A chunk sends a row to every bucket, so a row holds about
-``chunk_bytes * bucket_bytes / input bytes`` times the keys of a byte.  The
-defaults suit small executors and up to some hundred GB; for 100 TB give both
-sizes 16 times as large (and Python some GB a task), or rows hold few keys
-each and packing saves nothing over plain rows -- the result is the same.
+Chunks and buckets grow with the square root of the input, between bounds, and
+their number with the other root: so a row between a chunk and a bucket holds
+some thousand keys up to about 0.3 TB, and the rows grow as the input does.
+Beyond, where both are as large as a task can hold, rows hold fewer keys each;
+the result is the same.
 """
 
 from __future__ import annotations
@@ -30,10 +28,10 @@ from pyspark.sql import functions as F
 from caseload.llm.common import text_totals
 from caseload.session import work_dir
 
-#: Bytes of text in a chunk, in a task over chunks, and for each key bucket, about.
-CHUNK_BYTES = 2 << 20
+#: Bytes of text in a task over chunks, about, and the least and most in a chunk and for each key bucket.
 TASK_BYTES = 8 << 20
-BUCKET_BYTES = 16 << 20
+CHUNK_BYTES, MOST_CHUNK_BYTES = 2 << 20, 32 << 20
+BUCKET_BYTES, MOST_BUCKET_BYTES = 16 << 20, 256 << 20
 
 _ODD = 0x9E3779B97F4A7C15
 _ALL = (1 << 64) - 1
@@ -45,6 +43,12 @@ _rng = np.random.Generator(np.random.PCG64(20240601))
 BYTE_VALUES = _rng.integers(0, 1 << 64, 256, dtype=np.uint64, endpoint=False)
 
 
+def sizes_for(size: int) -> tuple[int, int]:
+    """(bytes of a chunk, bytes of a bucket) for so many bytes of text."""
+    root = math.isqrt(size)
+    return (min(MOST_CHUNK_BYTES, max(CHUNK_BYTES, 64 * root)), min(MOST_BUCKET_BYTES, max(BUCKET_BYTES, 512 * root)))
+
+
 class Chunks:
     """The written chunk table and the number of key buckets to use with it.
 
@@ -54,8 +58,9 @@ class Chunks:
 
     def __init__(self, docs: DataFrame, chunk_bytes: int | None = None, bucket_bytes: int | None = None):
         self.spark = docs.sparkSession
-        chunk_bytes, bucket_bytes = chunk_bytes or CHUNK_BYTES, bucket_bytes or BUCKET_BYTES
         _, size = text_totals(docs)
+        usual = sizes_for(size)
+        chunk_bytes, bucket_bytes = chunk_bytes or usual[0], bucket_bytes or usual[1]
         chunks = max(1, math.ceil(size / chunk_bytes))
         most = int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
         tasks = min(max(1, math.ceil(size / max(TASK_BYTES, chunk_bytes))), most)
@@ -129,10 +134,10 @@ def answered(rows: DataFrame, work: Callable) -> DataFrame:
     return rows.groupBy("bucket").applyInArrow(run, "chunk int, bucket int, answer binary")
 
 
-def by_bucket(bucket: np.ndarray, buckets: int) -> list[tuple[int, slice]]:
+def by_bucket(bucket: np.ndarray) -> list[tuple[int, slice]]:
     """(bucket, its part) of keys in ascending order of their buckets."""
-    ends = np.searchsorted(bucket, np.arange(buckets + 1))
-    return [(b, slice(ends[b], ends[b + 1])) for b in range(buckets) if ends[b] < ends[b + 1]]
+    start = first_of(bucket)
+    return [(b, slice(x, y)) for b, x, y in zip(bucket[start].tolist(), start.tolist(), [*start[1:].tolist(), len(bucket)])]
 
 
 def answers(replies: pa.Table, kind: int | None = None) -> dict[int, bytes]:

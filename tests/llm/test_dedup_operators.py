@@ -474,7 +474,7 @@ def test_run_is_repeatable_and_handles_nothing(spark, none, tmp):
 
 
 def test_everything_is_registered():
-    assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{k}" for k in range(1, 14)]
     import __spark_entry__
     assert set(queries.QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
 
@@ -488,3 +488,27 @@ def test_oracle_of_the_mix(spark):
     rows = lambda df: sorted(df[sorted(df.columns)].itertuples(index=False, name=None))
     assert rows(got.toPandas()) == rows(want)
     assert got.where(F.col("target").isNull()).count() == 0
+
+
+# ------------------------------------------------------------ exactness of the merge
+
+def test_equal_hashes_of_different_strings_are_told_apart(monkeypatch):
+    data = np.frombuffer(b"aaaabbbbaaaabbbc", np.uint8)
+    start, size = np.array([0, 4, 8, 12]), np.array([4, 4, 4, 4])
+    assert [x.tolist() for x in bwt_dedup._distinct(data, start, size)] == [[0, 1, 3], [0, 1, 0, 2]]
+    monkeypatch.setattr(bwt_dedup, "span_hashes", lambda d, a, b: np.zeros(len(a), np.uint64))
+    assert [x.tolist() for x in bwt_dedup._distinct(data, start, size)] == [[0, 1, 3], [0, 1, 0, 2]]
+    same = bwt_dedup._exact(data, np.array([0, 8, 4, 12]), np.array([5, 5, 7, 7]), 4)
+    assert same[0] == same[1] and len({same[0], same[2], same[3]}) == 3
+    assert bwt_dedup._exact(data, np.array([0, 8, 4]), np.array([5, 5, 7]), 4).tolist() == [5, 5, 7]
+
+
+def test_chunk_sizes_follow_the_input():
+    sizes = [chunks.sizes_for(1 << k) for k in range(10, 48)]
+    assert sizes == sorted(sizes) and sizes[0] == (chunks.CHUNK_BYTES, chunks.BUCKET_BYTES)
+    assert sizes[-1] == (chunks.MOST_CHUNK_BYTES, chunks.MOST_BUCKET_BYTES)
+
+
+def test_buckets_are_those_that_have_keys():
+    assert chunks.by_bucket(np.array([], np.int64)) == []
+    assert chunks.by_bucket(np.array([2, 2, 900_000_000])) == [(2, slice(0, 2)), (900_000_000, slice(2, 3))]
