@@ -28,6 +28,7 @@ HEADLINE = [
     "search_without_diagnosis",
     "batch_search",
     "indexed_search",
+    "turned_search",
     "stream_visit_counts",
     "stream_patient_counts",
     "compacted_state",

@@ -20,7 +20,12 @@ Per query (``query_id, diagnosis, full_name, hospital``):
    A query that matched a diagnosis keeps only hits of matched diagnoses
    (step 4), and the other bits hang on the tuple alone; so for such queries
    the results are read by diagnosis, with partition pruning, and only those
-   rows are tokenised.
+   rows are tokenised.  A query without one shows distinct lines by their best
+   count, so top-k goes below the join: the ``k`` best lines of every term, and
+   of every pair of a name and a hospital term that some tuple holds, are
+   worked out once (``best_lines``) and merged per query (``merged_lines``).
+   Steps 4 and 6 then take the pairs of a query if there are any, else its name
+   terms, else its hospital terms.
 4. soft intersection: for the fields in order diagnosis, name, hospital,
    intersect with the field's hits only when the intersection is non-empty.
 5. label: the closest matched diagnosis (ties alphabetical), null if none.
@@ -171,21 +176,96 @@ def combine(matches: DataFrame, results: DataFrame, identity: str = "tuple") ->
     partitions of a term that very many rows hold.
     """
     hit = hit_columns(results, identity)
-    found = matches.select("query_id", "field", F.col("match").alias("term"))
-    of_diagnosis = found.where(F.col("field") == DIAGNOSIS).select("query_id", F.col("term").alias("diagnosis"))
-    other = found.where(F.col("field") != DIAGNOSIS)
+    of_diagnosis, other = _split(matches)
+    rest = other.join(of_diagnosis.select("query_id"), "query_id", "left_anti").withColumnRenamed("match", "term")
+    keyed = results.select(*hit, F.inline(_keys((NAME, HOSPITAL), False)))
+    anywhere = keyed.join(rest, ["field", "term"]).select("query_id", *hit, _flag().alias("bit"))
+    return (_narrowed(matches, results, hit).unionByName(anywhere)
+            .groupBy("query_id", *hit).agg(F.bit_or("bit").alias("mask")))
+
+
+def _split(matches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The diagnosis matches, and the others."""
+    found = matches.select("query_id", "field", "match")
+    return (found.where(F.col("field") == DIAGNOSIS).select("query_id", F.col("match").alias("diagnosis")),
+            found.where(F.col("field") != DIAGNOSIS))
 
-    # queries with a matched diagnosis: the rows of those diagnoses, pruned
+
+def _narrowed(matches: DataFrame, results: DataFrame, hit: list[str]) -> DataFrame:
+    """``query_id``, hit columns and a bit for queries with a matched diagnosis:
+    the rows of those diagnoses, pruned, and what else hits them."""
+    of_diagnosis, other = _split(matches)
     rows = results.select(*hit, "diagnosis").join(of_diagnosis, "diagnosis").select("query_id", *hit).distinct()
     tokens = rows.select("query_id", *hit, F.inline(_keys((NAME, HOSPITAL), False)))
-    bits = tokens.join(other, ["query_id", "field", "term"]).select("query_id", *hit, _flag().alias("bit"))
-    narrowed = rows.select("query_id", *hit, F.lit(FLAG[DIAGNOSIS]).alias("bit")).unionByName(bits)
+    bits = tokens.join(other.withColumnRenamed("match", "term"), ["query_id", "field", "term"]).select(
+        "query_id", *hit, _flag().alias("bit"))
+    return rows.select("query_id", *hit, F.lit(FLAG[DIAGNOSIS]).alias("bit")).unionByName(bits)
+
+
+# ---------------------------------------------------------------- queries without a diagnosis
+
+_TERMS = ["name_term", "hospital_term"]  # "" stands for none: a token is never empty
 
-    # queries without one: any row that a name or hospital term hits
+
+def term_keys(matches: DataFrame) -> DataFrame:
+    """``query_id, name_term, hospital_term, kind`` for queries without a
+    matched diagnosis: each name term (kind 2), each hospital term (1) and each
+    pair of both (3)."""
+    of_diagnosis, other = _split(matches)
     rest = other.join(of_diagnosis.select("query_id"), "query_id", "left_anti")
-    keyed = results.select(*hit, F.inline(_keys((NAME, HOSPITAL), False)))
-    anywhere = keyed.join(rest, ["field", "term"]).select("query_id", *hit, _flag().alias("bit"))
-    return narrowed.unionByName(anywhere).groupBy("query_id", *hit).agg(F.bit_or("bit").alias("mask"))
+    names = rest.where(F.col("field") == NAME).select("query_id", F.col("match").alias("name_term"))
+    hospitals = rest.where(F.col("field") == HOSPITAL).select("query_id", F.col("match").alias("hospital_term"))
+    none = F.lit("")
+    return (names.select("query_id", "name_term", none.alias("hospital_term"), F.lit(2).alias("kind"))
+            .unionByName(hospitals.select("query_id", none.alias("name_term"), "hospital_term", F.lit(1).alias("kind")))
+            .unionByName(names.join(hospitals, "query_id").select("query_id", *_TERMS, F.lit(3).alias("kind"))))
+
+
+def best_lines(results: DataFrame, k: int = TOP_K, only: DataFrame | None = None) -> DataFrame:
+    """``name_term, hospital_term, line, best``: the ``k`` best lines of every
+    name term, hospital term and pair of both, or of those that ``only`` holds,
+    as a written table.  Stored without ``only`` it is the index of a batch of
+    searches by name and hospital.
+
+    One row per tuple and key reaches the aggregation whatever the number of
+    queries, and of a term that very many tuples hold each task passes on ``k``
+    lines."""
+    metric = metric_of(results)
+    tuples = results.groupBy("full_name", "hospital", "email").agg(F.max(metric).alias("best"))
+
+    def own(field: str) -> Column:
+        return F.array_distinct(F.coalesce(text.tokens(field), F.array().cast("array<string>")))
+
+    def key(name: Column, hospital: Column) -> Column:
+        return F.struct(name.alias("name_term"), hospital.alias("hospital_term"))
+
+    names, hospitals, none = F.col("_names"), F.col("_hospitals"), F.lit("")
+    keys = F.concat(F.transform(names, lambda n: key(n, none)), F.transform(hospitals, lambda h: key(none, h)),
+                    F.flatten(F.transform(names, lambda n: F.transform(hospitals, lambda h: key(n, h)))))
+    keyed = (tuples.select(text.line_without_count("full_name", "hospital", "email").alias("line"), "best",
+                           own(NAME).alias("_names"), own(HOSPITAL).alias("_hospitals"))
+             .select("line", "best", F.inline(keys)))
+    if only is not None:
+        keyed = keyed.join(only.select(*_TERMS).distinct(), _TERMS, "left_semi")
+    lines = keyed.groupBy(*_TERMS, "line").agg(F.max("best").alias("best"))
+    w = Window.partitionBy(*_TERMS).orderBy(F.desc("best"), "line")
+    top = lines.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
+    path = work_dir(results.sparkSession, "best-lines")
+    top.write.parquet(path)
+    return results.sparkSession.read.schema(top.schema).parquet(path)
+
+
+def merged_lines(keys: DataFrame, lines: DataFrame, k: int = TOP_K) -> DataFrame:
+    """``query_id, line, best`` of the lines that can be among a query's ``k``
+    best: from the keys of the largest kind that it has (``term_keys``), but
+    for those whose best line is below the ``k``-th of another key."""
+    per_key = lines.groupBy(*_TERMS).agg(F.max("best").alias("top"),
+                                         F.when(F.count(F.lit(1)) >= k, F.min("best")).alias("floor"))
+    found = keys.join(per_key, _TERMS)
+    largest = found.groupBy("query_id").agg(F.max(F.struct("kind", "floor")).alias("most"))
+    used = found.join(largest, "query_id").where(
+        (F.col("kind") == F.col("most.kind")) & (F.col("most.floor").isNull() | (F.col("top") >= F.col("most.floor"))))
+    return used.select("query_id", *_TERMS).join(lines, _TERMS).groupBy("query_id", "line").agg(F.max("best").alias("best"))
 
 
 def required_bits(hits: DataFrame) -> DataFrame:
@@ -226,19 +306,24 @@ def resolve_label(matches: DataFrame) -> DataFrame:
 def rank(kept: DataFrame, k: int = TOP_K, metric: str = "n_visits") -> DataFrame:
     """``query_id, ord, line`` (ord 0-based, <= k lines)
     from kept hits carrying their query's ``label``."""
-    w1 = Window.partitionBy("query_id").orderBy(F.desc(metric), "full_name", "hospital", "email")
-    a = (kept.where(F.col("label").isNotNull())
-             .withColumn("_rn", F.row_number().over(w1)).where(F.col("_rn") <= k)
-             .select("query_id", (F.col("_rn") - 1).cast("bigint").alias("ord"),
-                     text.line_with_count("full_name", metric, "hospital", "email").alias("line")))
     lines = (kept.where(F.col("label").isNull())
                  .select("query_id", F.col(metric).alias("n"),
                          text.line_without_count("full_name", "hospital", "email").alias("line"))
                  .groupBy("query_id", "line").agg(F.max("n").alias("best")))
-    w2 = Window.partitionBy("query_id").orderBy(F.desc("best"), "line")
-    b = (lines.withColumn("_rn", F.row_number().over(w2)).where(F.col("_rn") <= k)
-              .select("query_id", (F.col("_rn") - 1).cast("bigint").alias("ord"), "line"))
-    return a.unionByName(b)
+    return _rank_hits(kept.where(F.col("label").isNotNull()), k, metric).unionByName(_rank_lines(lines, k))
+
+
+def _rank_hits(kept: DataFrame, k: int, metric: str) -> DataFrame:
+    w = Window.partitionBy("query_id").orderBy(F.desc(metric), "full_name", "hospital", "email")
+    return (kept.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+                .select("query_id", (F.col("_rn") - 1).cast("bigint").alias("ord"),
+                        text.line_with_count("full_name", metric, "hospital", "email").alias("line")))
+
+
+def _rank_lines(lines: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("query_id").orderBy(F.desc("best"), "line")
+    return (lines.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+                 .select("query_id", (F.col("_rn") - 1).cast("bigint").alias("ord"), "line"))
 
 
 def titles(queries: DataFrame, labels: DataFrame) -> DataFrame:
@@ -254,13 +339,19 @@ def titles(queries: DataFrame, labels: DataFrame) -> DataFrame:
 
 def search(results: DataFrame, queries: DataFrame, k: int = TOP_K,
            max_expansions: int | None = None, transpositions: bool = True,
-           identity: str = "tuple") -> DataFrame:
+           identity: str = "tuple", index: DataFrame | None = None) -> DataFrame:
     """Full search: ``query_id, kind, ord, line`` with ``kind`` 'title' or
-    'result' (``NONE`` as the only result line when a query keeps no hit)."""
+    'result' (``NONE`` as the only result line when a query keeps no hit).
+
+    ``index`` is ``best_lines`` of the results with the same ``k``; without it
+    the lines of the terms that the queries matched are worked out here."""
     matches = query_matches(queries, results, None, max_expansions, transpositions)
     labels = resolve_label(matches)
-    kept = soft_intersect(combine(matches, results, identity)).join(labels, "query_id", "left")
-    ranked = rank(kept, k, metric_of(results))
+    hit, metric = hit_columns(results, identity), metric_of(results)
+    hits = _narrowed(matches, results, hit).groupBy("query_id", *hit).agg(F.bit_or("bit").alias("mask"))
+    keys = term_keys(matches)
+    lines = best_lines(results, k, keys) if index is None else index
+    ranked = _rank_hits(soft_intersect(hits), k, metric).unionByName(_rank_lines(merged_lines(keys, lines, k), k))
     res = (queries.select("query_id").join(ranked, "query_id", "left")
                   .select("query_id", F.lit("result").alias("kind"),
                           F.coalesce("ord", F.lit(0).cast("bigint")).alias("ord"),

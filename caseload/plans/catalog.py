@@ -352,10 +352,10 @@ def q_search_transposed(spark, sf):
 
 
 def q_indexed_search(spark, sf):
-    """A batch of searches with the default distance; the diagnosis folders of
-    the served table are its index."""
-    queries = turned_queries(spark, sf).where("full_name = ''")
-    return search.search(served_results(spark, sf), queries)
+    """The whole table of turned queries against a stored index: the diagnosis
+    folders of the served table, and the best lines of every term and pair."""
+    res = served_results(spark, sf)
+    return search.search(res, turned_queries(spark, sf), index=search.best_lines(res))
 
 
 def q_turned_search(spark, sf):
