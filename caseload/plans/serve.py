@@ -1,10 +1,10 @@
 """Served results.
 
-Results are a Parquet table partitioned by diagnosis.  A full build replaces
-the table, so a diagnosis that vanished is no longer served.  An incremental
-build names the diagnoses it touched: each is replaced whole (dynamic
-partition overwrite), the touched ones without rows are removed, all others
-are left alone.
+Results are a Parquet table partitioned by diagnosis (``plans.published``).  A
+full build replaces the table, so a diagnosis that vanished is no longer
+served.  An incremental build names the diagnoses it touched: each is replaced
+whole, the touched ones without rows are removed, all others are left alone.
+Readers see the table before a build or after it, never a part.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseload.operators.ordinal import with_ordinal
+from caseload.plans import published
 from caseload.schemas import RESULTS, display_names
-from caseload.session import delete_path, hadoop_path, path_exists, work_dir
 
 #: Documents of one request to an external store, at most.
 REQUEST = 1000
@@ -27,49 +27,14 @@ REQUEST = 1000
 def write_results(results: DataFrame, path: str, touched: DataFrame | None = None,
                   max_records_per_file: int | None = None) -> None:
     """K2 + K3 + K7: replace the table, or with ``touched`` (a table with a
-    column ``diagnosis``) only those diagnoses.
-
-    The ``rebalance`` hint shuffles by diagnosis so each task writes few
-    diagnosis folders (few files), and AQE splits an oversized partition --
-    a hot diagnosis -- over several tasks and merges small ones; unlike a
-    range partitioning it needs no sampling pass over its input.
-    """
-    def write(df: DataFrame, mode: str, to: str) -> None:
-        out = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
-        if max_records_per_file:
-            out = out.option("maxRecordsPerFile", max_records_per_file)
-        out.partitionBy("diagnosis").parquet(to)
-
-    spread = results.hint("rebalance", "diagnosis")
-    if touched is None:
-        write(spread, "static", path)
-        return
-    spark = results.sparkSession
-    new = work_dir(spark, "results")  # worked out once: for the table and for what it lacks
-    write(spread, "static", new)
-    rows = spark.read.schema(results.schema).parquet(new)
-    write(rows.hint("rebalance", "diagnosis"), "dynamic", path)
-    _remove_emptied(spark, path, touched, rows)
-
-
-def _remove_emptied(spark: SparkSession, path: str, touched: DataFrame, results: DataFrame) -> None:
-    """Drop the folders of touched diagnoses that have no rows any more."""
-    gone = touched.select("diagnosis").distinct().join(results.select("diagnosis"), "diagnosis", "left_anti")
-    names = {r["diagnosis"] for r in gone.collect()}  # diagnoses that a batch emptied, no more
-    if not names or not path_exists(spark, path):
-        return
-    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-    fs, p = hadoop_path(spark, path)
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("diagnosis=") and unescape(name.removeprefix("diagnosis=")) in names:
-            delete_path(spark, st.getPath().toString())
+    column ``diagnosis``) only those diagnoses; readers see it switch at once."""
+    published.publish(results, path, touched, max_records_per_file)
 
 
 def read_results(spark: SparkSession, path: str, diagnosis: str | None = None,
                  schema=RESULTS) -> DataFrame:
     """The served table (diagnosis read back as text, never inferred)."""
-    df = spark.read.schema(schema).parquet(path)
+    df = published.read(spark, path, schema)
     if diagnosis is not None:
         df = df.where(F.col("diagnosis") == F.lit(diagnosis))
     return df

@@ -132,6 +132,73 @@ def test_results_overwrite_per_diagnosis(spark, tmp):
     assert [r.n_visits for r in serve.read_results(spark, tmp, diagnosis="gout").collect()] == [2]
 
 
+def test_a_build_killed_before_its_switch_leaves_the_old_table(spark, tmp, monkeypatch):
+    from caseload.plans import published
+    from caseload.schemas import RESULTS
+    frame = lambda *rows: spark.createDataFrame([("1", n, "a b", "e", "h", d) for d, n in rows], RESULTS)
+    read = lambda: sorted((r.diagnosis, r.n_visits) for r in serve.read_results(spark, tmp).collect())
+    with pytest.raises(FileNotFoundError):
+        read()
+    serve.write_results(frame(("flu", 1), ("gout", 1), ("cold", 1)), tmp)
+    touched = frame(("flu", 0), ("gout", 0)).select("diagnosis")
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(published, "_switch", killed)
+        for again in range(2):
+            with pytest.raises(KeyboardInterrupt):
+                serve.write_results(frame(("flu", 2)), tmp, touched)
+            with pytest.raises(KeyboardInterrupt):
+                serve.write_results(frame(("flu", 2)), tmp)
+            assert read() == [("cold", 1), ("flu", 1), ("gout", 1)]
+    before = serve.read_results(spark, tmp)
+    serve.write_results(frame(("flu", 3)), tmp, touched)
+    assert read() == [("cold", 1), ("flu", 3)]
+    assert sorted(r.diagnosis for r in before.collect()) == ["cold", "flu", "gout"]  # a reader that began before the switch
+    serve.write_results(frame(("flu", 4)), tmp)
+    assert read() == [("flu", 4)]
+    assert sorted(published._folders(spark, f"{tmp}/_manifests")) == ["1", "2"]       # nothing of the killed builds
+    assert len(published._folders(spark, f"{tmp}/data")) == 3
+
+
+def test_of_two_builds_at_once_the_second_fails(spark, tmp, monkeypatch):
+    from caseload.plans import published
+    from caseload.schemas import RESULTS
+    frame = lambda n: spark.createDataFrame([("1", n, "a b", "e", "h", "flu")], RESULTS)
+    serve.write_results(frame(1), tmp)
+    switch = published._switch
+
+    def late(session, draft, name):
+        monkeypatch.setattr(published, "_switch", switch)
+        serve.write_results(frame(2), tmp)             # another build comes first
+        switch(session, draft, name)
+
+    monkeypatch.setattr(published, "_switch", late)
+    with pytest.raises(Exception, match="(?i)exist"):
+        serve.write_results(frame(3), tmp)
+    assert [r.n_visits for r in serve.read_results(spark, tmp).collect()] == [2]
+
+
+def test_many_builds_leave_few_versions(spark, tmp, monkeypatch):
+    from caseload.plans import published
+    from caseload.schemas import RESULTS
+    monkeypatch.setattr(published, "VERSIONS", 3)
+    want = {f"d{k}": 0 for k in range(5)}
+    frame = lambda rows: spark.createDataFrame([("1", n, "a b", "e", "h", d) for d, n in rows.items()], RESULTS)
+    serve.write_results(frame(want), tmp)
+    for k in range(1, 9):
+        some = {f"d{k % 5}": k, f"d{(2 * k) % 5}": k}
+        gone = f"d{(k + 1) % 5}" if k in (4, 6) else None
+        some.pop(gone, None)
+        want = {d: n for d, n in (want | some).items() if d != gone}
+        touched = spark.createDataFrame([(d,) for d in [*some, *([gone] if gone else [])]], "diagnosis string")
+        serve.write_results(frame(some), tmp, touched)
+        assert {r.diagnosis: r.n_visits for r in serve.read_results(spark, tmp).collect()} == want
+        assert len(published._live(spark, tmp, published.current(spark, tmp))) <= 3
+
+
 def test_numeric_looking_diagnosis_stays_text(spark, tmp):
     from caseload.schemas import RESULTS
     df = spark.createDataFrame([("1", 5, "a b", "e", "h", "007")], RESULTS)
