@@ -3,14 +3,18 @@
 Layout below ``path``::
 
     batch_id=<n>/attempt=<k>/diagnosis=<d>/part-*.parquet   one delta per folded batch
-    _snapshots/upto=<n>/diagnosis=<d>/...                   compacted sum of batches <= n
+    _snapshots/over=<m>-<n>/diagnosis=<d>/...               compacted sum of the batches m to n
     _practitioners/part-*.parquet                           practitioners that the last whole run served
 
 A batch is written into a new attempt folder and counts once that folder is
 complete (``_SUCCESS``); only then are its older attempts removed.  So a
 replayed batch (at-least-once ``foreachBatch``, a re-run job) replaces its
 delta, and readers see the old or the new delta whole, never a part and never
-neither.  Reading sums the newest complete snapshot and the deltas above it.
+neither.  Reading sums the complete snapshots and the deltas above them.
+Snapshots are tiered: a compaction folds the deltas and those snapshots just
+before them that span no more batches than what is folded so far, like the
+carries of a binary counter.  So there are at most about log2(batches)
+snapshots, and a batch is rewritten as often: rewriting n batches costs n log n.
 A batch that a snapshot already holds cannot be replaced: writing it again is
 an error, or -- for a stream, which only ever repeats itself -- a no-op.
 ``diagnosis`` is a partition column: one diagnosis slice is read by partition
@@ -20,6 +24,7 @@ batch since the last snapshot.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,8 +93,31 @@ def append_delta(spark: SparkSession, totals: DataFrame, path: str, batch_id: in
     return True
 
 
+def snapshots(spark: SparkSession, path: str) -> dict[tuple[int, int], str]:
+    """(first batch, last batch) -> folder of the complete snapshots, without
+    those whose batches a larger one holds (left by a crash in a compaction)."""
+    root = f"{path.rstrip('/')}/{SNAPSHOTS}"
+    found = {}
+    if path_exists(spark, root):
+        fs, p = hadoop_path(spark, root)
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith("over=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
+                first, last = name.removeprefix("over=").split("-")
+                found[int(first), int(last)] = st.getPath().toString()
+    return {(a, b): f for (a, b), f in sorted(found.items())
+            if not any(x <= a and b <= y and (x, y) != (a, b) for x, y in found)}
+
+
 def latest_snapshot(spark: SparkSession, path: str) -> int | None:
-    return max(_numbered(spark, f"{path.rstrip('/')}/{SNAPSHOTS}", "upto=", complete=True), default=None)
+    """The last batch that a snapshot holds."""
+    return max((last for _, last in snapshots(spark, path)), default=None)
+
+
+def parts(spark: SparkSession, path: str) -> dict[int, str]:
+    """last batch -> folder of every snapshot and every delta above them, in order."""
+    found = {last: f for (_, last), f in snapshots(spark, path).items()} | deltas(spark, path)
+    return dict(sorted(found.items()))
 
 
 def deltas(spark: SparkSession, path: str) -> dict[int, str]:
@@ -110,35 +138,29 @@ def read_delta(spark: SparkSession, folder: str, keys, metric: str) -> DataFrame
 
 def read_totals(spark: SparkSession, path: str, keys, metric: str,
                 diagnosis: str | None = None, only: DataFrame | None = None) -> DataFrame:
-    """Current totals = newest snapshot + newer deltas, summed.
+    """Current totals = snapshots + newer deltas, summed.
 
     ``diagnosis`` reads one slice, ``only`` (a table with a column
     ``diagnosis``) the slices it names; both prune partitions.
     """
     keys = list(keys)
-    root = path.rstrip("/")
-    upto = latest_snapshot(spark, root)
-    folders = [*deltas(spark, root).values(), *([] if upto is None else [f"{root}/{SNAPSHOTS}/upto={upto}"])]
-    if not folders:
+    rows = [read_delta(spark, f, keys, metric) for f in parts(spark, path).values()]
+    if not rows:
         return spark.createDataFrame([], _schema(keys, metric)).select(*keys, metric)
-    parts = [read_delta(spark, f, keys, metric) for f in folders]
     if diagnosis is not None:
-        parts = [p.where(F.col("diagnosis") == F.lit(diagnosis)) for p in parts]
+        rows = [p.where(F.col("diagnosis") == F.lit(diagnosis)) for p in rows]
     if only is not None:
-        parts = [p.join(only.select("diagnosis"), "diagnosis", "left_semi") for p in parts]
-    return fold(parts, keys, metric)
+        rows = [p.join(only.select("diagnosis"), "diagnosis", "left_semi") for p in rows]
+    return fold(rows, keys, metric)
 
 
 def diagnoses_of(spark: SparkSession, path: str, keys, metric: str, practitioners: DataFrame | None = None) -> DataFrame:
     """The diagnoses stored for the given practitioners, or all."""
     keys = list(keys)
-    root = path.rstrip("/")
-    upto = latest_snapshot(spark, root)
-    folders = [*deltas(spark, root).values(), *([] if upto is None else [f"{root}/{SNAPSHOTS}/upto={upto}"])]
-    parts = [read_delta(spark, f, keys, metric).select("practitioner", "diagnosis") for f in folders]
+    rows = [read_delta(spark, f, keys, metric).select("practitioner", "diagnosis") for f in parts(spark, path).values()]
     if practitioners is not None:
-        parts = [p.join(practitioners.select("practitioner"), "practitioner", "left_semi") for p in parts]
-    return reduce(DataFrame.unionByName, [p.select("diagnosis").distinct() for p in parts]).distinct()
+        rows = [p.join(practitioners.select("practitioner"), "practitioner", "left_semi") for p in rows]
+    return reduce(DataFrame.unionByName, [p.select("diagnosis").distinct() for p in rows]).distinct()
 
 
 def served_practitioners(spark: SparkSession, path: str) -> DataFrame | None:
@@ -160,26 +182,39 @@ def forget_practitioners(spark: SparkSession, path: str) -> bool:
     return delete_path(spark, f"{path.rstrip('/')}/{PRACTITIONERS}")
 
 
-def compact(spark: SparkSession, path: str, keys, metric: str, totals: DataFrame | None = None) -> int | None:
-    """K5: fold every delta into a new snapshot (``totals`` if given), then drop what it replaced.
+def compact(spark: SparkSession, path: str, keys, metric: str,
+            merge: Callable[[dict[int, DataFrame]], DataFrame] | None = None) -> int | None:
+    """K5: fold every delta, and the snapshots that their number carries over
+    to, into one snapshot; then drop what it replaced.
 
-    The new snapshot is complete (``_SUCCESS``) before anything old is
-    removed, so a crash at any point leaves readable state.
+    ``merge`` makes one table of the parts, given by their last batches; they
+    are summed by default.  The new snapshot is complete (``_SUCCESS``) before
+    anything old is removed, and the parts it holds are passed over as soon as
+    it is, so a crash at any point leaves readable state.
     """
     root = path.rstrip("/")
-    top = max(deltas(spark, root), default=None)
-    prev = latest_snapshot(spark, root)
-    if top is None:
-        return prev
-    totals = read_totals(spark, root, keys, metric) if totals is None else totals
+    new = deltas(spark, root)
+    if not new:
+        return latest_snapshot(spark, root)
+    first, last, folded = min(new), max(new), dict(new)
+    known = snapshots(spark, root)
+    for a, b in sorted(known, reverse=True):
+        if b - a > last - first:
+            break
+        first, folded[b] = a, known[a, b]
+    rows = {batch: read_delta(spark, f, keys, metric) for batch, f in sorted(folded.items())}
+    totals = fold(list(rows.values()), keys, metric) if merge is None else merge(rows)
     (totals.hint("rebalance", "diagnosis")
-           .write.mode("overwrite").partitionBy("diagnosis").parquet(f"{root}/{SNAPSHOTS}/upto={top}"))
+           .write.mode("overwrite").partitionBy("diagnosis").parquet(f"{root}/{SNAPSHOTS}/over={first}-{last}"))
     for batch, folder in _numbered(spark, root, "batch_id=").items():
-        if batch <= top:
+        if batch <= last:
             delete_path(spark, folder)
-    if prev is not None:
-        delete_path(spark, f"{root}/{SNAPSHOTS}/upto={prev}")
-    return top
+    fs, p = hadoop_path(spark, f"{root}/{SNAPSHOTS}")
+    for st in fs.listStatus(p):
+        a, b = map(int, st.getPath().getName().removeprefix("over=").split("-"))
+        if first <= a and b <= last and (a, b) != (first, last):
+            delete_path(spark, st.getPath().toString())
+    return last
 
 
 def clear(spark: SparkSession, path: str) -> bool:

@@ -85,25 +85,24 @@ def run_visit_counts(spark: SparkSession, input_dir: str, checkpoint: str, sink:
 PAIR = ["practitioner", "diagnosis"]
 
 
+def _latest(parts: dict[int, DataFrame]) -> DataFrame:
+    """Per key, the count of its latest part."""
+    rows = reduce(DataFrame.unionByName, [p.withColumn("batch_id", F.lit(batch).cast("bigint")) for batch, p in parts.items()])
+    return rows.groupBy(*PAIR).agg(F.max_by("n_visits", "batch_id").alias("n_visits"))
+
+
 def read_visit_counts(spark: SparkSession, sink: str) -> DataFrame:
-    """Current totals of T1: per key, the count of its latest batch (the
-    compacted snapshot counts as the batch it was compacted up to)."""
-    folders = state.deltas(spark, sink)
-    upto = state.latest_snapshot(spark, sink)
-    if upto is not None:
-        folders[upto] = f"{sink.rstrip('/')}/{state.SNAPSHOTS}/upto={upto}"
+    """Current totals of T1: per key, the count of its latest batch (a
+    snapshot counts as the last batch that it holds)."""
+    folders = state.parts(spark, sink)
     if not folders:
         return spark.createDataFrame([], "practitioner string, diagnosis string, n_visits bigint")
-    rows = reduce(DataFrame.unionByName, [
-        state.read_delta(spark, folder, PAIR, "n_visits").withColumn("batch_id", F.lit(batch).cast("bigint"))
-        for batch, folder in folders.items()])
-    return rows.groupBy(*PAIR).agg(F.max_by("n_visits", "batch_id").alias("n_visits"))
+    return _latest({batch: state.read_delta(spark, f, PAIR, "n_visits") for batch, f in folders.items()})
 
 
 def compact_visit_counts(spark: SparkSession, sink: str) -> int | None:
-    """Fold T1's per-batch updates into one snapshot: the latest count of each
-    key, complete before what it replaces is removed."""
-    return state.compact(spark, sink, PAIR, "n_visits", read_visit_counts(spark, sink))
+    """Fold T1's per-batch updates into a snapshot (``state.compact``): the latest count of each key."""
+    return state.compact(spark, sink, PAIR, "n_visits", _latest)
 
 
 def run_patient_cases(spark: SparkSession, input_dir: str, checkpoint: str, state_path: str,

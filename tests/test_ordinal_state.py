@@ -78,6 +78,52 @@ def test_delta_state_replay_compact_clear(spark, tmp):
     assert current() == []
 
 
+def test_tiers_rewrite_n_log_n(spark, tmp, monkeypatch):
+    """Over 60 batches, compacted two at a time, a batch is rewritten about
+    log2(60) times and few snapshots are left; totals are those of one fold."""
+    schema = "practitioner string, diagnosis string, n_visits long"
+    rewritten, want = [], {}
+    read = state.read_delta
+    monkeypatch.setattr(state, "read_delta", lambda s, f, k, m: rewritten.append(f) or read(s, f, k, m))
+    spans = {}
+    for batch in range(60):
+        state.append_delta(spark, spark.createDataFrame([(str(batch % 7), "flu", batch)], schema).coalesce(1), tmp, batch)
+        want[str(batch % 7)] = want.get(str(batch % 7), 0) + batch
+        if batch % 2:
+            state.compact(spark, tmp, PAIR, "n_visits")
+            spans[batch] = list(state.snapshots(spark, tmp))
+    batches = 0
+    for f in rewritten:
+        name = f.rstrip("/").rsplit("/", 1)[-1]
+        first, last = name.removeprefix("over=").split("-") if name.startswith("over=") else (0, 0)
+        batches += int(last) - int(first) + 1
+    assert batches <= 60 * 7                                   # folding all history every time would be 60 * 15
+    assert all(len(s) <= 6 for s in spans.values())
+    assert spans[59][-1][1] == 59
+    got = {r.practitioner: r.n_visits for r in state.read_totals(spark, tmp, PAIR, "n_visits").collect()}
+    assert got == want
+
+
+def test_a_compaction_killed_before_it_cleans_counts_nothing_twice(spark, tmp, monkeypatch):
+    schema = "practitioner string, diagnosis string, n_visits long"
+    add = lambda batch: state.append_delta(spark, spark.createDataFrame([("1", "flu", 1)], schema), tmp, batch)
+    total = lambda: [r.n_visits for r in state.read_totals(spark, tmp, PAIR, "n_visits").collect()]
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    for batch in range(4):
+        add(batch)
+        if batch % 2:
+            with monkeypatch.context() as m:
+                m.setattr(state, "delete_path", killed)
+                with pytest.raises(KeyboardInterrupt):
+                    state.compact(spark, tmp, PAIR, "n_visits")
+            assert total() == [batch + 1]
+    add(4)
+    assert total() == [5] and state.compact(spark, tmp, PAIR, "n_visits") == 4 and total() == [5]
+
+
 def test_a_half_written_delta_does_not_count(spark, tmp):
     """Until a new attempt is complete, the old delta is the one that is read."""
     from caseload.session import delete_path
