@@ -18,7 +18,7 @@ would become the null default partition of the result table).  Only element
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from caseload.schemas import CORRUPT, ENCOUNTER_READ, PATIENT_READ, PRACTITIONER_READ
@@ -123,15 +123,19 @@ def practitioners(lines: DataFrame, on_malformed: str = "quarantine", duplicates
     twice); ``"latest"`` keeps the record of the last file per id.
     """
     fields = ["practitioner", "full_name", "email", "hospital"]
+    if duplicates not in ("keep", "latest"):
+        raise ValueError(f"duplicates must be 'keep' or 'latest', not {duplicates!r}")
+    keep = fields + (["file_path"] if duplicates == "latest" and "file_path" in lines.columns else [])
+    return one_record(_route(_practitioner_fields(lines), keep, on_malformed), duplicates)
+
+
+def one_record(practitioners: DataFrame, duplicates: str) -> DataFrame:
+    """All records, or with ``"latest"`` that of the last file per id."""
     if duplicates == "keep":
-        return _route(_practitioner_fields(lines), fields, on_malformed)
-    if duplicates == "latest":
-        keep = fields + (["file_path"] if "file_path" in lines.columns else [])
-        df = _route(_practitioner_fields(lines), keep, on_malformed)
-        if "file_path" not in df.columns:
-            df = df.withColumn("file_path", F.lit(""))
-        return latest_per_id(df)
-    raise ValueError(f"duplicates must be 'keep' or 'latest', not {duplicates!r}")
+        return practitioners.select("practitioner", "full_name", "email", "hospital")
+    if "file_path" not in practitioners.columns:
+        practitioners = practitioners.withColumn("file_path", F.lit(""))
+    return latest_per_id(practitioners)
 
 
 def rejects(lines: DataFrame, module: str = "encounter", require_patient: bool = False) -> DataFrame:
@@ -144,3 +148,54 @@ def rejects(lines: DataFrame, module: str = "encounter", require_patient: bool =
         raise ValueError(f"unknown module {module!r}")
     fp = F.col("file_path") if "file_path" in lines.columns else F.lit(None).cast("string")
     return df.where(F.col("_malformed")).select("value", fp.alias("file_path"), F.lit(module).alias("module"))
+
+
+# ---------------------------------------------------------------- one scan, two outcomes
+
+ACCEPTED, REJECTED = "accepted", "rejected"
+
+
+def outcomes(lines: DataFrame, module: str = "encounter", on_malformed: str = "quarantine",
+             require_patient: bool = False, observation: Observation | None = None) -> DataFrame:
+    """What becomes of each line, parsed once: ``outcome``, the module's
+    fields where it is accepted, ``value`` where it is rejected, ``file_path``.
+
+    With the sentinel a malformed line has both outcomes.  ``observation``
+    counts the lines accepted and rejected as they go by.
+    """
+    if on_malformed not in ("quarantine", "sentinel"):
+        raise ValueError(f"on_malformed must be 'quarantine' or 'sentinel', not {on_malformed!r}")
+    if module == "encounter":
+        df, fields = _encounter_fields(lines, require_patient), ["practitioner", "diagnosis", "patient"]
+    elif module == "practitioner":
+        df, fields = _practitioner_fields(lines), ["practitioner", "full_name", "email", "hospital"]
+    else:
+        raise ValueError(f"unknown module {module!r}")
+    bad = F.col("_malformed")
+    if observation is not None:
+        df = df.observe(observation, F.count_if(~bad).alias(ACCEPTED), F.count_if(bad).alias(REJECTED))
+    kept = [F.lit(REJECTED)] + [F.lit(ACCEPTED)] * (on_malformed == "sentinel")
+    path = F.col("file_path") if "file_path" in df.columns else F.lit(None).cast("string")
+    df = df.withColumn("outcome", F.explode(F.when(bad, F.array(*kept)).otherwise(F.array(F.lit(ACCEPTED)))))
+    accepted = F.col("outcome") == ACCEPTED
+    return df.select("outcome", *[F.when(accepted & bad, F.lit(SENTINEL)).when(accepted, F.col(f)).alias(f) for f in fields],
+                     F.when(~accepted, F.col("value")).alias("value"), path.alias("file_path"))
+
+
+def tallied(lines: DataFrame, keys: list[str], metric: str, on_malformed: str = "quarantine",
+            require_patient: bool = False, observation: Observation | None = None) -> DataFrame:
+    """``outcome, *keys, value, file_path, <metric>``: the totals of accepted
+    lines per key, and the rejected lines with how often each occurs in its
+    file, by one scan and one aggregation (partial sums before the shuffle)."""
+    found = outcomes(lines, "encounter", on_malformed, require_patient, observation)
+    rejected = F.when(F.col("outcome") == REJECTED, F.col("file_path")).alias("file_path")
+    return (found.select("outcome", *keys, "value", rejected)
+            .groupBy("outcome", *keys, "value", "file_path").agg(F.count(F.lit(1)).alias(metric)))
+
+
+def rejected_lines(stored: DataFrame, module: str, count: str | None = None) -> DataFrame:
+    """``value, file_path, module`` of the rejected rows of a stored outcome table."""
+    rows = stored.where(F.col("outcome") == REJECTED)
+    if count is not None:
+        rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(count))))
+    return rows.select("value", "file_path", F.lit(module).alias("module"))

@@ -377,10 +377,10 @@ def q_title_case(spark, sf):
     return h.select("hospital", text.title_case("hospital").alias("title"))
 
 
-def _streamed(spark, sf, root, run):
+def _streamed(spark, sf, root, run, damaged=False):
     """Have the encounter lines arrive slice by slice in the folder that the
     stream reads, and let the stream catch up after each arrival."""
-    lines = star.encounter_lines(spark, sf)
+    lines = star.encounter_lines(spark, sf, damaged=damaged)
     for i in range(star.N_SLICES):
         star.write_ndjson(lines.where(F.col("slice") == i), f"{root}/in/slice={i}")
         run(f"{root}/in")
@@ -398,6 +398,55 @@ def q_stream_patient_counts(spark, sf):
     return stream.read_patient_counts(spark, f"{root}/state")
 
 
+def q_stream_served_table(spark, sf):
+    """Encounter files arrive slice by slice; the stream keeps the served table up to date."""
+    root = work_dir(spark, "stream-served")
+    star.write_ndjson(star.practitioner_lines(spark, sf), f"{root}/practitioners")
+    _streamed(spark, sf, root, lambda src: stream.run_served(
+        spark, src, f"{root}/practitioners", f"{root}/checkpoint", f"{root}/state", f"{root}/results"))
+    return job.results(spark, f"{root}/results", "patients")
+
+
+def q_stream_rejects(spark, sf):
+    """The malformed lines of a stream, set aside by the scan that folds the others."""
+    root = work_dir(spark, "stream-rejects")
+    _streamed(spark, sf, root, lambda src: stream.run_patient_cases(
+        spark, src, f"{root}/checkpoint", f"{root}/state", rejects_path=f"{root}/rejects"), damaged=True)
+    return stream.read_rejects(spark, f"{root}/rejects").select("value", "module")
+
+
+def q_folder_build(spark, sf):
+    """The batch job on a growing folder: a slice of files arrives before each
+    run, the ledger tells which are new, and a last run finds none."""
+    root = work_dir(spark, "folder")
+    lines = star.encounter_lines(spark, sf)
+    star.write_ndjson(star.practitioner_lines(spark, sf), f"{root}/store/{line_src.PRACTITIONER_MARKER}")
+    for i in [*range(star.N_SLICES), None]:
+        if i is not None:
+            star.write_ndjson(lines.where(F.col("slice") == i), f"{root}/store/{line_src.ENCOUNTER_MARKER}slice={i}")
+        out = job.run_folder(spark, f"{root}/store", f"{root}/results", f"{root}/state")
+    return out
+
+
+def q_build_rejects(spark, sf):
+    """What the batch job sets aside of both modules, while it builds."""
+    root = work_dir(spark, "build-rejects")
+    star.write_ndjson(star.encounter_lines(spark, sf, damaged=True), f"{root}/encounters")
+    star.write_ndjson(star.practitioner_lines(spark, sf, damaged=True), f"{root}/practitioners")
+    job.build(spark, f"{root}/encounters", f"{root}/practitioners", f"{root}/results", rejects_path=f"{root}/rejects")
+    return spark.read.schema("value string, module string").parquet(f"{root}/rejects")
+
+
+def q_cleared_state(spark, sf):
+    """State that is dropped and begun anew: nothing of the first totals is left (K6)."""
+    path = _stored_state(spark, sf)
+    state.compact(spark, path, PAIR, "n_visits")
+    state.clear(spark, path)
+    for i, part in enumerate(_slice_totals(spark, sf, PAIR, "n_visits")[1:]):
+        state.append_delta(spark, part, path, i)
+    return state.read_totals(spark, path, PAIR, "n_visits")
+
+
 def q_compacted_state(spark, sf):
     path = work_dir(spark, "state")
     state.clear(spark, path)
@@ -481,7 +530,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "title_case": q_title_case,
     "stream_visit_counts": q_stream_visit_counts,
     "stream_patient_counts": q_stream_patient_counts,
+    "stream_served_table": q_stream_served_table,
+    "stream_rejects": q_stream_rejects,
+    "folder_build": q_folder_build,
+    "build_rejects": q_build_rejects,
     "compacted_state": q_compacted_state,
+    "cleared_state": q_cleared_state,
     "synth_practitioners": q_synth_practitioners,
     "synth_patients": q_synth_patients,
     "synth_encounters": q_synth_encounters,

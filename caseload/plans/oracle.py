@@ -300,6 +300,16 @@ FROM vp JOIN prac ON vp.practitioner = prac.practitioner""",
         "stream_visit_counts": with_(ENC, VC) + "SELECT practitioner, diagnosis, n_visits FROM vc",
         "stream_patient_counts": with_(ENC, CASES, VP) + "SELECT practitioner, diagnosis, n_patients, n_visits FROM vp",
         "compacted_state": with_(ENC, VC) + "SELECT practitioner, diagnosis, n_visits FROM vc",
+        "stream_served_table": with_(ENC, PRAC, CASES, VP) + """SELECT vp.practitioner, vp.n_patients,
+  vp.n_visits, prac.full_name, prac.email, prac.hospital, vp.diagnosis
+FROM vp JOIN prac ON vp.practitioner = prac.practitioner""",
+        "stream_rejects": quarantine,
+        "folder_build": with_(ENC, PRAC, VC, RES) + "SELECT * FROM res",
+        "build_rejects": quarantine.replace("WITH ", f"WITH {PRAC}, ", 1) + f"""
+UNION ALL SELECT CASE WHEN CAST(practitioner AS BIGINT) % 10 = 1 THEN substr({PRAC_JSON}, 1, 40) ELSE {PRAC_JSON_BARE} END,
+  'practitioner' FROM prac WHERE CAST(practitioner AS BIGINT) % 10 IN (1, 2)""",
+        "cleared_state": with_(ENC) + """SELECT practitioner, diagnosis, count(*) AS n_visits FROM enc WHERE slice > 0
+GROUP BY 1, 2""",
         "synth_practitioners": with_(PRAC) + "SELECT practitioner, full_name, email, hospital FROM prac",
         "synth_patients": """SELECT CAST(c_custkey AS VARCHAR) AS identifier, lower(replace(c_name, '#', ' ')) AS name
 FROM customer""",

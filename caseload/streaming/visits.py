@@ -14,7 +14,8 @@ aggregations need watermarks), and a ``collect_set`` of patients would grow
 state with every patient.  Instead each micro-batch computes its cases per
 (practitioner, diagnosis, patient) and appends them to the delta state table
 (``plans.state``) under its batch id; patients and visits are derived on
-read.  Idempotent for the same reason as T1.
+read.  Idempotent for the same reason as T1.  ``run_served`` goes on to the
+served table, and both can set malformed lines aside batch by batch.
 
 A run without a checkpoint numbers its batches from 0 again, and files may
 fall into other batches than before; so it refuses to write next to what an
@@ -29,14 +30,16 @@ neither the folders nor the reads grow with the number of batches.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseload.operators import aggregate, extract
-from caseload.plans import state
+from caseload.plans import job, state
 from caseload.session import delete_path, path_exists
+from caseload.sources import lines as line_src
 
 COMPACT_EVERY = 20
 
@@ -107,26 +110,61 @@ def compact_visit_counts(spark: SparkSession, sink: str) -> int | None:
 
 def run_patient_cases(spark: SparkSession, input_dir: str, checkpoint: str, state_path: str,
                       max_files_per_trigger: int | None = None, trigger: dict | None = None,
-                      fresh: bool = False, compact_every: int = COMPACT_EVERY):
-    """Fold cases per (practitioner, diagnosis, patient) batch by batch."""
+                      fresh: bool = False, compact_every: int = COMPACT_EVERY, rejects_path: str | None = None):
+    """Fold cases per (practitioner, diagnosis, patient) batch by batch.
+    With ``rejects_path`` malformed lines go to its folder ``batch_id=N``, from the same scan."""
     _start(spark, checkpoint, state_path, fresh)
-    enc = extract.encounters(_lines(spark, input_dir, max_files_per_trigger),
-                             "quarantine", require_patient=True)
 
-    def write_batch(df: DataFrame, batch_id: int) -> None:
-        state.append_delta(spark, aggregate.patient_cases(df), state_path, batch_id, replay=True)
+    def write_batch(lines: DataFrame, batch_id: int) -> None:
+        state.append_delta(spark, _batch_totals(lines, "patients", rejects_path, batch_id), state_path, batch_id, replay=True)
         if batch_id % compact_every == compact_every - 1:
             compact_patient_cases(spark, state_path)
 
-    q = (enc.writeStream.option("checkpointLocation", checkpoint)
-            .foreachBatch(write_batch)
-            .trigger(**(trigger or {"availableNow": True}))
-            .start())
+    return _each_batch(_lines(spark, input_dir, max_files_per_trigger), checkpoint, write_batch, trigger)
+
+
+def run_served(spark: SparkSession, input_dir: str, practitioner_paths, checkpoint: str, state_path: str, results_path: str,
+               metrics: str = "patients", max_files_per_trigger: int | None = None, trigger: dict | None = None,
+               fresh: bool = False, compact_every: int = COMPACT_EVERY, rejects_path: str | None = None,
+               duplicates: str = "keep"):
+    """From arriving files to the served table: every batch is folded into the
+    state, and the diagnoses that it touches -- or that other practitioner
+    records touch, which are read anew for each batch -- are joined with the
+    practitioners and replaced in the table, switched at once (J1, K2)."""
+    _start(spark, checkpoint, state_path, fresh)
+
+    def write_batch(lines: DataFrame, batch_id: int) -> None:
+        prac = extract.practitioners(line_src.read_lines(spark, practitioner_paths), duplicates=duplicates)
+        job.fold_and_serve(spark, _batch_totals(lines, metrics, rejects_path, batch_id), prac, results_path, state_path,
+                           batch_id, metrics, compact_every, replay=True)
+
+    return _each_batch(_lines(spark, input_dir, max_files_per_trigger), checkpoint, write_batch, trigger)
+
+
+def _batch_totals(lines: DataFrame, metrics: str, rejects_path: str | None, batch_id: int) -> DataFrame:
+    """The totals of a batch; its rejects are written if there is a place for them."""
+    if rejects_path is None:
+        return job.totals(lines, metrics)
+    totals, bad = job.split_batch(lines, metrics, "quarantine")
+    bad.write.mode("overwrite").parquet(f"{rejects_path.rstrip('/')}/batch_id={batch_id}")
+    return totals
+
+
+def _each_batch(lines: DataFrame, checkpoint: str, write_batch: Callable[[DataFrame, int], None], trigger: dict | None):
+    q = (lines.writeStream.option("checkpointLocation", checkpoint)
+              .foreachBatch(write_batch)
+              .trigger(**(trigger or {"availableNow": True}))
+              .start())
     if not trigger:
         q.awaitTermination()
     return q
 
 
+def read_rejects(spark: SparkSession, rejects_path: str) -> DataFrame:
+    """``value, file_path, module, batch_id`` of the lines that a stream or ``job.run_folder`` set aside."""
+    return spark.read.schema("value string, file_path string, module string, batch_id bigint").parquet(rejects_path)
+
+
 CASE_KEYS = ["practitioner", "diagnosis", "patient"]
 
 
