@@ -257,20 +257,33 @@ def test_no_documents_and_no_target(spark):
 @pytest.mark.parametrize("n_words,n_pairs", [(0, 0), (5, 0), (9, 30)])
 def test_head_tail_and_cuts_do_not_change_buckets(size, n_words, n_pairs):
     texts = [words(k, n) for k, n in enumerate((0, 1, 2, 3, 50, 200))] + ["w" * 300, "a " * 100 + "b" * 65 + " c"]
-    common = [w for w, _ in Counter(x for t in texts for x in importance._WORDS.findall(t.encode().lower())).most_common(n_words)]
-    head = importance.Head(common, list(itertools.product(range(len(common)), repeat=2))[:n_pairs])
-    numbers = importance._Numbers(head.words)
+    common = [w for w, _ in Counter(
+        x for t in texts for x in importance._WORDS.findall(t.encode().lower()) if len(x) <= importance.WORD).most_common(n_words)]
+    head = importance.Head(common, list(itertools.product(common, repeat=2))[:n_pairs])
     for text in texts:
         parts = list(importance.pieces(text.encode(), size))
-        bucket, _ = importance.features([w for w, _ in parts], [c for _, c in parts], head, numbers)
-        numbers.forget()
-        assert Counter(bucket.tolist()) == Counter(brute_features(text)[1])
-    assert set(numbers) == set(common)
+        bucket, _, n = importance.features([p for p, _ in parts], [c for _, c in parts], head)
+        assert (n.sum(), Counter(bucket.tolist())) == (brute_features(text)[0], Counter(brute_features(text)[1]))
+    together = [t.encode().lower() for t in texts]
+    bucket, own, _ = importance.features(together, [0] * len(texts), head)
+    assert [Counter(bucket[own == k].tolist()) for k in range(len(texts))] == [Counter(brute_features(t)[1]) for t in texts]
+
+
+def test_words_that_share_a_slot():
+    pool = [f"w{k}".encode() for k in range(3000)]
+    slots = importance._slot(np.array([int.from_bytes(w, "little") for w in pool], np.uint64), importance.WORD_SLOTS)
+    twice = [k for k, n in Counter(slots.tolist()).items() if n > 1]
+    same = [w for w, s in zip(pool, slots) if s in twice]
+    assert len(same) > 50
+    head = importance.Head(same, list(zip(same, same[1:])))
+    text = " ".join(w.decode() for w in same)
+    assert Counter(importance.features([text.encode()], [0], head)[0].tolist()) == Counter(brute_features(text)[1])
 
 
 def test_head_is_counted_over_all_rows(spark):
-    texts = spark.createDataFrame([("b a b", ), ("B b c a",), (None,), ("é " * 3,)], "text string").repartition(3)
-    found = importance.frequent_words(texts.selectExpr("coalesce(text, '') AS text"), 3)
+    texts = spark.createDataFrame([("b a b",), ("B b c a",), ("",), ("é " * 3,), (("w" * 65 + " ") * 9,)], "text string")
+    found = importance.frequent_words(texts.repartition(3), 2)
     assert found == [b"b", "é".encode(), b"a"]
-    pairs = importance.frequent_pairs(texts.selectExpr("coalesce(text, '') AS text"), found, 2)
-    assert pairs == [(1, 1), (0, 0)] or pairs == [(1, 1), (0, 2)]
+    assert importance.frequent_pairs(texts.repartition(3), found, 2) == [(found[1], found[1])]
+    assert set(importance.frequent_pairs(texts.repartition(3), found, 1)) == {
+        (b"b", b"a"), (b"a", b"b"), (b"b", b"b"), (found[1], found[1])}
