@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from caseload.functions import text
 from caseload.operators import aggregate, enrich, extract, search
 from caseload.schemas import RESULTS_TWO_METRICS
-from caseload.plans import job, serve, state
+from caseload.plans import identity, job, serve, state
 from caseload.session import work_dir
 from caseload.sources import lines as line_src
 from caseload.sources import star
@@ -254,6 +254,16 @@ def q_chunked_documents(spark, sf):
     return sent.select(F.inline(size))
 
 
+def q_lasting_documents(spark, sf):
+    """Three builds, each with one more slice of visits: documents keep the
+    ids that they were given first, and only new ones are numbered."""
+    path = work_dir(spark, "ids")
+    totals, prac = _slice_totals(spark, sf, PAIR, "n_visits"), practitioners(spark, sf)
+    for i in range(star.N_SLICES):
+        built = identity.with_lasting_id(enrich.enrich(state.fold(totals[:i + 1], PAIR, "n_visits"), prac), path)
+    return serve.as_documents(built)
+
+
 def q_partitioned_roundtrip(spark, sf):
     """The table written twice, first with a diagnosis that the second lacks."""
     path = work_dir(spark, "results")
@@ -508,6 +518,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "two_metric_documents": q_two_metric_documents,
     "case_documents": q_case_documents,
     "chunked_documents": q_chunked_documents,
+    "lasting_documents": q_lasting_documents,
     "partitioned_roundtrip": q_partitioned_roundtrip,
     "routed_scan": q_routed_scan,
     "batch_build": q_batch_build,

@@ -271,6 +271,12 @@ FROM vp JOIN prac ON vp.practitioner = prac.practitioner""",
         "diagnosis_slice": with_(ENC, PRAC, VC, RES) + f"SELECT * FROM res WHERE diagnosis = '{C.SLICE_DIAGNOSIS}'",
         "state_documents": docs_state,
         "result_documents": docs_res,
+        "lasting_documents": with_(ENC, PRAC, VC, RES, """seen AS (
+  SELECT practitioner, diagnosis, min(slice) AS first_slice FROM enc GROUP BY 1, 2)""") + """SELECT diagnosis,
+  CAST(row_number() OVER (PARTITION BY diagnosis ORDER BY first_slice, practitioner) - 1 AS BIGINT) AS _id,
+  '{"Practitioner":"' || practitioner || '","Number of patients":' || CAST(n_visits AS VARCHAR)
+    || ',"Full name":"' || full_name || '","E-mail":"' || email || '","Hospital":"' || hospital || '"}' AS doc
+FROM res JOIN seen USING (practitioner, diagnosis)""",
         "partitioned_roundtrip": with_(ENC, PRAC, VC, RES) + "SELECT * FROM res",
         "routed_scan": routed,
         "batch_build": with_(ENC, PRAC, VC, RES) + "SELECT * FROM res",

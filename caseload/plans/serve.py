@@ -9,12 +9,13 @@ Readers see the table before a build or after it, never a part.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from itertools import islice
+from collections.abc import Iterator
+from dataclasses import dataclass
+from typing import Protocol
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from caseload.operators.ordinal import with_ordinal
 from caseload.plans import published
@@ -48,37 +49,98 @@ def to_documents(df: DataFrame, display: dict | None = None, per_diagnosis: bool
 
     The display names follow from the columns unless given; a column without
     one is an error, never left out."""
-    display = dict(display or display_names(df.columns))
-    body = [c for c in df.columns if c != "diagnosis"]
-    unnamed = [c for c in body if c not in display]
-    if unnamed:
-        raise ValueError(f"no display name for {', '.join(unnamed)}")
+    display, body = _display(df.columns, display)
     tie = [c for c in body if c not in order_by]
     ordered = with_ordinal(df, [*order_by, *tie], ["diagnosis"], name="_id") if per_diagnosis else \
         with_ordinal(df, ["diagnosis", *order_by, *tie], [], name="_id")
+    return as_documents(ordered, display)
+
+
+def _display(columns: list[str], display: dict | None) -> tuple[dict, list[str]]:
+    """(display names, columns of a document's body)."""
+    body = [c for c in columns if c not in ("diagnosis", "_id")]
+    display = dict(display or display_names(columns))
+    unnamed = [c for c in body if c not in display]
+    if unnamed:
+        raise ValueError(f"no display name for {', '.join(unnamed)}")
+    return display, body
+
+
+def as_documents(numbered: DataFrame, display: dict | None = None) -> DataFrame:
+    """``diagnosis, _id, doc`` of rows that have an ``_id`` (e.g. a lasting one, ``plans.identity``)."""
+    display, body = _display(numbered.columns, display)
     doc = F.to_json(F.struct(*[F.col(c).alias(display[c]) for c in body]))
-    return ordered.select("diagnosis", "_id", doc.alias("doc"))
+    return numbered.select("diagnosis", "_id", doc.alias("doc"))
 
 
 def requests(docs: DataFrame, size: int = REQUEST) -> DataFrame:
-    """K3: the documents of each partition in requests of at most ``size``:
-    ``n_docs, docs`` (array of struct<diagnosis, _id, doc>)."""
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = (r for batch in batches for r in batch.to_dict("records"))
-        while part := list(islice(rows, size)):
-            yield pd.DataFrame({"n_docs": [len(part)], "docs": [part]})
-
-    return docs.select("diagnosis", "_id", "doc").mapInPandas(
-        cut, "n_docs int, docs array<struct<diagnosis: string, _id: bigint, doc: string>>")
-
-
-def send_in_chunks(docs: DataFrame, send: Callable[[list[dict]], None], chunk: int = REQUEST) -> None:
-    """K3 for an external document store: every partition sends its rows in
-    requests of at most ``chunk`` documents, from the executors -- nothing
-    passes through the driver.  ``send`` must be idempotent per document (e.g.
-    upsert by ``_id``): a retried task sends its partition again."""
-    def run(rows):
-        for r in rows:
-            send([d.asDict() for d in r["docs"]])
-
-    requests(docs, chunk).foreachPartition(run)
+    """K3: the documents of each diagnosis in requests of at most ``size``, by
+    their ordinals: ``diagnosis, request, n_docs, docs`` (array of
+    struct<diagnosis, _id, doc>, in order).  Ordinals do not repeat, so a
+    request is bounded however hot its diagnosis, and it is the same request
+    whenever it is formed again."""
+    grouped = docs.groupBy("diagnosis", F.floor(F.col("_id") / size).cast("bigint").alias("request"))
+    rows = grouped.agg(F.sort_array(F.collect_list(F.struct("_id", "doc"))).alias("_rows"))
+    packed = F.transform("_rows", lambda r: F.struct(F.col("diagnosis"), r["_id"].alias("_id"), r["doc"].alias("doc")))
+    return rows.select("diagnosis", "request", F.size("_rows").alias("n_docs"), packed.alias("docs"))
+
+
+def send_in_chunks(docs: DataFrame, store: Store, chunk: int = REQUEST) -> None:
+    """K3 for an external document store: the executors stage requests of at
+    most ``chunk`` documents, and the driver publishes those of the attempts
+    that counted -- names of requests, never documents.  What a failed,
+    repeated or speculative attempt staged is never published."""
+    spark = docs.sparkSession
+    spark.dataSource.register(_sink(store))
+    requests(docs, chunk).write.format(_SINK).mode("append").save()
+
+
+class Store(Protocol):
+    """An external store as ``send_in_chunks`` uses it (pickled to the executors)."""
+
+    def stage(self, docs: list[dict]) -> str:
+        """Take a request without showing it; gives its name."""
+
+    def publish(self, names: list[str]) -> None:
+        """Show the staged requests of these names, all of them."""
+
+    def discard(self, names: list[str]) -> None:
+        """Forget the staged requests of these names."""
+
+
+_SINK = "document_store"
+
+
+def _sink(store: Store) -> type[DataSource]:
+    """A data source that writes requests to the store, a task's requests in one message."""
+
+    @dataclass
+    class Staged(WriterCommitMessage):
+        names: list[str]
+
+    class Writer(DataSourceWriter):
+        def write(self, rows: Iterator[Row]) -> Staged:
+            names = []
+            try:
+                for row in rows:
+                    names.append(store.stage([d.asDict() for d in row["docs"]]))
+            except BaseException:
+                store.discard(names)
+                raise
+            return Staged(names)
+
+        def commit(self, messages: list[Staged | None]) -> None:
+            store.publish([n for m in messages if m is not None for n in m.names])
+
+        def abort(self, messages: list[Staged | None]) -> None:
+            store.discard([n for m in messages if m is not None for n in m.names])
+
+    class Sink(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return _SINK
+
+        def writer(self, schema, overwrite: bool) -> Writer:
+            return Writer()
+
+    return Sink

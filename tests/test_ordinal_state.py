@@ -1,6 +1,7 @@
 """Ordinals (K1/K2), delta state (A2/A4, K5, K6, S4/S5) and documents (K4)."""
 
 import json
+import os
 import random
 
 import pytest
@@ -252,24 +253,95 @@ def test_numeric_looking_diagnosis_stays_text(spark, tmp):
     assert serve.read_results(spark, tmp).first().diagnosis == "007"
 
 
-def test_send_in_chunks(spark, tmp):
-    import glob
+def folder_store(folder, poison=None):
+    import json  # the store goes to workers that cannot import this module
     import os
     import uuid
-    out = tmp.replace("file:", "") + "-sent"
-    os.makedirs(out, exist_ok=True)
 
-    def send(batch):
-        with open(os.path.join(out, uuid.uuid4().hex), "w") as f:
-            f.write("\n".join(json.dumps(d) for d in batch))
+    class FolderStore:
+        """A document store of files: staged ones have a dot in front; a request with the poison fails once it is staged."""
+
+        def __init__(self, folder, poison=None):
+            self.folder, self.poison = folder, poison
+
+        def stage(self, docs):
+            name = uuid.uuid4().hex
+            with open(f"{self.folder}/.{name}", "w") as f:
+                f.write("\n".join(json.dumps(d) for d in docs))
+            if self.poison and any(d["doc"] == self.poison for d in docs) and not os.path.exists(f"{self.folder}/failed"):
+                open(f"{self.folder}/failed", "w").close()
+                raise RuntimeError("the store is away")
+            return name
+
+        def publish(self, names):
+            for n in names:
+                os.rename(f"{self.folder}/.{n}", f"{self.folder}/{n}")
+
+        def discard(self, names):
+            for n in names:
+                os.remove(f"{self.folder}/.{n}")
+
+    return FolderStore(folder, poison)
+
 
-    df = spark.createDataFrame([(str(i), "flu", i) for i in range(2500)],
+def _sent(folder):
+    return [[json.loads(line) for line in open(f"{folder}/{n}")] for n in os.listdir(folder) if n[0] != "." and n != "failed"]
+
+
+def _store_docs(spark):
+    df = spark.createDataFrame([(str(i), "flu" if i % 5 else "gout", i) for i in range(2500)],
                                "practitioner string, diagnosis string, n_visits long").repartition(2)
-    serve.send_in_chunks(serve.to_documents(df), send, chunk=1000)
-    sizes = sorted(len(open(p).read().splitlines()) for p in glob.glob(os.path.join(out, "*")))
-    assert sum(sizes) == 2500 and max(sizes) <= 1000
-    ids = sorted(json.loads(line)["_id"] for p in glob.glob(os.path.join(out, "*")) for line in open(p))
-    assert ids == list(range(2500))
+    return serve.to_documents(df)
+
+
+def test_send_in_chunks(spark, tmp):
+    folder = tmp.replace("file:", "") + "-sent"
+    os.makedirs(folder)
+    serve.send_in_chunks(_store_docs(spark), folder_store(folder), chunk=1000)
+    sent = _sent(folder)
+    assert sorted(map(len, sent)) == [500, 1000, 1000]
+    assert all(len({d["diagnosis"] for d in r}) == 1 and [d["_id"] for d in r] == list(range(r[0]["_id"], r[0]["_id"] + len(r)))
+               for r in sent)
+    assert not [n for n in os.listdir(folder) if n[0] == "."]
+
+
+def test_a_failed_task_sends_nothing_twice(spark, tmp):
+    """A write that fails publishes nothing; run again, every document is there once."""
+    folder = tmp.replace("file:", "") + "-sent"
+    os.makedirs(folder)
+    docs = _store_docs(spark)
+    poison = docs.where("diagnosis = 'flu' and _id = 700").first().doc
+    store = folder_store(folder, poison)
+    with pytest.raises(Exception, match="away"):
+        serve.send_in_chunks(docs, store, chunk=100)
+    assert _sent(folder) == []
+    serve.send_in_chunks(docs, store, chunk=100)
+    got = [(d["diagnosis"], d["_id"]) for r in _sent(folder) for d in r]
+    assert sorted(got) == [("flu", i) for i in range(2000)] + [("gout", i) for i in range(500)]
+
+
+def test_requests_are_formed_without_python(spark, capsys):
+    serve.requests(_store_docs(spark)).explain()
+    p = capsys.readouterr().out
+    assert "Python" not in p and "InPandas" not in p
+
+
+def test_ids_last_and_only_new_documents_are_numbered(spark, tmp, capsys):
+    from caseload.plans import identity
+    frame = lambda *rows: spark.createDataFrame([(p, d, 1) for p, d in rows],
+                                                "practitioner string, diagnosis string, n_visits long")
+    ids = lambda df: {(r.practitioner, r.diagnosis): r._id for r in identity.with_lasting_id(df, tmp).collect()}
+    assert ids(frame(("5", "flu"), ("7", "flu"), ("5", "gout"))) == {("5", "flu"): 0, ("7", "flu"): 1, ("5", "gout"): 0}
+    second = frame(("1", "flu"), ("7", "flu"), ("9", "flu"), ("1", "cold"))          # 5 is away
+    assert ids(second) == {("7", "flu"): 1, ("1", "flu"): 2, ("9", "flu"): 3, ("1", "cold"): 0}
+    assert ids(second) == {("7", "flu"): 1, ("1", "flu"): 2, ("9", "flu"): 3, ("1", "cold"): 0}
+    assert ids(frame(("5", "flu"), ("2", "flu"))) == {("5", "flu"): 0, ("2", "flu"): 4}
+    # a build that ended while it wrote its numbers
+    from caseload.session import delete_path
+    ids(frame(("3", "flu")))
+    delete_path(spark, f"{tmp}/build=4/_SUCCESS")
+    assert ids(frame(("4", "flu"))) == {("4", "flu"): 5}
+    assert ids(frame(("3", "flu"), ("3", "flu"))) == {("3", "flu"): 6}
 
 
 def test_ordinal_for_a_hot_group_spanning_partitions(spark):
