@@ -17,8 +17,10 @@
 
 Edge cases: a null text counts as empty; a text of fewer than ``n`` words has
 one n-gram, all its words; texts without words are copies of one another;
-rows with equal ids are one document; rows with a null id have no class and no
-links; an empty table gives no rows.
+texts of any length are compared by their whole sets; rows with equal ids are
+one document; a class goes by its smallest id; rows with a null id have no
+class and no links; other columns, whatever their names, are not read; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -268,11 +270,15 @@ def join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: floa
 
 def one_of_each(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with one document of every class: the one with the smallest id.
-    Rows that repeat an id are one document; rows without an id all stay."""
+    Rows that repeat both id and text are one document (of other columns, those
+    of the least hash), an id with several texts keeps them all or, if one of
+    them is a near copy of a smaller id, none; rows without an id all stay."""
     names = docs.columns
     gone = join(docs, **how).where("doc_id != class_id").select(F.col("doc_id").alias("__gone")).distinct()
-    rows = docs.select(F.col("doc_id").cast("long").alias("__id"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"))
+    row = F.struct(*[F.col(f"`{c}`") for c in names])
+    rows = docs.select(F.col("doc_id").cast("long").alias("__id"), F.sha2(whole_text(), 256).alias("__text"),
+                       F.xxhash64(F.to_json(row)).alias("__hash"), row.alias("__row"))
     left = rows.where("__id is not null").join(gone, F.col("__id") == F.col("__gone"), "left_anti")
-    one = left.groupBy("__id").agg(F.min("__row").alias("__row"))
+    one = left.groupBy("__id", "__text").agg(F.min_by("__row", "__hash").alias("__row"))
     return one.select("__row").unionByName(rows.where("__id is null").select("__row")).select(
         *[F.col("__row")[c].alias(c) for c in names])

@@ -512,3 +512,12 @@ def test_chunk_sizes_follow_the_input():
 def test_buckets_are_those_that_have_keys():
     assert chunks.by_bucket(np.array([], np.int64)) == []
     assert chunks.by_bucket(np.array([2, 2, 900_000_000])) == [(2, slice(0, 2)), (900_000_000, slice(2, 3))]
+
+
+def test_unrelated_texts_of_one_id_both_stay(spark):
+    words = lambda k: " ".join(f"{k}word{i}" for i in range(60))
+    rows = [(5, words("a"), {"k": 1}), (5, words("b"), {"k": 2}), (5, words("b"), {"k": 2}), (7, words("c"), None),
+            (8, words("c"), None), (None, words("c"), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra map<string, int>")
+    got = sorted((str(r.doc_id), r.text[:6]) for r in ngram_join.one_of_each(docs).collect())
+    assert got == [("5", "aword0"), ("5", "bword0"), ("7", "cword0"), ("None", "cword0")]
