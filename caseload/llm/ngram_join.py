@@ -8,17 +8,19 @@
    band bucket, a row per node and band, never a pair within a bucket.  The
    components of these ties are the candidate groups: whoever shares a band
    is in one group.
-3. The full n-gram sets of the nodes in candidate groups meet in blocks: a
-   group of more than ``BLOCK`` nodes is split by a hash, and each pair of its
-   blocks is one task unit, so no task holds a whole large group.  All pairs in
-   a block pair are verified on the full sets; what leaves is one row per
-   node: its number of links and its smallest linked neighbour's group.
+3. The full n-gram sets of the nodes in candidate groups meet in blocks.  A
+   group above ``BLOCK`` nodes or ``BLOCK_BYTES`` of sets is split: nodes with
+   the same first band lie together, in blocks of their own if they are many.
+   Two blocks are one task unit if some band occurs in both, so blocks that
+   share no band never meet and no task holds a whole large group.  All pairs
+   in a unit are verified on the full sets; what leaves is one row per node:
+   its number of links and its smallest linked neighbour's group.
 4. The components of the verified links are the classes.
 
 Edge cases: a null text counts as empty; a text of fewer than ``n`` words has
 one n-gram, all its words; texts without words are copies of one another;
-texts of any length are compared by their whole sets; rows with equal ids are
-one document; a class goes by its smallest id; rows with a null id have no
+texts of any length are compared by their whole sets (a set above the byte
+bound of a block is held whole); rows with equal ids are one document; a class goes by its smallest id; rows with a null id have no
 class and no links; other columns, whatever their names, are not read; an
 empty table gives no rows.
 """
@@ -42,8 +44,10 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 #: Hashes per n-gram that the banding may use.
 HASHES = 256
-#: Nodes of a candidate group that one verification unit takes from each side.
-BLOCK = 128
+#: Nodes, and bytes of n-gram sets, of a large candidate group that a
+#: verification unit takes from each side (about: blocks are cut by hashes).
+BLOCK = 512
+BLOCK_BYTES = 16 << 20
 _PART = 1 << 20  # bytes of text handled at once
 _COLUMNS = 4096
 
@@ -102,13 +106,14 @@ def _reduce(ufunc, values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, d1, d2, bands) of every document with an id: a 128-bit digest of
-    its words and the hash of each band (none without words)."""
+    """(doc_id, d1, d2, grams, bands) of every document with an id: a 128-bit
+    digest of its words, its number of n-grams and the hash of each band (none
+    without words)."""
     rng = np.random.Generator(np.random.PCG64(7))
     multiply = (rng.integers(0, 1 << 32, bands * rows, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
     add = rng.integers(0, 1 << 32, bands * rows, dtype=np.uint64).astype(np.uint32)
 
-    def sign(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def sign(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         words, first, grams, bounds = ngram_hashes(texts, n)
         place = np.arange(len(words)) - np.repeat(first[:-1], np.diff(first))
         power = powers(0x9E3779B97F4A7C15, int(place.max()) + 1 if len(place) else 0)
@@ -121,22 +126,22 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
             for r in range(b * rows, b * rows + rows):
                 h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + _reduce(np.minimum, short * multiply[r] + add[r], bounds))
             out[:, b] = h
-        return digests[0], digests[1], out
+        return digests[0], digests[1], np.diff(bounds), out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.as_py() for t in batch.column(1).cast(pa.binary())]
             for start, end in _parts(texts):
-                d1, d2, hashes = sign(texts[start:end])
+                d1, d2, count, hashes = sign(texts[start:end])
                 filled = np.array([bool(t.strip(b"\t\n\v\f\r ")) for t in texts[start:end]])
                 offsets = np.r_[0, np.cumsum(filled * bands)].astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, end - start), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes[filled].ravel().view(np.int64)))],
-                    ["doc_id", "d1", "d2", "bands"])
+                     pa.array(count, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes[filled].ravel().view(np.int64)))],
+                    ["doc_id", "d1", "d2", "grams", "bands"])
 
     return docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), whole_text().alias("text")).mapInArrow(
-        run, "doc_id long, d1 long, d2 long, bands array<long>")
+        run, "doc_id long, d1 long, d2 long, grams long, bands array<long>")
 
 
 def gram_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -156,8 +161,10 @@ def gram_sets(docs: DataFrame, n: int) -> DataFrame:
         run, ", ".join(f"{c} {t}" for c, t in docs.dtypes if c != "text") + ", grams binary")
 
 
-def overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all pairwise intersections of sets of distinct values."""
+def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``left`` with all of ``right``
+    (with one another, if there is none); a set's values are distinct."""
+    sets = left + (right or [])
     member = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     joined = np.concatenate(sets)
     order = np.argsort(joined, kind="stable")
@@ -166,12 +173,13 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     n = np.diff(np.r_[start, len(joined)])
     shared = np.repeat(n > 1, n)  # a value of one set meets nothing
     member, column = member[shared], np.cumsum(np.r_[True, joined[shared][1:] != joined[shared][:-1]]) - 1
-    out = np.zeros((len(sets), len(sets)))
+    across = slice(0, len(left)), slice(len(left) if right else 0, len(sets))
+    out = np.zeros((len(left), len(right) if right else len(left)))
     for low in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
         a, b = np.searchsorted(column, (low, low + _COLUMNS))
         table = np.zeros((len(sets), _COLUMNS), np.float32)
         table[member[a:b], column[a:b] - low] = 1
-        out += table @ table.T
+        out += table[across[0]] @ table[across[1]].T
     return out
 
 
@@ -184,7 +192,13 @@ def _verify(threshold: float):
         size = np.array([len(s) for s in sets], float)
         if not size.any():
             return []
-        both = overlaps(sets)
+        if lo == hi:
+            both = overlaps(sets)
+        else:
+            a, b = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+            both = np.zeros((len(rows), len(rows)))
+            both[np.ix_(a, b)] = overlaps([sets[k] for k in a], [sets[k] for k in b])
+            both[np.ix_(b, a)] = both[np.ix_(a, b)].T
         linked = both >= threshold * (size[:, None] + size[None, :] - both) - 1e-9
         node, first, of = np.unique(node, return_index=True, return_inverse=True)
         if len(node) < len(rows):  # rows that repeat an id are one node
@@ -230,35 +244,70 @@ def _verify(threshold: float):
     return run
 
 
+def _cut(n: str, grams: str):
+    """Blocks that ``n`` nodes with ``grams`` n-grams make."""
+    return F.ceil(F.greatest(F.col(n) / BLOCK, F.col(grams) * 8 / BLOCK_BYTES)).cast("long")
+
+
+def blocks(groups: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, grp, copies, block, alone) of the nodes in candidate groups;
+    ``alone`` if the group is one block."""
+    members = written(groups.join(nodes, "node").groupBy("node", "grp").agg(
+        F.max("copies").alias("copies"), F.max("grams").alias("grams"), F.min(F.get("bands", F.lit(0))).alias("first")),
+        "join-members")
+    size = [F.count(F.lit(1)).alias("n"), F.sum("grams").alias("g")]
+    whole = members.groupBy("grp").agg(*size).select("grp", _cut("n", "g").alias("bins"))
+    many = members.groupBy("grp", "first").agg(*size).select("grp", "first", _cut("n", "g").alias("parts")).where("parts > 1")
+    return members.join(whole, "grp").join(many, ["grp", "first"], "left").select(
+        "node", "grp", "copies", (F.col("bins") <= 1).alias("alone"),
+        F.when(F.col("bins") <= 1, F.lit(0)).when(
+            F.col("parts").isNotNull(), F.xxhash64("first", F.pmod(F.xxhash64("node"), F.col("parts")))).otherwise(
+            F.pmod(F.xxhash64("first"), F.col("bins"))).cast("long").alias("block"))
+
+
+def meetings(placed: DataFrame, keyed: DataFrame) -> DataFrame:
+    """(grp, block, units): for each block of a group with several, the pairs
+    (lo, hi) of blocks, it among them, in which a band occurs twice."""
+    per = keyed.join(placed.where("not alone").select("node", "grp", "block"), "node").groupBy("key", "grp", "block").agg(
+        F.count_distinct("node").alias("n")).groupBy("key", "grp").agg(
+        F.collect_list(F.struct("block", "n")).alias("held"))
+    pairs = per.select("grp", "held", F.explode("held").alias("a")).select("grp", F.col("a.block").alias("lo"), F.explode(
+        F.filter("held", lambda b: (b["block"] > F.col("a.block")) | ((b["block"] == F.col("a.block")) & (b["n"] > 1)))
+    ).alias("b")).select("grp", "lo", F.col("b.block").alias("hi")).distinct()
+    return pairs.select("grp", "lo", "hi", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("block")).groupBy(
+        "grp", "block").agg(F.collect_list(F.struct("lo", "hi")).alias("units"))
+
+
 def join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """(doc_id, class_id, n_links, n_copies) of every document: the smallest id
     of its class, the number of other documents with a Jaccard similarity of at
     least ``threshold``, and how many of the documents have its very words."""
     bands, rows = choose_bands(threshold, recall)
     signed = written(signatures(docs, n, bands, rows), "join-signatures")
-    once = signed.groupBy("d1", "d2", "doc_id").agg(F.first("bands").alias("bands"))  # rows that repeat an id
+    once = signed.groupBy("d1", "d2", "doc_id").agg(
+        F.first("grams").alias("grams"), F.first("bands").alias("bands"))  # rows that repeat an id
     nodes = written(once.groupBy("d1", "d2").agg(
-        F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")), "join-nodes")
+        F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("grams").alias("grams"),
+        F.first("bands").alias("bands")), "join-nodes")
 
     keyed = nodes.select("node", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
     groups = written(components(keyed.join(buckets.drop("n"), "key").where("node != low").select("node", "low"),
                                 "node", "low").withColumnsRenamed({"root": "grp"}), "join-groups")
 
-    sizes = groups.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
-    placed = groups.join(sizes, "grp").join(nodes.select("node", "copies"), "node").withColumn(
-        "block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), whole_text().alias("text")).join(placed, "node")
-    sets = gram_sets(texts.select("grp", "node", "block", "blocks", "copies", "text"), n)
-    units = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "grp", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-        "node", "block", "copies", "grams")
+    placed = written(blocks(groups, nodes), "join-blocks")
+    alone = F.array(F.struct(F.lit(0).cast("long").alias("lo"), F.lit(0).cast("long").alias("hi")))
+    dealt = placed.join(meetings(placed, keyed), ["grp", "block"], "left").select(
+        "node", "grp", "block", "copies", F.when(F.col("alone"), alone).otherwise(F.col("units")).alias("units"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), whole_text().alias("text")).join(dealt, "node")
+    units = gram_sets(texts.select("grp", "node", "block", "copies", "units", "text"), n).withColumn(
+        "unit", F.explode("units")).select("grp", "unit.lo", "unit.hi", "node", "block", "copies", "grams")
     verified = written(units.repartition("grp", "lo", "hi").sortWithinPartitions("grp", "lo", "hi").mapInArrow(
         _verify(threshold), "node long, links long, root long"), "join-verified")
 
     classes = components(verified, "node", "root").withColumnsRenamed({"root": "class_id"})
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
-    found = written(nodes.drop("bands").join(links, "node", "left").join(classes, "node", "left"), "join-classes")
+    found = written(nodes.drop("grams", "bands").join(links, "node", "left").join(classes, "node", "left"), "join-classes")
     out = signed.select("doc_id", "d1", "d2").join(found, ["d1", "d2"]).select(
         "doc_id", F.coalesce("class_id", "node").alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"),
