@@ -255,24 +255,26 @@ def blocks(groups: DataFrame, nodes: DataFrame) -> DataFrame:
     members = written(groups.join(nodes, "node").groupBy("node", "grp").agg(
         F.max("copies").alias("copies"), F.max("grams").alias("grams"), F.min(F.get("bands", F.lit(0))).alias("first")),
         "join-members")
-    size = [F.count(F.lit(1)).alias("n"), F.sum("grams").alias("g")]
-    whole = members.groupBy("grp").agg(*size).select("grp", _cut("n", "g").alias("bins"))
-    many = members.groupBy("grp", "first").agg(*size).select("grp", "first", _cut("n", "g").alias("parts")).where("parts > 1")
-    return members.join(whole, "grp").join(many, ["grp", "first"], "left").select(
-        "node", "grp", "copies", (F.col("bins") <= 1).alias("alone"),
-        F.when(F.col("bins") <= 1, F.lit(0)).when(
-            F.col("parts").isNotNull(), F.xxhash64("first", F.pmod(F.xxhash64("node"), F.col("parts")))).otherwise(
+    per = members.groupBy("grp", "first").agg(F.count(F.lit(1)).alias("n"), F.sum("grams").alias("g"))
+    whole = per.groupBy("grp").agg(F.sum("n").alias("n"), F.sum("g").alias("g"))
+    cut = per.select("grp", "first", _cut("n", "g").alias("parts")).join(
+        whole.select("grp", _cut("n", "g").alias("bins")).where("bins > 1"), "grp")
+    return members.join(cut, ["grp", "first"], "left").select(
+        "node", "grp", "copies", F.col("bins").isNull().alias("alone"),
+        F.when(F.col("bins").isNull(), F.lit(0)).when(
+            F.col("parts") > 1, F.xxhash64("first", F.pmod(F.xxhash64("node"), F.col("parts")))).otherwise(
             F.pmod(F.xxhash64("first"), F.col("bins"))).cast("long").alias("block"))
 
 
-def meetings(placed: DataFrame, keyed: DataFrame) -> DataFrame:
+def meetings(placed: DataFrame, nodes: DataFrame) -> DataFrame:
     """(grp, block, units): for each block of a group with several, the pairs
     (lo, hi) of blocks, it among them, in which a band occurs twice."""
-    per = keyed.join(placed.where("not alone").select("node", "grp", "block"), "node").groupBy("key", "grp", "block").agg(
-        F.count_distinct("node").alias("n")).groupBy("key", "grp").agg(
-        F.collect_list(F.struct("block", "n")).alias("held"))
+    split = nodes.select("node", "bands").join(placed.where("not alone").select("node", "grp", "block"), "node")
+    per = split.select("node", "grp", "block", F.explode("bands").alias("key")).groupBy("key", "grp", "block").agg(
+        (F.min("node") < F.max("node")).alias("twice")).groupBy("key", "grp").agg(
+        F.collect_list(F.struct("block", "twice")).alias("held"))
     pairs = per.select("grp", "held", F.explode("held").alias("a")).select("grp", F.col("a.block").alias("lo"), F.explode(
-        F.filter("held", lambda b: (b["block"] > F.col("a.block")) | ((b["block"] == F.col("a.block")) & (b["n"] > 1)))
+        F.filter("held", lambda b: (b["block"] > F.col("a.block")) | ((b["block"] == F.col("a.block")) & b["twice"]))
     ).alias("b")).select("grp", "lo", F.col("b.block").alias("hi")).distinct()
     return pairs.select("grp", "lo", "hi", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("block")).groupBy(
         "grp", "block").agg(F.collect_list(F.struct("lo", "hi")).alias("units"))
@@ -292,12 +294,12 @@ def join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: floa
 
     keyed = nodes.select("node", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    groups = written(components(keyed.join(buckets.drop("n"), "key").where("node != low").select("node", "low"),
-                                "node", "low").withColumnsRenamed({"root": "grp"}), "join-groups")
+    groups = components(keyed.join(buckets.drop("n"), "key").where("node != low").select("node", "low"),
+                                "node", "low").withColumnsRenamed({"root": "grp"})
 
     placed = written(blocks(groups, nodes), "join-blocks")
     alone = F.array(F.struct(F.lit(0).cast("long").alias("lo"), F.lit(0).cast("long").alias("hi")))
-    dealt = placed.join(meetings(placed, keyed), ["grp", "block"], "left").select(
+    dealt = placed.join(meetings(placed, nodes), ["grp", "block"], "left").select(
         "node", "grp", "block", "copies", F.when(F.col("alone"), alone).otherwise(F.col("units")).alias("units"))
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), whole_text().alias("text")).join(dealt, "node")
     units = gram_sets(texts.select("grp", "node", "block", "copies", "units", "text"), n).withColumn(

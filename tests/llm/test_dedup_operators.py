@@ -284,8 +284,7 @@ def test_only_blocks_that_share_a_band_meet(spark, monkeypatch):
     block = {r.node: r.block for r in placed.collect()}
     held = collections.Counter(block.values())
     assert len(held) >= 10 and max(held.values()) < 30 and not placed.where("alone").count()
-    keyed = nodes.selectExpr("node", "explode(bands) AS key")
-    got = ngram_join.meetings(placed, keyed).collect()
+    got = ngram_join.meetings(placed, nodes).collect()
     want = {tuple(sorted((block[a], block[b]))) for a, b in itertools.combinations(bands, 2) if set(bands[a]) & set(bands[b])}
     assert {(u.lo, u.hi) for r in got for u in r.units} == want and len(want) < len(held) * (len(held) + 1) / 2
     assert all(r.block in (u.lo, u.hi) for r in got for u in r.units)
