@@ -111,10 +111,20 @@ def _k_of(fuzziness: dict) -> Column:
     return k
 
 
-def _variants(terms: DataFrame, fuzziness: dict) -> DataFrame:
-    """``field, term, variant``: every term with its deletion variants."""
-    return terms.withColumn("_k", _k_of(fuzziness)).select(
-        "field", "term", F.explode(fuzzy.deletion_variants("term", "_k", max(fuzziness.values()))).alias("variant"))
+def _meeting(terms: DataFrame, text: str, fuzziness: dict, query_side: bool) -> DataFrame:
+    """``terms`` once per key by which its column ``text`` can meet a text at a
+    distance up to ``_left`` (``fuzzy.meeting_keys``); keys are 64-bit hashes.
+
+    Distinct terms are few bytes, which AQE puts into one task, but their keys
+    are many: the terms are dealt to all cores first.  The keys are dealt out
+    before the join, which is then planned by their size, not that of the terms."""
+    terms = terms.repartition(terms.sparkSession.sparkContext.defaultParallelism, text)
+    keys = F.lit(None).cast("array<struct<kind: string, key: string>>")
+    for left in range(max(fuzziness.values()) + 1):
+        keys = F.when(F.col("_left") == left, fuzzy.meeting_keys(F.col(text), left, query_side)).otherwise(keys)
+    return (terms.withColumn("_met", F.explode(keys))
+                 .withColumn("_key", F.xxhash64("field", "_left", "_met.kind", "_met.key")).drop("_met", "_left")
+                 .repartition("_key", "field"))
 
 
 def expand_terms(terms: DataFrame, vocab: DataFrame, fuzziness: dict | None = None,
@@ -126,15 +136,24 @@ def expand_terms(terms: DataFrame, vocab: DataFrame, fuzziness: dict | None = No
     with ``max_expansions`` only so many matches per term are kept.
     """
     fuzziness = dict(fuzziness or FUZZINESS)
-    mine = _variants(terms.select("field", "term").distinct(), fuzziness)
-    theirs = _variants(vocab.select("field", "term"), fuzziness).withColumnRenamed("term", "match")
-    # dealt by pair: the few terms sit in few partitions, their candidates are
-    # many, and a term that is near very many others is spread as well
-    cand = (mine.join(theirs, ["field", "variant"]).select("field", "term", "match")
-                .repartition("field", "term", "match").distinct())
-    scored = fuzzy.with_distance(cand, "term", "match", max(fuzziness.values()), transpositions)
+    most = max(fuzziness.values())
+    # a term, or one of its forms with neighbours turned round, has so many other edits left
+    forms = terms.select("field", "term").distinct().withColumn(
+        "_form", F.explode(fuzzy.swapped(F.col("term"), most if transpositions else 0)))
+    forms = (forms.select("field", "term", "_form.*").withColumn("_left", _k_of(fuzziness) - F.col("swaps"))
+                  .where(F.col("_left") >= 0))
+    lefts = F.sequence(F.lit(0) if transpositions else _k_of(fuzziness), _k_of(fuzziness))
+    theirs = _meeting(vocab.select("field", F.col("term").alias("match"), F.explode(lefts).alias("_left")), "match",
+                      fuzziness, False)
     minlen = F.least(F.length("term"), F.length("match"))
-    kept = scored.where((F.col("distance") <= _k_of(fuzziness)) & (F.col("distance") < minlen))
+    # the distance comes out of a generator: the filter above it does not work it out again
+    distance = fuzzy.swapped_distance(F.col("term"), F.col("form"), F.col("swaps"), F.col("at"), F.col("match"), most)
+    near = (_meeting(forms, "form", fuzziness, True).join(theirs, ["_key", "field"])
+            .select("field", "term", "match", F.explode(F.array(distance.cast("bigint"))).alias("distance"))
+            .where((F.col("distance") <= _k_of(fuzziness)) & (F.col("distance") < minlen)))
+    # dealt by pair: a term that is near very many others is spread as well
+    kept = (near.repartition("field", "term", "match")
+                .groupBy("field", "term", "match").agg(F.min("distance").alias("distance")))
     if max_expansions is not None:
         sim = 1 - F.col("distance") / minlen
         w = Window.partitionBy("field", "term").orderBy(sim.desc(), F.col("match"))

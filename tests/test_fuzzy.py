@@ -116,3 +116,23 @@ def test_no_python_in_the_distance(spark, capsys):
     search.expand_terms(t, t, {"full_name": 2}).explain()
     plan = capsys.readouterr().out
     assert "ArrowEvalPython" not in plan and plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") == 1
+
+
+@pytest.mark.parametrize("k", [0, 1, 2, 3])
+def test_only_near_texts_meet(spark, k):
+    """Numbers of five digits: very many pairs lack two characters of the same text, few of them are near."""
+    rnd = random.Random(3)
+    words = sorted({f"{rnd.randrange(100000):05d}" for _ in range(300)} | {"7", "77", "778"})
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    sides = [df.select(F.col("w").alias(name), F.explode(fuzzy.meeting_keys(F.col("w"), k, name == "a")).alias("key"))
+             for name in ("a", "b")]
+    met = {(r.a, r.b) for r in sides[0].join(sides[1], "key").select("a", "b").distinct().collect()}
+    near = {(a, b) for a in words for b in words if lev(a, b) <= k and lev(a, b) < min(len(a), len(b))}
+    assert near <= met and len(met) <= 1.5 * len(near)
+
+
+def test_transpositions_without_a_matrix(spark, capsys):
+    """Up to two edits, parts before and after the turned pair are compared; no matrix is filled row by row."""
+    t = spark.createDataFrame([("full_name", "abcd")], "field string, term string")
+    search.expand_terms(t, t, {"full_name": 2}).explain("extended")
+    assert "aggregate(" not in capsys.readouterr().out.split("== Optimized Logical Plan ==")[1]
