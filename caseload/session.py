@@ -8,6 +8,10 @@ Scale notes (100 TB of encounter text on ~1000 executors):
   about one row per encounter) stays below ~200 MB, e.g. 8000-20000.
 * ``spark.sql.files.maxPartitionBytes`` keeps text splits at 128 MB; NDJSON
   must stay uncompressed or use a splittable codec to be split at all.
+* ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` is 16 MB unless the user
+  names another size: AQE merges partitions up to it, and what a task sorts or
+  aggregates is some twenty times its compressed shuffle bytes.  With Spark's
+  64 MB a task holds over a gigabyte of parsed rows once the input is large.
 * Skewed keys: partial aggregation collapses hot keys map-side; AQE skew join
   splits hot join partitions.
 * Broadcasts: Spark broadcasts a side only when its size estimate (static
@@ -23,8 +27,11 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+TASK_BYTES = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
+
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
+    TASK_BYTES[0]: TASK_BYTES[1],
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
@@ -59,6 +66,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def bound_tasks(spark: SparkSession) -> None:
+    """Small shuffle partitions in a session of others, unless it names their size."""
+    if spark.conf.get(TASK_BYTES[0], None) is None:
+        spark.conf.set(*TASK_BYTES)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 

@@ -57,3 +57,18 @@ def test_long_running_stream_trigger(spark, tmp):
         q.stop()
     got = sorted(map(tuple, stream.read_visit_counts(spark, f"{tmp}/sink").collect()))
     assert got == sorted(map(tuple, catalog.q_visit_counts(spark, SF).collect()))
+
+
+def test_tasks_stay_small_in_a_session_without_a_size(spark):
+    """Else AQE merges partitions up to 64 MB, and a task's memory grows with the input up to that."""
+    import __spark_entry__
+    from conftest import SF
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    try:
+        for named, then in ((None, "16m"), ("8m", "8m")):
+            spark.conf.unset(key) if named is None else spark.conf.set(key, named)
+            __spark_entry__.queries()["parse_practitioners"](spark, SF)
+            assert spark.conf.get(key) == then
+    finally:
+        spark.conf.set(key, before)
