@@ -43,10 +43,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from caseload.functions import fuzzy, text
 from caseload.schemas import QUERIES
-from caseload.session import work_dir
+from caseload.session import path_exists, work_dir
 
 # fixed values: searched fields, their fuzziness and hit bits
 DIAGNOSIS, NAME, HOSPITAL = "diagnosis", "full_name", "hospital"
@@ -164,16 +165,23 @@ def expand_terms(terms: DataFrame, vocab: DataFrame, fuzziness: dict | None = No
 def query_matches(queries: DataFrame, results: DataFrame, fuzziness: dict | None = None,
                   max_expansions: int | None = None, transpositions: bool = True) -> DataFrame:
     """``query_id, field, match, distance`` for every query (J4's key side), as
-    a written table."""
+    a table written by field: what reads the matches of one field reads, and is
+    planned by the size of, that folder alone."""
     fuzziness = dict(fuzziness or FUZZINESS)
     fields = tuple(fuzziness)
     terms = query_terms(queries, fields)
     expanded = expand_terms(terms, vocabulary(results, fields), fuzziness, max_expansions, transpositions)
     matches = (terms.join(expanded, ["field", "term"])
                     .groupBy("query_id", "field", "match").agg(F.min("distance").alias("distance")))
-    path = work_dir(results.sparkSession, "matches")
-    matches.write.parquet(path)
-    return results.sparkSession.read.schema(matches.schema).parquet(path)
+    spark, path = results.sparkSession, work_dir(results.sparkSession, "matches")
+    matches.write.partitionBy("field").parquet(path)
+    stored = matches.where(F.lit(False))  # planned as empty, where no field has a match
+    columns = [c for c in matches.schema if c.name != "field"]
+    for f in fields:
+        if path_exists(spark, f"{path}/field={f}"):
+            stored = stored.unionByName(spark.read.schema(StructType(columns)).parquet(f"{path}/field={f}")
+                                        .select("query_id", F.lit(f).alias("field"), "match", "distance"))
+    return stored
 
 
 def _flag() -> Column:
@@ -206,7 +214,8 @@ def combine(matches: DataFrame, results: DataFrame, identity: str = "tuple") ->
 def _split(matches: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The diagnosis matches, and the others."""
     found = matches.select("query_id", "field", "match")
-    return (found.where(F.col("field") == DIAGNOSIS).select("query_id", F.col("match").alias("diagnosis")),
+    # the comparison holds for every diagnosis; Spark prunes partitions only by a side that has a filter
+    return (found.where((F.col("field") == DIAGNOSIS) & (F.col("match") >= "")).select("query_id", F.col("match").alias("diagnosis")),
             found.where(F.col("field") != DIAGNOSIS))
 
 
@@ -214,6 +223,7 @@ def _narrowed(matches: DataFrame, results: DataFrame, hit: list[str]) -> DataFra
     """``query_id``, hit columns and a bit for queries with a matched diagnosis:
     the rows of those diagnoses, pruned, and what else hits them."""
     of_diagnosis, other = _split(matches)
+    other = other.join(of_diagnosis.select("query_id"), "query_id", "left_semi")
     rows = results.select(*hit, "diagnosis").join(of_diagnosis, "diagnosis").select("query_id", *hit).distinct()
     tokens = rows.select("query_id", *hit, F.inline(_keys((NAME, HOSPITAL), False)))
     bits = tokens.join(other.withColumnRenamed("match", "term"), ["query_id", "field", "term"]).select(
