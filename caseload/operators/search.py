@@ -13,7 +13,9 @@ Per query (``query_id, diagnosis, full_name, hospital``):
    ``1 - d / min(len)``, ties by term), for those who ask for it.  Candidates
    come from an equi-join on deletion variants, never from comparing a term
    with the whole vocabulary.  The matches are written once: later steps read
-   them several times, and know how large they are.
+   them several times, and know how large they are.  With a stored index the
+   names that many rows hold are matched first, and other names only if their
+   best line can be among the ``k`` that a query shows (``reaching_matches``).
 3. hits: matched terms joined back to result rows; a hit is the tuple
    ``(full_name, count, hospital, email)`` with a bit per field
    (diagnosis 4, name 2, hospital 1), equal tuples merged with ``bit_or``.
@@ -112,9 +114,10 @@ def _k_of(fuzziness: dict) -> Column:
     return k
 
 
-def _meeting(terms: DataFrame, text: str, fuzziness: dict, query_side: bool) -> DataFrame:
+def _meeting(terms: DataFrame, text: str, fuzziness: dict, query_side: bool, apart=()) -> DataFrame:
     """``terms`` once per key by which its column ``text`` can meet a text at a
-    distance up to ``_left`` (``fuzzy.meeting_keys``); keys are 64-bit hashes.
+    distance up to ``_left`` (``fuzzy.meeting_keys``) and of the same ``apart``;
+    keys are 64-bit hashes.
 
     Distinct terms are few bytes, which AQE puts into one task, but their keys
     are many: the terms are dealt to all cores first.  The keys are dealt out
@@ -124,7 +127,8 @@ def _meeting(terms: DataFrame, text: str, fuzziness: dict, query_side: bool) ->
     for left in range(max(fuzziness.values()) + 1):
         keys = F.when(F.col("_left") == left, fuzzy.meeting_keys(F.col(text), left, query_side)).otherwise(keys)
     return (terms.withColumn("_met", F.explode(keys))
-                 .withColumn("_key", F.xxhash64("field", "_left", "_met.kind", "_met.key")).drop("_met", "_left")
+                 .withColumn("_key", F.xxhash64("field", *apart, "_left", "_met.kind", "_met.key"))
+                 .drop("_met", "_left", *apart)
                  .repartition("_key", "field"))
 
 
@@ -135,23 +139,39 @@ def expand_terms(terms: DataFrame, vocab: DataFrame, fuzziness: dict | None = No
     ``terms`` and ``vocab`` both carry ``field, term``.  A match needs
     ``distance <= k(field)`` and ``distance < min(len(term), len(match))``;
     with ``max_expansions`` only so many matches per term are kept.
+
+    If ``terms`` also carry ``least`` and ``vocab`` carries ``best``, a term
+    matches only what is as good as the lowest ``least`` it has (null: all).
     """
     fuzziness = dict(fuzziness or FUZZINESS)
     most = max(fuzziness.values())
+    apart = bound = ()
+    distinct = terms.select("field", "term").distinct()
+    if "least" in terms.columns:
+        if max_expansions is not None:
+            raise ValueError("the closest of all matches are not known among the good ones")
+        apart, bound = ("_bounded",), ("least", "_bounded")
+        lowest = F.when(F.count("least") == F.count(F.lit(1)), F.min("least"))
+        distinct = (terms.groupBy("field", "term").agg(lowest.alias("least"))
+                         .withColumn("_bounded", F.col("least").isNotNull()))
+        # one row for the terms with a bound, one for those without: what no term can match gets no keys
+        lowest = distinct.groupBy("_bounded").agg(F.min("least").alias("_lowest"))
+        vocab = vocab.join(lowest, ~F.col("_bounded") | (F.col("best") >= F.col("_lowest")))
     # a term, or one of its forms with neighbours turned round, has so many other edits left
-    forms = terms.select("field", "term").distinct().withColumn(
-        "_form", F.explode(fuzzy.swapped(F.col("term"), most if transpositions else 0)))
-    forms = (forms.select("field", "term", "_form.*").withColumn("_left", _k_of(fuzziness) - F.col("swaps"))
+    forms = distinct.withColumn("_form", F.explode(fuzzy.swapped(F.col("term"), most if transpositions else 0)))
+    forms = (forms.select("field", "term", *bound, "_form.*").withColumn("_left", _k_of(fuzziness) - F.col("swaps"))
                   .where(F.col("_left") >= 0))
     lefts = F.sequence(F.lit(0) if transpositions else _k_of(fuzziness), _k_of(fuzziness))
-    theirs = _meeting(vocab.select("field", F.col("term").alias("match"), F.explode(lefts).alias("_left")), "match",
-                      fuzziness, False)
+    theirs = _meeting(vocab.select("field", F.col("term").alias("match"), *(("best", "_bounded") if bound else ()),
+                                   F.explode(lefts).alias("_left")), "match", fuzziness, False, apart)
     minlen = F.least(F.length("term"), F.length("match"))
     # the distance comes out of a generator: the filter above it does not work it out again
     distance = fuzzy.swapped_distance(F.col("term"), F.col("form"), F.col("swaps"), F.col("at"), F.col("match"), most)
-    near = (_meeting(forms, "form", fuzziness, True).join(theirs, ["_key", "field"])
-            .select("field", "term", "match", F.explode(F.array(distance.cast("bigint"))).alias("distance"))
-            .where((F.col("distance") <= _k_of(fuzziness)) & (F.col("distance") < minlen)))
+    met = _meeting(forms, "form", fuzziness, True, apart).join(theirs, ["_key", "field"])
+    if bound:
+        met = met.where(F.col("least").isNull() | (F.col("best") >= F.col("least")))
+    near = (met.select("field", "term", "match", F.explode(F.array(distance.cast("bigint"))).alias("distance"))
+               .where((F.col("distance") <= _k_of(fuzziness)) & (F.col("distance") < minlen)))
     # dealt by pair: a term that is near very many others is spread as well
     kept = (near.repartition("field", "term", "match")
                 .groupBy("field", "term", "match").agg(F.min("distance").alias("distance")))
@@ -170,10 +190,14 @@ def query_matches(queries: DataFrame, results: DataFrame, fuzziness: dict | None
     fuzziness = dict(fuzziness or FUZZINESS)
     fields = tuple(fuzziness)
     terms = query_terms(queries, fields)
-    expanded = expand_terms(terms, vocabulary(results, fields), fuzziness, max_expansions, transpositions)
-    matches = (terms.join(expanded, ["field", "term"])
+    return _stored(terms, expand_terms(terms, vocabulary(results, fields), fuzziness, max_expansions, transpositions), fields)
+
+
+def _stored(terms: DataFrame, expanded: DataFrame, fields) -> DataFrame:
+    """The matches of the queries' terms, written by field."""
+    matches = (terms.select("query_id", "field", "term").join(expanded, ["field", "term"])
                     .groupBy("query_id", "field", "match").agg(F.min("distance").alias("distance")))
-    spark, path = results.sparkSession, work_dir(results.sparkSession, "matches")
+    spark, path = terms.sparkSession, work_dir(terms.sparkSession, "matches")
     matches.write.partitionBy("field").parquet(path)
     stored = matches.where(F.lit(False))  # planned as empty, where no field has a match
     columns = [c for c in matches.schema if c.name != "field"]
@@ -225,7 +249,9 @@ def _narrowed(matches: DataFrame, results: DataFrame, hit: list[str]) -> DataFra
     of_diagnosis, other = _split(matches)
     other = other.join(of_diagnosis.select("query_id"), "query_id", "left_semi")
     rows = results.select(*hit, "diagnosis").join(of_diagnosis, "diagnosis").select("query_id", *hit).distinct()
-    tokens = rows.select("query_id", *hit, F.inline(_keys((NAME, HOSPITAL), False)))
+    # only the rows of queries that also matched a name or a hospital are tokenised
+    tokens = rows.join(other.select("query_id"), "query_id", "left_semi").select(
+        "query_id", *hit, F.inline(_keys((NAME, HOSPITAL), False)))
     bits = tokens.join(other.withColumnRenamed("match", "term"), ["query_id", "field", "term"]).select(
         "query_id", *hit, _flag().alias("bit"))
     return rows.select("query_id", *hit, F.lit(FLAG[DIAGNOSIS]).alias("bit")).unionByName(bits)
@@ -284,13 +310,53 @@ def best_lines(results: DataFrame, k: int = TOP_K, only: DataFrame | None = None
     return results.sparkSession.read.schema(top.schema).parquet(path)
 
 
+def key_bounds(lines: DataFrame, k: int = TOP_K) -> DataFrame:
+    """``name_term, hospital_term, top, floor`` of ``best_lines``: the count of
+    a key's best line, and of its ``k``-th (null with fewer lines)."""
+    return lines.groupBy(*_TERMS).agg(F.max("best").alias("top"), F.when(F.count(F.lit(1)) >= k, F.min("best")).alias("floor"))
+
+
+def reaching_matches(queries: DataFrame, results: DataFrame, index: DataFrame, k: int = TOP_K,
+                     transpositions: bool = True) -> DataFrame:
+    """``query_matches`` without the name matches that cannot change what a
+    search with the ``index`` (``best_lines``) shows.
+
+    Names with ``k`` lines or more are matched first, and so are diagnoses and
+    hospitals.  A query without a diagnosis that they give ``k`` lines of its
+    kind of key (``term_keys``) -- pairs, or names if no hospital matched --
+    shows nothing below the last of these, so of the other names it is matched
+    with those alone whose best line is as good.  They have fewer than ``k``
+    lines, so they give no bound of their own.  All other queries are matched
+    with every name."""
+    bounds = key_bounds(index, k)
+    names = bounds.where((F.col("hospital_term") == "") & (F.col("name_term") != ""))
+    hospitals = bounds.where((F.col("name_term") == "") & (F.col("hospital_term") != ""))
+    frequent = (vocabulary(results, (DIAGNOSIS,))
+                .unionByName(hospitals.select(F.lit(HOSPITAL).alias("field"), F.col("hospital_term").alias("term")))
+                .unionByName(names.where(F.col("floor").isNotNull()).select(F.lit(NAME).alias("field"), F.col("name_term").alias("term"))))
+    terms = query_terms(queries)
+    first = _stored(terms, expand_terms(terms, frequent, None, None, transpositions), FIELDS)
+
+    most = term_keys(first).join(bounds, _TERMS).groupBy("query_id").agg(F.max(F.struct("kind", "floor")).alias("most"))
+    near_hospital = first.where(F.col("field") == HOSPITAL).select("query_id").distinct().withColumn("_near", F.lit(True))
+    kind = F.when(F.col("_near"), F.lit(3)).otherwise(F.lit(2))
+    least = (most.join(near_hospital, "query_id", "left").where(F.col("most.kind") == kind)
+                 .select("query_id", F.col("most.floor").alias("least")))
+    path = work_dir(results.sparkSession, "bounded-terms")
+    bounded = query_terms(queries, (NAME,)).join(least, "query_id", "left")
+    bounded.write.parquet(path)
+    bounded = results.sparkSession.read.schema(bounded.schema).parquet(path)
+    others = names.where(F.col("floor").isNull()).select(
+        F.lit(NAME).alias("field"), F.col("name_term").alias("term"), F.col("top").alias("best"))
+    rest = expand_terms(bounded, others, {NAME: FUZZINESS[NAME]}, None, transpositions)
+    return first.unionByName(_stored(bounded, rest, (NAME,)))
+
+
 def merged_lines(keys: DataFrame, lines: DataFrame, k: int = TOP_K) -> DataFrame:
     """``query_id, line, best`` of the lines that can be among a query's ``k``
     best: from the keys of the largest kind that it has (``term_keys``), but
     for those whose best line is below the ``k``-th of another key."""
-    per_key = lines.groupBy(*_TERMS).agg(F.max("best").alias("top"),
-                                         F.when(F.count(F.lit(1)) >= k, F.min("best")).alias("floor"))
-    found = keys.join(per_key, _TERMS)
+    found = keys.join(key_bounds(lines, k), _TERMS)
     largest = found.groupBy("query_id").agg(F.max(F.struct("kind", "floor")).alias("most"))
     used = found.join(largest, "query_id").where(
         (F.col("kind") == F.col("most.kind")) & (F.col("most.floor").isNull() | (F.col("top") >= F.col("most.floor"))))
@@ -373,8 +439,12 @@ def search(results: DataFrame, queries: DataFrame, k: int = TOP_K,
     'result' (``NONE`` as the only result line when a query keeps no hit).
 
     ``index`` is ``best_lines`` of the results with the same ``k``; without it
-    the lines of the terms that the queries matched are worked out here."""
-    matches = query_matches(queries, results, None, max_expansions, transpositions)
+    the lines of the terms that the queries matched are worked out here.  With
+    it, names that cannot reach the lines shown are not matched."""
+    if index is None or max_expansions is not None:
+        matches = query_matches(queries, results, None, max_expansions, transpositions)
+    else:
+        matches = reaching_matches(queries, results, index, k, transpositions)
     labels = resolve_label(matches)
     hit, metric = hit_columns(results, identity), metric_of(results)
     hits = _narrowed(matches, results, hit).groupBy("query_id", *hit).agg(F.bit_or("bit").alias("mask"))
