@@ -157,8 +157,10 @@ def expand_terms(terms: DataFrame, vocab: DataFrame, fuzziness: dict | None = No
         # one row for the terms with a bound, one for those without: what no term can match gets no keys
         lowest = distinct.groupBy("_bounded").agg(F.min("least").alias("_lowest"))
         vocab = vocab.join(lowest, ~F.col("_bounded") | (F.col("best") >= F.col("_lowest")))
-    # a term, or one of its forms with neighbours turned round, has so many other edits left
-    forms = distinct.withColumn("_form", F.explode(fuzzy.swapped(F.col("term"), most if transpositions else 0)))
+    # a term, or one of its forms with neighbours turned round, has so many other edits left; the
+    # terms are few bytes, which AQE puts into one task, and are dealt out before they are turned
+    dealt = distinct.repartition(terms.sparkSession.sparkContext.defaultParallelism, "field", "term")
+    forms = dealt.withColumn("_form", F.explode(fuzzy.swapped(F.col("term"), most if transpositions else 0)))
     forms = (forms.select("field", "term", *bound, "_form.*").withColumn("_left", _k_of(fuzziness) - F.col("swaps"))
                   .where(F.col("_left") >= 0))
     lefts = F.sequence(F.lit(0) if transpositions else _k_of(fuzziness), _k_of(fuzziness))
