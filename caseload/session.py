@@ -12,6 +12,9 @@ Scale notes (100 TB of encounter text on ~1000 executors):
   names another size: AQE merges partitions up to it, and what a task sorts or
   aggregates is some twenty times its compressed shuffle bytes.  With Spark's
   64 MB a task holds over a gigabyte of parsed rows once the input is large.
+  AQE only merges, so a shuffle begins with as many partitions as that size
+  calls for (``bound_tasks``); with ``spark.sql.shuffle.partitions`` alone they
+  would grow with the input once that number is too small.
 * Skewed keys: partial aggregation collapses hot keys map-side; AQE skew join
   splits hot join partitions.
 * Broadcasts: Spark broadcasts a side only when its size estimate (static
@@ -22,12 +25,18 @@ Scale notes (100 TB of encounter text on ~1000 executors):
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 TASK_BYTES = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
+FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_SET_HERE = "caseload.initialPartitionNum"
+
+#: Compressed bytes of the widest shuffle for each byte of input tables, at most (about 1.5 were measured).
+SHUFFLED = 4
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -66,10 +75,24 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def bound_tasks(spark: SparkSession) -> None:
-    """Small shuffle partitions in a session of others, unless it names their size."""
+def bound_tasks(spark: SparkSession, input_bytes: int = 0) -> None:
+    """Small shuffle partitions in a session of others, unless it names their
+    size; and for that many bytes of input as many to begin with as keep them
+    that small, unless it names their number."""
     if spark.conf.get(TASK_BYTES[0], None) is None:
         spark.conf.set(*TASK_BYTES)
+    ours = spark.conf.get(_SET_HERE, None)
+    if spark.conf.get(FIRST_PARTITIONS, None) != ours:
+        return
+    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get(TASK_BYTES[0]))
+    needed = math.ceil(SHUFFLED * input_bytes / size)
+    if needed > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(FIRST_PARTITIONS, str(needed))
+        spark.conf.set(_SET_HERE, str(needed))
+    elif ours is not None:
+        spark.conf.unset(FIRST_PARTITIONS)
+        spark.conf.unset(_SET_HERE)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -139,6 +162,12 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True)) if fs.exists(p) else False
 
 
+def bytes_of(spark: SparkSession, path: str) -> int:
+    """Bytes of the files at or below ``path`` (metadata only); 0 if there is none."""
+    fs, p = hadoop_path(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
 def list_files(spark: SparkSession, path: str) -> list[str]:
     """All data files below ``path`` (metadata only, nothing is read)."""
     fs, p = hadoop_path(spark, path)

@@ -24,13 +24,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseload.session import bytes_of
+
 N_SLICES = 3
+TABLES = ("lineitem", "orders", "part", "supplier", "nation", "region", "customer")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def input_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Bytes of the tables that the adapters read."""
+    return sum(bytes_of(spark, f"{sf_dir.rstrip('/')}/{name}.parquet") for name in TABLES)
+
+
 def encounter_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat encounter columns (before JSON encoding)."""
     li = (table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")

@@ -72,3 +72,24 @@ def test_tasks_stay_small_in_a_session_without_a_size(spark):
             assert spark.conf.get(key) == then
     finally:
         spark.conf.set(key, before)
+
+
+def test_shuffles_begin_with_enough_partitions_for_the_input(spark):
+    """Else a session with few shuffle partitions gives each task a share of the input that grows with it."""
+    from caseload.session import FIRST_PARTITIONS, bound_tasks
+    try:
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        for gb in (1, 6):
+            bound_tasks(spark, gb << 30)
+            assert int(spark.conf.get(FIRST_PARTITIONS)) == gb * 4 * 64
+            dealt = spark.range(1000).repartition("id")
+            assert f", {gb * 256})" in dealt._jdf.queryExecution().executedPlan().toString()
+        bound_tasks(spark, 1000)
+        assert spark.conf.get(FIRST_PARTITIONS, None) is None
+        spark.conf.set(FIRST_PARTITIONS, "7")  # named by the user
+        bound_tasks(spark, 6 << 30)
+        assert spark.conf.get(FIRST_PARTITIONS) == "7"
+    finally:
+        spark.conf.unset(FIRST_PARTITIONS)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
